@@ -16,7 +16,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 
-MEMO = 700_000
+MEMO = 800_000
 _ODD = re.compile(r"\s")
 #: The split pattern of the byte-level vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -49,6 +49,34 @@ def as_written(piece: str) -> str:
     return piece if piece[0] == "\n" else " " + piece
 
 
+class Memo:
+    """A dict of bounded size in two generations: when the young one is full it becomes the old one, and what is used again is taken over."""
+
+    def __init__(self, limit: int = MEMO):
+        self.limit, self.young, self.old = limit // 2, {}, {}
+
+    def fill(self, pieces: list[str], values: list, learn) -> bool:
+        """Puts a value wherever values has None. learn(new pieces) returns their values, or None if one can't be learnt: then False is returned."""
+        missing = {p for p, v in zip(pieces, values, strict=True) if v is None}
+        old = self.old
+        new = [p for p in missing if p not in old]
+        learnt = learn(new) if new else []
+        if learnt is None:
+            return False
+        found = dict(zip(new, learnt, strict=True))
+        for p in missing:
+            if p not in found:
+                found[p] = old[p]
+        for i, v in enumerate(values):
+            if v is None:
+                values[i] = found[pieces[i]]
+        if len(self.young) + len(found) > self.limit:
+            self.young, self.old = {}, self.young
+        if len(found) <= self.limit:
+            self.young.update(found)
+        return True
+
+
 class IdEncoder:
     """Token ids of whole texts as little-endian unsigned 32-bit integers, by the tokenizers library."""
 
@@ -57,50 +85,44 @@ class IdEncoder:
 
         self.lib = Tokenizer.from_file(path)
         self.specials = special_strings(path)
-        # encoded by itself as one id, it can separate pieces of one call
-        self.mark = next((s for s in self.specials if not _ODD.search(s) and len(self.lib.encode(s, add_special_tokens=False).ids) == 1), None)
-        self.memo: dict[str, bytes] = {}
+        blanks = tuple(byte_letters()[ord(c)] for c in " \n")
+        vocab = self.lib.get_vocab(with_added_tokens=True)
+        # tokens that begin with a space or line feed: in plain pieces these are the first tokens, one per piece
+        self.opens = np.zeros(max(vocab.values()) + 1, bool)
+        self.opens[[i for t, i in vocab.items() if t.startswith(blanks)]] = True
+        self.memo = Memo()
 
     def plain(self, text: str) -> bytes:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(self, pieces: list[str]) -> None:
-        """Encodes pieces by the library, many in a call, with a special string between them."""
-        if self.mark is None:
-            self.memo.update((p, self.plain(as_written(p))) for p in pieces)
-            return
-        mark_id = self.lib.token_to_id(self.mark)
+    def learn(self, pieces: list[str]) -> list[bytes] | None:
+        """Encodes pieces by the library, many in one text; None if one of them isn't plain."""
+        if not all(is_plain(p, self.specials) for p in pieces):
+            return None
+        out = []
         for i in range(0, len(pieces), 500):
             part = pieces[i : i + 500]
-            ids = np.array(self.lib.encode(self.mark.join(map(as_written, part)), add_special_tokens=False).ids, "<u4")
-            ends = [*(4 * np.flatnonzero(ids == mark_id)).tolist(), 4 * len(ids)]
-            raw, at = ids.tobytes(), 0
-            for p, end in zip(part, ends, strict=True):
-                self.memo[p] = raw[at:end]
-                at = end + 4
+            ids = np.array(self.lib.encode_batch_fast(["".join(map(as_written, part))], add_special_tokens=False)[0].ids, "<u4")
+            cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
+            if len(cuts) != len(part):
+                raise AssertionError("pieces and their first tokens don't match")
+            raw = ids.tobytes()
+            out += [raw[a:z] for a, z in zip(cuts, [*cuts[1:], len(raw)], strict=True)]
+        return out
+
+    def encode_one(self, text: str) -> bytes:
+        pieces = pieces_of(text)
+        first = pieces.pop(0)
+        if not pieces:
+            return self.plain(first) if first else b""
+        values = list(map(self.memo.young.get, pieces))
+        if None in values and not self.memo.fill(pieces, values, self.learn):
+            return self.plain(text)
+        # the first piece has no space before it
+        return (self.plain(first) if first else b"") + b"".join(values)
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        out, get = [], self.memo.__getitem__
-        for text in texts:
-            first, *rest = pieces_of(text)
-            head = self.plain(first) if first else b""  # no space before it
-            if not rest:
-                out.append(head)
-                continue
-            try:
-                out.append(head + b"".join(map(get, rest)))
-                continue
-            except KeyError:
-                missing = {p for p in rest if p not in self.memo}
-            if not first or _ODD.search(first) or not all(is_plain(p, self.specials) for p in missing) or any(s in text for s in self.specials):
-                out.append(self.plain(text))
-                continue
-            if len(self.memo) + len(missing) > MEMO:
-                self.memo.clear()
-                missing = set(rest)
-            self.learn(list(missing))
-            out.append(head + b"".join(map(get, rest)))
-        return out
+        return list(map(self.encode_one, texts))
 
 
 @lru_cache(maxsize=2)
@@ -146,7 +168,7 @@ class TokenCounter:
                 continue  # a special token, or a fragment of a character: never a pre-token
             if self.merged(text) == 1:
                 self.whole.add(text)
-        self.memo: dict[str, int] = {}
+        self.memo = Memo()
         self.rest: dict[str, int] = {}
 
     def merged(self, pre_token: str) -> int:
@@ -183,7 +205,7 @@ class TokenCounter:
                 continue
             if (n := self.rest.get(p)) is None:
                 n = self.merged(p)
-                if len(self.rest) >= MEMO:
+                if len(self.rest) >= MEMO // 4:
                     self.rest.clear()
                 if len(p) < 200:
                     self.rest[p] = n
@@ -194,21 +216,20 @@ class TokenCounter:
         parts = self.cut.split(text) if self.cut else [text]
         return sum(map(self.count_pre_tokens, parts)) + len(parts) - 1
 
+    def learn(self, pieces: list[str]) -> list[int] | None:
+        if not all(is_plain(p, self.specials) for p in pieces):
+            return None
+        return [self.count_pre_tokens(as_written(p)) for p in pieces]
+
     def count(self, text: str) -> int:
-        first, *rest = pieces_of(text)
-        memo = self.memo
-        try:
-            return (self.count_plain(first) if first or not rest else 0) + sum(map(memo.__getitem__, rest))
-        except KeyError:
-            missing = {p for p in rest if p not in memo}
-        if not first or _ODD.search(first) or not all(is_plain(p, self.specials) for p in missing) or any(s in text for s in self.specials):
+        pieces = pieces_of(text)
+        first = pieces.pop(0)
+        if not pieces:
+            return self.count_plain(first) if first else 0
+        values = list(map(self.memo.young.get, pieces))
+        if None in values and not self.memo.fill(pieces, values, self.learn):
             return self.count_plain(text)
-        if len(memo) + len(missing) > MEMO:
-            memo.clear()
-            missing = set(rest)
-        for p in missing:
-            memo[p] = self.count_pre_tokens(as_written(p))
-        return self.count_plain(first) + sum(map(memo.__getitem__, rest))
+        return (self.count_plain(first) if first else 0) + sum(values)
 
 
 @lru_cache(maxsize=2)

@@ -77,7 +77,9 @@ def within_edits(rows: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
             rest = (lambda s: F.substring(s, F.lit(step + 1), F.char_length(s))) if head else (lambda s: F.left(s, F.char_length(s) - step))
             same = (F.char_length("x") >= step) & (F.char_length("y") >= step) & (cut_(F.col("x")) == cut_(F.col("y")))
             rows = rows.withColumn("same", same).withColumns({"x": F.when(F.col("same"), rest(F.col("x"))).otherwise(F.col("x")), "y": F.when(F.col("same"), rest(F.col("y"))).otherwise(F.col("y"))})
-    rows = rows.withColumns({"xs": F.split("x", ""), "n_x": F.char_length("x"), "n_y": F.char_length("y"), "ys": F.when(F.col("y") == "", F.array().cast("array<string>")).otherwise(F.split("y", ""))})
+    rows = rows.withColumns({"n_x": F.char_length("x"), "n_y": F.char_length("y")})
+    rows = rows.withColumn("open", (F.abs(F.col("n_x") - F.col("n_y")) <= threshold) & (F.greatest("n_x", "n_y") > threshold) & _possible(threshold))
+    rows = rows.withColumns({"xs": F.when(F.col("open"), F.split("x", "")), "ys": F.when(F.col("open"), F.split("y", ""))})
     rows = rows.withColumn("ys", F.transform("ys", lambda c, j: F.struct(c.alias("c"), j.alias("j"))))
     band = (1 << (2 * threshold + 1)) - 1
 
@@ -99,9 +101,29 @@ def within_edits(rows: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
     start = F.struct(*[F.lit(sum(1 << (threshold + i) for i in range(e + 1))).alias(f"r{e}") for e in range(threshold + 1)])
     last = F.aggregate("ys", start, step_, lambda s: s[f"r{threshold}"])
     apart = F.col("n_x") - F.col("n_y")
-    near = F.when(F.abs(apart) > threshold, F.lit(False)).when(F.greatest("n_x", "n_y") <= threshold, F.lit(True))
-    near = near.otherwise(F.call_function("shiftright", last, apart + threshold).bitwiseAND(F.lit(1)) == 1)
-    return rows.withColumn("near", near).drop("x", "y", "same", "xs", "ys", "n_x", "n_y")
+    near = F.when(F.col("open"), F.call_function("shiftright", last, apart + threshold).bitwiseAND(F.lit(1)) == 1)
+    near = near.otherwise(F.greatest("n_x", "n_y") <= threshold)
+    return rows.withColumn("near", near).drop("x", "y", "same", "open", "xs", "ys", "n_x", "n_y")
+
+
+def _possible(threshold: int) -> Column:
+    """Whether the cores x and y, which differ in their first and in their last character, could be within threshold edits.
+
+    One edit lies before the first matched character and one behind the last, so of the stretch of x between its first
+    and last `threshold` characters, cut into threshold - 1 pieces, one piece is free of edits: it stands in y, shifted
+    by threshold at most.
+    """
+    n = F.col("n_x") - 2 * threshold
+    if threshold < 2:
+        return F.lit(False)
+    found = n < threshold - 1
+    for k in range(threshold - 1):
+        start, size = segment_bounds(n, k, threshold - 1)
+        at = start + threshold + 1
+        piece = F.substring(F.col("x"), at, size)
+        for shift in range(-threshold, threshold + 1):
+            found = found | (F.substring(F.col("y"), at + shift, size) == piece)
+    return found
 
 
 def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, least_chars: int) -> tuple[DataFrame, DataFrame]:

@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
-from keelson.llm import exact_dedup, mixing, quality, simhash, token_counts, token_files
+from keelson.llm import exact_dedup, line_dedup, mixing, quality, simhash, token_counts, token_files, warc
 
 
 def queries() -> dict:
     return {
         "op3_quality": quality.op3_quality,
+        "op4_line_dedup": line_dedup.op4_line_dedup,
         "op5_mixing": mixing.op5_mixing,
         "op6_token_files": token_files.op6_token_files,
         "op7_token_counts": token_counts.op7_token_counts,
+        "op8_warc": warc.op8_warc,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_simhash": simhash.op10_simhash,
     }
@@ -19,5 +21,6 @@ def queries() -> dict:
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_mixing": mixing.SQL,
+        "op8_warc": warc.SQL,
         "op9_exact_dedup": exact_dedup.SQL,
     }

@@ -26,13 +26,14 @@ LEAST_WORDS, MOST_REPEATED_PERCENT, WINDOW = 50, 50, 3
 SCALE = 1_000_000
 
 
-def buckets(text: Column, tokens_name: str = "tokens") -> tuple[Column, Column]:
-    """The token array of a text, and from a column of that name the buckets of all its unigrams and bigrams."""
+def with_grams(rows: DataFrame, text: Column) -> DataFrame:
+    """rows with a column grams: the buckets of all unigrams and bigrams of the text. Tokens are hashed once, bigrams from the hashes."""
     tokens = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(rf"[\p{{L}}\p{{N}}]+|[^{BLANKS}\p{{L}}\p{{N}}]+"), F.lit(0))
-    t = F.col(tokens_name)
-    one = F.transform(t, lambda x: F.pmod(F.xxhash64(x), F.lit(BUCKETS)).cast("int"))
-    two = F.transform(F.slice(t, 2, F.greatest(F.size(t) - 1, F.lit(0))), lambda x, i: F.pmod(F.xxhash64(F.get(t, i), x), F.lit(BUCKETS)).cast("int"))
-    return tokens, F.concat(one, two)
+    rows = rows.withColumn("hashes", F.transform(tokens, lambda x: F.xxhash64(x)))
+    h, mask = F.col("hashes"), F.lit(BUCKETS - 1)
+    one = F.transform(h, lambda x: x.bitwiseAND(mask))
+    two = F.transform(F.slice(h, 2, F.greatest(F.size(h) - 1, F.lit(0))), lambda x, i: F.xxhash64(F.get(h, i), x).bitwiseAND(mask))
+    return rows.withColumn("grams", F.concat(one, two)).drop("hashes")
 
 
 def target_ids(labels: DataFrame, id_col: str = "doc_id", good: Column | None = None, rows: int = TARGET_ROWS) -> DataFrame:
@@ -43,9 +44,9 @@ def target_ids(labels: DataFrame, id_col: str = "doc_id", good: Column | None =
 
 def bucket_weights(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> list[int]:
     """Millionths of log(target share / corpus share), add-one smoothed, by bucket; zeros without a target."""
-    tokens, ids = buckets(F.col(text_col))
-    marked = docs.select(F.col(id_col).cast("long").alias("doc_id"), tokens.alias("tokens")).join(F.broadcast(target), F.col("doc_id") == F.col("target_id"), "left")
-    grams = marked.select(F.explode(ids).alias("bucket"), F.when(F.col("target_id").isNotNull(), 1).otherwise(0).alias("t"))
+    texts = with_grams(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), F.col("text")).drop("text")
+    marked = texts.join(F.broadcast(target), F.col("doc_id") == F.col("target_id"), "left")
+    grams = marked.select(F.explode("grams").alias("bucket"), F.when(F.col("target_id").isNotNull(), 1).otherwise(0).alias("t"))
     raw, mine = [0] * BUCKETS, [0] * BUCKETS
     for r in grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("t").alias("t")).collect():  # BUCKETS rows at most
         raw[r["bucket"]], mine[r["bucket"]] = r["n"], r["t"]
@@ -101,10 +102,9 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     """
     weights = bucket_weights(docs, target_ids(labels, id_col, rows=target_rows), id_col, text_col)
     table_ = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")  # folded to a literal
-    tokens, ids = buckets(F.col("text"))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole else []), F.col(text_col).cast("string").alias("text"))
-    rows = base_counts(rows).withColumn("tokens", tokens).withColumn("grams", ids).drop("text", "tokens")
-    total = F.aggregate("grams", F.lit(0).cast("long"), lambda a, b: a + F.get(table_, b))
+    rows = with_grams(base_counts(rows), F.col("text")).drop("text")
+    total = F.aggregate("grams", F.lit(0).cast("long"), lambda a, b: a + F.get(table_, b.cast("int")))
     score = F.coalesce(total / F.nullif(F.size("grams"), F.lit(0)) / F.lit(float(SCALE)), F.lit(0.0))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     # the always true draw keeps a filter on `kept` above these columns: pushed below, it would compute each of them many times

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from keelson.llm import exact_dedup, html_extract, line_dedup, mixing, quality, simhash, token_counts, token_files, warc
+from keelson.llm import exact_dedup, html_extract, line_dedup, mixing, quality, sentence_pieces, simhash, token_counts, token_files, warc
 
 
 def queries() -> dict:
     return {
+        "op1_sentencepiece": sentence_pieces.op1_sentencepiece,
         "op2_html_extract": html_extract.op2_html_extract,
         "op3_quality": quality.op3_quality,
         "op4_line_dedup": line_dedup.op4_line_dedup,

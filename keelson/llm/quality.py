@@ -18,7 +18,7 @@ from keelson.llm.common import BLANKS, table, words
 
 BUCKETS = 1 << 14
 #: A document stays if its mean weight, in nats per n-gram, is at least this.
-THRESHOLD = -0.1
+THRESHOLD = -0.3
 #: At most so many labelled documents make up the target; of more, those with the smallest hash of the id.
 TARGET_ROWS = 20_000
 SYMBOLS = "#*$%&|<>"
@@ -46,10 +46,12 @@ def bucket_weights(docs: DataFrame, target: DataFrame, id_col: str = "doc_id", t
     """Millionths of log(target share / corpus share), add-one smoothed, by bucket; zeros without a target."""
     texts = with_grams(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")), F.col("text")).drop("text")
     marked = texts.join(F.broadcast(target), F.col("doc_id") == F.col("target_id"), "left")
-    grams = marked.select(F.explode("grams").alias("bucket"), F.when(F.col("target_id").isNotNull(), 1).otherwise(0).alias("t"))
+    # outer: a plain explode infers a filter on the array, which pushed down computes it again, inside its own lambdas
+    grams = marked.select(F.explode_outer("grams").alias("bucket"), F.when(F.col("target_id").isNotNull(), 1).otherwise(0).alias("t"))
     raw, mine = [0] * BUCKETS, [0] * BUCKETS
-    for r in grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("t").alias("t")).collect():  # BUCKETS rows at most
-        raw[r["bucket"]], mine[r["bucket"]] = r["n"], r["t"]
+    for r in grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.sum("t").alias("t")).collect():  # BUCKETS + 1 rows at most
+        if r["bucket"] is not None:
+            raw[r["bucket"]], mine[r["bucket"]] = r["n"], r["t"]
     n, m = sum(raw) + BUCKETS, sum(mine) + BUCKETS
     if m == BUCKETS:
         return [0] * BUCKETS
@@ -107,8 +109,9 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     total = F.aggregate("grams", F.lit(0).cast("long"), lambda a, b: a + F.get(table_, b.cast("int")))
     score = F.coalesce(total / F.nullif(F.size("grams"), F.lit(0)) / F.lit(float(SCALE)), F.lit(0.0))
     failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    # the always true draw keeps a filter on `kept` above these columns: pushed below, it would compute each of them many times
-    verdict = ~F.col("base_failed") & (F.col("score") >= threshold) & (F.rand(0) < 2)
+    # a row number is never negative, but as it isn't deterministic it keeps a filter on `kept` above these columns: pushed
+    # below, the filter would hold each of them many times over
+    verdict = ~F.col("base_failed") & (F.col("score") >= threshold) & (F.monotonically_increasing_id() >= 0)
     return rows.withColumn("base_failed", failed).withColumn("score", score).withColumn("kept", verdict).drop("grams")
 
 

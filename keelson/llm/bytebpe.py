@@ -16,7 +16,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 
-MEMO = 800_000
+MEMO = 1_400_000
 _ODD = re.compile(r"\s")
 #: The split pattern of the byte-level vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -39,10 +39,12 @@ def pieces_of(text: str) -> list[str]:
     return text.replace("\n", " \n").split(" ")
 
 
-def is_plain(piece: str, specials: tuple[str, ...]) -> bool:
-    """Whether a piece may stand for itself wherever it occurs: no white space but one line feed before other text."""
-    body = piece[1:] if piece[:1] == "\n" else piece
-    return bool(body) and not _ODD.search(body) and not any(s in body for s in specials)
+def all_plain(pieces: list[str], specials: tuple[str, ...]) -> bool:
+    """Whether each piece may stand for itself wherever it occurs: no white space but one line feed before other text."""
+    if "" in pieces or "\n" in pieces:
+        return False
+    joined = "".join(map(as_written, pieces))
+    return len(_ODD.findall(joined)) == len(pieces) and not any(s in joined for s in specials)
 
 
 def as_written(piece: str) -> str:
@@ -97,7 +99,7 @@ class IdEncoder:
 
     def learn(self, pieces: list[str]) -> list[bytes] | None:
         """Encodes pieces by the library, many in one text; None if one of them isn't plain."""
-        if not all(is_plain(p, self.specials) for p in pieces):
+        if not all_plain(pieces, self.specials):
             return None
         out = []
         for i in range(0, len(pieces), 500):
@@ -217,7 +219,7 @@ class TokenCounter:
         return sum(map(self.count_pre_tokens, parts)) + len(parts) - 1
 
     def learn(self, pieces: list[str]) -> list[int] | None:
-        if not all(is_plain(p, self.specials) for p in pieces):
+        if not all_plain(pieces, self.specials):
             return None
         return [self.count_pre_tokens(as_written(p)) for p in pieces]
 

@@ -4,10 +4,12 @@ Equal lines are grouped by a 128-bit hash. Distinct lines are joined by edit dis
 THRESHOLD + 1 segments, and two lines within THRESHOLD edits share at least one segment, shifted by a bounded offset.
 So a line puts its segments into an index by (length, segment number, content) and probes it with the substrings that
 could be a segment of a line as long as itself or up to THRESHOLD shorter; the offsets worth probing are those for
-which the edits left and right of the segment stay within the threshold together. Candidates are verified by a banded
-bit-parallel edit distance over what remains between common prefix and suffix.
+which the edits left and right of the segment stay within the threshold together. Candidates are verified by a banded bit-parallel
+edit distance.
 
-Only hashes travel in the join; texts are fetched for lines that have a candidate.
+Only hashes travel in the join; texts are fetched for lines that have a candidate. A line's id carries its counts of four
+classes of letters: an edit changes them by two at most, so pairs whose counts are further apart never leave the join.
+This keeps it small where many lines share a passage and differ elsewhere.
 """
 
 from __future__ import annotations
@@ -17,11 +19,13 @@ from pyspark.sql import functions as F
 
 from keelson.llm.common import cut, free_name, row_key, table
 
-THRESHOLD = 2
+THRESHOLD = 1
 #: Shorter lines are left alone: their edits would make up too much of them.
 LEAST_CHARS = 20
 #: Ids of candidate lines up to which they are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Letters that are counted together; which ones matters for speed only.
+CLASSES = ("eE", "aionAION", "trhdTRHD", "slcuSLCU")
 
 
 def segment_bounds(length: Column, i: int, segments: int) -> tuple[Column, Column]:
@@ -63,23 +67,36 @@ def segment_keys(line: Column, threshold: int, least_chars: int) -> Column:
     return F.array(*keys)
 
 
+def line_id(line: Column, h: Column) -> Column:
+    """48 bits of hash and the counts of the four classes modulo 16. Lines that share an id are told apart by their texts."""
+    out = h.bitwiseAND(F.lit(-1 << 16))
+    for k, letters in enumerate(CLASSES):
+        n = F.char_length(line) - F.char_length(F.translate(line, letters, ""))
+        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(15)), 4 * k).cast("bigint"))
+    return out
+
+
+def counts_within(a: Column, b: Column, threshold: int) -> Column:
+    """Whether the class counts of two ids allow for threshold edits."""
+    total = None
+    for k in range(len(CLASSES)):
+        x, y = (F.shiftrightunsigned(c, 4 * k).bitwiseAND(F.lit(15)) for c in (a, b))
+        d = (x - y).bitwiseAND(F.lit(15))
+        d = F.least(d, F.lit(16) - d)
+        total = d if total is None else total + d
+    return total <= 2 * threshold
+
+
 def within_edits(rows: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
     """rows with a column near: whether the strings a and b differ by at most threshold edits.
 
-    Prefix and suffix are trimmed in steps of powers of two. Then one machine word holds the band: after j characters
-    of b, bit k of the word for e errors tells if the first j + k - threshold characters of a are within e edits of
-    them. A character shifts the diagonals' words by match, substitution, insertion and deletion at once.
+    One machine word holds the band: after j characters of b, bit k of the word for e errors tells if the first
+    j + k - threshold characters of a are within e edits of them. A character shifts the diagonals' words by match,
+    substitution, insertion and deletion at once.
     """
-    rows = rows.withColumns({"x": F.col(a), "y": F.col(b)})
-    for step in [1 << k for k in range(14, -1, -1)]:
-        for head in (True, False):
-            cut_ = (lambda s: F.left(s, F.lit(step))) if head else (lambda s: F.right(s, F.lit(step)))
-            rest = (lambda s: F.substring(s, F.lit(step + 1), F.char_length(s))) if head else (lambda s: F.left(s, F.char_length(s) - step))
-            same = (F.char_length("x") >= step) & (F.char_length("y") >= step) & (cut_(F.col("x")) == cut_(F.col("y")))
-            rows = rows.withColumn("same", same).withColumns({"x": F.when(F.col("same"), rest(F.col("x"))).otherwise(F.col("x")), "y": F.when(F.col("same"), rest(F.col("y"))).otherwise(F.col("y"))})
-    rows = rows.withColumns({"n_x": F.char_length("x"), "n_y": F.char_length("y")})
-    rows = rows.withColumn("open", (F.abs(F.col("n_x") - F.col("n_y")) <= threshold) & (F.greatest("n_x", "n_y") > threshold) & _possible(threshold))
-    rows = rows.withColumns({"xs": F.when(F.col("open"), F.split("x", "")), "ys": F.when(F.col("open"), F.split("y", ""))})
+    rows = rows.withColumns({"n_x": F.char_length(a), "n_y": F.char_length(b)})
+    rows = rows.withColumn("open", (F.abs(F.col("n_x") - F.col("n_y")) <= threshold) & (F.greatest("n_x", "n_y") > threshold) & (F.col("n_y") > 0))
+    rows = rows.withColumns({"xs": F.when(F.col("open"), F.split(a, "")), "ys": F.when(F.col("open"), F.split(b, ""))})
     rows = rows.withColumn("ys", F.transform("ys", lambda c, j: F.struct(c.alias("c"), j.alias("j"))))
     band = (1 << (2 * threshold + 1)) - 1
 
@@ -96,34 +113,15 @@ def within_edits(rows: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
                 below = state[f"r{e - 1}"]
                 w = w.bitwiseOR(below).bitwiseOR(F.shiftright(below, 1)).bitwiseOR(F.shiftleft(words[-1], 1)).bitwiseAND(F.lit(band))
             words.append(w)
-        return F.struct(*[w.alias(f"r{e}") for e, w in enumerate(words)])
+        after = F.struct(*[w.alias(f"r{e}") for e, w in enumerate(words)])
+        return F.when(state[f"r{threshold}"] == 0, state).otherwise(after)  # an empty band stays empty
 
     start = F.struct(*[F.lit(sum(1 << (threshold + i) for i in range(e + 1))).alias(f"r{e}") for e in range(threshold + 1)])
     last = F.aggregate("ys", start, step_, lambda s: s[f"r{threshold}"])
-    apart = F.col("n_x") - F.col("n_y")
-    near = F.when(F.col("open"), F.call_function("shiftright", last, apart + threshold).bitwiseAND(F.lit(1)) == 1)
+    end = F.col("n_x") - F.col("n_y") + threshold
+    near = F.when(F.col("open"), F.call_function("shiftright", last, end).bitwiseAND(F.lit(1)) == 1)
     near = near.otherwise(F.greatest("n_x", "n_y") <= threshold)
-    return rows.withColumn("near", near).drop("x", "y", "same", "open", "xs", "ys", "n_x", "n_y")
-
-
-def _possible(threshold: int) -> Column:
-    """Whether the cores x and y, which differ in their first and in their last character, could be within threshold edits.
-
-    One edit lies before the first matched character and one behind the last, so of the stretch of x between its first
-    and last `threshold` characters, cut into threshold - 1 pieces, one piece is free of edits: it stands in y, shifted
-    by threshold at most.
-    """
-    n = F.col("n_x") - 2 * threshold
-    if threshold < 2:
-        return F.lit(False)
-    found = n < threshold - 1
-    for k in range(threshold - 1):
-        start, size = segment_bounds(n, k, threshold - 1)
-        at = start + threshold + 1
-        piece = F.substring(F.col("x"), at, size)
-        for shift in range(-threshold, threshold + 1):
-            found = found | (F.substring(F.col("y"), at + shift, size) == piece)
-    return found
+    return rows.withColumn("near", near).drop("open", "xs", "ys", "n_x", "n_y")
 
 
 def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, least_chars: int) -> tuple[DataFrame, DataFrame]:
@@ -132,20 +130,21 @@ def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, lea
     rows = rows.where(F.char_length("line") >= least_chars).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "line_no")
     firsts = cut(rows.groupBy("h1", "h2").agg(F.min(place).alias("place")))
-    keyed = rows.withColumn("keys", segment_keys(F.col("line"), threshold, least_chars)).groupBy("h1", "h2").agg(F.first("keys").alias("keys"))
-    segments = keyed.select("h1", F.posexplode("keys").alias("n", "key")).where("key is not null")
-    index = segments.where(F.col("n") <= threshold).select("key", F.col("h1").alias("i1"))
-    probes = segments.where(F.col("n") > threshold).select("key", F.col("h1").alias("p1"))
-    pairs = probes.join(index, "key").where("p1 <> i1").select(F.least("p1", "i1").alias("a1"), F.greatest("p1", "i1").alias("b1")).distinct()
-    pairs = cut(pairs)
-    ids = cut(pairs.select(F.col("a1").alias("h1")).union(pairs.select("b1")).distinct())
+    keyed = rows.select("h1", "h2", line_id(F.col("line"), F.col("h1")).alias("id"), segment_keys(F.col("line"), threshold, least_chars).alias("keys"))
+    keyed = keyed.groupBy("h1", "h2").agg(F.first("id").alias("id"), F.first("keys").alias("keys"))
+    segments = keyed.select("id", F.posexplode("keys").alias("n", "key")).where("key is not null")
+    index = segments.where(F.col("n") <= threshold).select("key", F.col("id").alias("i"))
+    probes = segments.where(F.col("n") > threshold).select("key", F.col("id").alias("p"))
+    pairs = probes.join(index, (probes["key"] == index["key"]) & (F.col("p") != F.col("i")) & counts_within(F.col("p"), F.col("i"), threshold))
+    pairs = cut(pairs.select(F.least("p", "i").alias("a_id"), F.greatest("p", "i").alias("b_id")).distinct())
+    ids = cut(pairs.select(F.col("a_id").alias("id")).union(pairs.select("b_id")).distinct())
     chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = rows.join(chosen, "h1", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"), F.min(place).alias("place"))
-    a = texts.select(F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("a"), F.col("place").alias("a_place"))
-    b = texts.select(F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("b"), F.col("place").alias("b_place"))
-    verified = within_edits(pairs.join(a, "a1").join(b, "b1"), "a", "b", threshold)
+    texts = rows.withColumn("id", line_id(F.col("line"), F.col("h1"))).join(chosen, "id", "left_semi").groupBy("id", "h1", "h2").agg(F.first("line").alias("line"), F.min(place).alias("place"))
+    a = texts.select(F.col("id").alias("a_id"), F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("a"), F.col("place").alias("a_place"))
+    b = texts.select(F.col("id").alias("b_id"), F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("b"), F.col("place").alias("b_place"))
+    verified = within_edits(pairs.join(a, "a_id").join(b, "b_id"), "a", "b", threshold)
     later = F.when(F.col("a_place") > F.col("b_place"), F.struct(F.col("a1").alias("h1"), F.col("a2").alias("h2"))).otherwise(F.struct(F.col("b1").alias("h1"), F.col("b2").alias("h2")))
-    # cut first: a filter pushed below the trimming steps would repeat them in itself without end
+    # cut first: a filter pushed below these columns would hold each of them many times over
     near = cut(verified.select("near", later.alias("later"))).where("near").select("later.*").distinct()
     return firsts, near
 

@@ -90,12 +90,16 @@ class PieceModel:
         self.raw = [bytes([int(names[i][3:5], 16)]) if sp.is_byte(i) else b"" if sp.is_control(i) else " ⁇ ".encode() if sp.is_unknown(i) else names[i].replace(SPACE, " ").encode("utf-8") for i in range(n)]
         self.longest = max(map(len, self.ids))
         codes = [np.array([ord(c) for c in p], np.uint64) for p in self.ids]
-        hashes = np.array([self._hash(c) for c in codes], np.uint64)
+        hashes = self._mixed(np.array([self._hash(c) for c in codes], np.uint64))
         order = np.argsort(hashes)
         self.hashes, self.hash_ids = hashes[order], np.array(list(self.ids.values()), np.int64)[order]
         self.hash_sizes = np.array([len(c) for c in codes], np.int64)[order]
         if (np.diff(self.hashes) == 0).any():
             raise ValueError("two pieces share a hash")
+        self.name_sizes = np.array([len(x) for x in names] + [0])
+        self.name_codes = np.zeros((n + 1, self.longest), np.uint32)
+        for i in plain:
+            self.name_codes[i, : len(names[i])] = [ord(c) for c in names[i]]
         # only pieces that their own merges yield can be part of a result
         alone = np.array([self.merge(names[i]) == [names[i]] for i in self.hash_ids.tolist()])
         self.hashes, self.hash_ids, self.hash_sizes = self.hashes[alone], self.hash_ids[alone], self.hash_sizes[alone]
@@ -117,6 +121,12 @@ class PieceModel:
                 h = h * _BASE + c + np.uint64(1)
         return h
 
+    @staticmethod
+    def _mixed(h: np.ndarray) -> np.ndarray:
+        """Spreads polynomial hashes, which are small for short strings, over all bits; one to one."""
+        with np.errstate(over="ignore"):
+            return (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
     def merge(self, word: str) -> list[str]:
         """The merges themselves: the pair with the best score, the leftmost of equals, until none is a piece."""
         parts: list[str | None] = list(word)
@@ -170,57 +180,66 @@ class PieceModel:
             out[new] = np.array(values, np.int8)[back]
         return out > 0
 
-    def viterbi(self, words: list[str]) -> list[list[int]]:
-        """The pieces of words of one length; a character that is no piece has the id self.other."""
+    def viterbi(self, words: list[str]) -> list[bytes]:
+        """The ids of words of one length, as little-endian 32-bit integers."""
         n, size = len(words), len(words[0])
-        codes = np.array(words, dtype=f"<U{size}").view(np.uint32).reshape(n, size).astype(np.uint64)
-        strange = ~np.isin(codes, self.singles)
+        codes = np.array(words, dtype=f"<U{size}").view(np.uint32).reshape(n, size)
+        wide = codes.astype(np.uint64)
+        strange = ~np.isin(wide, self.singles)
         prefix = np.zeros((size + 1, n), np.uint64)
-        best = np.full((size + 1, n), -1, np.int64)  # where the last piece of the prefix starts: the maximum over valid starts
+        best = np.full((size + 1, n), -1, np.int32)  # the back pointer: the largest valid start of the prefix's last piece
         last = np.full((size + 1, n), -1, np.int64)  # that piece
         best[0] = 0
         with np.errstate(over="ignore"):
             for p in range(1, size + 1):
-                prefix[p] = prefix[p - 1] * _BASE + codes[:, p - 1] + np.uint64(1)
+                prefix[p] = prefix[p - 1] * _BASE + wide[:, p - 1] + np.uint64(1)
                 for q in range(max(0, p - self.longest), p):
-                    h = prefix[p] - prefix[q] * self.powers[p - q]
-                    rows, at = self._find(h)
+                    rows, at = self._find(self._mixed(prefix[p] - prefix[q] * self.powers[p - q]))
+                    if not len(rows):
+                        continue
                     fits = (self.hash_sizes[at] == p - q) & (best[q][rows] >= 0)
                     rows, found = rows[fits], self.hash_ids[at[fits]]
                     if q and len(rows):
                         apart = self._apart(last[q][rows], found)
                         rows, found = rows[apart], found[apart]
-                    better = q >= best[p][rows]
-                    best[p][rows[better]] = q
-                    last[p][rows[better]] = found[better]
+                    best[p][rows], last[p][rows] = q, found  # starts only grow, so what is stored last is the maximum
                 odd = np.flatnonzero(strange[:, p - 1] & (best[p - 1] >= 0))
                 best[p][odd], last[p][odd] = p - 1, self.other
-        out = []
-        starts, pieces = best.T.tolist(), last.T.tolist()
-        for s, t in zip(starts, pieces, strict=True):
-            p, ids = size, []
-            while p > 0:
-                if t[p] < 0:
-                    ids = []
-                    break
-                ids.append(t[p])
-                p = s[p]
-            out.append(ids[::-1])
-        return out
-
-    def _expand(self, word: str, ids: list[int]) -> list[int]:
-        """ids with bytes, or the unknown id, for characters that are no piece; a result that doesn't spell the word is merged anew."""
-        at, out = 0, []
-        for i in ids:
-            if i == self.other:
-                out += self._fallback(word[at])
-                at += 1
+        return self._backtrack(words, codes, best, last)
+
+    def _backtrack(self, words: list[str], codes: np.ndarray, best: np.ndarray, last: np.ndarray) -> list[bytes]:
+        """Follows the back pointers of all words at once; words with strange characters, or not spelled by their pieces, one by one."""
+        n, size = codes.shape
+        every = np.arange(n)
+        at, columns, starts = np.full(n, size), [], []
+        while at.any():
+            live = at > 0
+            piece = np.where(live, last[at, every], -1)
+            start = np.where(live & (piece >= 0), best[at, every], 0)
+            columns.append(np.where(live & (piece < 0), self.other, piece))
+            starts.append(start)
+            at = start
+        ids, begin = np.stack(columns[::-1], axis=1), np.stack(starts[::-1], axis=1)
+        plain = ~(ids == self.other).any(axis=1)
+        rows, k = np.nonzero((ids >= 0) & (ids != self.other))
+        piece, begin = ids[rows, k], begin[rows, k]
+        sizes = self.name_sizes[piece]
+        for j in range(min(self.longest, size)):
+            more = np.flatnonzero(sizes > j)
+            wrong = codes[rows[more], np.minimum(begin[more] + j, size - 1)] != self.name_codes[piece[more], j]
+            plain[rows[more[wrong]]] = False
+        flat = ids[plain]
+        raw = flat[flat >= 0].astype("<u4").tobytes()
+        ends = np.zeros(n, np.int64)
+        ends[plain] = 4 * np.cumsum((flat >= 0).sum(axis=1))
+        out, before = [], 0
+        for w, good, end in zip(words, plain.tolist(), ends.tolist(), strict=True):
+            if good:
+                out.append(raw[before:end])
+                before = end
             else:
-                if not word.startswith(self.names[i], at):
-                    return self._merged(word)
-                out.append(i)
-                at += len(self.names[i])
-        return out if at == len(word) else self._merged(word)
+                out.append(np.array(self._merged(w), "<u4").tobytes())
+        return out
 
     def _fallback(self, c: str) -> list[int]:
         return [self.byte_ids[b] for b in c.encode("utf-8")] if self.byte_ids else [self.unknown]
@@ -244,7 +263,7 @@ class PieceModel:
             for k in range(0, len(rows) if size else 0, 20_000):
                 part = rows[k : k + 20_000]
                 for i, ids in zip(part, self.viterbi([words[i] for i in part]), strict=True):
-                    out[i] = np.array(self._expand(words[i], ids), "<u4").tobytes()
+                    out[i] = ids
         return out
 
     def _learn(self, pieces: list[str]) -> list[bytes]:

@@ -7,8 +7,8 @@ could be a segment of a line as long as itself or up to THRESHOLD shorter; the o
 which the edits left and right of the segment stay within the threshold together. Candidates are verified by a banded bit-parallel
 edit distance.
 
-Only hashes travel in the join; texts are fetched for lines that have a candidate. A line's id carries its counts of four
-classes of letters: an edit changes them by two at most, so pairs whose counts are further apart never leave the join.
+Only hashes travel in the join; texts are fetched for lines that have a candidate. A line's id carries its counts of six
+letters: an edit changes them by two in all at most, so pairs whose counts are further apart never leave the join.
 This keeps it small where many lines share a passage and differ elsewhere.
 """
 
@@ -24,8 +24,8 @@ THRESHOLD = 1
 LEAST_CHARS = 20
 #: Ids of candidate lines up to which they are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
-#: Letters that are counted together; which ones matters for speed only.
-CLASSES = ("eE", "aionAION", "trhdTRHD", "slcuSLCU")
+#: Letters that are counted; which ones matters for speed only.
+LETTERS = "enirta"
 
 
 def segment_bounds(length: Column, i: int, segments: int) -> tuple[Column, Column]:
@@ -68,18 +68,18 @@ def segment_keys(line: Column, threshold: int, least_chars: int) -> Column:
 
 
 def line_id(line: Column, h: Column) -> Column:
-    """48 bits of hash and the counts of the four classes modulo 16. Lines that share an id are told apart by their texts."""
-    out = h.bitwiseAND(F.lit(-1 << 16))
-    for k, letters in enumerate(CLASSES):
-        n = F.char_length(line) - F.char_length(F.translate(line, letters, ""))
-        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(15)), 4 * k).cast("bigint"))
+    """40 bits of hash and the counts of six letters modulo 16. Lines that share an id are told apart by their texts."""
+    out = h.bitwiseAND(F.lit(-1 << 24))
+    for k, letter in enumerate(LETTERS):
+        n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+        out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(15)).cast("bigint"), 4 * k))
     return out
 
 
 def counts_within(a: Column, b: Column, threshold: int) -> Column:
-    """Whether the class counts of two ids allow for threshold edits."""
+    """Whether the letter counts of two ids allow for threshold edits."""
     total = None
-    for k in range(len(CLASSES)):
+    for k in range(len(LETTERS)):
         x, y = (F.shiftrightunsigned(c, 4 * k).bitwiseAND(F.lit(15)) for c in (a, b))
         d = (x - y).bitwiseAND(F.lit(15))
         d = F.least(d, F.lit(16) - d)
@@ -137,9 +137,11 @@ def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, lea
     probes = segments.where(F.col("n") > threshold).select("key", F.col("id").alias("p"))
     pairs = probes.join(index, (probes["key"] == index["key"]) & (F.col("p") != F.col("i")) & counts_within(F.col("p"), F.col("i"), threshold))
     pairs = cut(pairs.select(F.least("p", "i").alias("a_id"), F.greatest("p", "i").alias("b_id")).distinct())
-    ids = cut(pairs.select(F.col("a_id").alias("id")).union(pairs.select("b_id")).distinct())
+    # lines are chosen by the hash bits of their ids; letters are counted only for those
+    ids = cut(pairs.select(F.col("a_id").alias("id")).union(pairs.select("b_id")).select(F.shiftright("id", 24).alias("hash")).distinct())
     chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = rows.withColumn("id", line_id(F.col("line"), F.col("h1"))).join(chosen, "id", "left_semi").groupBy("id", "h1", "h2").agg(F.first("line").alias("line"), F.min(place).alias("place"))
+    texts = rows.withColumn("hash", F.shiftright("h1", 24)).join(chosen, "hash", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"), F.min(place).alias("place"))
+    texts = texts.withColumn("id", line_id(F.col("line"), F.col("h1")))
     a = texts.select(F.col("id").alias("a_id"), F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("a"), F.col("place").alias("a_place"))
     b = texts.select(F.col("id").alias("b_id"), F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("b"), F.col("place").alias("b_place"))
     verified = within_edits(pairs.join(a, "a_id").join(b, "b_id"), "a", "b", threshold)

@@ -160,14 +160,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     stays null. Rows that are equal in all columns are one document and keep the same lines. report adds n_lines,
     n_kept, n_repeated (equal to an earlier line) and n_near (only near one) in front of a struct `row`.
     """
-    key, kept = free_name(docs, "row_key"), free_name(docs, "kept_lines")
+    key, kept, k_key, k_id, k_near = (free_name(docs, x) for x in ("row_key", "kept_lines", "k_key", "k_id", "k_near"))
     firsts, near = first_lines(docs, id_col, text_col, threshold, least_chars)
     marked = firsts.join(near.withColumn("is_near", F.lit(True)), ["h1", "h2"], "left")
-    by_doc = marked.groupBy(F.col("place.row_key").alias("k_key"), F.col("place.doc_id").alias("k_id")).agg(
-        F.collect_list(F.when(F.col("is_near").isNull(), F.col("place.line_no"))).alias(kept), F.count("is_near").alias("n_near")
+    by_doc = marked.groupBy(F.col("place.row_key").alias(k_key), F.col("place.doc_id").alias(k_id)).agg(
+        F.collect_list(F.when(F.col("is_near").isNull(), F.col("place.line_no"))).alias(kept), F.count("is_near").alias(k_near)
     )
     keyed = docs.withColumn(key, row_key(docs))
-    joined = keyed.join(by_doc, (F.col(key) == F.col("k_key")) & F.col(id_col).cast("long").eqNullSafe(F.col("k_id")), "left")
+    joined = keyed.join(by_doc, (F.col(key) == F.col(k_key)) & F.col(id_col).cast("long").eqNullSafe(F.col(k_id)), "left")
     lines = free_name(docs, "lines")
     joined = joined.withColumn(lines, F.split(text_col, "\n"))
     short = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.char_length(F.get(F.col(lines), i)) < least_chars)
@@ -178,7 +178,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         n = F.when(F.col(text_col).isNotNull(), F.size(lines)).otherwise(0).cast("long")
         n_kept = F.coalesce(F.size(stay), F.lit(0)).cast("long")
         n_kept = F.when(F.col(text_col).isNotNull(), n_kept).otherwise(F.lit(0).cast("long"))
-        n_near = F.coalesce(F.col("n_near"), F.lit(0)).cast("long")
+        n_near = F.coalesce(F.col(k_near), F.lit(0)).cast("long")
         row = F.struct(*[(text if c == text_col else F.col(f"`{c}`")).alias(c) for c in docs.columns])
         return joined.select(n.alias("n_lines"), n_kept.alias("n_kept"), (n - n_kept - n_near).alias("n_repeated"), n_near.alias("n_near"), row.alias("row"))
     return joined.select(*[(text if c == text_col else F.col(f"`{c}`")).alias(c) for c in docs.columns])

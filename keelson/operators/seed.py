@@ -110,3 +110,39 @@ def seed(spark: SparkSession, root: str, plan: dict[str, int], batch: int = 200_
             progress(t, added[t], plan[t])
         counts[t] = start + added[t]
     return added
+
+
+# --- demonstration tables and the changes to watch
+
+
+def demo_orders(spark: SparkSession, rows: int = 200_000, now: str = BASE) -> DataFrame:
+    i = F.col("OrderId")
+    at = F.lit(now).cast("timestamp_ntz") - F.make_dt_interval(mins=i.cast("int"))
+    amount = ((i % 100_000).cast("decimal(18,6)") / F.lit(7).cast("decimal(1,0)")).cast("decimal(18,2)")
+    status = pick(i, ("new", "paid", "shipped", "cancelled"))
+    return spark.range(1, rows + 1).select(F.col("id").alias("OrderId")).select(
+        i, (i % 5000).cast("int").alias("CustomerId"), status.alias("Status"), amount.alias("Amount"), F.lit("INR").alias("Currency"), (i % 4).isin(1, 2).alias("IsPaid"), at.alias("CreatedAt"),
+        (at - F.make_dt_interval(mins=F.lit(330))).alias("UpdatedAtTz"), F.lit(None).cast("string").alias("Notes"),
+    )
+
+
+def demo_lines(spark: SparkSession, orders: int = 50_000) -> DataFrame:
+    o, n = F.col("OrderId"), F.col("LineNo")
+    base = spark.range(1, orders + 1).select(F.col("id").alias("OrderId"), F.explode(F.array(*[F.lit(k).cast("smallint") for k in (1, 2, 3)])).alias("LineNo"))
+    return base.select(o, n, F.concat_ws("-", F.lit("SKU"), o % 997, n).alias("Sku"), (1 + o % 5).cast("int").alias("Qty"), F.lit("99.50").cast("decimal(19,4)").alias("Price"))
+
+
+def demo_changes(orders: DataFrame, lines: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both tables after refunds, deletes, inserts and a new column; which rows are taken is fixed by key order."""
+    spark = orders.sparkSession
+    first = lambda df, where, n, *key: df.where(where).orderBy(*key).limit(n).select(*key)  # noqa: E731 - a demonstration's TOP (n)
+    refunded = first(orders, "Status = 'paid'", 500, "OrderId").withColumn("r", F.lit(True))
+    gone = first(orders, "Status = 'cancelled' AND OrderId > 50000", 100, "OrderId")
+    top = orders.agg(F.max("OrderId")).first()[0]
+    new = spark.createDataFrame([(top + 1, 42, "new", 10), (top + 2, 43, "new", 20)], "OrderId long, CustomerId int, Status string, a int")
+    new = new.withColumn("Amount", F.col("a").cast("decimal(18,2)")).withColumns({"Currency": F.lit("INR"), "IsPaid": F.lit(False)}).drop("a")
+    after = orders.join(refunded, "OrderId", "left").join(gone, "OrderId", "left_anti")
+    after = after.withColumns({"Status": F.when(F.col("r"), "refunded").otherwise(F.col("Status")), "Amount": F.when(F.col("r"), -F.col("Amount")).otherwise(F.col("Amount")).cast("decimal(18,2)")}).drop("r")
+    after = after.unionByName(new, allowMissingColumns=True)
+    mobile = first(after, "Status = 'new'", 50, "OrderId").withColumn("Channel", F.lit("mobile"))
+    return after.join(mobile, "OrderId", "left"), lines.join(first(lines, "LineNo = 3", 100, "OrderId", "LineNo"), ["OrderId", "LineNo"], "left_anti")

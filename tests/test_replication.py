@@ -163,6 +163,14 @@ def test_seed_and_validate(spark, tmp_path):
     assert not bad["row_count"] and not bad["hash_buckets"] and bad["pk_bounds"]
 
 
+def test_demo(spark):
+    from keelson.operators.seed import demo_changes, demo_lines, demo_orders
+
+    orders, lines = demo_orders(spark, 60_000), demo_lines(spark, 1000)
+    o, n = demo_changes(orders, lines)
+    assert n.count() == 2900 and o.count() == 60_000 - 100 + 2 and o.where("Status = 'refunded' AND Amount <= 0").count() == 500 and o.where("Channel = 'mobile'").count() == 50
+
+
 def test_jobs(spark, tmp_path):
     from keelson.jobs import Conflict, JobManager, NotFound, health, start_seed
 

@@ -55,13 +55,20 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epoc
 
 
 def position_of(demand: Column, schedule) -> Column:
-    """The time at which a source with this schedule has given the share `demand` of its target."""
-    total, done, out, n = sum(schedule), 0.0, None, len(schedule)
+    """The time in [0, 1) at which a source with this schedule has given the share `demand` of its target.
+
+    In phase i of n the cumulative demand rises at a constant rate from the weights before it; inside, time is linear in it.
+    """
+    n, total, given = len(schedule), sum(schedule), 0.0
+    phases = []
     for i, w in enumerate(schedule):
-        at = F.lit(i / n) + (demand - F.lit(done)) * F.lit(total / w / n) if w else F.lit((i + 1) / n)
-        done += w / total
-        out = F.when(demand < F.lit(done), at) if out is None else out.when(demand < F.lit(done), at) if i < n - 1 else out.otherwise(F.least(at, F.lit(1.0 - 2.0**-53)))
-    return out if n > 1 else F.least(demand, F.lit(1.0 - 2.0**-53))
+        if w:
+            phases.append((given + w / total, F.lit(i / n) + (demand - F.lit(given)) * F.lit(total / w / n)))
+        given += w / total
+    out = phases[-1][1]
+    for end, at in reversed(phases[:-1]):
+        out = F.when(demand < F.lit(end), at).otherwise(out)
+    return F.least(out, F.lit(1.0 - 2.0**-53))
 
 
 def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, schedules=SCHEDULES, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:

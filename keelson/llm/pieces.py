@@ -10,7 +10,7 @@ running the merges) gives the transitions, and maxima over the starts keep the b
 
 from __future__ import annotations
 
-import zlib
+import re
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
@@ -303,8 +303,6 @@ class PieceModel:
 
     def words(self, text: str) -> list[str]:
         """The normalised text cut before each run of spaces."""
-        import re
-
         return re.findall(f"{SPACE}*[^{SPACE}]+|{SPACE}+", self.sp.Normalize(text)) if text else []
 
     def decode(self, ids: bytes) -> str:
@@ -316,7 +314,3 @@ class PieceModel:
 @lru_cache(maxsize=2)
 def piece_model(path: str) -> PieceModel:
     return PieceModel(path)
-
-
-def crc32(ids: bytes) -> int:
-    return zlib.crc32(ids)

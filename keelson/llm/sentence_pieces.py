@@ -10,6 +10,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from keelson.llm.common import free_name, table
 from keelson.llm.pieces import SPACE, default_path, piece_model
@@ -64,11 +65,7 @@ def encode_texts(docs: DataFrame, text_col: str = "text", path: str | None = Non
     The names get underscores where docs has them. A null text counts as empty and has no ids. Rows are independent.
     """
     text, n, ids = free_name(docs, "text_"), free_name(docs, "n_tokens"), free_name(docs, "ids")
-    schema = docs.schema
-    from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
-
-    out = StructType([*schema.fields, StructField("n_tokens", LongType()), StructField("ids", ArrayType(IntegerType()))])
-    out = StructType([*schema.fields, StructField(n, LongType()), StructField(ids, ArrayType(IntegerType()))])
+    out = StructType([*docs.schema.fields, StructField(n, LongType()), StructField(ids, ArrayType(IntegerType()))])
     rows = docs.select(F.col(text_col).cast("string").alias(text), *[F.col(f"`{c}`") for c in docs.columns])
 
     def renamed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -80,8 +77,6 @@ def encode_texts(docs: DataFrame, text_col: str = "text", path: str | None = Non
 
 def decode_ids(rows: DataFrame, ids_col: str = "ids", text_name: str = "text", path: str | None = None) -> DataFrame:
     """rows with the text that the ids spell in a column text_name; null ids give null."""
-    from pyspark.sql.types import StringType, StructField, StructType
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path or default_path())
         for b in batches:

@@ -1,4 +1,4 @@
-"""Reconciliation of a source with its target. The reference only names these checks; what they do is defined here."""
+"""Reconciliation of a source with its target: counts, key bounds, aggregates, hash buckets, a sample."""
 
 from __future__ import annotations
 

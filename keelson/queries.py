@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions import typemap
-from keelson.functions.keys import keyset_after, shard_owner_column
+from keelson.functions.keys import keyset_after, shard_owner, shard_owner_column
 from keelson.operators import changes as ch
 from keelson.operators import metrics, validate
 from keelson.operators.seed import make
@@ -391,6 +391,8 @@ def oracle_sql() -> dict[str, str]:
         "phase_heartbeat": "SELECT ['new', 'snapshot', 'cdc', 'resync'][c_custkey % 4 + 1] AS phase, count(*) AS tables, count(*) FILTER (c_custkey % 9 = 0) AS errors, sum(c_custkey)::BIGINT AS rows FROM customer GROUP BY 1",
         "values_cross_join": "SELECT p_partkey, n::BIGINT AS line_no, 'SKU-' || p_partkey || '-' || n AS sku FROM part CROSS JOIN (VALUES (1), (2), (3)) v(n)",
         "anti_join_report": "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
+        # there is no crc32 in the SQL engine: the owners are those of zlib
+        "shard_assignment": "SELECT n_name, CASE n_name " + " ".join(f"WHEN 'NATION_{i}' THEN {shard_owner(f'dbo.NATION_{i}', 3)}" for i in range(25)) + " END AS shard FROM nation",
         "compaction": "SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 7 = 0 THEN o_orderkey + 1001 ELSE 1000 END AS _version, (o_orderkey % 11 = 0)::BIGINT AS _is_deleted FROM orders",
         "table_statistics": """SELECT o_orderstatus, count(*) AS orders, coalesce(sum(lines), 0)::BIGINT AS lines, coalesce(sum(returned), 0)::BIGINT AS returned FROM orders
             LEFT JOIN (SELECT l_orderkey, count(*) AS lines, count(*) FILTER (l_returnflag = 'R') AS returned FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey GROUP BY 1""",

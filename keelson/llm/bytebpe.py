@@ -16,7 +16,7 @@ from heapq import heapify, heappop, heappush
 
 import numpy as np
 
-MEMO = 1_400_000
+MEMO = 2_000_000
 _ODD = re.compile(r"\s")
 #: The split pattern of the byte-level vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -57,26 +57,28 @@ class Memo:
     def __init__(self, limit: int = MEMO):
         self.limit, self.young, self.old = limit // 2, {}, {}
 
-    def fill(self, pieces: list[str], values: list, learn) -> bool:
-        """Puts a value wherever values has None. learn(new pieces) returns their values, or None if one can't be learnt: then False is returned."""
-        missing = {p for p, v in zip(pieces, values, strict=True) if v is None}
-        old = self.old
+    def look_up(self, pieces: list[str], learn) -> list | None:
+        """The pieces' values. learn(new pieces) gives those of new ones, or None if one of them can't be learnt: then the result is None."""
+        values = list(map(self.young.get, pieces))
+        holes = [i for i, v in enumerate(values) if v is None]
+        if not holes:
+            return values
+        missing, old = {pieces[i] for i in holes}, self.old
         new = [p for p in missing if p not in old]
         learnt = learn(new) if new else []
         if learnt is None:
-            return False
+            return None
         found = dict(zip(new, learnt, strict=True))
         for p in missing:
             if p not in found:
                 found[p] = old[p]
-        for i, v in enumerate(values):
-            if v is None:
-                values[i] = found[pieces[i]]
+        for i in holes:
+            values[i] = found[pieces[i]]
         if len(self.young) + len(found) > self.limit:
             self.young, self.old = {}, self.young
         if len(found) <= self.limit:
             self.young.update(found)
-        return True
+        return values
 
 
 class IdEncoder:
@@ -117,8 +119,8 @@ class IdEncoder:
         first = pieces.pop(0)
         if not pieces:
             return self.plain(first) if first else b""
-        values = list(map(self.memo.young.get, pieces))
-        if None in values and not self.memo.fill(pieces, values, self.learn):
+        values = self.memo.look_up(pieces, self.learn)
+        if values is None:
             return self.plain(text)
         # the first piece has no space before it
         return (self.plain(first) if first else b"") + b"".join(values)
@@ -228,8 +230,8 @@ class TokenCounter:
         first = pieces.pop(0)
         if not pieces:
             return self.count_plain(first) if first else 0
-        values = list(map(self.memo.young.get, pieces))
-        if None in values and not self.memo.fill(pieces, values, self.learn):
+        values = self.memo.look_up(pieces, self.learn)
+        if values is None:
             return self.count_plain(text)
         return (self.count_plain(first) if first else 0) + sum(values)
 

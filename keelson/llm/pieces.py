@@ -277,9 +277,7 @@ class PieceModel:
             # "\n" is no piece, so a word ends before it and what follows stands without a space
             cut.append(pieces_of(t) if t else None)
         flat = [p for pieces in cut if pieces for p in pieces]
-        values = list(map(self.memo.young.get, flat))
-        if None in values:
-            self.memo.fill(flat, values, self._learn)
+        values = self.memo.look_up(flat, self._learn)
         out, at = [], 0
         for t, pieces in zip(texts, cut, strict=True):
             if pieces:

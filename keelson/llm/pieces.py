@@ -21,6 +21,8 @@ from keelson.llm.bytebpe import Memo, pieces_of
 SPACE = "▁"
 #: Longer words are merged one by one.
 LONGEST = 200
+#: Words remembered by a worker. It stays alive when other stages run, so what it holds counts against them.
+MEMO = 400_000
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -110,7 +112,7 @@ class PieceModel:
         self.radix = np.searchsorted(self.hashes, np.arange(1 << 16, dtype=np.uint64) << np.uint64(48)).astype(np.int32)
         self.radix = np.append(self.radix, np.int32(len(self.hashes)))
         self.pairs = PairTable()
-        self.memo = Memo()
+        self.memo = Memo(MEMO)
         self.newline_known = "\n" in self.ids
 
     @staticmethod

@@ -16,7 +16,7 @@ from keelson.llm.common import free_name, table
 from keelson.llm.pieces import SPACE, default_path, piece_model
 
 #: Characters of text that are segmented together.
-SLICE_CHARS = 4_000_000
+SLICE_CHARS = 2_000_000
 
 
 def _slices(texts: list[str]) -> Iterator[list[str]]:

@@ -7,7 +7,7 @@ could be a segment of a line as long as itself or up to THRESHOLD shorter; the o
 which the edits left and right of the segment stay within the threshold together. Candidates are verified by a banded bit-parallel
 edit distance.
 
-Only hashes travel in the join; texts are fetched for lines that have a candidate. A line's id carries its counts of six
+Only hashes travel in the join; texts are fetched for lines that have a candidate. A line's id carries its counts of eight
 letters: an edit changes them by two in all at most, so pairs whose counts are further apart never leave the join.
 This keeps it small where many lines share a passage and differ elsewhere.
 """
@@ -19,13 +19,13 @@ from pyspark.sql import functions as F
 
 from keelson.llm.common import cut, free_name, row_key, table
 
-THRESHOLD = 1
+THRESHOLD = 2
 #: Shorter lines are left alone: their edits would make up too much of them.
 LEAST_CHARS = 20
 #: Ids of candidate lines up to which they are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
 #: Letters that are counted; which ones matters for speed only.
-LETTERS = "enirta"
+LETTERS = "enirtaso"
 
 
 def segment_bounds(length: Column, i: int, segments: int) -> tuple[Column, Column]:
@@ -41,13 +41,14 @@ def probe_plan(threshold: int) -> list[tuple[int, int, int]]:
     """(how much shorter the indexed line is, its segment, offset of the substring from the segment's start).
 
     If segment i (from 0) is the first without edits on a best alignment, at most i edits lie before it and at most
-    threshold - i behind it; the offset is bounded by both views.
+    threshold - i behind it; the offset is bounded by both views. The probe for lines of the same length without offset is
+    the line's own segment, which stands in the index already.
     """
     out = []
     for shorter in range(threshold + 1):
         for i in range(threshold + 1):
             low, high = max(-i, shorter - (threshold - i)), min(i, shorter + (threshold - i))
-            out += [(shorter, i, offset) for offset in range(low, high + 1)]
+            out += [(shorter, i, offset) for offset in range(low, high + 1) if shorter or offset]
     return out
 
 
@@ -68,8 +69,8 @@ def segment_keys(line: Column, threshold: int, least_chars: int) -> Column:
 
 
 def line_id(line: Column, h: Column) -> Column:
-    """40 bits of hash and the counts of six letters modulo 16. Lines that share an id are told apart by their texts."""
-    out = h.bitwiseAND(F.lit(-1 << 24))
+    """32 bits of hash and the counts of eight letters modulo 16. Lines that share an id are told apart by their texts."""
+    out = h.bitwiseAND(F.lit(-1 << 4 * len(LETTERS)))
     for k, letter in enumerate(LETTERS):
         n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
         out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(15)).cast("bigint"), 4 * k))
@@ -90,13 +91,21 @@ def counts_within(a: Column, b: Column, threshold: int) -> Column:
 def within_edits(rows: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
     """rows with a column near: whether the strings a and b differ by at most threshold edits.
 
-    One machine word holds the band: after j characters of b, bit k of the word for e errors tells if the first
+    Common prefix and suffix are trimmed in steps of powers of two; cores that can't be within threshold are left out. For
+    the others one machine word holds the band: after j characters of b, bit k of the word for e errors tells if the first
     j + k - threshold characters of a are within e edits of them. A character shifts the diagonals' words by match,
     substitution, insertion and deletion at once.
     """
-    rows = rows.withColumns({"n_x": F.char_length(a), "n_y": F.char_length(b)})
-    rows = rows.withColumn("open", (F.abs(F.col("n_x") - F.col("n_y")) <= threshold) & (F.greatest("n_x", "n_y") > threshold) & (F.col("n_y") > 0))
-    rows = rows.withColumns({"xs": F.when(F.col("open"), F.split(a, "")), "ys": F.when(F.col("open"), F.split(b, ""))})
+    rows = rows.withColumns({"x": F.col(a), "y": F.col(b)})
+    for step in [1 << k for k in range(12, -1, -1)]:
+        for head in (True, False):
+            end = F.left if head else F.right
+            rest = (lambda s, n=step: F.substring(s, F.lit(n + 1), F.char_length(s))) if head else (lambda s, n=step: F.left(s, F.char_length(s) - n))
+            same = (F.char_length("x") >= step) & (F.char_length("y") >= step) & (end(F.col("x"), F.lit(step)) == end(F.col("y"), F.lit(step)))
+            rows = rows.withColumn("same", same).withColumns({c: F.when(F.col("same"), rest(F.col(c))).otherwise(F.col(c)) for c in ("x", "y")})
+    rows = rows.withColumns({"n_x": F.char_length("x"), "n_y": F.char_length("y")})
+    rows = rows.withColumn("open", (F.abs(F.col("n_x") - F.col("n_y")) <= threshold) & (F.greatest("n_x", "n_y") > threshold) & (F.col("n_y") > 0) & _possible(threshold))
+    rows = rows.withColumns({"xs": F.when(F.col("open"), F.split("x", "")), "ys": F.when(F.col("open"), F.split("y", ""))})
     rows = rows.withColumn("ys", F.transform("ys", lambda c, j: F.struct(c.alias("c"), j.alias("j"))))
     band = (1 << (2 * threshold + 1)) - 1
 
@@ -121,7 +130,29 @@ def within_edits(rows: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
     end = F.col("n_x") - F.col("n_y") + threshold
     near = F.when(F.col("open"), F.call_function("shiftright", last, end).bitwiseAND(F.lit(1)) == 1)
     near = near.otherwise(F.greatest("n_x", "n_y") <= threshold)
-    return rows.withColumn("near", near).drop("open", "xs", "ys", "n_x", "n_y")
+    return rows.withColumn("near", near).drop("x", "y", "same", "open", "xs", "ys", "n_x", "n_y")
+
+
+def _possible(threshold: int) -> Column:
+    """Whether the cores x and y could be within threshold edits.
+
+    Lines over 8192 characters longer in common may be trimmed in part, which only makes this test weaker. Where the cores
+    differ in their first and last characters, one edit lies before the first matched character and one behind the last; so
+    of the stretch of x between its first and last `threshold` characters, cut into threshold - 1 pieces, one is free
+    of edits and stands in y, shifted by threshold at most.
+    """
+    trimmed = (F.left("x", F.lit(1)) != F.left("y", F.lit(1))) & (F.right("x", F.lit(1)) != F.right("y", F.lit(1)))
+    if threshold < 2:
+        return ~trimmed
+    n = F.col("n_x") - 2 * threshold
+    found = n < threshold - 1
+    for k in range(threshold - 1):
+        start, size = segment_bounds(n, k, threshold - 1)
+        at = start + threshold + 1
+        piece = F.substring(F.col("x"), at, size)
+        for shift in range(-threshold, threshold + 1):
+            found = found | (F.substring(F.col("y"), at + shift, size) == piece)
+    return ~trimmed | found
 
 
 def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, least_chars: int) -> tuple[DataFrame, DataFrame]:
@@ -132,15 +163,19 @@ def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, lea
     firsts = cut(rows.groupBy("h1", "h2").agg(F.min(place).alias("place")))
     keyed = rows.select("h1", "h2", line_id(F.col("line"), F.col("h1")).alias("id"), segment_keys(F.col("line"), threshold, least_chars).alias("keys"))
     keyed = keyed.groupBy("h1", "h2").agg(F.first("id").alias("id"), F.first("keys").alias("keys"))
+    # own segments are the index and also serve as probes. Both sides of the join are one shuffle: which rows are index is
+    # asked together with the letter counts, so that no filter makes the sides differ
     segments = keyed.select("id", F.posexplode("keys").alias("n", "key")).where("key is not null")
-    index = segments.where(F.col("n") <= threshold).select("key", F.col("id").alias("i"))
-    probes = segments.where(F.col("n") > threshold).select("key", F.col("id").alias("p"))
-    pairs = probes.join(index, (probes["key"] == index["key"]) & (F.col("p") != F.col("i")) & counts_within(F.col("p"), F.col("i"), threshold))
+    segments = segments.select("key", F.col("id"), (F.col("n") <= threshold).alias("own"))
+    probes, index = segments.alias("p"), segments.alias("i")
+    fits = F.when(F.col("i.own"), counts_within(F.col("p.id"), F.col("i.id"), threshold)).otherwise(F.col("p.id") == F.col("i.id"))
+    pairs = probes.join(index, (F.col("p.key") == F.col("i.key")) & (F.col("p.id") != F.col("i.id")) & fits)
+    pairs = pairs.select(F.col("p.id").alias("p"), F.col("i.id").alias("i"))
     pairs = cut(pairs.select(F.least("p", "i").alias("a_id"), F.greatest("p", "i").alias("b_id")).distinct())
     # lines are chosen by the hash bits of their ids; letters are counted only for those
-    ids = cut(pairs.select(F.col("a_id").alias("id")).union(pairs.select("b_id")).select(F.shiftright("id", 24).alias("hash")).distinct())
+    ids = cut(pairs.select(F.col("a_id").alias("id")).union(pairs.select("b_id")).select(F.shiftright("id", 4 * len(LETTERS)).alias("hash")).distinct())
     chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = rows.withColumn("hash", F.shiftright("h1", 24)).join(chosen, "hash", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"), F.min(place).alias("place"))
+    texts = rows.withColumn("hash", F.shiftright("h1", 4 * len(LETTERS))).join(chosen, "hash", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"), F.min(place).alias("place"))
     texts = texts.withColumn("id", line_id(F.col("line"), F.col("h1")))
     a = texts.select(F.col("id").alias("a_id"), F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("a"), F.col("place").alias("a_place"))
     b = texts.select(F.col("id").alias("b_id"), F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("b"), F.col("place").alias("b_place"))

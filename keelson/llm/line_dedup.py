@@ -8,12 +8,14 @@ which the edits left and right of the segment stay within the threshold together
 edit distance.
 
 Only hashes travel in the join; texts are fetched for lines that have a candidate. A line's id carries its counts of eight
-letters: an edit changes them by two in all at most, so pairs whose counts are further apart never leave the join.
+letters: an edit adds one letter and takes one away at most, so pairs whose counts are further apart never leave the join.
 This keeps it small where many lines share a passage and differ elsewhere.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -78,14 +80,14 @@ def line_id(line: Column, h: Column) -> Column:
 
 
 def counts_within(a: Column, b: Column, threshold: int) -> Column:
-    """Whether the letter counts of two ids allow for threshold edits."""
-    total = None
+    """Whether the letter counts of two ids allow for threshold edits: each adds one letter at most and takes one away at most."""
+    more, less = [], []
     for k in range(len(LETTERS)):
         x, y = (F.shiftrightunsigned(c, 4 * k).bitwiseAND(F.lit(15)) for c in (a, b))
-        d = (x - y).bitwiseAND(F.lit(15))
-        d = F.least(d, F.lit(16) - d)
-        total = d if total is None else total + d
-    return total <= 2 * threshold
+        d = (x - y + 8).bitwiseAND(F.lit(15)) - 8
+        more.append(F.greatest(d, F.lit(0)))
+        less.append(F.greatest(-d, F.lit(0)))
+    return (reduce(Column.__add__, more) <= threshold) & (reduce(Column.__add__, less) <= threshold)
 
 
 def within_edits(rows: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
@@ -169,7 +171,9 @@ def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, lea
     segments = segments.select("key", F.col("id"), (F.col("n") <= threshold).alias("own"))
     probes, index = segments.alias("p"), segments.alias("i")
     fits = F.when(F.col("i.own"), counts_within(F.col("p.id"), F.col("i.id"), threshold)).otherwise(F.col("p.id") == F.col("i.id"))
-    pairs = probes.join(index, (F.col("p.key") == F.col("i.key")) & (F.col("p.id") != F.col("i.id")) & fits)
+    # two own segments that meet would meet twice
+    once = F.when(F.col("p.own") & F.col("i.own"), F.col("p.id") < F.col("i.id")).otherwise(F.col("p.id") != F.col("i.id"))
+    pairs = probes.join(index, (F.col("p.key") == F.col("i.key")) & once & fits)
     pairs = pairs.select(F.col("p.id").alias("p"), F.col("i.id").alias("i"))
     pairs = cut(pairs.select(F.least("p", "i").alias("a_id"), F.greatest("p", "i").alias("b_id")).distinct())
     # lines are chosen by the hash bits of their ids; letters are counted only for those

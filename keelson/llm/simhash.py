@@ -18,6 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from keelson.llm import minhash
 from keelson.llm.common import cut, free_name, row_key, table
 from keelson.llm.components import connected_components
 
@@ -218,11 +219,11 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs without near-duplicates: of each component the row with the smallest id stays, of those that share it the one with the smallest row hash."""
-    key = free_name(docs, "row_key")
+    """The rows of docs without near-duplicates: of each component of similar texts (minhash: five-word shingles, Jaccard 0.8) the row with the smallest id stays, of those that share it the one with the smallest row hash."""
+    key, doc_id = free_name(docs, "row_key"), free_name(docs, "id_")
     keyed = docs.withColumn(key, row_key(docs))
-    groups = simhash_groups(keyed, id_col, text_col, carry=(key,))
-    first = groups.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col(key))).alias("first"))
+    groups = minhash.similar_groups(keyed.withColumn(doc_id, F.col(id_col).cast("long")), text_col, (key, doc_id))
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.col(key))).alias("first"))
     stay = first.select(F.col("first")[key].alias(key)).distinct()
     return keyed.join(stay, key, "left_semi").dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns])
 

@@ -292,3 +292,24 @@ def test_pipeline(spark, tmp_path):
     want = sorted((d, t, len(t), sp.encode(t)) for (d, t, _), w in zip(docs, plain.mix_plan(docs), strict=True) for _ in range(w[5]))
     assert got == want and len(want) > 5
     assert [len(s) for s in corpus_pipeline.STAGES] == [2] * 5
+
+
+def test_near_dedup_of_changed_words(spark):
+    """Copies with some words changed have similarity 0.8 or more and differ in more than three fingerprint bits; less similar texts stay."""
+    rnd = random.Random(4)
+    word = lambda: "".join(rnd.choice("abcdefgh") for _ in range(6))
+    texts = []
+    for k in range(30):
+        base = [word() for _ in range(200)]
+        texts.append(base)
+        for n in (2, 3, 14):
+            x = list(base)
+            for j in range(n):
+                x[20 + j * 12] = word()
+            texts.append(x)
+    sets = [{tuple(t[i : i + 5]) for i in range(196)} for t in texts]
+    assert all(len(sets[i] & sets[i + n]) / len(sets[i] | sets[i + n]) >= 0.8 for i in range(0, 120, 4) for n in (1, 2))
+    prints = simhash.fingerprints([" ".join(t).encode() for t in texts]).tolist()
+    assert sum((prints[i] ^ prints[i + 2]).bit_count() > 3 for i in range(0, 120, 4)) > 10
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in simhash.near_dedup(docs).collect()) == [i for i in range(120) if i % 4 in (0, 3)]

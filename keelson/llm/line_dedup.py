@@ -19,10 +19,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.common import cut, free_name, row_key, table
+from keelson.llm.common import BLANKS, cut, free_name, row_key, table
 
 THRESHOLD = 2
-#: Shorter lines are left alone: their edits would make up too much of them.
+#: Shorter lines have no part in the edit join: edits would make up too much of them. Equal ones are found at any length.
 LEAST_CHARS = 20
 #: Ids of candidate lines up to which they are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
@@ -157,12 +157,18 @@ def _possible(threshold: int) -> Column:
     return ~trimmed | found
 
 
-def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, least_chars: int) -> tuple[DataFrame, DataFrame]:
+def has_word(line: Column) -> Column:
+    return line.rlike(f"[^{BLANKS}]")
+
+
+def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, least_chars: int, short_lines: bool = False) -> tuple[DataFrame, DataFrame]:
     """The first occurrence of each distinct line (h1, h2, place), and those among them that repeat an earlier line with edits (h1, h2)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(docs).alias("row_key"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
-    rows = rows.where(F.char_length("line") >= least_chars).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
+    long = F.char_length("line") >= least_chars
+    rows = rows.where(long | has_word(F.col("line")) if short_lines else long).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "line_no")
     firsts = cut(rows.groupBy("h1", "h2").agg(F.min(place).alias("place")))
+    rows = rows.where(long)
     keyed = rows.select("h1", "h2", line_id(F.col("line"), F.col("h1")).alias("id"), segment_keys(F.col("line"), threshold, least_chars).alias("keys"))
     keyed = keyed.groupBy("h1", "h2").agg(F.first("id").alias("id"), F.first("keys").alias("keys"))
     # own segments are the index and also serve as probes. Both sides of the join are one shuffle: which rows are index is
@@ -190,17 +196,18 @@ def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, lea
     return firsts, near
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, report: bool = False) -> DataFrame:
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, report: bool = False, short_lines: bool = False) -> DataFrame:
     """docs with repeated lines taken out of the texts; all rows stay, in the columns they had.
 
     Lines are the \\n-split parts of a text, as they are. Their order is by id (nulls last), then row hash, then line
     number. A line of least_chars code points or more is taken out if an earlier one of that kind, kept or not, is
-    equal or within `threshold` edits; shorter and blank lines stay. A text that loses all lines is empty, a null text
+    equal or within `threshold` edits; shorter lines stay, or with short_lines
+    those of them that are blank or equal to no earlier one. A text that loses all lines is empty, a null text
     stays null. Rows that are equal in all columns are one document and keep the same lines. report adds n_lines,
     n_kept, n_repeated (equal to an earlier line) and n_near (only near one) in front of a struct `row`.
     """
     key, kept, k_key, k_id, k_near = (free_name(docs, x) for x in ("row_key", "kept_lines", "k_key", "k_id", "k_near"))
-    firsts, near = first_lines(docs, id_col, text_col, threshold, least_chars)
+    firsts, near = first_lines(docs, id_col, text_col, threshold, least_chars, short_lines)
     marked = firsts.join(near.withColumn("is_near", F.lit(True)), ["h1", "h2"], "left")
     by_doc = marked.groupBy(F.col("place.row_key").alias(k_key), F.col("place.doc_id").alias(k_id)).agg(
         F.collect_list(F.when(F.col("is_near").isNull(), F.col("place.line_no"))).alias(kept), F.count("is_near").alias(k_near)
@@ -209,7 +216,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     joined = keyed.join(by_doc, (F.col(key) == F.col(k_key)) & F.col(id_col).cast("long").eqNullSafe(F.col(k_id)), "left")
     lines = free_name(docs, "lines")
     joined = joined.withColumn(lines, F.split(text_col, "\n"))
-    short = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.char_length(F.get(F.col(lines), i)) < least_chars)
+
+    def untouched(i: Column) -> Column:
+        line = F.get(F.col(lines), i)
+        return (F.char_length(line) < least_chars) & ~has_word(line) if short_lines else F.char_length(line) < least_chars
+
+    short = F.filter(F.sequence(F.lit(0), F.size(lines) - 1), untouched)
     stay = free_name(docs, "stay")
     joined = joined.withColumn(stay, F.when(F.col(text_col).isNotNull(), F.sort_array(F.concat(short, F.coalesce(F.col(kept), F.array().cast("array<int>"))))))
     text = F.array_join(F.transform(stay, lambda i: F.get(F.col(lines), i)), "\n")
@@ -224,5 +236,5 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def op4_line_dedup(spark, sf_dir: str) -> DataFrame:
-    out = line_dedup(table(spark, sf_dir, "documents"), report=True)
+    out = line_dedup(table(spark, sf_dir, "documents"), report=True, short_lines=True)
     return out.select("row.doc_id", "n_lines", "n_kept", "n_repeated", "n_near", F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("text_sha256"))

@@ -313,3 +313,19 @@ def test_near_dedup_of_changed_words(spark):
     assert sum((prints[i] ^ prints[i + 2]).bit_count() > 3 for i in range(0, 120, 4)) > 10
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in simhash.near_dedup(docs).collect()) == [i for i in range(120) if i % 4 in (0, 3)]
+
+
+def test_short_lines_that_repeat(spark, tmp_path):
+    """op4 and the pipeline take out equal lines of any length; blank lines stay and short ones are not compared by edits."""
+    import corpus_pipeline
+
+    texts = ["Les.\n\na line that is long enough\nLes.", "Les.\nLes!\n \n\nAnd ornd.", "a line that is long enough.\nAnd ornd.\nnew", None, ""]
+    want = ["Les.\n\na line that is long enough", "Les!\n \n\nAnd ornd.", "new", None, ""]
+    docs = spark.createDataFrame([(i, t, "xx", "a", len(t or "")) for i, t in enumerate(texts)], SCHEMA)
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = line_dedup.op4_line_dedup(spark, str(tmp_path)).collect()
+    sha = lambda t: hashlib.sha256((t or "").encode()).hexdigest()
+    counts = [(4, 3, 1, 0), (5, 4, 1, 0), (3, 1, 1, 1), (0, 0, 0, 0), (1, 1, 0, 0)]
+    assert sorted(map(tuple, got)) == [(i, *c, sha(t)) for i, (c, t) in enumerate(zip(counts, want, strict=True))]
+    piped = corpus_pipeline.drop_repeated_lines(spark, docs, str(tmp_path)).collect()
+    assert [r["text"] for r in sorted(piped, key=lambda r: r["doc_id"])] == want

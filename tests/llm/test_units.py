@@ -189,3 +189,22 @@ def test_salvage():
     hurt = plain.replace(b"page 3", b"pagf 3", 1)
     assert len(warc.salvage(hurt).records) == len(warc.salvage(warc.member(hurt)).records) == 5
     assert not warc.salvage(b"").records and warc.salvage(b"nothing here").gaps == [(0, 12, "no version line")]
+
+
+def wrapper_of(sources):
+    out = None
+    for x in sources:
+        t = page_tree(parse(x))
+        out = t if out is None else merge(out, t)
+    return out
+
+
+def test_copies_keep_their_list():
+    """Copies of one page agree on a list that no other page has; it is content."""
+    others = [f"<body><article><h1>Title {i}</h1><p>Text {i}.</p><div class=x>Read our other stories</div></article></body>" for i in range(20)]
+    copied = "<body><nav>Menu {}</nav><article><h1>Own</h1><p>Words</p><ul><li>one<li>two</ul><blockquote>Said</blockquote><div class=x>Read our other stories</div></article></body>"
+    wrapper = wrapper_of([*others[:9], *[copied.format(k) for k in range(5)], *others[9:]])
+    assert extract(copied.format(2), wrapper) == "Own\nWords\none\ntwo\nSaid"
+    assert extract(others[3], wrapper) == "Title 3\nText 3."
+    few = [f"<body><article><h1>T {i}</h1><p>{i}.</p><h2>Rare</h2></article></body>" for i in range(4)]
+    assert extract(few[1], wrapper_of([*others * 25, *few])) == "T 1\n1.\nRare"  # 4 pages of 504

@@ -11,7 +11,7 @@ from hypothesis import strategies as st
 
 from keelson.llm import bytebpe, pfor, pieces, warc
 from keelson.llm.exact_dedup import misra_gries
-from keelson.llm.html_extract import extract, matching, merge, page_tree
+from keelson.llm.html_extract import dumps, extract, loads, matching, merge, page_tree
 from keelson.llm.dom import parse
 from keelson.llm.simhash import fingerprints, stars, trie_links
 from keelson.llm.token_files import read_shard, shard_bytes
@@ -208,3 +208,19 @@ def test_copies_keep_their_list():
     assert extract(others[3], wrapper) == "Title 3\nText 3."
     few = [f"<body><article><h1>T {i}</h1><p>{i}.</p><h2>Rare</h2></article></body>" for i in range(4)]
     assert extract(few[1], wrapper_of([*others * 25, *few])) == "T 1\n1.\nRare"  # 4 pages of 504
+
+
+def test_deep_pages():
+    """Surplus levels neither close what is above them nor hide furniture, blocks or template below."""
+    deep = "<div>" * 200
+    page = f"<div><article><p>first</p>{deep}{'</div>' * 200}<p>rest</p></article></div>"
+    assert extract(page) == "first\nrest"
+    page = f"<article>{deep}<p>one<p>two<nav>menu</nav><div class=share>Share</div><ul><li>a<li>b</ul><footer>foot</footer>{'</div>' * 200}<p>rest</p></article><footer>F</footer>"
+    assert extract(page) == "one\ntwo\na\nb\nrest"
+    assert extract(f"{'<div>' * 3000}<article><p>in</p></article>out") == "in"
+    pages = [f"<body><article><h1>T {i}</h1>{'<div>' * 3000}<p>Text {i}.</p><div class=x>Read more</div></article></body>" for i in range(6)]
+    wrapper = loads(dumps(wrapper_of(pages)))
+    assert extract(pages[2], wrapper) == "T 2\nText 2."
+    small = wrapper_of(["<ul><li>a</ul><p>x<div><div>y</div>z</div>", "<p>q"])
+    bare = lambda w: [w[0], w[1], w[2], [bare(x) for x in w[3]]]
+    assert loads(dumps(small)) == bare(small)

@@ -274,6 +274,21 @@ def test_html(spark):
     assert html_extract.extract_pages(spark.createDataFrame([], PAGE_SCHEMA)).count() == 0
 
 
+def test_html_without_classes(spark):
+    """Pages of three hosts and many tasks whose furniture only the wrapper tells, by broadcast and by join."""
+    from tests.llm.test_units import class_free
+
+    rnd = random.Random(5)
+    hosts = {h: [class_free(rnd, i, 2) for i in range(40)] for h in ("a.example", "b.example")} | {"c.example": [class_free(rnd, 0)]}
+    data = [(100 * k + i, f"https://{h.upper()}:80/x{i}", p) for k, (h, ps) in enumerate(hosts.items()) for i, p in enumerate(ps)]
+    want = {100 * k + i: t for k, (h, ps) in enumerate(hosts.items()) for i, t in enumerate(plain.main_texts(ps))}
+    rnd.shuffle(data)
+    pages = spark.createDataFrame(data, PAGE_SCHEMA).repartition(7)
+    for chars in (1 << 20, 0):
+        got = {r["page_id"]: r["text"] for r in html_extract.extract_pages(pages, names=False, broadcast_chars=chars).collect()}
+        assert got == want and "Menu" not in "".join(t for i, t in got.items() if i < 200)
+
+
 def test_pipeline(spark, tmp_path):
     import sentencepiece
 

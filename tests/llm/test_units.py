@@ -1,20 +1,21 @@
 """The operators' parts against plain Python."""
 
 import hashlib
-import json
 import random
+import time
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from keelson.llm import bytebpe, pfor, pieces, warc
+from keelson.llm import bytebpe, pfor, pieces, warc, wrappers
 from keelson.llm.exact_dedup import misra_gries
-from keelson.llm.html_extract import dumps, extract, loads, matching, merge, page_tree
+from keelson.llm.html_extract import aside, extract, is_furniture_name
 from keelson.llm.dom import parse
 from keelson.llm.simhash import fingerprints, stars, trie_links
 from keelson.llm.token_files import read_shard, shard_bytes
+from tests.llm import plain
 
 ODD = ["", "a  b", "a \n b", "a\n", "a ", " a", "x <|endoftext|> y<|endoftext|>", "\n\n a\n\n\nb   c \t d", "it's I'll 12 345  !!", "\x1c\x1d a\x1fb \x85 c d  e", "日本語 テキスト 😀😀", "''s '' s", " ​ x　y", "\t", "ﬁ ²³ ٣٤", "\n", "x" * 3000, " " * 50 + "a", "a\u0000b", "▁x ▁ y"]
 ALPHABET = "abcdeéABC 12.,;:\n日本語的是한국αβ😀▁\t'\"-"
@@ -146,19 +147,29 @@ def test_extract():
     assert extract("<div class=content><div>one</div><div>two</div></div><div class=sidebar>s</div>") == "one\ntwo"
 
 
+def tree_of(source):
+    return wrappers.page_tree(parse(source, is_furniture_name)).without_nodes()
+
+
+def wrapper_of(sources):
+    """The compiled wrapper of some pages, through the forms in which it travels."""
+    halves = [None, None]
+    for k, x in enumerate(sources):
+        t = tree_of(x)
+        halves[k % 2] = t if halves[k % 2] is None else wrappers.merge(halves[k % 2], t)
+    whole = [wrappers.loads(wrappers.dumps(h)) for h in halves if h is not None]
+    return wrappers.load_compiled(wrappers.compiled(whole[0] if len(whole) < 2 else wrappers.merge(*whole), aside))
+
+
 def test_wrapper_finds_template():
     pages = [f"<body><article><h1>Title {i}</h1><p>Text {i}.</p><p>More {i * i}.</p><div class=x>Read our other stories</div></article></body>" for i in range(6)]
-    trees = [page_tree(parse(p)) for p in pages]
-    assert matching(trees[0], trees[1]) == 6
-    wrapper = json.loads(json.dumps([*trees[0][:3], trees[0][3]], default=lambda n: None))
-    for t in trees[1:]:
-        wrapper = merge(wrapper, t)
-    assert extract(pages[2], wrapper) == "Title 2\nText 2.\nMore 4."
+    # root, body, article, h1, one slot for both paragraphs, div
+    assert wrappers.matching(tree_of(pages[0]), tree_of(pages[1])) == 6
+    assert extract(pages[2], wrapper_of(pages)) == "Title 2\nText 2.\nMore 4.\nRead our other stories"  # the largest text of each page
+    pages = [p.replace(f"Title {i}", f"A{i} longer{i} title{i} of{i} page {i}") for i, p in enumerate(pages)]
+    assert extract(pages[2], wrapper_of(pages)) == "A2 longer2 title2 of2 page 2\nText 2.\nMore 4."
     assert extract(pages[2]).endswith("other stories")
-    copies = trees[0]
-    for _ in range(5):
-        copies = merge(copies, page_tree(parse(pages[0])))
-    assert extract(pages[0], copies).startswith("Title 0")  # one article on all pages has no template
+    assert extract(pages[0], wrapper_of(pages[:1] * 6)) == extract(pages[0])  # one article on all pages has no template
 
 
 def records(n=6):
@@ -191,21 +202,13 @@ def test_salvage():
     assert not warc.salvage(b"").records and warc.salvage(b"nothing here").gaps == [(0, 12, "no version line")]
 
 
-def wrapper_of(sources):
-    out = None
-    for x in sources:
-        t = page_tree(parse(x))
-        out = t if out is None else merge(out, t)
-    return out
-
-
 def test_copies_keep_their_list():
     """Copies of one page agree on a list that no other page has; it is content."""
-    others = [f"<body><article><h1>Title {i}</h1><p>Text {i}.</p><div class=x>Read our other stories</div></article></body>" for i in range(20)]
-    copied = "<body><nav>Menu {}</nav><article><h1>Own</h1><p>Words</p><ul><li>one<li>two</ul><blockquote>Said</blockquote><div class=x>Read our other stories</div></article></body>"
+    others = [f"<body><article><h1>The{i} story{i} number{i}, and more</h1><p>Text {i}.</p><div class=x>Read our other stories</div></article></body>" for i in range(20)]
+    copied = "<body><nav>Menu {}</nav><article><h1>Own title of the copied story</h1><p>Words</p><ul><li>one<li>two</ul><blockquote>Said</blockquote><div class=x>Read our other stories</div></article></body>"
     wrapper = wrapper_of([*others[:9], *[copied.format(k) for k in range(5)], *others[9:]])
-    assert extract(copied.format(2), wrapper) == "Own\nWords\none\ntwo\nSaid"
-    assert extract(others[3], wrapper) == "Title 3\nText 3."
+    assert extract(copied.format(2), wrapper) == "Own title of the copied story\nWords\none\ntwo\nSaid"
+    assert extract(others[3], wrapper) == "The3 story3 number3, and more\nText 3."
     few = [f"<body><article><h1>T {i}</h1><p>{i}.</p><h2>Rare</h2></article></body>" for i in range(4)]
     assert extract(few[1], wrapper_of([*others * 25, *few])) == "T 1\n1.\nRare"  # 4 pages of 504
 
@@ -218,9 +221,47 @@ def test_deep_pages():
     page = f"<article>{deep}<p>one<p>two<nav>menu</nav><div class=share>Share</div><ul><li>a<li>b</ul><footer>foot</footer>{'</div>' * 200}<p>rest</p></article><footer>F</footer>"
     assert extract(page) == "one\ntwo\na\nb\nrest"
     assert extract(f"{'<div>' * 3000}<article><p>in</p></article>out") == "in"
-    pages = [f"<body><article><h1>T {i}</h1>{'<div>' * 3000}<p>Text {i}.</p><div class=x>Read more</div></article></body>" for i in range(6)]
-    wrapper = loads(dumps(wrapper_of(pages)))
-    assert extract(pages[2], wrapper) == "T 2\nText 2."
-    small = wrapper_of(["<ul><li>a</ul><p>x<div><div>y</div>z</div>", "<p>q"])
-    bare = lambda w: [w[0], w[1], w[2], [bare(x) for x in w[3]]]
-    assert loads(dumps(small)) == bare(small)
+    pages = [f"<body><article><h1>Long{i} title{i} of{i} page{i}</h1>{'<div>' * 3000}<p>Text {i}.</p><div class=x>Read more</div></article></body>" for i in range(6)]
+    assert extract(pages[2], wrapper_of(pages)) == "Long2 title2 of2 page2\nText 2."
+
+
+def test_wide_pages():
+    """Pages of 20,000 elements in alternation are matched in time: a slot stands for all of one kind."""
+    row = lambda i, k: f"<h2>Head {i} {k}</h2><p>Text{i} {k}a{i} with some words{i}</p><div class=b>Box {k % 3}</div>"
+    pages = ["<body><main>" + "".join(row(i, k) for k in range(7000)) + "</main></body>" for i in range(5)]
+    began = time.time()
+    wrapper = wrapper_of(pages)
+    got = extract(pages[3], wrapper)
+    assert time.time() - began < 60 and sum(1 for _ in wrapper.walk()) < 12
+    assert got == "\n".join(x for k in range(7000) for x in (f"Head 3 {k}", f"Text3 {k}a3 with some words3"))
+    odd = lambda i: "<body>" + "".join(f"<div class='c{chr(97 + (k * i) % 26)}{chr(97 + k % 26)}x'><p>{i} {k}</p></div>" for k in range(3000)) + "</body>"
+    began = time.time()
+    wrapper = wrapper_of([odd(i) for i in range(1, 9)])
+    assert time.time() - began < 60 and len(wrapper.kids[0].kids) <= wrappers.WIDEST
+
+
+def class_free(rnd, i, ads=3):
+    """A page without classes: menu and footer rotate among a few texts, a notice stands in the article, comments do not."""
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    menu = "".join(f"<li>Menu {rnd.randrange(5)}</li>" for _ in range(3))
+    text = "".join(f"<p>{' '.join(word() for _ in range(rnd.randrange(3, 20)))}</p>" for _ in range(rnd.randrange(1, 6)))
+    shown = f"<div>Advert {rnd.randrange(ads)}</div>" if rnd.random() < 0.8 else ""
+    return f"<body><div><ul>{menu}</ul></div><section><h1>{word()} {i}</h1>{text}<div>Support our work, variant {rnd.randrange(2)}</div></section>{shown}<div><b>Imprint {i % 4}</b></div></body>"
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_class_free_pages(seed):
+    """Furniture that rotates is found by the wrapper alone, as a plain implementation over index paths finds it."""
+    rnd = random.Random(seed)
+    pages = [class_free(rnd, i) for i in range(60)]
+    wrapper, want = wrapper_of(pages), plain.main_texts(pages)
+    got = [extract(p, wrapper, names=False) for p in pages]
+    assert got == want
+    assert not any(w in t for t in got for w in ("Menu", "Advert", "Imprint", "Support")) and all("Menu" in extract(p) for p in pages)
+
+
+def test_vague_names():
+    """A class like widget or tags is furniture where nothing else is known, and content where the host's pages say so."""
+    pages = [f"<body><div class=content><h1>A{i} title{i} that{i} is{i} long{i} enough</h1><div class=widget>Words of page {i}</div><div class=tags>One of {i % 2}</div><div class=comments>said {i}</div></div></body>" for i in range(30)]
+    assert extract(pages[5]) == "A5 title5 that5 is5 long5 enough"
+    assert extract(pages[5], wrapper_of(pages)) == "A5 title5 that5 is5 long5 enough\nWords of page 5"

@@ -10,41 +10,31 @@ no link is lost. Each group gives a spanning star of every component it sees, ne
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keelson.llm import minhash
 from keelson.llm.common import cut, free_name, row_key, table
-from keelson.llm.components import connected_components
+from keelson.llm.components import connected_components, hot_join
+from keelson.llm.shingles import shingle_parts
 
 SEED, SHINGLE, BITS, BUDGET = 42, 3, 64, 3
 #: Widths of the blocks at each dealing: 16 bits of 64, 12 of 48, 9 of 36, then 7, 7, 7 and 6 of 27.
 DEALS = ((16, 16, 16, 16), (12, 12, 12, 12), (9, 9, 9, 9), (7, 7, 7, 6))
 #: Fingerprints in a group beyond which it is dealt again; after the last dealing 2**21 are the most there can be.
 GROUP = 2000
-HEAVY = 1000
+#: Node pairs of tries that are walked at once.
+FRONTIER = 1 << 18
 
 
-def shingle_hashes(text: bytes) -> list[int]:
-    words = text.lower().split()  # on bytes: A-Z and the six ASCII blanks only
-    n = len(words)
-    if n <= SHINGLE:
-        return [xxhash.xxh64_intdigest(b" ".join(words), SEED)] if n else []
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, n) + 1)
-    starts = (ends - np.diff(ends, prepend=0)).tolist()
-    digest = xxhash.xxh64_intdigest
-    return [digest(joined[a:z], SEED) for a, z in zip(starts, (ends[SHINGLE - 1 :] - 1).tolist(), strict=False)]
-
-
-def fingerprints(texts: list[bytes]) -> np.ndarray:
-    """One unsigned 64-bit fingerprint per text; zero for a text without words."""
-    out = np.zeros(len(texts), np.uint64)
+def fingerprints(texts: Iterable[bytes], n: int) -> np.ndarray:
+    """One unsigned 64-bit fingerprint for each of n texts; zero for a text without words. Texts may be of any length: the
+    hashes of a long one are counted bit by bit as they come."""
+    ones, sizes = np.zeros((n, BITS), np.int64), np.zeros(n, np.int64)
     held: list[int] = []
     marks: list[tuple[int, int]] = []
 
@@ -52,50 +42,51 @@ def fingerprints(texts: list[bytes]) -> np.ndarray:
         if not held:
             return
         bits = np.unpackbits(np.array(held, "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        starts = np.array([a for _, a in marks])
-        sizes = np.diff(starts, append=len(held))
-        sums = np.add.reduceat(bits, starts, axis=0, dtype=np.uint32)
-        major = np.packbits(2 * sums > sizes[:, None], axis=1, bitorder="little")
-        out[[i for i, _ in marks]] = major.reshape(-1).view("<u8")
+        starts, rows = np.array([a for _, a in marks]), np.array([i for i, _ in marks])
+        np.add.at(ones, rows, np.add.reduceat(bits, starts, axis=0, dtype=np.int64))
+        np.add.at(sizes, rows, np.diff(starts, append=len(held)))
         held.clear()
         marks.clear()
 
     for i, t in enumerate(texts):
-        h = shingle_hashes(t)
-        if h:
+        for h in shingle_parts(t, SHINGLE, SEED):
             marks.append((i, len(held)))
             held += h
             if len(held) >= 50_000:
                 settle()
     settle()
-    return out
+    return np.packbits(2 * ones > sizes[:, None], axis=1, bitorder="little").reshape(-1).view("<u8")
 
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
-        texts = [t.as_py() or b"" for t in b.column(0).cast(pa.binary())]
-        fp = pa.array(fingerprints(texts).view(np.int64))
+        texts = (t.as_py() or b"" for t in b.column(0).cast(pa.binary()))
+        fp = pa.array(fingerprints(texts, b.num_rows).view(np.int64))
         yield pa.RecordBatch.from_arrays([*b.columns[1:], fp], [*b.schema.names[1:], "fp"])
 
 
-def trie_links(groups: np.ndarray, values: np.ndarray, budget: int = BUDGET) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs (i, j) of values in one group that differ in at most budget bits.
+def trie_links(groups: np.ndarray, values: np.ndarray, budget: int = BUDGET, most: int = FRONTIER) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs (i, j) of values in one group that differ in at most budget bits, in batches.
 
     groups and values are sorted by group, then value, without repeats: a forest of binary tries, a node being a range.
+    More than `most` node pairs at once are walked in parts, so what is held does not grow with the pairs that are found.
     """
     n = len(values)
     cuts = np.flatnonzero(np.diff(groups)) + 1
     lo = np.concatenate([[0], cuts])
     hi = np.concatenate([cuts, [n]])
     many = hi - lo > 1
-    a_lo, a_hi = lo[many], hi[many]
-    b_lo, b_hi, err = a_lo, a_hi, np.zeros(len(a_lo), np.int64)
-    found_i, found_j = [], []
-    for d in range(BITS - 1, -1, -1):
-        if not len(a_lo):
-            break
-        ones = np.concatenate([[0], np.cumsum((values >> np.uint64(d)) & np.uint64(1)).astype(np.int64)])
-        a_mid, b_mid = a_hi - (ones[a_hi] - ones[a_lo]), b_hi - (ones[b_hi] - ones[b_lo])
+    stack = [(BITS - 1, (lo[many], hi[many], lo[many], hi[many], np.zeros(int(many.sum()), np.int64)))]
+    while stack:
+        d, pairs = stack.pop()
+        if len(pairs[0]) > most:
+            half = len(pairs[0]) // 2
+            stack += [(d, tuple(x[half:] for x in pairs)), (d, tuple(x[:half] for x in pairs))]
+            continue
+        if d < 0 or not len(pairs[0]):
+            continue
+        a_lo, a_hi, b_lo, b_hi, err = pairs
+        a_mid, b_mid = _first_one(values, a_lo, a_hi, d), _first_one(values, b_lo, b_hi, d)
         cross = a_lo != b_lo
         parts = [
             (a_lo, a_mid, b_lo, b_mid, err),
@@ -111,26 +102,35 @@ def trie_links(groups: np.ndarray, values: np.ndarray, budget: int = BUDGET) ->
         leaf = (a_hi - a_lo == 1) & (b_hi - b_lo == 1)
         i, j = a_lo[leaf], b_lo[leaf]
         near = np.bitwise_count(values[i] ^ values[j]) <= budget
-        found_i.append(i[near])
-        found_j.append(j[near])
-        a_lo, a_hi, b_lo, b_hi, err = (x[~leaf] for x in (a_lo, a_hi, b_lo, b_hi, err))
-    if not found_i:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(found_i), np.concatenate(found_j)
+        if near.any():
+            yield i[near], j[near]
+        stack.append((d - 1, tuple(x[~leaf] for x in (a_lo, a_hi, b_lo, b_hi, err))))
 
 
-def stars(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """For each of n nodes the smallest node it reaches over the links."""
+def _first_one(values: np.ndarray, lo: np.ndarray, hi: np.ndarray, d: int) -> np.ndarray:
+    """Where bit d becomes one within each sorted range whose higher bits agree: a binary search of all ranges together."""
+    lo, hi = lo.copy(), hi.copy()
+    while (open_ := lo < hi).any():
+        mid = (lo + hi) // 2
+        one = (values[np.minimum(mid, len(values) - 1)] >> np.uint64(d) & np.uint64(1)).astype(bool)
+        hi, lo = np.where(open_ & one, mid, hi), np.where(open_ & ~one, mid + 1, lo)
+    return lo
+
+
+def stars(n: int, links: Iterable[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """For each of n nodes the smallest node it reaches over the links, which come in batches."""
     root = np.arange(n)
-    while len(i):
-        low = np.minimum(root[i], root[j])
-        new = root.copy()
-        for x in (i, j, root[i], root[j]):
-            np.minimum.at(new, x, low)
-        new = new[new]
-        if (new == root).all():
-            break
-        root = new
+    for i, j in links:
+        while True:
+            low = np.minimum(root[i], root[j])
+            new = root.copy()
+            for x in (i, j, root[i], root[j]):
+                np.minimum.at(new, x, low)
+            while (new != (deeper := new[new])).any():
+                new = deeper
+            if (new == root).all():
+                break
+            root = new
     return root
 
 
@@ -141,7 +141,7 @@ def _star_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     def run(k: np.ndarray, f: np.ndarray) -> pa.RecordBatch:
         order = np.lexsort((f, k))
         k, f = k[order], f[order]
-        root = stars(len(f), *trie_links(k, f))
+        root = stars(len(f), trie_links(k, f))
         own = np.flatnonzero(root != np.arange(len(f)))
         return pa.RecordBatch.from_arrays([pa.array(f[own].view(np.int64)), pa.array(f[root[own]].view(np.int64))], ["u", "v"])
 
@@ -199,23 +199,18 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     Null and wordless texts have fingerprint zero, which links like any other. Rows with equal texts share a
     fingerprint. Null ids have no part in the minimum; a component of null ids has a null component_id. Repeated ids
-    are ordinary rows.
+    are ordinary rows. A text of any length is read a slice at a time.
     """
     rows = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), F.col(id_col).cast("long").alias("doc_id"), *carry)
     schema = ", ".join(["doc_id long", *[f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry], "fp long"])
     rows = cut(rows.mapInArrow(_fingerprint_batches, schema))
-    distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("n")))
+    distinct = cut(rows.groupBy("fp").agg(F.min("doc_id").alias("low")))
     roots = connected_components(fingerprint_links(distinct))
     linked = roots.join(distinct.select(F.col("fp").alias("node"), "low"), "node")
     lows = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    linked = linked.join(lows, "root").select(F.col("node").alias("fp"), F.col("root").alias("r"), F.col("component_id").alias("c"))
-    of = distinct.join(linked, "fp", "left").select("fp", "n", F.coalesce("c", "low").alias("component_id"), F.coalesce("r", "fp").alias("component"))
-    of = cut(of)
-    # fingerprints with a thousandth of the rows or more: HEAVY of them at most, so they can be broadcast
-    least = max(2, rows.count() // HEAVY + 1)
-    heavy = F.broadcast(of.where(F.col("n") >= least).drop("n"))
-    light = of.where(F.col("n") < least).drop("n")
-    return rows.join(heavy, "fp").unionByName(rows.join(heavy.select("fp"), "fp", "left_anti").join(light, "fp"))
+    linked = hot_join(linked, "root", lows, distinct.count()).select(F.col("node").alias("fp"), F.col("root").alias("r"), F.col("component_id").alias("c"))
+    of = distinct.join(linked, "fp", "left").select("fp", F.coalesce("c", "low").alias("component_id"), F.coalesce("r", "fp").alias("component"))
+    return hot_join(rows, "fp", cut(of), rows.count())
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

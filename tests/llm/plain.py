@@ -93,7 +93,7 @@ def dedup_lines(docs, threshold=line_dedup.THRESHOLD, least=line_dedup.LEAST_CHA
 
 def components(docs):
     """(fingerprint, component_id) by position."""
-    fp = [int(x) for x in fingerprints([(t or "").encode() for _, t in docs])]
+    fp = [int(x) for x in fingerprints([(t or "").encode() for _, t in docs], len(docs))]
     root = list(range(len(docs)))
 
     def find(i):

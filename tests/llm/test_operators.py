@@ -203,6 +203,13 @@ def test_components_of_a_long_path(spark):
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000, 5000: 1000}
 
 
+def test_components_with_a_hub(spark):
+    """A star, a giant component and small ones: hot keys meet by broadcast, with the same result."""
+    star = [(7, i) for i in range(100, 1500)] + [(i, i + 1) for i in range(5000, 5050)] + [(i + 1, i) for i in range(9000, 9100, 2)]
+    got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(star, "u long, v long")).collect()}
+    assert got == {7: 7} | {i: 7 for i in range(100, 1500)} | {i: 5000 for i in range(5000, 5051)} | {i: i - i % 2 for i in range(9000, 9100)}
+
+
 def test_tokens(spark, docs):
     lib = IdEncoder(default_path()).lib
     start, want, counts = 0, [], []
@@ -324,7 +331,7 @@ def test_near_dedup_of_changed_words(spark):
             texts.append(x)
     sets = [{tuple(t[i : i + 5]) for i in range(196)} for t in texts]
     assert all(len(sets[i] & sets[i + n]) / len(sets[i] | sets[i + n]) >= 0.8 for i in range(0, 120, 4) for n in (1, 2))
-    prints = simhash.fingerprints([" ".join(t).encode() for t in texts]).tolist()
+    prints = simhash.fingerprints([" ".join(t).encode() for t in texts], len(texts)).tolist()
     assert sum((prints[i] ^ prints[i + 2]).bit_count() > 3 for i in range(0, 120, 4)) > 10
     docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
     assert sorted(r["doc_id"] for r in simhash.near_dedup(docs).collect()) == [i for i in range(120) if i % 4 in (0, 3)]

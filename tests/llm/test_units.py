@@ -2,14 +2,17 @@
 
 import hashlib
 import random
+import subprocess
+import sys
 import time
+from pathlib import Path
 
 import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from keelson.llm import bytebpe, pfor, pieces, warc, wrappers
+from keelson.llm import bytebpe, pfor, pieces, shingles, warc, wrappers
 from keelson.llm.exact_dedup import misra_gries
 from keelson.llm.html_extract import aside, extract, is_furniture_name
 from keelson.llm.dom import parse
@@ -111,21 +114,22 @@ def near_values(rnd, n=60):
     return sorted(out)
 
 
+@pytest.mark.parametrize("most", [1, 7, 1 << 18])
 @pytest.mark.parametrize("seed", range(5))
-def test_trie_links(seed):
+def test_trie_links(seed, most):
     v = near_values(random.Random(seed))
     groups = np.array([0] * len(v) + [1] * len(v))
     values = np.array(v + v, np.uint64)
-    i, j = trie_links(groups, values)
+    i, j = (np.concatenate(x) for x in zip(*trie_links(groups, values, most=most), strict=True))
     got = {(min(p), max(p)) for p in zip(i.tolist(), j.tolist(), strict=True)}
     want = {(g + a, g + b) for g in (0, len(v)) for a in range(len(v)) for b in range(a + 1, len(v)) if (v[a] ^ v[b]).bit_count() <= 3}
     assert got == want and len(i) == len(want)
-    root = stars(len(values), i, j)
+    root = stars(len(values), trie_links(groups, values, most=most))
     for a, b in want:
         assert root[a] == root[b]
 
 
-def test_fingerprints():
+def test_fingerprints(monkeypatch):
     import xxhash
 
     def plain(t):
@@ -135,7 +139,25 @@ def test_fingerprints():
         return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
 
     texts = [b"", b" \n\t", b"One", b"one two", "É one\x0btwo three\x0cfour é".encode(), b"a b c a b c a b c", "a b c d e".encode()]
-    assert fingerprints(texts).tolist() == [plain(t) for t in texts]
+    assert fingerprints(texts, len(texts)).tolist() == [plain(t) for t in texts]
+    monkeypatch.setattr(shingles, "SLICE", 5)
+    assert fingerprints(texts, len(texts)).tolist() == [plain(t) for t in texts]
+
+
+LONG_TEXT = r"""
+import resource, sys
+from keelson.llm import minhash, simhash
+text = b"".join(b"Word%d of a%d text\n" % (i % 90001, i % 1013) for i in range(2_500_000))
+before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+simhash.fingerprints([text], 1)
+print(len(text) >> 20, (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) >> 10)
+"""
+
+
+def test_fingerprint_of_a_long_text():
+    """A text of 50 MB costs less than 300 MB."""
+    size, used = map(int, subprocess.run([sys.executable, "-c", LONG_TEXT], capture_output=True, text=True, cwd=Path(__file__).parents[2], check=True).stdout.split())
+    assert size >= 45 and used < 300
 
 
 def test_extract():

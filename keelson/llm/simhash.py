@@ -208,9 +208,10 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     roots = connected_components(fingerprint_links(distinct))
     linked = roots.join(distinct.select(F.col("fp").alias("node"), "low"), "node")
     lows = linked.groupBy("root").agg(F.min("low").alias("component_id"))
-    linked = hot_join(linked, "root", lows, distinct.count()).select(F.col("node").alias("fp"), F.col("root").alias("r"), F.col("component_id").alias("c"))
+    n = distinct.count()
+    linked = hot_join(linked, "root", lows, n, n).select(F.col("node").alias("fp"), F.col("root").alias("r"), F.col("component_id").alias("c"))
     of = distinct.join(linked, "fp", "left").select("fp", F.coalesce("c", "low").alias("component_id"), F.coalesce("r", "fp").alias("component"))
-    return hot_join(rows, "fp", cut(of), rows.count())
+    return hot_join(rows, "fp", cut(of), rows.count(), n)
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

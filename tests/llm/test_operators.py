@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from keelson.llm import exact_dedup, html_extract, line_dedup, mixing, quality, sentence_pieces, simhash, token_counts, token_files, warc
+from keelson.llm import components, exact_dedup, html_extract, line_dedup, mixing, quality, sentence_pieces, simhash, token_counts, token_files, warc
 from keelson.llm.bytebpe import IdEncoder, default_path
 from keelson.llm.common import fresh_dir
 from keelson.llm.components import connected_components
@@ -162,6 +162,7 @@ def test_edit_distance(spark):
 def test_simhash(spark, docs, group, monkeypatch):
     """Small groups are dealt again and again; the links stay the same."""
     monkeypatch.setattr(simhash.fingerprint_links, "__defaults__", (group,))
+    monkeypatch.setattr(components, "BROADCAST_ROWS", 0 if group == 2 else 200_000)
     want = [(d, *x) for (d, *_), x in zip(DOCS, plain.components([(d, t) for d, t, *_ in DOCS]), strict=True)]
     got = simhash.simhash_groups(docs).collect()
     assert sorted((r["doc_id"], r["fp"] % (1 << 64), r["component_id"]) for r in got) == sorted(want)
@@ -203,8 +204,10 @@ def test_components_of_a_long_path(spark):
     assert got == {i: 0 for i in range(301)} | {1000: 1000, 1001: 1000, 5000: 1000}
 
 
-def test_components_with_a_hub(spark):
+@pytest.mark.parametrize("most", [0, 200_000])
+def test_components_with_a_hub(spark, most, monkeypatch):
     """A star, a giant component and small ones: hot keys meet by broadcast, with the same result."""
+    monkeypatch.setattr(components, "BROADCAST_ROWS", most)
     star = [(7, i) for i in range(100, 1500)] + [(i, i + 1) for i in range(5000, 5050)] + [(i + 1, i) for i in range(9000, 9100, 2)]
     got = {r["node"]: r["root"] for r in connected_components(spark.createDataFrame(star, "u long, v long")).collect()}
     assert got == {7: 7} | {i: 7 for i in range(100, 1500)} | {i: 5000 for i in range(5000, 5051)} | {i: i - i % 2 for i in range(9000, 9100)}

@@ -9,12 +9,18 @@ edit distance.
 
 Only hashes travel in the join; texts are fetched for lines that have a candidate. A line's id carries its counts of eight
 letters: an edit adds one letter and takes one away at most, so pairs whose counts are further apart never leave the join.
-This keeps it small where many lines share a passage and differ elsewhere.
+
+A segment that more than FREQUENT lines have in the index is not joined. What its lines have besides it is at most
+THRESHOLD edits apart if the lines are, so it is cut anew, into 3 x THRESHOLD segments of which all but THRESHOLD must be
+equal: the key is all of these together, and what remains for a next round, where a key is frequent again, is a
+third of the text. So every joined key has few lines in the index and the join grows with the lines, whatever
+passage they share; at the end of the rounds all that is left of two lines are THRESHOLD characters, that is, they are near.
 """
 
 from __future__ import annotations
 
 from functools import reduce
+from itertools import combinations, product
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -26,11 +32,13 @@ THRESHOLD = 2
 LEAST_CHARS = 20
 #: Ids of candidate lines up to which they are broadcast (16 bytes each); more are joined by a shuffle.
 BROADCAST_IDS = 1_000_000
+#: Lines with one segment in the index beyond which it is cut anew.
+FREQUENT = 64
 #: Letters that are counted; which ones matters for speed only.
 LETTERS = "enirtaso"
 
 
-def segment_bounds(length: Column, i: int, segments: int) -> tuple[Column, Column]:
+def segment_bounds(length: Column, i: int | Column, segments: int) -> tuple[Column, Column]:
     """Start (from 0) and length of segment i of a line: as even as can be, the longer ones last."""
     short = F.floor(length / segments).cast("int")
     longer = (length % segments).cast("int")
@@ -54,20 +62,66 @@ def probe_plan(threshold: int) -> list[tuple[int, int, int]]:
     return out
 
 
-def segment_keys(line: Column, threshold: int, least_chars: int) -> Column:
-    """Array of hashes: the line's own threshold + 1 segments, then its probes (null where there is none)."""
-    n, length = threshold + 1, F.char_length(line)
-    keys = []
+def segment_spans(length: Column, threshold: int, least_chars: int) -> list[tuple[Column, int, Column, Column, Column]]:
+    """Of a line's own threshold + 1 segments, then of its probes: length of the indexed line, segment, start and size in the line, whether it fits."""
+    n, out = threshold + 1, []
     for i in range(n):
-        start, size = segment_bounds(length, i, n)
-        keys.append(F.xxhash64(length, F.lit(i), F.substring(line, start + 1, size)))
+        out.append((length, i, *segment_bounds(length, i, n), F.lit(True)))
     for shorter, i, offset in probe_plan(threshold):
         other = length - shorter
         start, size = segment_bounds(other, i, n)
         at = start + offset
-        fits = (other >= least_chars) & (at >= 0) & (at + size <= length)
-        keys.append(F.when(fits, F.xxhash64(other, F.lit(i), F.substring(line, at + 1, size))))
-    return F.array(*keys)
+        out.append((other, i, at, size, (other >= least_chars) & (at >= 0) & (at + size <= length)))
+    return out
+
+
+def segment_keys(line: Column, threshold: int, least_chars: int) -> Column:
+    """Array of hashes: the line's own threshold + 1 segments, then its probes (null where there is none)."""
+    spans = segment_spans(F.char_length(line), threshold, least_chars)
+    return F.array(*[F.when(fits, F.xxhash64(other, F.lit(i), F.substring(line, at + 1, size))) for other, i, at, size, fits in spans])
+
+
+def without_segment(line: Column, n: Column, threshold: int, least_chars: int) -> Column:
+    """The line without what its n-th key was made of."""
+    spans = F.array(*[F.struct(at.alias("at"), size.alias("size")) for _, _, at, size, _ in segment_spans(F.char_length(line), threshold, least_chars)])
+    span = F.get(spans, n)
+    return F.concat(F.left(line, span["at"]), F.substring(line, span["at"] + span["size"] + 1, F.char_length(line)))
+
+
+def rest_plan(threshold: int) -> list[tuple[bool, int, int, list[int], list[int]]]:
+    """(own, how much shorter the indexed text is, number of the choice, skipped segments, offsets behind each of them).
+
+    Edits touch `threshold` of 3 x threshold segments at most; the others stand in the longer text as they are, and the
+    offset changes at skipped segments only, in all by no more than the edits.
+    """
+    out = []
+    for number, skipped in enumerate(combinations(range(3 * threshold), threshold)):
+        for offsets in product(range(-threshold, threshold + 1), repeat=threshold):
+            moves = [z - a for a, z in zip((0, *offsets), offsets, strict=False)]
+            if offsets[-1] >= 0 and sum(map(abs, moves)) <= threshold:
+                out.append((not any(offsets), offsets[-1], number, list(skipped), list(offsets)))
+    return out
+
+
+def rest_keys(rows: DataFrame, threshold: int) -> DataFrame:
+    """rows (id, own, group, s) by all choices of skipped segments: id, own, key, small (nothing but edits is left), and
+    rest, what the key leaves out. A row whose text is not its own, but probes for another's, is no index."""
+    kind = "array<struct<own:boolean,shorter:int,number:int,skipped:array<int>,offsets:array<int>>>"
+    plan = F.array(*[F.struct(F.lit(o), F.lit(d), F.lit(k), F.array(*map(F.lit, p)), F.array(*map(F.lit, s))) for o, d, k, p, s in rest_plan(threshold)]).cast(kind)
+    rows = rows.withColumn("v", F.explode(plan))
+    rows = rows.withColumn("length", F.char_length("s") - F.col("v.shorter")).where("length >= 0")
+    at, kept, left, fits = F.lit(0), [], [], F.lit(True)
+    before = F.lit(0)
+    for j in range(threshold):
+        start, size = segment_bounds(F.col("length"), F.col("v.skipped")[j], 3 * threshold)
+        after = F.col("v.offsets")[j]
+        kept.append(F.substring("s", at + 1, start + before - at))
+        left.append(F.substring("s", start + before + 1, size + after - before))
+        fits = fits & (size + after - before >= 0)
+        at, before = start + size + after, after
+    kept.append(F.substring("s", at + 1, F.char_length("s")))
+    key = F.xxhash64("group", "length", "v.number", *kept)
+    return rows.where(fits).select("id", (F.col("own") & F.col("v.own")).alias("own"), key.alias("key"), (F.col("length") <= threshold).alias("small"), F.concat(*left).alias("rest"))
 
 
 def line_id(line: Column, h: Column) -> Column:
@@ -98,14 +152,16 @@ def within_edits(rows: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
     j + k - threshold characters of a are within e edits of them. A character shifts the diagonals' words by match,
     substitution, insertion and deletion at once.
     """
-    rows = rows.withColumns({"x": F.col(a), "y": F.col(b)})
-    for step in [1 << k for k in range(12, -1, -1)]:
-        for head in (True, False):
-            end = F.left if head else F.right
-            rest = (lambda s, n=step: F.substring(s, F.lit(n + 1), F.char_length(s))) if head else (lambda s, n=step: F.left(s, F.char_length(s) - n))
-            same = (F.char_length("x") >= step) & (F.char_length("y") >= step) & (end(F.col("x"), F.lit(step)) == end(F.col("y"), F.lit(step)))
-            rows = rows.withColumn("same", same).withColumns({c: F.when(F.col("same"), rest(F.col(c))).otherwise(F.col(c)) for c in ("x", "y")})
-    rows = rows.withColumns({"n_x": F.char_length("x"), "n_y": F.char_length("y")})
+    steps = F.array(*[F.lit(1 << k) for k in range(12, -1, -1)])
+    n_a, n_b = F.char_length(a), F.char_length(b)
+    most = F.least(n_a, n_b)
+    alike = lambda x, y, step: F.substring(F.col(a), x, step) == F.substring(F.col(b), y, step)
+    head = F.aggregate(steps, F.lit(0), lambda k, step: F.when((k + step <= most) & alike(k + 1, k + 1, step), k + step).otherwise(k))
+    rows = rows.withColumn("head", head)
+    tail = F.aggregate(steps, F.lit(0), lambda k, step: F.when((F.col("head") + k + step <= most) & alike(n_a - k - step + 1, n_b - k - step + 1, step), k + step).otherwise(k))
+    rows = rows.withColumn("tail", tail)
+    rows = rows.withColumns({"n_x": n_a - F.col("head") - F.col("tail"), "n_y": n_b - F.col("head") - F.col("tail")})
+    rows = rows.withColumns({"x": F.substring(F.col(a), F.col("head") + 1, F.col("n_x")), "y": F.substring(F.col(b), F.col("head") + 1, F.col("n_y"))})
     rows = rows.withColumn("open", (F.abs(F.col("n_x") - F.col("n_y")) <= threshold) & (F.greatest("n_x", "n_y") > threshold) & (F.col("n_y") > 0) & _possible(threshold))
     rows = rows.withColumns({"xs": F.when(F.col("open"), F.split("x", "")), "ys": F.when(F.col("open"), F.split("y", ""))})
     rows = rows.withColumn("ys", F.transform("ys", lambda c, j: F.struct(c.alias("c"), j.alias("j"))))
@@ -132,7 +188,7 @@ def within_edits(rows: DataFrame, a: str, b: str, threshold: int) -> DataFrame:
     end = F.col("n_x") - F.col("n_y") + threshold
     near = F.when(F.col("open"), F.call_function("shiftright", last, end).bitwiseAND(F.lit(1)) == 1)
     near = near.otherwise(F.greatest("n_x", "n_y") <= threshold)
-    return rows.withColumn("near", near).drop("x", "y", "same", "open", "xs", "ys", "n_x", "n_y")
+    return rows.withColumn("near", near).drop("x", "y", "head", "tail", "open", "xs", "ys", "n_x", "n_y")
 
 
 def _possible(threshold: int) -> Column:
@@ -161,27 +217,57 @@ def has_word(line: Column) -> Column:
     return line.rlike(f"[^{BLANKS}]")
 
 
+def meet(probes: DataFrame, index: DataFrame, threshold: int) -> DataFrame:
+    """Pairs (a_id, b_id) of lines that share a key and whose letters allow for threshold edits."""
+    p, i = probes.select("id", "own", "key").alias("p"), index.select("id", "key").alias("i")
+    # two own segments that meet would meet twice
+    once = F.when(F.col("p.own"), F.col("p.id") < F.col("i.id")).otherwise(F.col("p.id") != F.col("i.id"))
+    met = p.join(i, (F.col("p.key") == F.col("i.key")) & once & counts_within(F.col("p.id"), F.col("i.id"), threshold))
+    return met.select(F.least("p.id", "i.id").alias("a_id"), F.greatest("p.id", "i.id").alias("b_id"))
+
+
+def frequent_keys(own: DataFrame) -> tuple[DataFrame, bool]:
+    """Keys that more than FREQUENT rows have, marked for broadcast where they are few, and whether there are any."""
+    keys = cut(own.groupBy("key").count().where(F.col("count") > FREQUENT).select("key"))
+    n = keys.count()
+    return (F.broadcast(keys) if n <= BROADCAST_IDS else keys), n > 0
+
+
+def candidates(lines: DataFrame, rows: DataFrame, threshold: int, least_chars: int) -> DataFrame:
+    """Pairs (a_id, b_id) of all lines within threshold edits, and some more. Keys have FREQUENT lines in the index at most
+    when they are joined, but for those that leave no more than threshold characters out."""
+    probes = lines.select("h1", "h2", "id", F.posexplode("keys").alias("n", "key")).where("key is not null").withColumn("own", F.col("n") <= threshold)
+    own = lines.select("id", F.explode(F.slice("keys", 1, threshold + 1)).alias("key"))
+    frequent, some = frequent_keys(own)
+    if not some:
+        return meet(probes, own, threshold)
+    pairs = meet(probes.join(frequent, "key", "left_anti"), own.join(frequent, "key", "left_anti"), threshold)
+    hot = cut(probes.join(frequent, "key", "left_semi"))
+    texts = rows.join(hot.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
+    level = hot.join(texts, ["h1", "h2"]).select("id", "own", F.col("key").alias("group"), without_segment(F.col("line"), F.col("n"), threshold, least_chars).alias("s"))
+    while True:
+        level = cut(level)
+        keyed = rest_keys(level, threshold)
+        frequent, some = frequent_keys(keyed.where("own and not small"))
+        joined = keyed.join(frequent, "key", "left_anti") if some else keyed
+        pairs = pairs.unionByName(meet(joined, joined.where("own"), threshold))
+        if not some:
+            return pairs
+        level = keyed.join(frequent, "key", "left_semi").select("id", "own", F.col("key").alias("group"), F.col("rest").alias("s")).distinct()
+
+
 def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, least_chars: int, short_lines: bool = False) -> tuple[DataFrame, DataFrame]:
     """The first occurrence of each distinct line (h1, h2, place), and those among them that repeat an earlier line with edits (h1, h2)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), row_key(docs).alias("row_key"), F.posexplode(F.split(text_col, "\n")).alias("line_no", "line"))
     long = F.char_length("line") >= least_chars
     rows = rows.where(long | has_word(F.col("line")) if short_lines else long).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "line_no")
-    firsts = cut(rows.groupBy("h1", "h2").agg(F.min(place).alias("place")))
-    rows = rows.where(long)
-    keyed = rows.select("h1", "h2", line_id(F.col("line"), F.col("h1")).alias("id"), segment_keys(F.col("line"), threshold, least_chars).alias("keys"))
-    keyed = keyed.groupBy("h1", "h2").agg(F.first("id").alias("id"), F.first("keys").alias("keys"))
-    # own segments are the index and also serve as probes. Both sides of the join are one shuffle: which rows are index is
-    # asked together with the letter counts, so that no filter makes the sides differ
-    segments = keyed.select("id", F.posexplode("keys").alias("n", "key")).where("key is not null")
-    segments = segments.select("key", F.col("id"), (F.col("n") <= threshold).alias("own"))
-    probes, index = segments.alias("p"), segments.alias("i")
-    fits = F.when(F.col("i.own"), counts_within(F.col("p.id"), F.col("i.id"), threshold)).otherwise(F.col("p.id") == F.col("i.id"))
-    # two own segments that meet would meet twice
-    once = F.when(F.col("p.own") & F.col("i.own"), F.col("p.id") < F.col("i.id")).otherwise(F.col("p.id") != F.col("i.id"))
-    pairs = probes.join(index, (F.col("p.key") == F.col("i.key")) & once & fits)
-    pairs = pairs.select(F.col("p.id").alias("p"), F.col("i.id").alias("i"))
-    pairs = cut(pairs.select(F.least("p", "i").alias("a_id"), F.greatest("p", "i").alias("b_id")).distinct())
+    keyed = rows.select("h1", "h2", place.alias("place"), line_id(F.col("line"), F.col("h1")).alias("id"), F.when(long, segment_keys(F.col("line"), threshold, least_chars)).alias("keys"))
+    lines = cut(keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("id").alias("id"), F.first("keys").alias("keys")))
+    firsts, rows = lines.select("h1", "h2", "place"), rows.where(long)
+    pairs = cut(candidates(lines, rows, threshold, least_chars).distinct())
+    if pairs.isEmpty():
+        return firsts, lines.select("h1", "h2").limit(0)
     # lines are chosen by the hash bits of their ids; letters are counted only for those
     ids = cut(pairs.select(F.col("a_id").alias("id")).union(pairs.select("b_id")).select(F.shiftright("id", 4 * len(LETTERS)).alias("hash")).distinct())
     chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids

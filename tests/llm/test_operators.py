@@ -137,12 +137,36 @@ def test_quality(spark, docs):
     assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == sorted(d for d, *_, k in want if k)
 
 
-@pytest.mark.parametrize("threshold", [1, 2])
-def test_line_dedup(docs, threshold):
+@pytest.mark.parametrize(("threshold", "frequent"), [(1, 64), (2, 64), (1, 1), (2, 1)])
+def test_line_dedup(docs, threshold, frequent, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FREQUENT", frequent)
     got = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(docs, threshold=threshold).collect()}
     assert [got[d] for d, *_ in DOCS] == plain.dedup_lines([(d, t) for d, t, *_ in DOCS], threshold)
 
 
+@pytest.mark.parametrize(("threshold", "frequent"), [(1, 1), (2, 1), (2, 5)])
+def test_candidates_of_shared_passages(spark, threshold, frequent, monkeypatch):
+    """Lines that share most of their text are cut anew round by round; no near pair is lost."""
+    monkeypatch.setattr(line_dedup, "FREQUENT", frequent)
+    rnd = random.Random(threshold + frequent)
+    texts = set()
+    for _ in range(150):
+        passage = rnd.choice(["the shared passage of some lines", "another one, short"])
+        x = list(rnd.choice(["", "ab", "xyz "]) + passage + "".join(rnd.choice("ab") for _ in range(rnd.randrange(2, 6))) + rnd.choice(["", passage]))
+        for _ in range(rnd.randrange(3)):
+            i = rnd.randrange(len(x) + 1)
+            x[i : i + rnd.randrange(2)] = rnd.choice(["", "é", "b"])
+        texts.add("".join(x))
+    texts = sorted(t for t in texts if len(t) >= 20)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = docs.select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), F.col("text").alias("line"))
+    lines = rows.select("h1", "h2", line_dedup.line_id(F.col("line"), F.col("h1")).alias("id"), line_dedup.segment_keys(F.col("line"), threshold, 20).alias("keys"), "line").cache()
+    name = {r["id"]: r["line"] for r in lines.collect()}
+    got = {tuple(sorted((name[r["a_id"]], name[r["b_id"]]))) for r in line_dedup.candidates(lines, rows, threshold, 20).collect()}
+    want = {(a, b) for i, a in enumerate(texts) for b in texts[i + 1 :] if plain.edits(a, b) <= threshold}
+    assert len(want) > 20 and want <= got
+
+
 def test_edit_distance(spark):
     rnd = random.Random(3)
     pairs = []

@@ -18,6 +18,12 @@ def _fs(uri: str):
     return fs.FileSystem.from_uri(uri)
 
 
+def open_file(uri: str):
+    """A file for reading and seeking."""
+    fs, path = _fs(uri)
+    return open(path, "rb") if fs is None else fs.open_input_file(path)
+
+
 class FolderWriter:
     """Writes a folder of files that appears under its final name only when complete.
 

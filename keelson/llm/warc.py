@@ -1,10 +1,11 @@
 """WARC archives: a writer with revisit records and a reader that salvages damaged files.
 
-Each record is a gzip member of its own. Records of equal payloads point at one response. The reader goes through an
-archive member by member (or, in a plain file, record by record). After a failed check - a member that doesn't inflate
-or whose CRC is wrong, a header that doesn't parse, a length beyond the data, a payload digest that differs - it looks
-for the next member that inflates to a version line, or the next version line, goes on there, and reports the bytes in
-between as a quarantined gap.
+Each record is a gzip member of its own. Records of equal payloads point at one response. The reader streams through an
+archive member by member and record by record, so it holds one record at a time whatever the archive's size. After a
+failed check - a member that doesn't inflate or whose CRC is wrong, a header that doesn't parse, a length beyond the data,
+a payload digest that differs - it looks for the next member that inflates to a version line, or the next version line,
+goes on there, and reports the bytes in between as a quarantined gap. Of a member that fails as a whole, the records whose
+payload digests hold are recovered.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -22,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.llm.common import cut, fresh_dir, table
-from keelson.llm.files import FolderWriter
+from keelson.llm.files import FolderWriter, open_file
 
 #: Payloads from this size on may be replaced by a reference to an equal one.
 REVISIT_BYTES = 1000
@@ -31,6 +32,12 @@ ARCHIVE_BYTES = 8 << 20
 LEVEL = 3
 MAGIC = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/1\.[01]\r?\n")
+START = re.compile(re.escape(MAGIC) + rb"|WARC/1\.[01]\r?\n")
+HEADER_END = re.compile(rb"\r?\n\r?\n")
+#: Bytes read at a time; the longest header; the longest record, beyond which it is quarantined as a gap.
+PIECE, HEADER_BYTES, RECORD_BYTES = 1 << 18, 1 << 20, 1 << 28
+#: Gaps up to this size come with their bytes.
+GAP_BYTES = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -67,6 +74,7 @@ class Record:
     offset: int
     fields: dict[str, str]
     block: bytes
+    verified: bool = False  # its payload has the digest that the header gives
 
     @property
     def payload(self) -> bytes | None:
@@ -86,108 +94,219 @@ class Damage(Exception):
     pass
 
 
-def parse_record(data: bytes, at: int, offset: int) -> tuple[Record, int]:
-    """The record at data[at:], checked, and the place after it; offset is where it stands in the archive."""
-    m = VERSION.match(data, at)
+@dataclass
+class Gap:
+    """Quarantined bytes: a range of the archive, or of the inflated member that stands in that range."""
+
+    offset: int
+    end: int
+    reason: str
+    inner: int | None = None
+    inner_end: int | None = None
+
+
+def sha1_hex(field: str) -> str | None:
+    """The digest of a field like sha1:..., in base32 or hex of any case, as lower-case hex; None for all else."""
+    kind, _, value = field.strip().partition(":")
+    if kind.lower() != "sha1":
+        return None
+    if re.fullmatch(r"[0-9a-fA-F]{40}", value):
+        return value.lower()
+    return base64.b32decode(value.upper()).hex() if re.fullmatch(r"[A-Za-z2-7]{32}", value) else None
+
+
+class Feed:
+    """Bytes that come in pieces: read() gives the next ones, none at the end. buf begins at pos."""
+
+    def __init__(self, read, size: int | None = None):
+        self.read, self.size, self.buf, self.pos, self.ended = read, size, bytearray(), 0, False
+
+    def ensure(self, n: int) -> bool:
+        """Whether n bytes are there, read as far as needed."""
+        while len(self.buf) < n and not self.ended:
+            if piece := self.read():
+                self.buf += piece
+            else:
+                self.ended = True
+        return len(self.buf) >= n
+
+    def drop(self, n: int) -> None:
+        del self.buf[:n]
+        self.pos += n
+
+
+def file_feed(f, at: int, size: int) -> Feed:
+    place = at
+
+    def read() -> bytes:
+        nonlocal place
+        f.seek(place)
+        piece = f.read(PIECE)
+        place += len(piece)
+        return piece
+
+    return Feed(read, size - at)
+
+
+class Member:
+    """The gzip member at a place of a file, inflated piece by piece; then either end or error is set."""
+
+    def __init__(self, f, at: int):
+        self.f, self.at, self.end, self.error = f, at, None, None
+        self.z, self.waiting = zlib.decompressobj(31), b""
+
+    def read(self) -> bytes:
+        while self.end is None and self.error is None:
+            if not self.waiting:
+                self.f.seek(self.at)
+                self.waiting = self.f.read(PIECE)
+                self.at += len(self.waiting)
+                if not self.waiting:
+                    self.error = "member is cut off"
+                    break
+            before = self.z.copy()
+            try:
+                out = self.z.decompress(self.waiting, 4 * PIECE)
+            except zlib.error as e:
+                self.error = f"member doesn't inflate: {e}"
+                return self._last(before)
+            self.waiting = self.z.unconsumed_tail
+            if self.z.eof:
+                self.end = self.at - len(self.z.unused_data)
+            if out:
+                return out
+        return b""
+
+    def _last(self, z) -> bytes:
+        """What the bytes in front of the damage give."""
+        out = bytearray()
+        try:
+            for i in range(len(self.waiting)):
+                out += z.decompress(self.waiting[i : i + 1])
+        except zlib.error:
+            pass
+        return bytes(out)
+
+    def check(self) -> Member:
+        """Inflates all of it and forgets it."""
+        while self.read():
+            pass
+        return self
+
+
+def parse_record(feed: Feed, offset: int, most: int) -> tuple[Record, int]:
+    """The record that the feed begins with, checked, and its size; offset is where it stands in the archive."""
+    feed.ensure(12)
+    m = VERSION.match(feed.buf)
     if not m:
         raise Damage("no version line")
-    end = re.compile(rb"\r?\n\r?\n").search(data, m.end() - 1)
-    if not end:
-        raise Damage("header without end")
+    end, looked = None, m.end() - 1
+    while not (end := HEADER_END.search(feed.buf, looked)):
+        looked = max(m.end() - 1, len(feed.buf) - 4)
+        if len(feed.buf) > HEADER_BYTES or not feed.ensure(len(feed.buf) + 1):
+            raise Damage("header without end")
     fields: dict[str, str] = {}
-    for line in data[m.end() : end.start()].splitlines():
+    for line in bytes(feed.buf[m.end() : end.start()]).splitlines():
         name, sep, value = line.partition(b":")
         if not sep:
             raise Damage("header line without a colon")
         fields[name.strip().lower().decode("utf-8", "replace")] = value.strip().decode("utf-8", "replace")
-    if not re.fullmatch(r"\d+", fields.get("content-length", "")):
+    if not re.fullmatch(r"\d{1,18}", fields.get("content-length", ""), re.A):
         raise Damage("no content length")
-    stop = end.end() + int(fields["content-length"])
-    if stop > len(data) or data[stop : stop + 4] != b"\r\n\r\n":
+    start = end.end()
+    stop = start + int(fields["content-length"])
+    if feed.size is not None and feed.pos + stop + 4 > feed.size:
+        raise Damage("block doesn't end where its length says")
+    if stop > most:
+        raise Damage(f"record of more than {most} bytes")
+    if not feed.ensure(stop + 4) or feed.buf[stop : stop + 4] != b"\r\n\r\n":
         raise Damage("block doesn't end where its length says")
-    record = Record(offset, fields, data[end.end() : stop])
-    said = fields.get("warc-payload-digest", "")
-    if said.startswith("sha1:") and record.payload is not None and base64.b32encode(hashlib.sha1(record.payload).digest()).decode() != said[5:].upper():
-        raise Damage("payload digest differs")
+    record = Record(offset, fields, bytes(memoryview(feed.buf)[start:stop]))
+    said = sha1_hex(fields.get("warc-payload-digest", ""))
+    if said and record.payload is not None:
+        if hashlib.sha1(record.payload).hexdigest() != said:
+            raise Damage("payload digest differs")
+        record.verified = True
     return record, stop + 4
 
 
-def _inflate(data: bytes, at: int, most: int | None = None) -> tuple[bytes, int]:
-    """The member at data[at:] and the place after it; with `most` only its first bytes, unchecked."""
-    z, view, out, step = zlib.decompressobj(31), memoryview(data), [], 1 << 15
-    try:
-        if most is not None:
-            return z.decompress(view[at : at + 4096], most), at
-        while not z.eof:
-            if at >= len(data):
-                raise Damage("member is cut off")
-            out.append(z.decompress(view[at : at + step]))
-            at += step
-    except zlib.error as e:
-        raise Damage(f"member doesn't inflate: {e}") from e
-    return b"".join(out), min(at, len(data)) - len(z.unused_data)
-
-
-@dataclass
-class Salvage:
-    records: list[Record] = field(default_factory=list)
-    gaps: list[tuple[int, int, str]] = field(default_factory=list)  # start, end, reason
-
-
-def salvage(data: bytes) -> Salvage:
-    """All records of an archive that pass their checks, and the byte ranges that had to be left out."""
-    out, at, n = Salvage(), 0, len(data)
-    while at < n:
-        packed = data.startswith(MAGIC, at)
+def records_in(feed: Feed, offset: int, end: int, most: int, sound: bool) -> Iterator[Record | Gap]:
+    """Records of an inflated member and the gaps between them; of a member that isn't sound, only records whose digest holds."""
+    lost, why = None, ""
+    while feed.ensure(1):
         try:
-            if packed:
-                body, after = _inflate(data, at)
-                inner, found = 0, []
-                while inner < len(body):  # usually one record a member, but a whole file may be one member
-                    record, inner = parse_record(body, inner, at)
-                    found.append(record)
-                out.records += found
-            else:
-                record, after = parse_record(data, at, at)
-                out.records.append(record)
-            at = after
+            record, size = parse_record(feed, offset, most)
         except Damage as e:
-            if packed and "member" not in str(e):
-                inner = salvage_plain(body, at)
-                out.records += inner
-                out.gaps.append((at, after, str(e)))
-                at = after
+            if lost is None:
+                lost, why = feed.pos, str(e)
+            feed.drop(1)
+            skip_to_version(feed)
+            continue
+        if lost is not None and sound:
+            yield Gap(offset, end, why, lost, feed.pos)
+        lost = None
+        feed.drop(size)
+        if sound or record.verified:
+            yield record
+    if lost is not None and sound:
+        yield Gap(offset, end, why, lost, feed.pos)
+
+
+def skip_to_version(feed: Feed) -> None:
+    while feed.ensure(1):
+        m = VERSION.search(feed.buf)
+        if m:
+            feed.drop(m.start())
+            return
+        held = len(feed.buf)
+        if not feed.ensure(held + 1):
+            feed.drop(len(feed.buf))
+        else:
+            feed.drop(max(0, held - 16))  # a version line may be cut
+
+
+def salvage(f, most: int = RECORD_BYTES) -> Iterator[Record | Gap]:
+    """All records of an archive (a seekable file) that pass their checks, and the byte ranges that had to be left out."""
+    size, at = f.seek(0, 2), 0
+    while at < size:
+        f.seek(at)
+        if f.read(3) == MAGIC:
+            whole = Member(f, at).check()
+            if whole.error is None:
+                yield from records_in(Feed(Member(f, at).read), at, whole.end, most, True)
+                at = whole.end
                 continue
-            start, at = at, next_start(data, at + 1)
-            out.gaps.append((start, at, str(e)))
-    return out
-
-
-def salvage_plain(body: bytes, offset: int) -> list[Record]:
-    """The sound records of an inflated member that also holds damaged ones."""
-    found, at = [], 0
-    while at < len(body):
-        try:
-            record, at = parse_record(body, at, offset)
-            found.append(record)
-        except Damage:
-            m = VERSION.search(body, at + 1)
-            at = m.start() if m else len(body)
-    return found
+            yield from records_in(Feed(Member(f, at).read), at, size, most, False)
+            why = whole.error
+        else:
+            feed = file_feed(f, at, size)
+            try:
+                record, n = parse_record(feed, at, most)
+                yield record
+                at += n
+                continue
+            except Damage as e:
+                why = str(e)
+        end = next_start(f, at + 1, size)
+        yield Gap(at, end, why)
+        at = end
 
 
-def next_start(data: bytes, at: int) -> int:
+def next_start(f, at: int, size: int) -> int:
     """The next place from `at` on where a member inflates to a version line or a version line stands."""
-    line = VERSION.search(data, at)
-    limit = line.start() if line else len(data)
-    while (at := data.find(MAGIC, at, limit)) >= 0:
-        try:
-            if VERSION.match(_inflate(data, at, 64)[0]):
-                return at
-        except Damage:
-            pass
-        at += 1
-    return limit
+    while at < size:
+        f.seek(at)
+        piece = f.read(PIECE)
+        last = at + len(piece) >= size
+        for m in START.finditer(piece):
+            if m[0] != MAGIC:
+                return at + m.start()
+            if VERSION.match(Member(f, at + m.start()).read()[:64]):
+                return at + m.start()
+        if last:
+            break
+        at += len(piece) - 16
+    return size
 
 
 # --- tables
@@ -242,37 +361,60 @@ def write_warc(pages: DataFrame, root: str, id_col: str = "page_id", url_col: st
     return cut(assign_records(pages, id_col, url_col, html_col, least).mapInArrow(_write(root, archive_bytes), "part long, archives long, records long"))
 
 
-RECORDS = "archive string, offset long, end long, record_type string, record_id string, url string, payload_bytes long, payload_digest string, refers_to string, payload binary, gap string"
+RECORDS = "archive string, offset long, end long, inner long, inner_end long, record_type string, record_id string, url string, payload_bytes long, payload_digest string, refers_to string, payload binary, gap string"
 
 
-def _read(with_payload: bool):
+def _row(path: str, found: Record | Gap, f, with_payload: bool) -> tuple:
+    if isinstance(found, Gap):
+        data = None
+        if with_payload and found.inner is None and found.end - found.offset <= GAP_BYTES:
+            f.seek(found.offset)
+            data = f.read(found.end - found.offset)
+        return (path, found.offset, found.end, found.inner, found.inner_end, None, None, None, None, None, None, data, found.reason)
+    payload, fields = found.payload, found.fields
+    digest = sha1_hex(fields.get("warc-payload-digest", "")) or (None if payload is None else hashlib.sha1(payload).hexdigest())
+    n = len(payload) if payload is not None else found.http_length
+    return (path, found.offset, None, None, None, fields.get("warc-type"), fields.get("warc-record-id"), fields.get("warc-target-uri"), n, digest, fields.get("warc-refers-to"), payload if with_payload else None, None)
+
+
+def _read(with_payload: bool, most: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [x.split()[0] for x in RECORDS.split(", ")]
-        kinds = [pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary(), pa.string()]
+        names, kinds = zip(*(x.split() for x in RECORDS.split(", ")), strict=True)
+        kinds = [{"string": pa.string(), "long": pa.int64(), "binary": pa.binary()}[k] for k in kinds]
+        rows: list[tuple] = []
+        size = 0
+
+        def give() -> pa.RecordBatch:
+            b = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)], names)
+            rows.clear()
+            return b
+
         for b in batches:
-            for path, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                found, rows = salvage(data.as_py()), []
-                for r in found.records:
-                    payload, said = r.payload, r.fields.get("warc-payload-digest", "")
-                    digest = base64.b32decode(said[5:]).hex() if said.startswith("sha1:") else None
-                    n = len(payload) if payload is not None else r.http_length
-                    rows.append((path, r.offset, None, r.fields.get("warc-type"), r.fields.get("warc-record-id"), r.fields.get("warc-target-uri"), n, digest, r.fields.get("warc-refers-to"), payload if with_payload else None, None))
-                rows += [(path, a, z, None, None, None, None, None, None, data.as_py()[a:z] if with_payload else None, why) for a, z, why in found.gaps]
-                for i in range(0, len(rows), 1000):
-                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows[i : i + 1000], strict=True), kinds, strict=True)], names)
+            for path in b.column(0).to_pylist():
+                with open_file(path) as f:
+                    for found in salvage(f, most):
+                        rows.append(_row(path, found, f, with_payload))
+                        size += len(rows[-1][11] or b"")
+                        if len(rows) >= 1000 or size >= 16 << 20:
+                            yield give()
+                            size = 0
+        if rows:
+            yield give()
 
     return run
 
 
-def read_warc(spark: SparkSession, *paths: str, with_payload: bool = True) -> DataFrame:
+def read_warc(spark: SparkSession, *paths: str, with_payload: bool = True, most: int = RECORD_BYTES) -> DataFrame:
     """The records of archives, gzipped by record, gzipped as a whole or plain, and the quarantined gaps.
 
-    Gaps are rows with a reason in `gap` and the byte range offset to end; records have gap null. payload is null in
-    revisits; payload_bytes is then the length that the HTTP header gives. Archives are read by Spark, so any path that
-    Spark opens will do; an archive is read by one task and should be far smaller than its memory.
+    Gaps are rows with a reason in `gap` and the byte range offset to end; inside a sound member the range inner to
+    inner_end of its inflated bytes. Records have gap null. payload is null in revisits, whose payload_bytes is the length
+    that the HTTP header gives; small gaps have their bytes in it. payload_digest is the record's own sha1 (base32 or hex, in
+    hex) or, where it gives none that can be read, that of the payload. Spark lists the archives, tasks stream them: each is
+    read by one task, a record at a time, and may be of any size. A record of more than `most` bytes is a gap.
     """
-    files = spark.read.format("binaryFile").load(list(paths)).select("path", "content")
-    return files.mapInArrow(_read(with_payload), RECORDS)
+    files = spark.read.format("binaryFile").load(list(paths)).select("path")
+    return files.mapInArrow(_read(with_payload, most), RECORDS)
 
 
 def page_of(record_id: str):
@@ -281,10 +423,15 @@ def page_of(record_id: str):
 
 
 def op8_warc(spark, sf_dir: str) -> DataFrame:
+    """Writes and reads back all pages. Records that are lost on the way are an error, not a shorter result."""
     root = fresh_dir(spark, "warc")
-    if write_warc(table(spark, sf_dir, "pages"), root).isEmpty():
+    written = write_warc(table(spark, sf_dir, "pages"), root).agg(F.sum("records")).first()[0] or 0
+    if not written:
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    records = read_warc(spark, f"{root}/part-*/*.warc.gz", with_payload=False).where("gap is null")
+    records = cut(read_warc(spark, f"{root}/part-*/*.warc.gz", with_payload=False))
+    read = records.agg(F.count_if(F.col("gap").isNull()).alias("records"), F.count("gap").alias("gaps")).first()
+    if read["gaps"] or read["records"] != written:
+        raise ValueError(f"{written} records written, {read['records']} read, {read['gaps']} gaps below {root}")
     return records.select(page_of("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", page_of("refers_to").alias("refers_to"))
 
 

@@ -298,6 +298,15 @@ def test_warc_quarantine(spark, tmp_path):
     assert len(got) == 3 and (gap[0]["offset"], gap[0]["end"]) == (len(good[0]), len(good[0]) + len(bad)) and bytes(gap[0]["payload"]) == bytes(bad)
 
 
+def test_warc_fails_on_lost_records(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(PAGES, PAGE_SCHEMA).write.parquet(f"{tmp_path}/pages.parquet")
+    assert warc.op8_warc(spark, str(tmp_path)).count() == len(PAGES)
+    whole = warc.read_warc
+    monkeypatch.setattr(warc, "read_warc", lambda *a, **k: whole(*a, **k).limit(3))
+    with pytest.raises(ValueError, match="3 read"):
+        warc.op8_warc(spark, str(tmp_path))
+
+
 def test_html(spark):
     pages = clash(spark.createDataFrame(PAGES, PAGE_SCHEMA), "host", "wrapper", "text", "n_chars")
     got = {r["page_id"]: r for r in html_extract.extract_pages(pages).collect()}

@@ -1,10 +1,14 @@
 """The operators' parts against plain Python."""
 
+import base64
 import hashlib
+import io
 import random
 import subprocess
 import sys
 import time
+import tracemalloc
+import zlib
 from pathlib import Path
 
 import numpy as np
@@ -202,26 +206,81 @@ def records(n=6):
     return out
 
 
-def test_salvage():
+def salvaged(data, **options):
+    found = list(warc.salvage(io.BytesIO(data), **options))
+    return [x for x in found if isinstance(x, warc.Record)], [x for x in found if isinstance(x, warc.Gap)]
+
+
+@pytest.mark.parametrize("piece", [64, 1 << 18])
+def test_salvage(piece, monkeypatch):
+    monkeypatch.setattr(warc, "PIECE", piece)
     rs = records()
     ms = [warc.member(r) for r in rs]
     at = np.cumsum([0, *map(len, ms)]).tolist()
     data = b"".join(ms)
-    whole = warc.salvage(data)
-    assert len(whole.records) == 6 and not whole.gaps and whole.records[2].payload == b"<p>page 2</p>" * 50
+    found, gaps = salvaged(data)
+    assert len(found) == 6 and not gaps and found[2].payload == b"<p>page 2</p>" * 50
     bad = bytearray(data)
     bad[at[2] + 40] ^= 0xFF
-    s = warc.salvage(bytes(bad))
-    assert len(s.records) == 5 and [g[:2] for g in s.gaps] == [(at[2], at[3])]
-    assert [g[:2] for g in warc.salvage(data[: at[5] + 30]).gaps] == [(at[5], at[5] + 30)]
+    found, gaps = salvaged(bytes(bad))
+    assert len(found) == 5 and [(g.offset, g.end) for g in gaps] == [(at[2], at[3])]
+    found, gaps = salvaged(data[: at[5] + 30])
+    assert [(g.offset, g.end) for g in gaps] == [(at[5], at[5] + 30)]
     junk = b"garbage\x1f\x8b\x08junk"
-    s = warc.salvage(data[: at[1]] + junk + data[at[1] :])
-    assert len(s.records) == 6 and [g[:2] for g in s.gaps] == [(at[1], at[1] + len(junk))]
+    found, gaps = salvaged(data[: at[1]] + junk + data[at[1] :])
+    assert len(found) == 6 and [(g.offset, g.end) for g in gaps] == [(at[1], at[1] + len(junk))]
     plain = b"".join(rs)
-    assert len(warc.salvage(plain).records) == len(warc.salvage(warc.member(plain)).records) == 6
+    assert len(salvaged(plain)[0]) == len(salvaged(warc.member(plain))[0]) == 6
     hurt = plain.replace(b"page 3", b"pagf 3", 1)
-    assert len(warc.salvage(hurt).records) == len(warc.salvage(warc.member(hurt)).records) == 5
-    assert not warc.salvage(b"").records and warc.salvage(b"nothing here").gaps == [(0, 12, "no version line")]
+    ends = np.cumsum([0, *map(len, rs)]).tolist()
+    found, gaps = salvaged(hurt)
+    assert len(found) == 5 and [(g.offset, g.end, g.inner) for g in gaps] == [(ends[3], ends[4], None)]
+    one = warc.member(hurt)
+    found, gaps = salvaged(one)  # sound as a member: the gap is the record's own range in it
+    assert len(found) == 5 and [(g.offset, g.end, g.inner, g.inner_end) for g in gaps] == [(0, len(one), ends[3], ends[4])]
+    assert salvaged(b"") == ([], []) and salvaged(b"nothing here")[1] == [warc.Gap(0, 12, "no version line")]
+
+
+def test_salvage_of_a_damaged_whole_file():
+    """Sound records in front of the damage are recovered, and all of them if only the last check fails."""
+    rs = [r + b"" for r in records(40)]
+    z = warc.member(b"".join(rs))
+    wrong = bytearray(z)
+    wrong[-8] ^= 1  # the CRC
+    found, gaps = salvaged(bytes(wrong))
+    assert len(found) == 40 and [(g.offset, g.end) for g in gaps] == [(0, len(z))]
+    found, gaps = salvaged(z[: len(z) // 2])
+    assert 5 < len(found) < 40 and len(gaps) == 1
+
+
+def test_digests_of_all_forms():
+    p = b"some page"
+    digest = hashlib.sha1(p).hexdigest()
+    r = warc.record_bytes(1, None, p, digest, None, True)
+    b32 = base64.b32encode(bytes.fromhex(digest))
+    for form in (b32, b32.lower(), digest.encode(), digest.upper().encode()):
+        found, gaps = salvaged(r.replace(b32, form))
+        assert len(found) == 1 and not gaps and warc.sha1_hex(found[0].fields["warc-payload-digest"]) == digest
+    for form in (b"!!!", b"", b"ABC", b32[:-1] + b"1"):
+        assert len(salvaged(r.replace(b32, form))[0]) == 1  # nothing that could be checked
+    assert len(salvaged(r.replace(b"sha1:", b"md5:"))[0]) == 1
+    assert len(salvaged(r.replace(b"some page", b"same page"))[1]) == 1
+    revisit = warc.record_bytes(2, None, p, digest, 1, False)
+    assert len(salvaged(revisit.replace(b32, b32.lower()))[0]) == 1 and len(salvaged(revisit.replace(b32, digest.encode()))[0]) == 1
+
+
+def test_salvage_holds_one_record():
+    """An archive of 200 MB in one member is streamed."""
+    p = b"<p>page</p>" * 100_000
+    r = warc.record_bytes(1, None, p, hashlib.sha1(p).hexdigest(), None, True)
+    z = zlib.compressobj(1, zlib.DEFLATED, 31)
+    data = io.BytesIO(b"".join([*(z.compress(r) for _ in range(200)), z.flush()]))
+    tracemalloc.start()
+    n = sum(isinstance(x, warc.Record) for x in warc.salvage(data))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert n == 200 and peak < 20 << 20
+    assert [type(x) for x in warc.salvage(io.BytesIO(r), most=1000)] == [warc.Gap]
 
 
 def test_copies_keep_their_list():

@@ -28,10 +28,22 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def read_spec(path: str) -> dict:
+    """A vocabulary file of the tokenizers library; ValueError unless it is byte-level BPE with the split pattern above and no more."""
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    model, pre = spec["model"], spec["pre_tokenizer"] or {}
+    plain = model.get("type") == "BPE" and not any(model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "ignore_merges", "byte_fallback"))
+    level = pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space") and pre.get("use_regex", True)
+    bare = all(not any(x.get(k) for k in ("single_word", "lstrip", "rstrip", "normalized")) for x in spec["added_tokens"])
+    if not plain or not level or not bare or spec.get("normalizer") or spec.get("truncation") or spec.get("padding"):
+        raise ValueError(f"{path} is no plain byte-level BPE: its normalizer, pre-tokenizer or model has options that are not built here")
+    return spec
+
+
 @cache
 def special_strings(path: str) -> tuple[str, ...]:
-    with open(path, encoding="utf-8") as f:
-        return tuple(x["content"] for x in json.load(f)["added_tokens"])
+    return tuple(x["content"] for x in read_spec(path)["added_tokens"])
 
 
 def pieces_of(text: str) -> list[str]:
@@ -150,30 +162,34 @@ def byte_letters() -> dict[int, str]:
 
 
 class TokenCounter:
-    """Token counts without ids: whole-token pre-tokens are looked up, only the rest is merged."""
+    """Token counts without ids: whole-token pre-tokens are looked up, only the rest is merged. whole is the result of prove()."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, whole: frozenset[str] = frozenset()):
         import regex
 
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        spec = read_spec(path)
         self.letters = byte_letters()
-        back = {ord(c): b for b, c in self.letters.items()}
+        self.vocab = spec["model"]["vocab"]
         self.specials = tuple(x["content"] for x in spec["added_tokens"])
         self.cut = regex.compile("|".join(regex.escape(s) for s in sorted(self.specials, key=len, reverse=True))) if self.specials else None
         self.pieces = regex.compile(PATTERN)
         merges = [tuple(m) if isinstance(m, list) else tuple(m.split(" ")) for m in spec["model"]["merges"]]
         self.ranks = {m: i for i, m in reversed(list(enumerate(merges)))}
-        self.whole: set[str] = set()
-        for token in spec["model"]["vocab"]:  # the proof: a vocabulary string counts as whole if its own merges end in it
+        self.whole = whole
+        self.memo = Memo()
+        self.rest: dict[str, int] = {}
+
+    def prove(self) -> frozenset[str]:
+        """The vocabulary strings whose own merges end in one token."""
+        back, out = {ord(c): b for b, c in self.letters.items()}, set()
+        for token in self.vocab:
             try:
                 text = bytes(back[ord(c)] for c in token).decode("utf-8")
             except (KeyError, UnicodeDecodeError):
                 continue  # a special token, or a fragment of a character: never a pre-token
             if self.merged(text) == 1:
-                self.whole.add(text)
-        self.memo = Memo()
-        self.rest: dict[str, int] = {}
+                out.add(text)
+        return frozenset(out)
 
     def merged(self, pre_token: str) -> int:
         """The number of tokens that the merges leave of a pre-token, lowest rank first, then leftmost."""
@@ -236,6 +252,17 @@ class TokenCounter:
         return (self.count_plain(first) if first else 0) + sum(values)
 
 
-@lru_cache(maxsize=2)
-def token_counter(path: str) -> TokenCounter:
-    return TokenCounter(path)
+@cache
+def whole_tokens(path: str) -> frozenset[str]:
+    """The proof for a vocabulary, once per process: the driver makes it and workers are handed the result."""
+    return TokenCounter(path).prove()
+
+
+_counters: dict[str, TokenCounter] = {}
+
+
+def token_counter(path: str, whole: frozenset[str] | None = None) -> TokenCounter:
+    """A worker's counter for a vocabulary, with its memo kept from task to task."""
+    if path not in _counters:
+        _counters[path] = TokenCounter(path, whole_tokens(path) if whole is None else whole)
+    return _counters[path]

@@ -5,8 +5,9 @@ cumulative sizes are laid on the line [0, target): a first epoch, then a second
 source. The source's weight schedule over training time is integrated to a cumulative demand; inverting it gives each
 copy its training position in [0, 1). Documents range-sorted by position are the training order.
 
-Cumulative sizes are computed in two levels: sums of equal ranges of the random key, then rows within one range. The
-number of ranges grows with the table, so no task holds a whole source.
+Cumulative sizes are computed in three levels: coarse ranges of the random key, ranges in a coarse one, rows in a range.
+Their number grows with the table, so no task holds a whole source. The random key is made of id and text, so neither rows
+without an id nor rows that share one are one range.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, epoc
 
     Weights fill up like water: with the sources in order of the level at which they are full (epochs x size / weight),
     the first k that are full leave the rest of the words to the others by weight. All in window functions over the
-    table of sources.
+    table of sources, which one task sorts: a row per source.
     """
     by = sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
     ranked = by.withColumn("rank", F.row_number().over(Window.orderBy(F.col("source").asc_nulls_last())) - 1)
@@ -80,7 +81,8 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     the same on every run. Null ids and null sources are values like any other. An empty table gives an empty plan.
     """
     size = F.expr(f"regexp_count(coalesce(`{text_col}`, ''), '[^\\\\x20\\\\x09-\\\\x0D]+')").cast("long")
-    order = F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null"))))
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    order = F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.md5(text)))
     rows = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), row_key(docs).alias("row_key"), size.alias("size"), order.alias("order")))
     n = rows.count()
     digits = 1
@@ -89,8 +91,14 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     rows = rows.withColumn("range", F.substring("order", 1, digits))
     targets = source_targets(rows, weights, share, epochs)
     ranges = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
-    before = Window.partitionBy("source").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.withColumn("range_start", F.coalesce(F.sum("range_size").over(before), F.lit(0))).drop("range_size")
+    # coarse ranges of a source are 4096 at most, ranges of a coarse one 65,536
+    ranges = ranges.withColumn("coarse", F.substring("range", 1, digits // 2))
+    before = lambda *keys: Window.partitionBy("source", *keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
+    coarse = ranges.groupBy("source", "coarse").agg(F.sum("range_size").alias("coarse_size"))
+    coarse = coarse.select(F.col("source").alias("c_source"), F.col("coarse").alias("c_coarse"), F.coalesce(F.sum("coarse_size").over(before("coarse")), F.lit(0)).alias("coarse_start"))
+    ranges = ranges.withColumn("fine_start", F.coalesce(F.sum("range_size").over(before("coarse", "range")), F.lit(0)))
+    ranges = ranges.join(coarse, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("coarse") == F.col("c_coarse")))
+    ranges = ranges.select("source", "range", (F.col("coarse_start") + F.col("fine_start")).alias("range_start"))
     t = targets.withColumnRenamed("source", "t_source")
     ranges = ranges.join(t, F.col("source").eqNullSafe(F.col("t_source"))).select(F.col("source").alias("r_source"), F.col("range").alias("r_range"), "range_start", "source_size", "target", "rank")
     inside = Window.partitionBy("source", "range").orderBy("order", "doc_id", "size", "row_key").rowsBetween(Window.unboundedPreceding, -1)
@@ -111,10 +119,16 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     return laid.select("doc_id", "row_key", "size", "source_size", "target", taken.alias("taken"), "copies")
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+def position_at(copy: int) -> Column:
+    """The training position of a document's n-th copy (from 0), null where the mix takes none."""
+    return F.get("copies", F.lit(copy))["position"]
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", with_position: bool = False, **options) -> DataFrame:
     """The mixed corpus: the columns of docs, a row for every copy that the plan takes, range-sorted by training position.
 
-    A document that its source's quota cuts stays whole here. Documents without words are never drawn.
+    A document that its source's quota cuts stays whole here. Documents without words are never drawn. with_position adds
+    the position as a double column `position` (with underscores where docs has one): files alone don't keep an order.
     """
     key, spot, plans = (free_name(docs, x) for x in ("row_key", "position", "copies"))
     plan = plan_mix(docs, id_col, **options).where(F.size("copies") > 0)
@@ -122,20 +136,36 @@ def mix(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     plan = plan.groupBy("row_key").agg(F.flatten(F.collect_list("copies")).alias(plans)).withColumnRenamed("row_key", key)
     keyed = docs.withColumn(key, row_key(docs)).dropDuplicates([key])
     out = keyed.join(plan, key).withColumn(plans, F.explode(plans)).withColumn(spot, F.col(plans)["position"])
-    return out.repartitionByRange(F.col(spot), F.col(key)).sortWithinPartitions(spot, key, F.col(plans)["copy"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    out = out.repartitionByRange(F.col(spot), F.col(key)).sortWithinPartitions(spot, key, F.col(plans)["copy"])
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns], *([spot] if with_position else []))
 
 
 def op5_mixing(spark, sf_dir: str) -> DataFrame:
+    """position and position_again: where in training, from 0 to 1, the document's first and second copy stand."""
     plan = plan_mix(table(spark, sf_dir, "documents"))
-    spot = F.coalesce(F.try_element_at("copies", F.lit(1))["position"], F.lit(1.0))  # those not drawn come last
+    spot = F.coalesce(position_at(0), F.lit(1.0))  # those not drawn come last
     out = plan.withColumn("spot", spot).repartitionByRange("spot", "row_key").sortWithinPartitions("spot", "row_key")
-    return out.select("doc_id", "size", "source_size", "target", "taken")
+    return out.select("doc_id", "size", "source_size", "target", "taken", position_at(0).alias("position"), position_at(1).alias("position_again"))
+
+
+def _position_sql(demand: str) -> str:
+    """position_of() for all schedules in SQL, the same operations in the same order."""
+    number = lambda x: f"CAST('{x!r}' AS DOUBLE)"
+    out = []
+    for k, schedule in enumerate(SCHEDULES):
+        n, total, given, phases = len(schedule), sum(schedule), 0.0, []
+        for i, w in enumerate(schedule):
+            phases.append((given + w / total, f"{number(i / n)} + ({demand} - {number(given)}) * {number(total / w / n)}"))
+            given += w / total
+        cases = " ".join(f"WHEN {demand} < {number(end)} THEN {at}" for end, at in phases[:-1])
+        out.append(f"WHEN {k} THEN least(CASE {cases} ELSE {phases[-1][1]} END, {number(1.0 - 2.0**-53)})")
+    return f"CASE rank % {len(SCHEDULES)} {' '.join(out)} END"
 
 
-SQL = """
+SQL = f"""
 WITH d AS (
   SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::BIGINT AS size,
-         md5(concat('mix:', coalesce(doc_id::VARCHAR, 'null'))) AS ord
+         md5(concat('mix:', coalesce(doc_id::VARCHAR, 'null'), ':', md5(coalesce(text, '')))) AS ord
   FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source ASC NULLS LAST) - 1 AS rank FROM d GROUP BY source),
 l AS (SELECT *, [3.0::DOUBLE, 1.0, 2.0][(rank % 3 + 1)::INT] AS weight, 2.0::DOUBLE * source_size AS cap FROM s),
@@ -144,11 +174,13 @@ g AS (SELECT *, coalesce(sum(cap) OVER (ORDER BY level, rank ROWS BETWEEN UNBOUN
       sum(weight) OVER (ORDER BY level, rank ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weight_left FROM f),
 w AS (SELECT *, (total - full_before) / weight_left AS water FROM g),
 o AS (SELECT arg_min(water, (level, rank)) AS level_set FROM w WHERE water <= level),
-t AS (SELECT source, source_size, CASE WHEN level_set IS NULL THEN cap ELSE least(cap, level_set * weight) END AS target FROM w CROSS JOIN o),
-p AS (SELECT d.doc_id, d.size, t.source_size, t.target, round(t.target)::BIGINT AS quota,
+t AS (SELECT source, source_size, rank, CASE WHEN level_set IS NULL THEN cap ELSE least(cap, level_set * weight) END AS target FROM w CROSS JOIN o),
+p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.rank, round(t.target)::BIGINT AS quota,
       coalesce(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ord, d.doc_id, d.size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       (greatest(0, least(size, quota - start)) + greatest(0, least(size, quota - start - source_size)))::BIGINT AS taken
-FROM p
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+q AS (SELECT *, greatest(0, least(size, quota - start)) AS one, greatest(0, least(size, quota - start - source_size)) AS two,
+      start::DOUBLE / nullif(quota, 0) AS at_one, (start + source_size)::DOUBLE / nullif(quota, 0) AS at_two FROM p),
+r AS (SELECT *, CASE WHEN one > 0 THEN {_position_sql('at_one')} END AS p_one, CASE WHEN two > 0 THEN {_position_sql('at_two')} END AS p_two FROM q)
+SELECT doc_id, size, source_size, target, (one + two)::BIGINT AS taken, coalesce(p_one, p_two) AS position, CASE WHEN one > 0 THEN p_two END AS position_again
+FROM r
 """

@@ -76,14 +76,16 @@ def encode_texts(docs: DataFrame, text_col: str = "text", path: str | None = Non
 
 
 def decode_ids(rows: DataFrame, ids_col: str = "ids", text_name: str = "text", path: str | None = None) -> DataFrame:
-    """rows with the text that the ids spell in a column text_name; null ids give null."""
+    """rows with the text that the ids spell in a column text_name, with underscores where rows has one; null ids give null."""
+    name, place = free_name(rows, text_name), rows.columns.index(ids_col)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = piece_model(path or default_path())
         for b in batches:
-            texts = [None if x is None else model.decode(np.array(x, "<u4").tobytes()) for x in b.column(b.schema.names.index(ids_col)).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, text_name])
+            texts = [None if x is None else model.decode(np.array(x, "<u4").tobytes()) for x in b.column(place).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(texts, pa.string())], [*b.schema.names, name])
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(text_name, StringType())]))
+    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(name, StringType())]))
 
 
 def encode_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None) -> DataFrame:

@@ -1,7 +1,8 @@
 """Token counts with a whole-token shortcut.
 
-Once per worker, every vocabulary string is put through the merges; those that end as one token are whole. A pre-token
-that is a whole string counts one without merging, only the others are merged. See bytebpe.TokenCounter.
+The driver puts every vocabulary string through the merges, once; those that end as one token are whole, and the set of them
+is broadcast (its size is the vocabulary's). A pre-token that is a whole string counts one without merging, only the others
+are merged. See bytebpe.TokenCounter.
 """
 
 from __future__ import annotations
@@ -9,18 +10,19 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keelson.llm.bytebpe import default_path, token_counter
+from keelson.llm.bytebpe import default_path, token_counter, whole_tokens
 from keelson.llm.common import table
 
 LIMIT = 512
 
 
-def _count(path: str, limit: int):
+def _count(path: str, whole: Broadcast, limit: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = token_counter(path)
+        counter = token_counter(path, whole.value)
         for b in batches:
             sizes, counts = [], []
             for t in b.column(1):
@@ -36,12 +38,14 @@ def _count(path: str, limit: int):
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, limit: int = LIMIT) -> DataFrame:
     """doc_id, n_bytes (UTF-8), n_tokens, over_limit (n_tokens > limit), one row per row of docs, whole texts.
 
-    path: a byte-level BPE file of the tokenizers library. The counts are the library's own: special strings inside a
+    path: a byte-level BPE file of the tokenizers library; another kind is an error. The counts are the library's own: special strings inside a
     text are one token each, nothing is added, cut or padded. A null text counts as empty: no bytes, no tokens. Null and
     repeated ids are passed on; other columns are not read.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_count(path or default_path(), limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
+    path = path or default_path()
+    whole = docs.sparkSession.sparkContext.broadcast(whole_tokens(path))
+    return rows.mapInArrow(_count(path, whole, limit), "doc_id long, n_bytes long, n_tokens long, over_limit boolean")
 
 
 def op7_token_counts(spark, sf_dir: str) -> DataFrame:

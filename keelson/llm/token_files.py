@@ -91,8 +91,9 @@ def write_tokens(docs: DataFrame, root: str, id_col: str = "doc_id", text_col: s
     empty: its document holds the end id only. Other columns are not read. An empty table writes nothing.
     """
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    # a null id is no range of its own to split; ids that repeat stay together
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # ranges of id and text: the rows of one id, or without any, are no task of their own
+    rows = rows.withColumn("h", F.xxhash64("text"))
+    ordered = rows.repartitionByRange("doc_id", "h").sortWithinPartitions("doc_id", "h").drop("h")
     return cut(ordered.mapInArrow(_write(path or default_path(), root, end_id), "part long, shards long, documents long, ids long"))
 
 

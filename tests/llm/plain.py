@@ -134,7 +134,7 @@ def mix_plan(docs):
         free -= full
     out = [None] * len(docs)
     for s in names:
-        order = sorted(by[s], key=lambda i: (hashlib.md5(f"mix:{'null' if docs[i][0] is None else docs[i][0]}".encode()).hexdigest(), docs[i][0] or 0, size[i]))
+        order = sorted(by[s], key=lambda i: (hashlib.md5(f"mix:{'null' if docs[i][0] is None else docs[i][0]}:{hashlib.md5((docs[i][1] or '').encode()).hexdigest()}".encode()).hexdigest(), docs[i][0] or 0, size[i]))
         at, quota = 0, math.floor(target[s] + 0.5)
         for i in order:
             takes = [max(0, min(size[i], quota - at - c * total[s])) for c in (0, 1)]

@@ -32,7 +32,7 @@ TEXT = st.text(alphabet=ALPHABET, max_size=60)
 @pytest.fixture(scope="module")
 def byte_models():
     path = bytebpe.default_path()
-    return bytebpe.IdEncoder(path), bytebpe.TokenCounter(path)
+    return bytebpe.IdEncoder(path), bytebpe.token_counter(path)
 
 
 def check_bytes(models, text):
@@ -52,6 +52,14 @@ def test_byte_bpe(byte_models, text):
     check_bytes(byte_models, text)
 
 
+def test_other_vocabularies_are_refused():
+    import public_tokenizers
+
+    for use in (bytebpe.TokenCounter, bytebpe.IdEncoder):
+        with pytest.raises(ValueError, match="byte-level"):
+            use(public_tokenizers.path("word_bpe_49k.json"))
+
+
 def test_every_kind_of_character(byte_models):
     """White space, letters and numbers are told apart as the library does, over all of the first plane."""
     encoder, counter = byte_models

@@ -36,6 +36,8 @@ BROADCAST_IDS = 1_000_000
 FREQUENT = 64
 #: Letters that are counted; which ones matters for speed only.
 LETTERS = "enirtaso"
+#: More letters, counted where lines share a frequent segment.
+MORE_LETTERS = "lduchmgpbvfwkyzj"
 
 
 def segment_bounds(length: Column, i: int | Column, segments: int) -> tuple[Column, Column]:
@@ -78,7 +80,8 @@ def segment_spans(length: Column, threshold: int, least_chars: int) -> list[tupl
 def segment_keys(line: Column, threshold: int, least_chars: int) -> Column:
     """Array of hashes: the line's own threshold + 1 segments, then its probes (null where there is none)."""
     spans = segment_spans(F.char_length(line), threshold, least_chars)
-    return F.array(*[F.when(fits, F.xxhash64(other, F.lit(i), F.substring(line, at + 1, size))) for other, i, at, size, fits in spans])
+    keys = [(F.xxhash64(other, F.lit(i), F.substring(line, at + 1, size)), fits) for other, i, at, size, fits in spans]
+    return F.array(*[key if k <= threshold else F.when(fits, key) for k, (key, fits) in enumerate(keys)])
 
 
 def without_segment(line: Column, n: Column, threshold: int, least_chars: int) -> Column:
@@ -98,13 +101,15 @@ def rest_plan(threshold: int) -> list[tuple[bool, int, int, list[int], list[int]
     for number, skipped in enumerate(combinations(range(3 * threshold), threshold)):
         for offsets in product(range(-threshold, threshold + 1), repeat=threshold):
             moves = [z - a for a, z in zip((0, *offsets), offsets, strict=False)]
-            if offsets[-1] >= 0 and sum(map(abs, moves)) <= threshold:
+            # between two neighbours nothing is kept that an offset could tell; the last offset is none to the left, so one will do
+            told = threshold != 2 or skipped[1] - skipped[0] > 1 or not offsets[0]
+            if offsets[-1] >= 0 and sum(map(abs, moves)) <= threshold and told:
                 out.append((not any(offsets), offsets[-1], number, list(skipped), list(offsets)))
     return out
 
 
 def rest_keys(rows: DataFrame, threshold: int) -> DataFrame:
-    """rows (id, own, group, s) by all choices of skipped segments: id, own, key, small (nothing but edits is left), and
+    """rows (id, more, parts, own, group, s) by all choices of skipped segments: id, more, parts (longer by the skipped ones), own, key, small (nothing but edits is left), and
     rest, what the key leaves out. A row whose text is not its own, but probes for another's, is no index."""
     kind = "array<struct<own:boolean,shorter:int,number:int,skipped:array<int>,offsets:array<int>>>"
     plan = F.array(*[F.struct(F.lit(o), F.lit(d), F.lit(k), F.array(*map(F.lit, p)), F.array(*map(F.lit, s))) for o, d, k, p, s in rest_plan(threshold)]).cast(kind)
@@ -121,26 +126,36 @@ def rest_keys(rows: DataFrame, threshold: int) -> DataFrame:
         at, before = start + size + after, after
     kept.append(F.substring("s", at + 1, F.char_length("s")))
     key = F.xxhash64("group", "length", "v.number", *kept)
-    return rows.where(fits).select("id", (F.col("own") & F.col("v.own")).alias("own"), key.alias("key"), (F.col("length") <= threshold).alias("small"), F.concat(*left).alias("rest"))
+    # a skipped segment without edits is the choice of one pair only if those behind it are skipped as well: of all choices
+    # that fit a pair one remains
+    parts = F.array(*[F.when(F.col("v.skipped")[j] < 2 * threshold + j, F.xxhash64(x)) for j, x in enumerate(left)])
+    return rows.where(fits).select("id", "more", F.concat("parts", parts).alias("parts"), (F.col("own") & F.col("v.own")).alias("own"), key.alias("key"), (F.col("length") <= threshold).alias("small"), F.concat(*left).alias("rest"))
 
 
-def line_id(line: Column, h: Column) -> Column:
-    """32 bits of hash and the counts of eight letters modulo 16. Lines that share an id are told apart by their texts."""
-    out = h.bitwiseAND(F.lit(-1 << 4 * len(LETTERS)))
-    for k, letter in enumerate(LETTERS):
+def letter_counts(line: Column, letters: str) -> Column:
+    """The counts of letters modulo 16, four bits each."""
+    out = F.lit(0).cast("bigint")
+    for k, letter in enumerate(letters):
         n = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
         out = out.bitwiseOR(F.shiftleft(n.bitwiseAND(F.lit(15)).cast("bigint"), 4 * k))
     return out
 
 
-def counts_within(a: Column, b: Column, threshold: int) -> Column:
-    """Whether the letter counts of two ids allow for threshold edits: each adds one letter at most and takes one away at most."""
+def line_id(line: Column, h: Column) -> Column:
+    """32 bits of hash and the counts of eight letters. Lines that share an id are told apart by their texts."""
+    return h.bitwiseAND(F.lit(-1 << 4 * len(LETTERS))).bitwiseOR(letter_counts(line, LETTERS))
+
+
+def counts_within(pairs: list[tuple[Column, Column, int]], threshold: int) -> Column:
+    """Whether letter counts, given as pairs with the number of letters in them, allow for threshold edits: each adds one
+    letter at most and takes one away at most."""
     more, less = [], []
-    for k in range(len(LETTERS)):
-        x, y = (F.shiftrightunsigned(c, 4 * k).bitwiseAND(F.lit(15)) for c in (a, b))
-        d = (x - y + 8).bitwiseAND(F.lit(15)) - 8
-        more.append(F.greatest(d, F.lit(0)))
-        less.append(F.greatest(-d, F.lit(0)))
+    for a, b, letters in pairs:
+        for k in range(letters):
+            x, y = (F.shiftrightunsigned(c, 4 * k).bitwiseAND(F.lit(15)) for c in (a, b))
+            d = (x - y + 8).bitwiseAND(F.lit(15)) - 8
+            more.append(F.greatest(d, F.lit(0)))
+            less.append(F.greatest(-d, F.lit(0)))
     return (reduce(Column.__add__, more) <= threshold) & (reduce(Column.__add__, less) <= threshold)
 
 
@@ -219,10 +234,15 @@ def has_word(line: Column) -> Column:
 
 def meet(probes: DataFrame, index: DataFrame, threshold: int) -> DataFrame:
     """Pairs (a_id, b_id) of lines that share a key and whose letters allow for threshold edits."""
-    p, i = probes.select("id", "own", "key").alias("p"), index.select("id", "key").alias("i")
+    more = ["more", "parts"] if "more" in probes.columns else []
+    p, i = probes.select("id", "own", "key", *more).alias("p"), index.select("id", "key", *more).alias("i")
     # two own segments that meet would meet twice
     once = F.when(F.col("p.own"), F.col("p.id") < F.col("i.id")).otherwise(F.col("p.id") != F.col("i.id"))
-    met = p.join(i, (F.col("p.key") == F.col("i.key")) & once & counts_within(F.col("p.id"), F.col("i.id"), threshold))
+    counts = [(F.col("p.id"), F.col("i.id"), len(LETTERS))] + [(F.col("p.more"), F.col("i.more"), len(MORE_LETTERS)) for _ in more[:1]]
+    fits = once & counts_within(counts, threshold)
+    if more:
+        fits = fits & ~F.exists(F.zip_with("p.parts", "i.parts", lambda x, y: F.coalesce(x == y, F.lit(False))), lambda x: x)
+    met = p.join(i, (F.col("p.key") == F.col("i.key")) & fits)
     return met.select(F.least("p.id", "i.id").alias("a_id"), F.greatest("p.id", "i.id").alias("b_id"))
 
 
@@ -244,7 +264,7 @@ def candidates(lines: DataFrame, rows: DataFrame, threshold: int, least_chars: i
     pairs = meet(probes.join(frequent, "key", "left_anti"), own.join(frequent, "key", "left_anti"), threshold)
     hot = cut(probes.join(frequent, "key", "left_semi"))
     texts = rows.join(hot.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
-    level = hot.join(texts, ["h1", "h2"]).select("id", "own", F.col("key").alias("group"), without_segment(F.col("line"), F.col("n"), threshold, least_chars).alias("s"))
+    level = hot.join(texts, ["h1", "h2"]).select("id", "own", letter_counts(F.col("line"), MORE_LETTERS).alias("more"), F.array().cast("array<bigint>").alias("parts"), F.col("key").alias("group"), without_segment(F.col("line"), F.col("n"), threshold, least_chars).alias("s"))
     while True:
         level = cut(level)
         keyed = rest_keys(level, threshold)
@@ -253,7 +273,7 @@ def candidates(lines: DataFrame, rows: DataFrame, threshold: int, least_chars: i
         pairs = pairs.unionByName(meet(joined, joined.where("own"), threshold))
         if not some:
             return pairs
-        level = keyed.join(frequent, "key", "left_semi").select("id", "own", F.col("key").alias("group"), F.col("rest").alias("s")).distinct()
+        level = keyed.join(frequent, "key", "left_semi").select("id", "more", "parts", "own", F.col("key").alias("group"), F.col("rest").alias("s")).distinct()
 
 
 def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, least_chars: int, short_lines: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -262,9 +282,10 @@ def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, lea
     long = F.char_length("line") >= least_chars
     rows = rows.where(long | has_word(F.col("line")) if short_lines else long).withColumns({"h1": F.xxhash64("line"), "h2": F.xxhash64(F.lit(1), "line")})
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row_key", "line_no")
-    keyed = rows.select("h1", "h2", place.alias("place"), line_id(F.col("line"), F.col("h1")).alias("id"), F.when(long, segment_keys(F.col("line"), threshold, least_chars)).alias("keys"))
-    lines = cut(keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("id").alias("id"), F.first("keys").alias("keys")))
-    firsts, rows = lines.select("h1", "h2", "place"), rows.where(long)
+    # keys are made of short lines too, and not used: inside a condition their common parts would be computed again for each
+    keyed = rows.select("h1", "h2", place.alias("place"), long.alias("long"), line_id(F.col("line"), F.col("h1")).alias("id"), segment_keys(F.col("line"), threshold, least_chars).alias("keys"))
+    lines = cut(keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("long").alias("long"), F.first("id").alias("id"), F.first("keys").alias("keys")))
+    firsts, rows, lines = lines.select("h1", "h2", "place"), rows.where(long), lines.where("long")
     pairs = cut(candidates(lines, rows, threshold, least_chars).distinct())
     if pairs.isEmpty():
         return firsts, lines.select("h1", "h2").limit(0)

@@ -253,6 +253,20 @@ def frequent_keys(own: DataFrame) -> tuple[DataFrame, bool]:
     return (F.broadcast(keys) if n <= BROADCAST_IDS else keys), n > 0
 
 
+def texts_of(rows: DataFrame, wanted: DataFrame, key: str, value: Column | None = None) -> DataFrame:
+    """h1, h2, line and, if rows have it, the first place of the distinct lines whose key, a column or value, is wanted.
+
+    Very common lines are combined before they are dealt, whether the wanted keys are few enough to be broadcast or not.
+    """
+    aggregates = [F.first("line").alias("line")] + [F.min(c).alias(c) for c in rows.columns if c == "place"]
+    wanted = cut(wanted)
+    few = wanted.count() <= BROADCAST_IDS
+    rows = rows if few else rows.groupBy("h1", "h2").agg(*aggregates)
+    picked = (rows if value is None else rows.withColumn(key, value)).join(F.broadcast(wanted) if few else wanted, key, "left_semi")
+    picked = picked.groupBy("h1", "h2").agg(*aggregates) if few else picked
+    return picked.select("h1", "h2", *[c for c in ("line", "place") if c in picked.columns])
+
+
 def candidates(lines: DataFrame, rows: DataFrame, threshold: int, least_chars: int) -> DataFrame:
     """Pairs (a_id, b_id) of all lines within threshold edits, and some more. Keys have FREQUENT lines in the index at most
     when they are joined, but for those that leave no more than threshold characters out."""
@@ -263,7 +277,7 @@ def candidates(lines: DataFrame, rows: DataFrame, threshold: int, least_chars: i
         return meet(probes, own, threshold)
     pairs = meet(probes.join(frequent, "key", "left_anti"), own.join(frequent, "key", "left_anti"), threshold)
     hot = cut(probes.join(frequent, "key", "left_semi"))
-    texts = rows.join(hot.select("h1", "h2").distinct(), ["h1", "h2"], "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"))
+    texts = texts_of(rows, hot.select("h1").distinct(), "h1")
     level = hot.join(texts, ["h1", "h2"]).select("id", "own", letter_counts(F.col("line"), MORE_LETTERS).alias("more"), F.array().cast("array<bigint>").alias("parts"), F.col("key").alias("group"), without_segment(F.col("line"), F.col("n"), threshold, least_chars).alias("s"))
     while True:
         level = cut(level)
@@ -290,9 +304,9 @@ def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, lea
     if pairs.isEmpty():
         return firsts, lines.select("h1", "h2").limit(0)
     # lines are chosen by the hash bits of their ids; letters are counted only for those
-    ids = cut(pairs.select(F.col("a_id").alias("id")).union(pairs.select("b_id")).select(F.shiftright("id", 4 * len(LETTERS)).alias("hash")).distinct())
-    chosen = F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids
-    texts = rows.withColumn("hash", F.shiftright("h1", 4 * len(LETTERS))).join(chosen, "hash", "left_semi").groupBy("h1", "h2").agg(F.first("line").alias("line"), F.min(place).alias("place"))
+    bits = 4 * len(LETTERS)
+    ids = pairs.select(F.col("a_id").alias("id")).union(pairs.select("b_id")).select(F.shiftright("id", bits).alias("hash")).distinct()
+    texts = texts_of(rows.select("h1", "h2", "line", place.alias("place")), ids, "hash", F.shiftright("h1", bits))
     texts = texts.withColumn("id", line_id(F.col("line"), F.col("h1")))
     a = texts.select(F.col("id").alias("a_id"), F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("a"), F.col("place").alias("a_place"))
     b = texts.select(F.col("id").alias("b_id"), F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("b"), F.col("place").alias("b_place"))

@@ -7,8 +7,9 @@ import os
 import signal
 import sys
 import time
+from types import SimpleNamespace
 
-from keelson.plans.config import Config, ConfigError, load_config, load_dotenv
+from keelson.plans.settings import ConfigError, block, jdbc_options, load_dotenv, load_settings
 from keelson.streaming.lifecycle import SNAPSHOT, Supervisor
 
 
@@ -18,11 +19,11 @@ def session():
     return SparkSession.builder.appName("keelson").config("spark.sql.session.timeZone", "UTC").config("spark.scheduler.mode", "FAIR").getOrCreate()
 
 
-def make_supervisor(config: Config, source=None) -> Supervisor:
+def make_supervisor(config: SimpleNamespace, source=None) -> Supervisor:
     from keelson.sources.change_source import JdbcSource
 
     spark = session()
-    return Supervisor(spark, source or JdbcSource(spark, config.source.jdbc_options()), config.target.root, config.sync, config.tables)
+    return Supervisor(spark, source or JdbcSource(spark, jdbc_options(config.source)), config.target.root, config.sync, config.tables, target=config.target)
 
 
 def status_lines(s: Supervisor, now: float) -> list[str]:
@@ -65,10 +66,9 @@ def main(argv: list[str] | None = None, source=None) -> int:
     a = p.parse_args(argv)
     load_dotenv(".env")
     try:
-        config = load_config(a.config)
+        config = load_settings(a.config)
         if a.command == "run" and a.shard_count is not None:
-            config.sync.shard_count, config.sync.shard_index = int(a.shard_count), int(a.shard_index or 0)
-            config.sync.__post_init__()
+            config.sync = block("sync", {**vars(config.sync), "shard_count": int(a.shard_count), "shard_index": int(a.shard_index or 0)})
     except (ConfigError, OSError) as e:
         print(f"configuration: {e}", file=sys.stderr)
         return 2

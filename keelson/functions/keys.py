@@ -1,47 +1,29 @@
-"""Primary keys: checkpoint codec, resume predicate, shard owner, quoting."""
+"""Primary keys: page cursors, resume predicate, shard owner."""
 
 from __future__ import annotations
 
-import base64
-import json
 import zlib
 from collections.abc import Sequence
-from datetime import date, datetime, time
-from decimal import Decimal
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-#: Tag, Python type, to JSON, from JSON; the first type that fits counts, so bool stands before int and datetime before date.
-_CODECS = (
-    ("b", bool, bool, bool),
-    ("i", int, int, int),
-    ("f", float, float, float),
-    ("n", Decimal, str, Decimal),
-    ("dt", datetime, datetime.isoformat, datetime.fromisoformat),
-    ("d", date, date.isoformat, date.fromisoformat),
-    ("t", time, time.isoformat, time.fromisoformat),
-    ("x", (bytes, bytearray, memoryview), lambda v: base64.b64encode(bytes(v)).decode(), base64.b64decode),
-    ("s", object, str, str),
-)
-_DECODERS = {tag: back for tag, _, _, back in _CODECS} | {"null": lambda _: None}
 
+def last_key(rows: DataFrame, columns: Sequence[str]) -> list[str] | None:
+    """The greatest key of some rows as text, a page's cursor; None without rows. The schema of the rows tells the types, so the text needs no tags."""
+    top = rows.agg(F.max(F.struct(*[F.col(f"`{c}`") for c in columns])).alias("k"))
+    text = lambda c: F.hex(F.col("k")[c]) if isinstance(rows.schema[c].dataType, T.BinaryType) else F.col("k")[c].cast("string")
+    r = top.select(*[text(c).alias(f"k{i}") for i, c in enumerate(columns)]).first()
+    return None if r is None or r[0] is None else list(r)
 
-def encode_key(values: Sequence[Any]) -> str:
-    """A key's values as tagged JSON, exact on the way back."""
 
-    def one(v: Any) -> list:
-        if v is None:
-            return ["null", None]
-        return next([tag, to(v)] for tag, kind, to, _ in _CODECS if isinstance(v, kind))
-
-    return json.dumps(list(map(one, values)))
-
-
-def decode_key(text: str | None) -> list[Any] | None:
-    return [_DECODERS[tag](v) for tag, v in json.loads(text)] if text else None
+def cursor_values(rows: DataFrame, columns: Sequence[str], cursor: Sequence[str]) -> list[Column]:
+    """A cursor as typed values."""
+    kinds = [rows.schema[c].dataType for c in columns]
+    return [F.unhex(F.lit(v)) if isinstance(k, T.BinaryType) else F.lit(v).cast(k) for k, v in zip(kinds, cursor, strict=True)]
 
 
 def keyset_after(columns: Sequence[str], values: Sequence[Any]) -> Column:
@@ -61,7 +43,3 @@ def shard_owner(table_key: str, shards: int) -> int:
 
 def shard_owner_column(table_key: Column, shards: int) -> Column:
     return (F.crc32(F.lower(table_key).cast("binary")) % shards).cast("int")
-
-
-def quote(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"

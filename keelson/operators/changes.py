@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.keys import keyset_after
-from keelson.plans.model import DELETED, SEQ, VERSION, TableSpec
+from keelson.plans.model import DELETED, SEQ, SYNCED_AT, VERSION, TableSpec
 from keelson.plans.partitions import Range, in_range
 
 #: Changed keys up to which the base is first reduced by a broadcast semi join.
@@ -61,12 +61,12 @@ def current(log: DataFrame, pk: list[str], keep_meta: bool = False) -> DataFrame
     """
     w = Window.partitionBy(*[F.col(f"`{k}`") for k in pk]).orderBy(F.desc(VERSION), F.desc(SEQ), F.desc(DELETED))
     live = log.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").where(F.col(DELETED) == 0)
-    return live.drop("__rn", *([DELETED, SEQ] if keep_meta else [VERSION, DELETED, SEQ]))
+    return live.drop("__rn", *([DELETED, SEQ] if keep_meta else [VERSION, DELETED, SEQ, SYNCED_AT]))
 
 
 def merge_on_read(snapshot: DataFrame, changes: DataFrame, pk: list[str]) -> DataFrame:
     """current() for a snapshot with one row per key, older than all changes: unchanged rows skip window and sort."""
-    kept = snapshot.join(changes.select(*pk).distinct(), pk, "left_anti").drop(VERSION, DELETED, SEQ)
+    kept = snapshot.join(changes.select(*pk).distinct(), pk, "left_anti").drop(VERSION, DELETED, SEQ, SYNCED_AT)
     return kept.unionByName(current(changes, pk), allowMissingColumns=True)
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +32,12 @@ def latest_requests(requests: DataFrame, action: str) -> DataFrame:
     return requests.where(F.col("action") == action).groupBy("table_key").agg(F.max("requested_at").alias("requested_at"))
 
 
+def latest_states(states: DataFrame) -> DataFrame:
+    """The last row of every table of a state log."""
+    rest = [c for c in states.columns if c not in ("table_key", "ts")]
+    return states.groupBy("table_key").agg(*[F.max_by(c, "ts").alias(c) for c in rest], F.max("ts").alias("ts"))
+
+
 def phase_counts(states: DataFrame) -> DataFrame:
     return states.groupBy("phase").agg(F.count(F.lit(1)).alias("tables"), F.count_if(F.coalesce(F.col("last_error"), F.lit("")) != "").alias("errors"), F.coalesce(F.sum("rows_synced"), F.lit(0)).alias("rows"))
 
@@ -51,21 +55,3 @@ def progress(done: int, total: int, elapsed: float) -> dict:
     """Percent, rate and seconds left; nothing is divided by zero."""
     rate = done / max(elapsed, 0.001)
     return {"percent": min(100.0, 100.0 * done / total) if total else 100.0, "rows_per_second": rate, "eta_seconds": max(0, total - done) / rate if rate else None}
-
-
-@dataclass
-class TableMetrics:
-    table: str
-    rows: int = 0
-    seconds: float = 0.0
-    parts: int = 0
-
-
-@dataclass
-class RunMetrics:
-    tables: list[TableMetrics] = field(default_factory=list)
-    seconds: float = 0.0
-
-    @property
-    def rows(self) -> int:
-        return sum(t.rows for t in self.tables)

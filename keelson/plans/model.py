@@ -11,7 +11,6 @@ from pyspark.sql import types as T
 from keelson.functions.typemap import INTEGER_TYPES, Mapping, mapping
 
 VERSION, DELETED, SEQ, SYNCED_AT = "_version", "_is_deleted", "_seq", "_synced_at"
-META = (VERSION, DELETED, SEQ)
 
 
 class SchemaError(ValueError):
@@ -75,7 +74,7 @@ class TableSpec:
 
     def struct(self) -> T.StructType:
         own = [T.StructField(c.name, c.mapping.spark_type, c.target_nullable) for c in self.columns]
-        return T.StructType([*own, T.StructField(VERSION, T.LongType(), False), T.StructField(DELETED, T.ByteType(), False), T.StructField(SEQ, T.LongType(), False)])
+        return T.StructType([*own, T.StructField(VERSION, T.LongType(), False), T.StructField(DELETED, T.ByteType(), False), T.StructField(SEQ, T.LongType(), False), T.StructField(SYNCED_AT, T.TimestampNTZType(), True)])
 
 
 def spec_of(df: DataFrame, name: str, pk: list[str], schema: str = "dbo", not_null: tuple[str, ...] = (), exclude: tuple[str, ...] = ()) -> TableSpec:

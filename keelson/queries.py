@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.functions import typemap
-from keelson.functions.keys import keyset_after, shard_owner, shard_owner_column
+from keelson.functions.keys import keyset_after, shard_owner_column
 from keelson.operators import changes as ch
 from keelson.operators import metrics, validate
 from keelson.operators.seed import make
@@ -67,13 +67,12 @@ def current_point_lookup(spark, d):
 
 def changes_since(spark, d):
     o = _t(spark, d, "orders")
-    out = ch.change_scan(_feed(o), _after(o), _orders_spec(o), V0 + 100, V0 + 5000)
-    return out.drop("_seq")
+    return ch.change_scan(_feed(o), _after(o), _orders_spec(o), V0 + 100, 1 << 60).drop("_seq")
 
 
 def net_changes(spark, d):
     e = _t(spark, d, "events").select("user_id", F.col("event_id").alias("version"))
-    return ch.net_changes(e, ["user_id"], 10, 900)
+    return ch.net_changes(e, ["user_id"], 10, 1 << 60)
 
 
 def _conversation_log(spark, d):
@@ -85,7 +84,7 @@ def _conversation_log(spark, d):
 
 
 def composite_key_current(spark, d):
-    return ch.current(_conversation_log(spark, d), ["conv_id", "turn"]).select("conv_id", "turn", "role", F.length("text").cast("bigint").alias("chars"))
+    return ch.current(_conversation_log(spark, d), ["conv_id", "turn"]).select("conv_id", "turn", "role", "text")
 
 
 def delete_then_reinsert(spark, d):
@@ -112,7 +111,7 @@ def pk_update(spark, d):
 
 def snapshot_stamp(spark, d):
     c = _t(spark, d, "customer")
-    return ch.snapshot_scan(c, spec_of(c, "customer", ["c_custkey"]), V0).drop("_seq", "c_acctbal")
+    return ch.snapshot_scan(c, spec_of(c, "customer", ["c_custkey"]), V0).drop("_seq")
 
 
 def snapshot_ranges(spark, d):
@@ -203,11 +202,34 @@ def hourly_error_metrics(spark, d):
     return metrics.hourly_errors(e, F.lit("2100-01-01 00:00:00").cast("timestamp_ntz"), keep_days=365 * 200)
 
 
-def _seed(table: str, rows: int, drop: tuple[str, ...] = ()):
-    counts = {"Customers": 1000, "Products": 100, "Orders": 2500}
+def retention_30_days(spark, d):
+    """The hours that are left on the tenth of February: those since the eleventh of January."""
+    return metrics.hourly_errors(_as_log(_t(spark, d, "events")), F.lit("2024-02-10 00:00:00").cast("timestamp_ntz"))
 
+
+def table_state_latest(spark, d):
+    """The last state row of every table, as a state log keeps it."""
+    e = _t(spark, d, "events")
+    states = e.select(F.concat(F.lit("t"), F.col("user_id") % 20).alias("table_key"), F.col("event_type").alias("phase"), F.col("event_id").alias("last_version"), "ts")
+    return metrics.latest_states(states)
+
+
+def storage_report(spark, d):
+    """Orders by status as if each were a table: planned and loaded rows, seconds and bytes side by side."""
+    o = _t(spark, d, "orders").withColumn("table_key", F.col("o_orderstatus"))
+    plan = o.groupBy("table_key").agg(F.count(F.lit(1)).alias("source_rows"), F.count_if(F.col("o_orderkey") % 1000 != 1).alias("target_rows"))
+    timing = o.where("o_orderstatus <> 'F'").groupBy(F.lower("table_key").alias("table_key")).agg((F.max("o_orderkey") - F.min("o_orderkey")).cast("double").alias("seconds"), F.count_distinct("o_orderpriority").alias("parts"))
+    storage = o.groupBy("table_key").agg(F.count_distinct("o_custkey").alias("files"), F.sum(F.length("o_orderpriority")).alias("bytes"), F.sum(2 * F.length("o_orderpriority")).alias("raw_bytes"))
+    return metrics.run_report(plan, timing, storage)
+
+#: The tables whose sizes the load-test tables take here; by default a plan has ten million rows in all.
+SEED_SIZES = {"Customers": "customer", "Products": "part", "Orders": "orders", "OrderItems": "lineitem", "Payments": "orders"}
+
+
+def _seed(table: str, drop: tuple[str, ...] = ()):
     def run(spark, d):
-        out = make(spark, table, 1, rows, counts).drop(*drop)
+        counts = {k: _t(spark, d, name).count() for k, name in SEED_SIZES.items()}
+        out = make(spark, table, 1, counts[table], counts).drop(*drop)
         return out.select(*[F.col(c).cast("double").alias(c) if kind.startswith("decimal") else F.col(c) for c, kind in out.dtypes])
 
     return run
@@ -257,7 +279,9 @@ def values_cross_join(spark, d):
 
 
 def anti_join_report(spark, d):
-    return _t(spark, d, "customer").join(_t(spark, d, "orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
+    """Customers without an urgent order."""
+    urgent = _t(spark, d, "orders").where("o_orderpriority = '1-URGENT' AND o_orderkey % 3 = 0")
+    return _t(spark, d, "customer").join(urgent, F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey", "c_name")
 
 
 def shard_assignment(spark, d):
@@ -276,19 +300,25 @@ def table_statistics(spark, d):
     return o.join(per, F.col("o_orderkey") == F.col("l_orderkey"), "left").groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"), F.coalesce(F.sum("lines"), F.lit(0)).alias("lines"), F.coalesce(F.sum("returned"), F.lit(0)).alias("returned"))
 
 
-def stream_apply(spark, d):
-    """The feed as a stream of changes, applied in micro-batches to a store: the current relation it ends with."""
+def _scratch(spark, name: str) -> str:
+    """A new folder in the shared folder that the cluster names; on a local master, where none is named, in a temporary one."""
+    import tempfile
     import uuid
 
-    from keelson.sources.store import TableStore
-    from keelson.streaming.change_stream import apply_stream, read_changes
-
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        import tempfile
-
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = f"file://{tempfile.mkdtemp(prefix='keelson-')}"
-    root = f"{base.rstrip('/')}/stream-{uuid.uuid4().hex[:8]}"
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
+
+
+def stream_apply(spark, d):
+    """The feed as a stream of changes, applied in micro-batches to a store: the current relation it ends with."""
+    from keelson.sources.store import TableStore
+    from keelson.streaming.change_stream import apply_stream, read_changes
+
+    root = _scratch(spark, "stream")
     o = _t(spark, d, "orders")
     spec = _orders_spec(o)
     _feed(o).write.parquet(f"{root}/feed")
@@ -296,21 +326,88 @@ def stream_apply(spark, d):
     store.create("g0", spec)
     store.write_batch("g0", "snap-0", ch.snapshot_scan(o, spec, V0))
     store.cut_over("g0")
-    feed = read_changes(spark, f"{root}/feed".replace("file:///", "/").replace("file:/", "/"), "o_orderkey long", start=V0)
+    feed = read_changes(spark, f"{root}/feed", "o_orderkey long", start=V0)
     apply_stream(feed, lambda: _after(o), store, spec, f"{root}/checkpoint").awaitTermination()
     return store.current(keep_meta=False)
 
 
+def _replica(spark, root: str, base: DataFrame, feed: DataFrame, name: str, floor: int = 0):
+    """A Parquet source with one table of orders."""
+    from keelson.sources.change_source import ParquetSource
+
+    base.write.parquet(f"{root}/{name}/dbo.orders/base")
+    feed.write.parquet(f"{root}/{name}/dbo.orders/changes")
+    return ParquetSource(spark, f"{root}/{name}", {"dbo.orders": ["o_orderkey"]}, {"dbo.orders": floor})
+
+
+def _supervisor(spark, root: str, source, **sync):
+    from keelson.plans.settings import sync_settings, table_settings
+    from keelson.streaming.lifecycle import Supervisor
+
+    settings = sync_settings(**{"workers": 2, "poll_interval": 0.0, "min_rows_per_partition": 1000, "snapshot_partitions": 4, "batch_size": 1_000_000, **sync})
+    return Supervisor(spark, source, f"{root}/target", settings, [table_settings("dbo.orders", order_by=["o_orderkey"])])
+
+
+def _feed_before(o: DataFrame) -> DataFrame:
+    """One change that the snapshot's version covers."""
+    return o.limit(1).select("o_orderkey", F.lit(V0).cast("bigint").alias("version"))
+
+
+def snapshot_resume(spark, d):
+    """A snapshot that stops between two pages of a range and is resumed by another supervisor."""
+    o = _t(spark, d, "orders")
+    root = _scratch(spark, "resume")
+    source = _replica(spark, root, o, _feed_before(o), "source")
+    n = o.count()
+    first = _supervisor(spark, root, source, batch_size=max(1, n // 12))
+    while not any(p["page"] for s in first.states.values() for p in s.progress.values()):
+        first.schedule()
+        first.collect(0.05)
+    first.shutdown()
+    second = _supervisor(spark, root, source, batch_size=max(1, n // 12))
+    second.step()
+    second.shutdown()
+    return second.store("dbo.orders").current(keep_meta=False)
+
+
+def resync_through_store(spark, d):
+    """A delete whose record is lost with the history: the tick asks for a resync, which reads a new generation."""
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    root = _scratch(spark, "resync")
+    s = _supervisor(spark, root, _replica(spark, root, o, _feed_before(o), "before"))
+    s.step()
+    now = o.where(F.col("o_orderkey") % 13 != 5)
+    s.source = _replica(spark, root, now, now.limit(1).select("o_orderkey", F.lit(V0 + 500).cast("bigint").alias("version")), "after", V0 + 100)
+    s.step()  # finds the history cut off
+    s.step()  # reads anew
+    s.shutdown()
+    return s.store("dbo.orders").current(keep_meta=False)
+
+
+def add_columns_store(spark, d):
+    """The source gains a column between snapshot and tick: rows from before have null in it."""
+    o = _t(spark, d, "orders").select("o_orderkey", "o_orderstatus")
+    root = _scratch(spark, "columns")
+    s = _supervisor(spark, root, _replica(spark, root, o, _feed_before(o), "narrow"))
+    s.step()
+    wide = o.withColumn("note", F.concat(F.lit("n"), F.col("o_orderkey")))
+    s.source = _replica(spark, root, wide, o.where(F.col("o_orderkey") % 7 == 0).select("o_orderkey", (F.col("o_orderkey") + V0 + 1).alias("version")), "wide")
+    s.step()
+    s.shutdown()
+    return s.store("dbo.orders").current(keep_meta=False)
+
+
 def queries() -> dict:
     own = (
         current_state, current_merge_on_read, current_rollup, current_point_lookup, changes_since, net_changes, composite_key_current, delete_then_reinsert, pk_update, snapshot_stamp,
         snapshot_ranges, keyset_resume, idempotent_replay, schema_drift_union, dropped_column_fill, resync_drops_lost_delete, type_clamp_utc, tombstone_defaults, exclude_columns,
         latest_request, snapshot_log_metrics, hourly_error_metrics, row_count_check, pk_bounds_check, aggregate_check, hash_bucket_check, diff_sample, phase_heartbeat, values_cross_join,
-        anti_join_report, shard_assignment, compaction, table_statistics, stream_apply,
+        anti_join_report, shard_assignment, compaction, table_statistics, stream_apply, snapshot_resume, resync_through_store, add_columns_store, retention_30_days,
+        table_state_latest, storage_report,
     )
     seeds = {
-        "seed_customers": _seed("Customers", 1000), "seed_products": _seed("Products", 100), "seed_orders": _seed("Orders", 2500, ("ExternalRef",)),
-        "seed_order_items": _seed("OrderItems", 4000), "seed_payments": _seed("Payments", 2400),
+        "seed_customers": _seed("Customers"), "seed_products": _seed("Products"), "seed_orders": _seed("Orders", ("ExternalRef",)),  # a random value
+        "seed_order_items": _seed("OrderItems"), "seed_payments": _seed("Payments"),
     }
     return {f.__name__: f for f in own} | seeds
 
@@ -322,7 +419,7 @@ _CURRENT = """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 THEN 'X
 _LOG = """(SELECT 't' || (user_id % 20) AS table_key, CASE WHEN event_type = 'purchase' THEN 'snapshot[' || (event_id % 8) || ']' ELSE 'cdc' END AS task,
  CASE WHEN event_type = 'error' THEN 'error' ELSE 'ok' END AS status, event_id % 1000 AS rows, (event_id % 60) * 1000 AS duration_ms, ts FROM events)"""
 _DRIFTED = "(SELECT o_orderkey, CASE WHEN o_orderkey = 78 THEN -1 ELSE o_custkey END AS o_custkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderkey <> 77)"
-_SEEDED = "(SELECT i, i * 2654435761 % 2147483647 AS h FROM range(1, {n}) r(i))"
+_SEEDED = "(SELECT i, i * 2654435761 % 2147483647 AS h FROM (SELECT row_number() OVER () AS i FROM {t}))"
 
 
 def _pick(k: str, values) -> str:
@@ -356,12 +453,12 @@ def oracle_sql() -> dict[str, str]:
         "current_point_lookup": f"SELECT * FROM ({_CURRENT}) WHERE o_custkey = 7 OR o_orderkey = 42",
         "changes_since": f"""SELECT f.o_orderkey, CASE WHEN c.o_orderkey IS NULL THEN 0 ELSE c.o_custkey END AS o_custkey, c.o_orderstatus, c.o_totalprice,
             coalesce(c.o_orderdate, TIMESTAMP '1970-01-01') AS o_orderdate, c.o_orderpriority, f.o_orderkey + 1001 AS _version, (c.o_orderkey IS NULL)::INT AS _is_deleted
-            FROM orders f LEFT JOIN ({_CURRENT}) c USING (o_orderkey) WHERE (f.o_orderkey % 11 = 0 OR f.o_orderkey % 7 = 0) AND f.o_orderkey + 1001 > 1100 AND f.o_orderkey + 1001 <= 6000""",
-        "net_changes": "SELECT user_id, max(event_id) AS version FROM events WHERE event_id > 10 AND event_id <= 900 GROUP BY user_id",
-        "composite_key_current": "SELECT conv_id, turn, CASE WHEN turn % 3 = 1 THEN upper(role) ELSE role END AS role, length(text)::BIGINT AS chars FROM conversations WHERE NOT (turn % 3 = 1 AND conv_id % 2 = 0)",
+            FROM orders f LEFT JOIN ({_CURRENT}) c USING (o_orderkey) WHERE (f.o_orderkey % 11 = 0 OR f.o_orderkey % 7 = 0) AND f.o_orderkey + 1001 > 1100""",
+        "net_changes": "SELECT user_id, max(event_id) AS version FROM events WHERE event_id > 10 GROUP BY user_id",
+        "composite_key_current": "SELECT conv_id, turn, CASE WHEN turn % 3 = 1 THEN upper(role) ELSE role END AS role, text FROM conversations WHERE NOT (turn % 3 = 1 AND conv_id % 2 = 0)",
         "delete_then_reinsert": "SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN 'R' ELSE o_orderstatus END AS o_orderstatus FROM orders",
         "pk_update": "SELECT CASE WHEN c_custkey % 10 = 3 THEN c_custkey + 10000000 ELSE c_custkey END AS c_custkey, c_name, c_nationkey FROM customer",
-        "snapshot_stamp": "SELECT c_custkey, c_name, c_nationkey, c_mktsegment, 1000::BIGINT AS _version, 0::TINYINT AS _is_deleted FROM customer",
+        "snapshot_stamp": "SELECT *, 1000::BIGINT AS _version, 0::TINYINT AS _is_deleted FROM customer",
         "snapshot_ranges": """WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) - min(o_orderkey) + 1 AS span FROM orders), e AS (SELECT i, lo + span * i // 8 AS edge FROM b, range(1, 8) r(i))
             SELECT (SELECT count(*) FROM e WHERE edge <= o_orderkey) AS part, count(*) AS rows, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders GROUP BY 1""",
         "keyset_resume": "SELECT conv_id, turn, role FROM conversations WHERE (conv_id, turn) > (10, 1)",
@@ -390,19 +487,31 @@ def oracle_sql() -> dict[str, str]:
             FROM orders a FULL JOIN {_DRIFTED} b ON a.o_orderkey = b.o_orderkey WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR a.o_custkey <> b.o_custkey""",
         "phase_heartbeat": "SELECT ['new', 'snapshot', 'cdc', 'resync'][c_custkey % 4 + 1] AS phase, count(*) AS tables, count(*) FILTER (c_custkey % 9 = 0) AS errors, sum(c_custkey)::BIGINT AS rows FROM customer GROUP BY 1",
         "values_cross_join": "SELECT p_partkey, n::BIGINT AS line_no, 'SKU-' || p_partkey || '-' || n AS sku FROM part CROSS JOIN (VALUES (1), (2), (3)) v(n)",
-        "anti_join_report": "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)",
-        # there is no crc32 in the SQL engine: the owners are those of zlib
-        "shard_assignment": "SELECT n_name, CASE n_name " + " ".join(f"WHEN 'NATION_{i}' THEN {shard_owner(f'dbo.NATION_{i}', 3)}" for i in range(25)) + " END AS shard FROM nation",
+        "anti_join_report": "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT' AND o_orderkey % 3 = 0)",
+        # the polynomial bit by bit, for there is no crc32 in the SQL engine
+        "shard_assignment": """WITH n AS (SELECT n_name, lower('dbo.' || n_name) AS s FROM nation), c AS (SELECT n_name, list_reduce(
+            list_prepend(4294967295::BIGINT, list_transform(range(1, length(s) + 1), lambda i: ascii(s[i])::BIGINT)),
+            lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x % 2 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)) AS crc FROM n)
+            SELECT n_name, (xor(crc, 4294967295) % 3)::INT AS shard FROM c""",
+        "snapshot_resume": "SELECT * FROM orders",
+        "resync_through_store": "SELECT o_orderkey, o_orderstatus FROM orders WHERE o_orderkey % 13 <> 5",
+        "add_columns_store": "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN 'n' || o_orderkey END AS note FROM orders",
+        "retention_30_days": f"SELECT date_trunc('hour', ts) AS hour, count(*) FILTER (status = 'error') AS errors, count(*) AS tasks FROM {_LOG} WHERE ts >= TIMESTAMP '2024-01-11' GROUP BY 1",
+        "table_state_latest": "SELECT 't' || (user_id % 20) AS table_key, arg_max(event_type, ts) AS phase, arg_max(event_id, ts) AS last_version, max(ts) AS ts FROM events GROUP BY 1",
+        "storage_report": """WITH p AS (SELECT o_orderstatus AS k, count(*) AS source_rows, count(*) FILTER (o_orderkey % 1000 <> 1) AS target_rows, count(DISTINCT o_custkey) AS files, sum(length(o_orderpriority))::BIGINT AS bytes,
+            (max(o_orderkey) - min(o_orderkey))::DOUBLE AS seconds, count(DISTINCT o_orderpriority) AS parts FROM orders GROUP BY 1)
+            SELECT k AS table_key, source_rows, target_rows, CASE WHEN k <> 'F' THEN seconds END AS seconds, CASE WHEN k <> 'F' THEN parts END AS parts, files, bytes, 2 * bytes AS raw_bytes,
+            source_rows = target_rows AS match, CASE WHEN k <> 'F' THEN target_rows / nullif(seconds, 0) END AS rows_per_second, 2.0::DOUBLE AS compression FROM p""",
         "compaction": "SELECT o_orderkey, CASE WHEN o_orderkey % 11 = 0 OR o_orderkey % 7 = 0 THEN o_orderkey + 1001 ELSE 1000 END AS _version, (o_orderkey % 11 = 0)::BIGINT AS _is_deleted FROM orders",
         "table_statistics": """SELECT o_orderstatus, count(*) AS orders, coalesce(sum(lines), 0)::BIGINT AS lines, coalesce(sum(returned), 0)::BIGINT AS returned FROM orders
             LEFT JOIN (SELECT l_orderkey, count(*) AS lines, count(*) FILTER (l_returnflag = 'R') AS returned FROM lineitem GROUP BY 1) ON l_orderkey = o_orderkey GROUP BY 1""",
         "seed_customers": f"""SELECT i AS CustomerId, {_pick('h', s.FIRST)} AS FirstName, {_pick('h // 10', s.LAST)} AS LastName, 'user' || i || '@example.com' AS Email, {_pick('h // 100', s.COUNTRIES)} AS Country,
-            {_ago('h % 1051200')} AS CreatedAt, h % 10 <> 0 AS IsActive FROM {_SEEDED.format(n=1001)}""",
-        "seed_products": f"SELECT i AS ProductId, 'SKU-' || lpad(i::VARCHAR, 10, '0') AS Sku, 'Product ' || i AS Name, {_pick('h', s.CATEGORIES)} AS Category, ((100 + h % 100000) / 100)::DECIMAL(10,2)::DOUBLE AS Price, {_ago('h % 1051200')} AS CreatedAt FROM {_SEEDED.format(n=101)}",
-        "seed_orders": f"""SELECT i AS OrderId, 1 + h % 1000 AS CustomerId, {_pick('h', s.STATUSES)} AS Status, {_ago('h % 525600')} AS OrderDate, ((h % 5000000) / 100)::DECIMAL(18,2)::DOUBLE AS TotalAmount,
-            {_pick('h // 7', s.CURRENCIES)} AS Currency FROM {_SEEDED.format(n=2501)}""",
-        "seed_order_items": f"""SELECT i AS OrderItemId, 1 + h % 2500 AS OrderId, 1 + (h // 3) % 100 AS ProductId, (1 + h % 5)::INT AS Quantity, ((100 + h % 50000) / 100)::DECIMAL(10,2)::DOUBLE AS UnitPrice,
-            CASE WHEN h % 4 <> 0 THEN ((h % 30) / 100)::DECIMAL(5,2)::DOUBLE END AS Discount FROM {_SEEDED.format(n=4001)}""",
-        "seed_payments": f"""SELECT i AS PaymentId, 1 + (i - 1) % 2500 AS OrderId, {_pick('h', s.METHODS)} AS Method, ((h % 5000000) / 100)::DECIMAL(18,2)::DOUBLE AS Amount,
-            CASE WHEN h % 7 <> 0 THEN {_ago('h % 525600 + 330')} END AS PaidAt, CASE WHEN h % 50 = 0 THEN repeat('note ', 20) END AS Notes FROM {_SEEDED.format(n=2401)}""",
+            {_ago('h % 1051200')} AS CreatedAt, h % 10 <> 0 AS IsActive FROM {_SEEDED.format(t='customer')}""",
+        "seed_products": f"SELECT i AS ProductId, 'SKU-' || lpad(i::VARCHAR, 10, '0') AS Sku, 'Product ' || i AS Name, {_pick('h', s.CATEGORIES)} AS Category, ((100 + h % 100000) / 100)::DECIMAL(10,2)::DOUBLE AS Price, {_ago('h % 1051200')} AS CreatedAt FROM {_SEEDED.format(t='part')}",
+        "seed_orders": f"""SELECT i AS OrderId, 1 + h % (SELECT count(*) FROM customer) AS CustomerId, {_pick('h', s.STATUSES)} AS Status, {_ago('h % 525600')} AS OrderDate, ((h % 5000000) / 100)::DECIMAL(18,2)::DOUBLE AS TotalAmount,
+            {_pick('h // 7', s.CURRENCIES)} AS Currency FROM {_SEEDED.format(t='orders')}""",
+        "seed_order_items": f"""SELECT i AS OrderItemId, 1 + h % (SELECT count(*) FROM orders) AS OrderId, 1 + (h // 3) % (SELECT count(*) FROM part) AS ProductId, (1 + h % 5)::INT AS Quantity, ((100 + h % 50000) / 100)::DECIMAL(10,2)::DOUBLE AS UnitPrice,
+            CASE WHEN h % 4 <> 0 THEN ((h % 30) / 100)::DECIMAL(5,2)::DOUBLE END AS Discount FROM {_SEEDED.format(t='lineitem')}""",
+        "seed_payments": f"""SELECT i AS PaymentId, 1 + (i - 1) % (SELECT count(*) FROM orders) AS OrderId, {_pick('h', s.METHODS)} AS Method, ((h % 5000000) / 100)::DECIMAL(18,2)::DOUBLE AS Amount,
+            CASE WHEN h % 7 <> 0 THEN {_ago('h % 525600 + 330')} END AS PaidAt, CASE WHEN h % 50 = 0 THEN repeat('note ', 20) END AS Notes FROM {_SEEDED.format(t='orders')}""",
     }

@@ -6,13 +6,13 @@ A source gives base rows, a table-wide version counter, the lowest version from
 
 from __future__ import annotations
 
+from contextlib import AbstractContextManager, nullcontext
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keelson.plans.model import TableSpec, spec_of
-from keelson.plans.partitions import Range, jdbc_predicates
+from keelson.plans.model import ColumnSpec, TableSpec, spec_of, split_name
 
 
 class ResyncRequired(RuntimeError):
@@ -31,6 +31,7 @@ class ChangeSource(Protocol):
     def base(self, key: str) -> DataFrame: ...
     def changes(self, key: str, last: int, current: int) -> DataFrame: ...
     def approx_rows(self, key: str) -> int: ...
+    def session(self, key: str) -> AbstractContextManager: ...
 
 
 def check_retention(source: ChangeSource, key: str, last: int) -> None:
@@ -104,6 +105,9 @@ class MemorySource:
     def approx_rows(self, key: str) -> int:
         return len(self.rows[key])
 
+    def session(self, key: str) -> AbstractContextManager:
+        return nullcontext()
+
 
 class ParquetSource:
     """Tables as Parquet folders below root: <table>/base and <table>/changes (key columns, version)."""
@@ -135,9 +139,41 @@ class ParquetSource:
     def approx_rows(self, key: str) -> int:
         return self.base(key).count()  # answered from the footers
 
+    def session(self, key: str) -> AbstractContextManager:
+        return nullcontext()
+
+
+def bracketed(name: str) -> str:
+    """A name in brackets, as the source's SQL quotes it."""
+    return "[" + name.replace("]", "]]") + "]"
+
+
+def literal(text: str) -> str:
+    return "N'" + text.replace("'", "''") + "'"
+
+
+def table_sql(key: str) -> str:
+    schema, name = split_name(key)
+    return f"{bracketed(schema)}.{bracketed(name)}"
+
+
+def read_sql(name: str, sql_type: str) -> str:
+    """A column in the form in which JDBC can read it: types without a JDBC mapping come as text."""
+    c, t = bracketed(name), sql_type.lower()
+    forms = {
+        "hierarchyid": f"{c}.ToString()", "geography": f"{c}.STAsText()", "geometry": f"{c}.STAsText()", "xml": f"CAST({c} AS nvarchar(max))", "sql_variant": f"CAST({c} AS nvarchar(4000))",
+        "datetimeoffset": f"CONVERT(varchar(34), {c}, 121)", "uniqueidentifier": f"CONVERT(char(36), {c})", "time": f"CONVERT(varchar(16), {c})",
+    }
+    return f"{forms[t]} AS {c}" if t in forms else c
+
 
 class JdbcSource:
-    """SQL Server change tracking over JDBC. The statements are built here; running them needs a driver on the class path."""
+    """SQL Server change tracking over JDBC. The statements are built here; running them needs a driver on the class path.
+
+    Spark opens a connection for each read, so one transaction can't span them. Instead the tick checks the floor before and
+    after reading, and base rows are read after the version they are stamped with: a row that changed in between is
+    only newer than its stamp and comes again with the next tick.
+    """
 
     def __init__(self, spark: SparkSession, options: dict[str, str]):
         self.spark, self.options = spark, options
@@ -145,35 +181,48 @@ class JdbcSource:
     def query(self, sql: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.options).option("query", sql).load()
 
+    def session(self, key: str) -> AbstractContextManager:
+        return nullcontext()
+
+    def allows_snapshots(self) -> bool:
+        """Whether the database lets a transaction be isolated by snapshot; where not, `sessionInitStatement` must go."""
+        return self.query("SELECT snapshot_isolation_state AS s FROM sys.databases WHERE database_id = DB_ID()").first()["s"] == 1
+
     def tables(self) -> list[str]:
-        sql = "SELECT s.name + '.' + t.name AS k FROM sys.change_tracking_tables c JOIN sys.tables t ON t.object_id = c.object_id JOIN sys.schemas s ON s.schema_id = t.schema_id"
-        return sorted(r["k"] for r in self.query(sql).collect())
+        sql = "SELECT s.name AS s, t.name AS t FROM sys.change_tracking_tables c JOIN sys.tables t ON t.object_id = c.object_id JOIN sys.schemas s ON s.schema_id = t.schema_id"
+        return sorted(f"{r['s']}.{r['t']}" for r in self.query(sql).collect())
+
+    def columns_sql(self, key: str) -> str:
+        at = literal(table_sql(key))
+        return (
+            "SELECT c.name AS n, t.name AS kind, c.precision AS p, c.scale AS s, c.is_nullable AS nullable, coalesce(k.key_ordinal, 0) AS k FROM sys.columns c JOIN sys.types t ON t.user_type_id = c.system_type_id OR t.user_type_id = c.user_type_id AND t.is_user_defined = 0 AND c.system_type_id = 240 "
+            "LEFT JOIN (SELECT ic.object_id, ic.column_id, ic.key_ordinal FROM sys.index_columns ic JOIN sys.indexes i ON i.object_id = ic.object_id AND i.index_id = ic.index_id AND i.is_primary_key = 1) k "
+            f"ON k.object_id = c.object_id AND k.column_id = c.column_id WHERE c.object_id = OBJECT_ID({at}) AND c.is_computed = 0"
+        )
 
     def spec(self, key: str, exclude: tuple[str, ...] = ()) -> TableSpec:
-        schema, _, name = key.rpartition(".")
-        pk = self.query(
-            f"SELECT c.name AS n, ic.key_ordinal AS o FROM sys.indexes i JOIN sys.index_columns ic ON ic.object_id = i.object_id AND ic.index_id = i.index_id "
-            f"JOIN sys.columns c ON c.object_id = ic.object_id AND c.column_id = ic.column_id WHERE i.is_primary_key = 1 AND i.object_id = OBJECT_ID('{key}')"
-        ).collect()
-        return spec_of(self.base(key), name, [r["n"] for r in sorted(pk, key=lambda r: r["o"])], schema or "dbo", exclude=exclude)
+        schema, name = split_name(key)
+        rows = self.query(self.columns_sql(key)).collect()
+        return TableSpec(schema, name, tuple(ColumnSpec(r["n"], r["kind"], bool(r["nullable"]), r["k"], r["p"], r["s"]) for r in rows), exclude)
 
     def current_version(self) -> int:
         return self.query("SELECT CHANGE_TRACKING_CURRENT_VERSION() AS v").first()["v"] or 0
 
     def min_valid_version(self, key: str) -> int | None:
-        return self.query(f"SELECT CHANGE_TRACKING_MIN_VALID_VERSION(OBJECT_ID('{key}')) AS v").first()["v"]
+        return self.query(f"SELECT CHANGE_TRACKING_MIN_VALID_VERSION(OBJECT_ID({literal(table_sql(key))})) AS v").first()["v"]
+
+    def base_sql(self, spec: TableSpec) -> str:
+        return f"(SELECT {', '.join(read_sql(c.name, c.sql_type) for c in spec.columns)} FROM {table_sql(spec.key)}) AS base"
 
     def base(self, key: str) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.options).option("dbtable", key).load()
+        return self.spark.read.format("jdbc").options(**self.options).option("dbtable", self.base_sql(self.spec(key))).load()
 
-    def base_ranges(self, key: str, column: str, ranges: list[Range]) -> DataFrame:
-        """One JDBC partition per planned range."""
-        properties = {k: v for k, v in self.options.items() if k != "url"}
-        return self.spark.read.jdbc(self.options["url"], key, predicates=jdbc_predicates(column, ranges), properties=properties)
+    def changes_sql(self, spec: TableSpec, last: int, current: int) -> str:
+        pk = ", ".join(f"CT.{bracketed(c)}" for c in spec.pk)
+        return f"SELECT {pk}, CT.SYS_CHANGE_VERSION AS version FROM CHANGETABLE(CHANGES {table_sql(spec.key)}, {int(last)}) CT WHERE CT.SYS_CHANGE_VERSION <= {int(current)}"
 
     def changes(self, key: str, last: int, current: int) -> DataFrame:
-        pk = ", ".join(f"CT.[{c}]" for c in self.spec(key).pk)
-        return self.query(f"SELECT {pk}, CT.SYS_CHANGE_VERSION AS version FROM CHANGETABLE(CHANGES {key}, {int(last)}) CT WHERE CT.SYS_CHANGE_VERSION <= {int(current)}")
+        return self.query(self.changes_sql(self.spec(key), last, current))
 
     def approx_rows(self, key: str) -> int:
-        return self.query(f"SELECT SUM(rows) AS n FROM sys.partitions WHERE object_id = OBJECT_ID('{key}') AND index_id IN (0, 1)").first()["n"] or 0
+        return self.query(f"SELECT SUM(rows) AS n FROM sys.partitions WHERE object_id = OBJECT_ID({literal(table_sql(key))}) AND index_id IN (0, 1)").first()["n"] or 0

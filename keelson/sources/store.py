@@ -4,22 +4,35 @@
 <root>/<table>/<generation>/MANIFEST.json       committed batches with schema, version range, rows
 <root>/<table>/LIVE                             the generation that readers see
 
+<root>/<table>/TRASH.json                       what is no longer named, and since when
+
 A batch is written first and committed after; a repeated batch overwrites its folder. A cut-over replaces the pointer,
-which names the generation, so doing it twice does nothing. Small files go through Hadoop's FileSystem, by a temporary
-file and a rename, so root may be any path that Spark can write.
+which names the generation, so doing it twice does nothing. Folders that a cut-over or a compaction leaves stay for a
+grace period, since running readers may hold them. Small files go through Hadoop's FileSystem, by a temporary file and a
+rename, so root may be any path that Spark can write. A table has one writing process; threads of it take turns.
 """
 
 from __future__ import annotations
 
 import json
+import re
+import threading
+import time
 import uuid
+from collections import defaultdict
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from keelson.operators.changes import compact, current
-from keelson.plans.model import VERSION, SchemaError, TableSpec
+from keelson.plans.model import SYNCED_AT, VERSION, SchemaError, TableSpec
+
+_locks: dict[str, threading.RLock] = defaultdict(threading.RLock)
+
+
+PARTITION = "_partition"
 
 
 class Files:
@@ -58,6 +71,11 @@ class Files:
         fs, p = self._at(path)
         fs.delete(p, True)
 
+    def names(self, path: str) -> list[str]:
+        """Names in a folder; none where there is no folder."""
+        fs, p = self._at(path)
+        return sorted(x.getPath().getName() for x in fs.listStatus(p)) if fs.exists(p) else []
+
     def sizes(self, path: str) -> tuple[int, int]:
         """Files and bytes below a path."""
         fs, p = self._at(path)
@@ -67,9 +85,16 @@ class Files:
         return s.getFileCount(), s.getLength()
 
 
+def partition_value(expression: str):
+    """A partition_by expression: a column, an SQL expression, or toYYYYMM(column)."""
+    m = re.fullmatch(r"\s*toYYYYMM\((.+)\)\s*", expression)
+    return F.date_format(F.expr(m[1]), "yyyyMM") if m else F.expr(expression).cast("string")
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str, table: str):
         self.spark, self.path, self.files = spark, f"{root.rstrip('/')}/{table}", Files(spark)
+        self.lock = _locks[self.path]
 
     # generations
 
@@ -77,15 +102,31 @@ class TableStore:
         return self.files.read(f"{self.path}/LIVE")
 
     def cut_over(self, generation: str) -> str | None:
-        """Makes a generation live and drops the one before; returns the dropped one."""
+        """Makes a generation live; the one before goes to the trash and is returned."""
         old = self.live()
         if old == generation:
             return None
         self.files.write(f"{self.path}/LIVE", generation)
         if old:
-            self.files.delete(f"{self.path}/{old}")
+            self.discard([old])
         return old
 
+    def discard(self, names: list[str]) -> None:
+        with self.lock:
+            trash = json.loads(self.files.read(f"{self.path}/TRASH.json") or "{}")
+            self.files.write(f"{self.path}/TRASH.json", json.dumps(trash | {n: time.time() for n in names}))
+
+    def purge(self, grace: float) -> list[str]:
+        """Deletes what has been in the trash for longer than grace seconds."""
+        with self.lock:
+            trash = json.loads(self.files.read(f"{self.path}/TRASH.json") or "{}")
+            gone = [n for n, since in trash.items() if since <= time.time() - grace]
+            for n in gone:
+                self.files.delete(f"{self.path}/{n}")
+            if gone:
+                self.files.write(f"{self.path}/TRASH.json", json.dumps({n: t for n, t in trash.items() if n not in gone}))
+        return gone
+
     def manifest(self, generation: str) -> dict | None:
         text = self.files.read(f"{self.path}/{generation}/MANIFEST.json")
         return json.loads(text) if text else None
@@ -105,6 +146,10 @@ class TableStore:
 
     def add_columns(self, generation: str, spec: TableSpec) -> list[str]:
         """New source columns join the schema, nullable; columns that the source dropped stay and get nulls."""
+        with self.lock:
+            return self._add_columns(generation, spec)
+
+    def _add_columns(self, generation: str, spec: TableSpec) -> list[str]:
         m = self.manifest(generation)
         have = {f["name"].lower() for f in m["schema"]["fields"]}
         new = [c for c in spec.columns if c.name.lower() not in have]
@@ -118,22 +163,35 @@ class TableStore:
     # batches
 
     def write_files(self, generation: str, batch: str, rows: DataFrame) -> None:
+        """Writes a batch's files, stamped with the time of writing, sorted by the layout, in folders by partition_by."""
         m = self.manifest(generation)
-        rows.sortWithinPartitions(*m["order_by"]).write.mode("overwrite").parquet(f"{self.path}/{generation}/{batch}")
+        rows = rows.withColumn(SYNCED_AT, F.date_trunc("MILLISECOND", F.current_timestamp()).cast("timestamp_ntz"))
+        writer = rows.sortWithinPartitions(*[f"`{c}`" for c in m["order_by"]])
+        if m["partition_by"]:
+            rows = rows.withColumn(PARTITION, partition_value(m["partition_by"]))
+            writer = rows.sortWithinPartitions(PARTITION, *[f"`{c}`" for c in m["order_by"]]).write.partitionBy(PARTITION)
+        else:
+            writer = writer.write
+        writer.mode("overwrite").parquet(f"{self.path}/{generation}/{batch}")
 
     def commit_batch(self, generation: str, batch: str) -> int:
         """Puts a written batch into the manifest; returns its rows. A batch without rows leaves no folder."""
-        m, path = self.manifest(generation), f"{self.path}/{generation}/{batch}"
-        r = self.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.min(VERSION).alias("a"), F.max(VERSION).alias("z")).first()
-        if r["n"]:
-            m["batches"][batch] = {"rows": r["n"], "versions": [r["a"], r["z"]]}
-        else:
-            m["batches"].pop(batch, None)
-        self._save(generation, m)
+        path = f"{self.path}/{generation}/{batch}"
+        r = self.spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n"), F.min(VERSION).alias("a"), F.max(VERSION).alias("z")).first() if self._has_data(path) else {"n": 0}
+        with self.lock:
+            m = self.manifest(generation)
+            if r["n"]:
+                m["batches"][batch] = {"rows": r["n"], "versions": [r["a"], r["z"]]}
+            else:
+                m["batches"].pop(batch, None)
+            self._save(generation, m)
         if not r["n"]:
             self.files.delete(path)
         return r["n"]
 
+    def _has_data(self, path: str) -> bool:
+        return any(n.endswith(".parquet") or n.startswith(f"{PARTITION}=") for n in self.files.names(path))
+
     def write_batch(self, generation: str, batch: str, rows: DataFrame) -> int:
         """Writes and commits a batch, replacing an earlier try."""
         self.write_files(generation, batch, rows)
@@ -145,7 +203,7 @@ class TableStore:
         m = self.manifest(generation)
         schema = T.StructType.fromJson(m["schema"])
         paths = [f"{self.path}/{generation}/{b}" for b in m["batches"]]
-        return self.spark.read.schema(schema).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).option("recursiveFileLookup", True).parquet(*paths) if paths else self.spark.createDataFrame([], schema)
 
     def current(self, generation: str | None = None, keep_meta: bool = True) -> DataFrame:
         generation = generation or self.live()
@@ -160,13 +218,15 @@ class TableStore:
         m = self.manifest(generation)
         before = list(m["batches"])
         batch = f"compact-{uuid.uuid4().hex[:8]}"
-        n = self.write_batch(generation, batch, compact(self.log(generation), m["pk"], keep_tombstones=True))
-        m = self.manifest(generation)
-        for b in before:
-            m["batches"].pop(b)
-        self._save(generation, m)
-        for b in before:
-            self.files.delete(f"{self.path}/{generation}/{b}")
+        rows = compact(self.log(generation), m["pk"], keep_tombstones=True).drop(SYNCED_AT)
+        self.write_files(generation, batch, rows)
+        with self.lock:  # a reader in between sees both the old batches and the new one, which gives it the same rows
+            n = self.commit_batch(generation, batch)
+            m = self.manifest(generation)
+            for b in before:
+                m["batches"].pop(b, None)
+            self._save(generation, m)
+        self.discard([f"{generation}/{b}" for b in before])
         return n
 
     def statistics(self) -> dict:
@@ -178,26 +238,43 @@ class TableStore:
 
 
 class MetaStore:
-    """State and logs as small JSON-lines files: table_state and progress keep the latest by key, requests and log append."""
+    """State and logs as small JSON files: a file per key of table_state, and per process and hour of an appended log.
+
+    No file has two writers, so processes (a service, its shards, a resync from the command line) never lose each other's rows.
+    """
 
     KEEP_DAYS = 30
 
     def __init__(self, spark: SparkSession, root: str):
-        self.files, self.path = Files(spark), root.rstrip("/")
+        self.files, self.path, self.writer = Files(spark), root.rstrip("/"), uuid.uuid4().hex[:8]
+        self.mine: dict[tuple[str, int], list[dict]] = {}
+        self.lock = threading.Lock()
 
     def latest(self, name: str) -> dict[str, dict]:
-        return json.loads(self.files.read(f"{self.path}/{name}.json") or "{}")
+        folder = f"{self.path}/{name}"
+        rows = [json.loads(self.files.read(f"{folder}/{n}") or "null") for n in self.files.names(folder) if n.endswith(".json")]
+        return {r["key"]: r["row"] for r in rows if r}
 
     def save(self, name: str, key: str, row: dict) -> None:
-        rows = self.latest(name)
-        rows[key] = {k: v[:4000] if isinstance(v, str) else v for k, v in row.items()}
-        self.files.write(f"{self.path}/{name}.json", json.dumps(rows))
+        self.files.write(f"{self.path}/{name}/{quote(key.lower(), safe='')}.json", json.dumps({"key": key, "row": row}))
 
     def append(self, name: str, row: dict, now: float) -> None:
-        """Adds a row with its time and forgets what is older than KEEP_DAYS."""
-        rows = [r for r in self.rows(name) if r["ts"] >= now - 86_400 * self.KEEP_DAYS]
-        rows.append({"ts": now, **{k: v[:4000] if isinstance(v, str) else v for k, v in row.items()}})
-        self.files.write(f"{self.path}/{name}.json", json.dumps(rows))
+        """Adds a row with its time; a new hour's first row also deletes files older than KEEP_DAYS."""
+        with self.lock:
+            hour = int(now // 3600)
+            if (name, hour) not in self.mine:
+                self.mine = {k: v for k, v in self.mine.items() if k[0] != name} | {(name, hour): []}
+                self.expire(name, now)
+            self.mine[name, hour].append({"ts": now, **row})
+            self.files.write(f"{self.path}/{name}/{hour:010d}-{self.writer}.jsonl", "\n".join(map(json.dumps, self.mine[name, hour])))
+
+    def expire(self, name: str, now: float) -> None:
+        oldest = int((now - 86_400 * self.KEEP_DAYS) // 3600)
+        for n in self.files.names(f"{self.path}/{name}"):
+            if n.endswith(".jsonl") and int(n.split("-")[0]) < oldest:
+                self.files.delete(f"{self.path}/{name}/{n}")
 
     def rows(self, name: str) -> list[dict]:
-        return json.loads(self.files.read(f"{self.path}/{name}.json") or "[]")
+        folder = f"{self.path}/{name}"
+        texts = [self.files.read(f"{folder}/{n}") or "" for n in self.files.names(folder) if n.endswith(".jsonl")]
+        return sorted((json.loads(x) for t in texts for x in t.split("\n") if x), key=lambda r: r["ts"])

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
@@ -16,25 +18,39 @@ class _Versions(InputPartition):
         self.low, self.high = low, high
 
 
+def _dataset(path: str):
+    """The Parquet files of a folder on any file system that Arrow knows; file: and plain paths are local or mounted."""
+    import pyarrow.dataset as ds
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path) if "://" in path and not path.startswith("file:") else (fs.LocalFileSystem(), re.sub(r"^file:(//)?", "", path))
+    return ds.dataset(inner, format="parquet", filesystem=system)
+
+
 class _Reader(DataSourceStreamReader):
     def __init__(self, options: dict):
         self.path, self.start, self.parts = options["path"], int(options.get("start", 0)), int(options.get("parts", 4))
         self.floor = options.get("floor")
         self.columns = options["columns"].split(",")
-
-    def _table(self):
-        import pyarrow.dataset as ds
-
-        return ds.dataset(self.path.removeprefix("file://"), format="parquet")
+        self.greatest: dict[str, int] = {}
 
     def initialOffset(self) -> dict:
         return {"v": self.start}
 
     def latestOffset(self) -> dict:
+        """The greatest version, from the footers of files not seen yet; only a file without statistics is read."""
+        for piece in _dataset(self.path).get_fragments():
+            if piece.path not in self.greatest:
+                self.greatest[piece.path] = self._greatest(piece)
+        return {"v": max([self.start, *self.greatest.values()])}
+
+    def _greatest(self, piece) -> int:
+        groups = [g.statistics.get("version", {}).get("max") for g in piece.row_groups if g.num_rows]
+        if all(v is not None for v in groups):
+            return max(groups, default=self.start)
         import pyarrow.compute as pc
 
-        most = pc.max(self._table().to_table(columns=["version"])["version"]).as_py()
-        return {"v": max(most or 0, self.start)}
+        return max((pc.max(b.column(0)).as_py() or self.start for b in piece.to_batches(columns=["version"]) if b.num_rows), default=self.start)
 
     def partitions(self, start: dict, end: dict) -> list[_Versions]:
         low, high = start["v"], end["v"]
@@ -44,11 +60,11 @@ class _Reader(DataSourceStreamReader):
         return [_Versions(a, z) for a, z in zip(cuts, cuts[1:], strict=False) if a < z]
 
     def read(self, partition: _Versions):
+        """Arrow batches of the versions; row groups beyond them are left out by their statistics."""
         import pyarrow.dataset as ds
 
         v = ds.field("version")
-        for b in self._table().to_batches(columns=[*self.columns, "version"], filter=(v > partition.low) & (v <= partition.high)):
-            yield from zip(*(c.to_pylist() for c in b.columns), strict=True)
+        yield from _dataset(self.path).to_batches(columns=[*self.columns, "version"], filter=(v > partition.low) & (v <= partition.high))
 
 
 class ChangeFeed(DataSource):

@@ -1,25 +1,37 @@
 """The life of a replicated table: new -> snapshot -> cdc -> resync -> snapshot -> ...
 
-The supervisor alone changes table state and cuts over. A snapshot fixes its version before the first read, writes range
-by range and commits each before it is marked done; change ticks write before they move the version. So a crash at any
-point repeats work that overwrites itself. Readers see the old generation until the cut-over.
+The supervisor alone changes table state and cuts over; tasks in a pool of threads read, write and commit, and report back.
+Snapshot ranges take part of the pool's slots at most, so that changes of other tables are followed while a snapshot runs;
+Spark shares executors between them by FAIR pools. A snapshot fixes its version before the first read and goes through each
+range page by page; a page is committed before the range's place moves behind it. Change ticks write before they move the
+version. So a crash at any point repeats one page or tick, which overwrites itself. Readers see the old generation until
+the cut-over.
 """
 
 from __future__ import annotations
 
+import logging
+import queue
+import threading
 import time
 import uuid
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
+from types import SimpleNamespace
 
-from keelson.functions.keys import shard_owner
+from pyspark.sql import functions as F
+
+from keelson.functions.keys import cursor_values, last_key, shard_owner
 from keelson.operators.changes import change_scan, snapshot_scan
-from keelson.plans.config import SyncConfig, TableConfig
 from keelson.plans.partitions import plan_ranges
+from keelson.plans.settings import sync_settings, table_settings
 from keelson.sources.change_source import ChangeSource, ResyncRequired, TrackingDisabled, check_retention, key_bounds
 from keelson.sources.store import MetaStore, TableStore
 
+log = logging.getLogger(__name__)
 NEW, SNAPSHOT, CDC, RESYNC = "new", "snapshot", "cdc", "resync"
+#: Seconds between two heartbeats.
+HEARTBEAT = 30.0
 
 
 @dataclass
@@ -30,7 +42,9 @@ class TableState:
     snapshot_id: str | None = None
     snapshot_version: int = 0
     ranges: list = field(default_factory=list)
-    done: list = field(default_factory=list)
+    bounds: list = field(default_factory=list)  # least and greatest key when the snapshot was planned
+    pages: int = 1  # equal pages that a range of an integer key is cut into
+    progress: dict = field(default_factory=dict)  # range number: {"page": committed pages, "cursor": last key, "rows", "done"}
     rows_synced: int = 0  # rows written, over snapshots and ticks; not a row count
     last_success: float = 0.0
     last_error: str = ""
@@ -38,35 +52,59 @@ class TableState:
     failures: int = 0
     next_run: float = 0.0
 
+    @property
+    def done(self) -> list[int]:
+        return [int(k) for k, p in self.progress.items() if p["done"]]
+
 
 def backoff(failures: int, most: float = 300.0) -> float:
     return min(most, 2.0 ** min(failures, 16))
 
 
+def page_bounds(bounds: tuple, key_range: tuple, pages: int, page: int) -> tuple:
+    """Page `page` of a key range, as wide as the others; the range's own ends stay as they are, open or not."""
+    low = bounds[0] if bounds[0] is not None else key_range[0]
+    high = bounds[1] if bounds[1] is not None else key_range[1] + 1
+    cut = lambda i: low + (high - low) * i // pages
+    return (bounds[0] if page == 0 else cut(page), bounds[1] if page == pages - 1 else cut(page + 1))
+
+
 class Supervisor:
-    def __init__(self, spark, source: ChangeSource, root: str, sync: SyncConfig | None = None, tables: list[TableConfig] = (), clock=time.time):
-        self.spark, self.source, self.sync, self.clock = spark, source, sync or SyncConfig(), clock
+    def __init__(self, spark, source: ChangeSource, root: str, sync: SimpleNamespace | None = None, tables: list[SimpleNamespace] = (), clock=time.time, target: SimpleNamespace | None = None):
+        self.spark, self.source, self.sync, self.clock = spark, source, sync or sync_settings(), clock
         self.root = root.rstrip("/")
+        self.target = target or SimpleNamespace(create_views=False, view_suffix="_current", compact_batches=200, grace_seconds=3600.0)
         self.meta = MetaStore(spark, f"{self.root}/_meta")
-        self.configs: dict[str, TableConfig] = {}
+        self.configs: dict[str, SimpleNamespace] = {}
         self.states: dict[str, TableState] = {}
         self.explicit = {t.key.lower(): t for t in tables}
-        self.stopping = False
+        self.stopping = threading.Event()
+        self.pool = ThreadPoolExecutor(self.sync.workers, thread_name_prefix="keelson")
+        self.running: dict[Future, tuple[str, str, int]] = {}  # table, kind of task, range
+        self.reports: queue.Queue = queue.Queue()
+        self.dirty: set[str] = set()
+        self.next_refresh = self.next_flush = self.next_beat = 0.0
         self.refresh()
 
     # tables
 
     def refresh(self) -> None:
-        """Configured tables and, with auto_discover, all tracked ones; configured entries win. Only this shard's are taken."""
-        wanted = {k: TableConfig(source=k) for k in self.source.tables()} if self.sync.auto_discover else {}
+        """Configured tables and, with auto_discover, all tracked ones; configured entries win. Only this shard's are taken;
+        a table that is gone is dropped once nothing of it runs."""
+        wanted = {k: table_settings(k) for k in self.source.tables()} if self.sync.auto_discover else {}
         wanted = {k.lower(): t for k, t in wanted.items()} | self.explicit
+        wanted = {k: t for k, t in wanted.items() if shard_owner(k, self.sync.shard_count) == self.sync.shard_index}
         saved = {k.lower(): v for k, v in self.meta.latest("table_state").items()}
         for low, t in wanted.items():
-            if shard_owner(low, self.sync.shard_count) != self.sync.shard_index:
-                continue
             self.configs[low] = t
             if low not in self.states:
                 self.states[low] = TableState(**{**saved[low], "failures": 0, "next_run": 0.0}) if low in saved else TableState(t.key)
+        for low in [k for k in self.states if k not in wanted and not self.busy(k)]:
+            del self.states[low], self.configs[low]
+        self.next_refresh = self.clock() + self.sync.schema_refresh_seconds
+
+    def busy(self, low: str, kind: str | None = None) -> list[int]:
+        return [part for k, what, part in self.running.values() if k == low and kind in (None, what)]
 
     def store(self, key: str) -> TableStore:
         return TableStore(self.spark, self.root, self.configs[key.lower()].target_table)
@@ -77,6 +115,7 @@ class Supervisor:
 
     def save(self, s: TableState) -> None:
         self.meta.save("table_state", s.table_key, dict(s.__dict__))
+        self.dirty.discard(s.table_key.lower())
 
     def log(self, s: TableState, task: str, status: str, rows: int, began: float, message: str = "") -> None:
         self.meta.append("sync_log", {"table_key": s.table_key, "task": task, "status": status, "rows": rows, "duration_ms": int(1000 * (self.clock() - began)), "message": message}, self.clock())
@@ -106,29 +145,45 @@ class Supervisor:
         column, low, high = spec.single_integer_pk(), None, None
         if column:
             low, high = key_bounds(self.source.base(s.table_key), column)
-        ranges = plan_ranges(low, high, self.source.approx_rows(s.table_key), t.snapshot_partitions or self.sync.snapshot_partitions, self.sync.min_rows_per_partition)
+        rows = self.source.approx_rows(s.table_key)
+        ranges = plan_ranges(low, high, rows, t.snapshot_partitions or self.sync.snapshot_partitions, self.sync.min_rows_per_partition)
         s.snapshot_id = uuid.uuid4().hex[:12]
         self.store(s.table_key).create(s.snapshot_id, spec, t.order_by, t.partition_by)
-        s.snapshot_version, s.ranges, s.done, s.phase = version, [list(r) for r in ranges], [], SNAPSHOT
+        s.bounds = [low, high] if low is not None else []
+        s.pages = max(1, -(-rows // (len(ranges) * self.sync.batch_size))) if s.bounds else 1
+        s.snapshot_version, s.ranges, s.phase = version, [list(r) for r in ranges], SNAPSHOT
+        s.progress = {str(i): {"page": 0, "cursor": None, "rows": 0, "done": False} for i in range(len(ranges))}
         self.save(s)
 
-    def _write_range(self, s: TableState, store: TableStore, spec, part: int) -> None:
-        if not self.stopping:
-            store.write_files(s.snapshot_id, f"snap-{part:05d}", snapshot_scan(self.source.base(s.table_key), spec, s.snapshot_version, tuple(s.ranges[part])))
-
-    def _commit_range(self, s: TableState, store: TableStore, part: int) -> None:
-        began = self.clock()
-        n = store.commit_batch(s.snapshot_id, f"snap-{part:05d}")
-        s.done.append(part)
-        s.rows_synced += n
-        self.save(s)
-        self.log(s, f"snapshot[{part}]", "ok", n, began)
+    def _snapshot_range(self, low: str, s: TableState, part: int, at: dict) -> None:
+        """Writes and commits the range page by page from where it stands, and reports each page. Ends at a page when stopped."""
+        store, spec, base = self.store(low), self.spec(low), self.source.base(s.table_key)
+        while not (at["done"] or self.stopping.is_set()):
+            began = self.clock()
+            if s.bounds:  # an integer key: pages are key ranges, which the scan prunes
+                rows = snapshot_scan(base, spec, s.snapshot_version, page_bounds(tuple(s.ranges[part]), tuple(s.bounds), s.pages, at["page"]))
+            else:
+                after = cursor_values(base, spec.pk, at["cursor"]) if at["cursor"] else None
+                rows = snapshot_scan(base, spec, s.snapshot_version, after=after).orderBy(*[F.col(f"`{c}`") for c in spec.pk]).limit(self.sync.batch_size)
+            batch = f"snap-{part:05d}-{at['page']:06d}"
+            n = store.write_batch(s.snapshot_id, batch, rows)
+            cursor, done = at["cursor"], at["page"] + 1 >= s.pages
+            if not s.bounds:
+                done = n < self.sync.batch_size
+                cursor = last_key(self.spark.read.parquet(f"{store.path}/{s.snapshot_id}/{batch}"), spec.pk) if n else cursor
+            at = {"page": at["page"] + 1, "cursor": cursor, "rows": at["rows"] + n, "done": done}
+            self.reports.put((low, s.snapshot_id, part, at, n, began))
 
     def finalize(self, s: TableState) -> None:
         """The cut-over; repeated after a crash it finds the generation live and only saves the state."""
         self.store(s.table_key).cut_over(s.snapshot_id)
-        s.phase, s.last_version, s.ranges, s.done, s.last_success = CDC, s.snapshot_version, [], [], self.clock()
+        s.phase, s.last_version, s.ranges, s.progress, s.last_success = CDC, s.snapshot_version, [], {}, self.clock()
         self.save(s)
+        self.view(s)
+
+    def view(self, s: TableState) -> None:
+        if self.target.create_views:
+            self.store(s.table_key).create_view(self.configs[s.table_key.lower()].target_table + self.target.view_suffix)
 
     def resume(self, s: TableState) -> None:
         """A snapshot whose generation is gone starts anew; one that is live already is finished."""
@@ -138,92 +193,201 @@ class Supervisor:
 
     # changes
 
-    def tick(self, s: TableState) -> int:
-        began, last = self.clock(), s.last_version
+    def tick(self, s: TableState) -> tuple[int, int]:
+        """One round of changes: the version reached and the rows written."""
+        last = s.last_version
         store, spec = self.store(s.table_key), self.spec(s.table_key)
         store.add_columns(store.live(), spec)
-        check_retention(self.source, s.table_key, last)
-        version = max(self.source.current_version(), last)
         n = 0
-        if version > last:
-            changes = self.source.changes(s.table_key, last, version).cache()
-            try:
-                keys = changes.count()
-                if keys:
-                    rows = change_scan(changes, self.source.base(s.table_key), spec, last, version, seq=version, few_keys=keys)
-                    n = store.write_batch(store.live(), f"cdc-{version:020d}", rows)
-                check_retention(self.source, s.table_key, last)  # history lost while reading
-            finally:
-                changes.unpersist()
-        # moves on without changes too, else an idle table would fall behind the retention
-        idle = version == last and self.clock() - s.last_success < 60
-        s.last_version, s.rows_synced = version, s.rows_synced + n
-        if not idle:
-            s.last_success = self.clock()
-            self.save(s)
-        if n:
-            self.log(s, "cdc", "ok", n, began)
-        return n
+        with self.source.session(s.table_key):  # floor, version, changes and base rows of one moment, where the source can
+            check_retention(self.source, s.table_key, last)
+            version = max(self.source.current_version(), last)
+            if version > last:
+                changes = self.source.changes(s.table_key, last, version).cache()
+                try:
+                    keys = changes.count()
+                    if keys:
+                        rows = change_scan(changes, self.source.base(s.table_key), spec, last, version, seq=version, few_keys=keys)
+                        n = store.write_batch(store.live(), f"cdc-{version:020d}", rows)
+                    check_retention(self.source, s.table_key, last)  # history lost while reading
+                finally:
+                    changes.unpersist()
+        if len(store.manifest(store.live())["batches"]) >= self.target.compact_batches:
+            store.compact()
+        store.purge(self.target.grace_seconds)
+        return version, n
 
     # scheduling
 
-    def step(self) -> None:
-        """One round: requests, then every due table one move further; the ranges of a snapshot share max_snapshot_workers threads."""
-        self.apply_requests()
-        now = self.clock()
-        due = sorted((s for s in self.states.values() if s.next_run <= now), key=lambda s: s.next_run)
-        for s in due:
-            if self.stopping:
-                return
-            try:
-                self._advance(s)
-                s.failures, s.last_error = 0, ""
-                t = self.configs[s.table_key.lower()]
-                s.next_run = self.clock() + ((t.poll_interval or self.sync.poll_interval) if s.phase == CDC else 0)
-            except ResyncRequired as e:
-                s.phase, s.last_error = RESYNC, str(e)
-                self.save(s)
-                self.log(s, "cdc", "resync", 0, now, str(e))
-            except Exception as e:
-                s.failures += 1
-                s.last_error = f"{type(e).__name__}: {e}"[:4000]
-                s.next_run = self.clock() + backoff(s.failures, self.sync.max_backoff_seconds)
-                self.save(s)
-                self.log(s, s.phase, "error", 0, now, s.last_error)
+    def _submit(self, low: str, kind: str, part: int, work, *args) -> None:
+        def task():
+            sc = self.spark.sparkContext
+            sc.setLocalProperty("spark.scheduler.pool", kind)
+            sc.setJobGroup(f"keelson-{id(self)}", f"{kind} {low}", interruptOnCancel=True)
+            began = self.clock()
+            return work(*args), began
 
-    def _advance(self, s: TableState) -> None:
-        if s.phase == SNAPSHOT:
-            self.resume(s)
+        self.running[self.pool.submit(task)] = (low, kind, part)
+
+    def _schedule_table(self, low: str, s: TableState) -> None:
+        """Submits what the table can do now, within the slots that are free."""
         if s.phase in (NEW, RESYNC):
+            if self.busy(low):
+                return  # work of the generation before ends first
             self.plan_snapshot(s)
         if s.phase == SNAPSHOT:
-            if self.store(s.table_key).live() != s.snapshot_id:
-                store, spec = self.store(s.table_key), self.spec(s.table_key)
-                left = [p for p in range(len(s.ranges)) if p not in s.done]
-                # ranges are written side by side and committed one after another as they come in
-                with ThreadPoolExecutor(self.sync.max_snapshot_workers) as pool:
-                    tasks = [(p, pool.submit(self._write_range, s, store, spec, p)) for p in left]
-                    for p, task in tasks:
-                        task.result()
-                        if not self.stopping:
-                            self._commit_range(s, store, p)
-                if self.stopping:
+            if not self.busy(low):
+                self.resume(s)
+                if s.phase == NEW:
+                    self.plan_snapshot(s)
+                if all(p["done"] for p in s.progress.values()) or self.store(low).live() == s.snapshot_id:
+                    self.finalize(s)
+                    s.next_run = self.clock() + self._poll(low)
+                    return
+            taken = self.busy(low, SNAPSHOT)
+            for part in range(len(s.ranges)):
+                at = s.progress[str(part)]
+                if len(self.running) >= self.sync.workers or sum(k == SNAPSHOT for _, k, _ in self.running.values()) >= self.sync.max_snapshot_workers:
                     return
-            self.finalize(s)
+                if not at["done"] and part not in taken:
+                    self._submit(low, SNAPSHOT, part, self._snapshot_range, low, s, part, dict(at))
+        elif s.phase == CDC and not self.busy(low) and len(self.running) < self.sync.workers:
+            self._submit(low, CDC, 0, self.tick, s)
+
+    def _poll(self, low: str) -> float:
+        t = self.configs[low]
+        return self.sync.poll_interval if t.poll_interval is None else t.poll_interval
+
+    def schedule(self, only: set[str] | None = None) -> None:
+        now = self.clock()
+        for low, s in sorted(self.states.items(), key=lambda x: x[1].next_run):
+            if self.stopping.is_set() or len(self.running) >= self.sync.workers:
+                return
+            if s.next_run > now or only is not None and low not in only:
+                continue
+            try:
+                self._schedule_table(low, s)
+            except Exception as e:  # noqa: BLE001
+                self._fail(s, s.phase, e, now)
+
+    def collect(self, timeout: float) -> set[str]:
+        """Takes in what tasks report and how they end; returns the tables whose tick or snapshot range ended."""
+        if self.running:
+            wait(self.running, timeout, FIRST_COMPLETED)
+        ended = [f for f in self.running if f.done()]
+        self._take_reports()
+        out = set()
+        for f in ended:
+            low, kind, _ = self.running.pop(f)
+            out.add(low)
+            s = self.states[low]
+            try:
+                result, began = f.result()
+            except Exception as e:  # noqa: BLE001
+                self._fail(s, kind, e, self.clock())
+                continue
+            s.failures, s.last_error = 0, ""
+            if kind == CDC and s.phase == CDC:  # a request may have come in between
+                self._moved(s, *result, began)
+                s.next_run = self.clock() + self._poll(low)
+        return out
+
+    def _take_reports(self) -> None:
+        while not self.reports.empty():
+            low, snapshot, part, at, n, began = self.reports.get()
+            s = self.states[low]
+            if s.snapshot_id == snapshot and s.phase == SNAPSHOT:
+                s.progress[str(part)] = at
+                s.rows_synced += n
+                self.save(s)
+                self.log(s, f"snapshot[{part}]", "ok", n, began)
+
+    def _moved(self, s: TableState, version: int, n: int, began: float) -> None:
+        # moves on without changes too, else an idle table would fall behind the retention
+        s.last_version, s.rows_synced, s.last_success = version, s.rows_synced + n, self.clock()
+        self.dirty.add(s.table_key.lower())
+        if n:
+            self.save(s)
+            self.log(s, "cdc", "ok", n, began)
+            self.view(s)
+
+    def _fail(self, s: TableState, task: str, e: Exception, began: float) -> None:
+        if isinstance(e, ResyncRequired):
+            s.phase, s.last_error = RESYNC, str(e)
+            self.log(s, task, "resync", 0, began, str(e))
         else:
-            self.tick(s)
+            s.failures += 1
+            s.last_error = f"{type(e).__name__}: {e}"[:4000]
+            s.next_run = self.clock() + backoff(s.failures, self.sync.max_backoff_seconds)
+            self.log(s, task, "error", 0, began, s.last_error)
+        self.save(s)
+
+    def flush(self) -> None:
+        for low in list(self.dirty):
+            if low in self.states:
+                self.save(self.states[low])
+        self.dirty.clear()
+
+    def step(self) -> None:
+        """One round to its end: requests, then every due table one move further, a snapshot as a whole."""
+        self.apply_requests()
+        now = self.clock()
+        due = {low for low, s in self.states.items() if s.next_run <= now}
+        while due and not self.stopping.is_set():
+            loading = {low for low in due if self.states[low].phase != CDC}
+            self.schedule(due)
+            due -= {low for low in loading if self.states[low].phase == CDC}  # cut over: that was the move
+            if not self.running:
+                break
+            for low in self.collect(1.0):
+                s = self.states[low]
+                if s.phase != SNAPSHOT or s.next_run > self.clock():
+                    due.discard(low)
+            due -= {low for low in due if self.states[low].next_run > self.clock()}
+        while self.running:
+            self.collect(1.0)
+        self.flush()
+
+    def pump(self, timeout: float = 0.5) -> None:
+        """One turn of the service: what is due is submitted, what has ended is taken in; nothing waits for a snapshot."""
+        now = self.clock()
+        if now >= self.next_refresh:
+            self.refresh()
+        self.apply_requests()
+        self.schedule()
+        self.collect(timeout)
+        if self.clock() >= self.next_flush:
+            self.flush()
+            self.next_flush = self.clock() + self.sync.state_flush_seconds
+        if self.clock() >= self.next_beat:
+            log.info("%s", self.heartbeat())
+            self.next_beat = self.clock() + HEARTBEAT
 
     def heartbeat(self) -> dict:
         phases: dict[str, int] = {}
         for s in self.states.values():
             phases[s.phase] = phases.get(s.phase, 0) + 1
-        return {"phases": phases, "errors": sum(bool(s.last_error) for s in self.states.values()), "rows": sum(s.rows_synced for s in self.states.values())}
+        return {"phases": phases, "errors": sum(bool(s.last_error) for s in self.states.values()), "rows": sum(s.rows_synced for s in self.states.values()), "running": len(self.running)}
 
     def run(self, seconds: float | None = None) -> None:
         end = None if seconds is None else self.clock() + seconds
-        while not self.stopping and (end is None or self.clock() < end):
-            self.step()
-            time.sleep(min(0.2, self.sync.poll_interval))
+        while not self.stopping.is_set() and (end is None or self.clock() < end):
+            self.pump(min(0.5, self.sync.poll_interval))
+            if not self.running:
+                time.sleep(min(0.2, self.sync.poll_interval))
+        self.shutdown()
 
     def stop(self) -> None:
-        self.stopping = True
+        self.stopping.set()
+
+    def shutdown(self) -> None:
+        """Lets tasks end at their next page or tick; what still runs after shutdown_timeout is cancelled."""
+        self.stopping.set()
+        end = time.monotonic() + self.sync.shutdown_timeout
+        while self.running and time.monotonic() < end:
+            self.collect(min(1.0, self.sync.shutdown_timeout))
+        if self.running:
+            self.spark.sparkContext.cancelJobGroup(f"keelson-{id(self)}")
+            self.collect(5.0)
+        self.flush()
+        self.pool.shutdown(wait=False, cancel_futures=True)

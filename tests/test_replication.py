@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from keelson.operators import changes as ch
 from keelson.operators import validate
 from keelson.operators.seed import plan_rows, seed
-from keelson.plans.config import SyncConfig, TableConfig
 from keelson.plans.model import ColumnSpec, TableSpec
+from keelson.plans.settings import sync_settings, table_settings
 from keelson.sources.change_source import MemorySource
 from keelson.streaming.lifecycle import CDC, NEW, RESYNC, SNAPSHOT, Supervisor, backoff
 
@@ -21,12 +21,12 @@ def make(spark, tmp_path, orders=300):
     src = MemorySource(spark, 5000)
     src.create(ORDERS, "OrderId long, CustomerId int, Status string", [{"OrderId": i, "CustomerId": i % 97, "Status": None if i % 10 == 0 else "s"} for i in range(1, orders + 1)])
     src.create(LINES, "OrderId int, LineNo short, Sku string", [{"OrderId": o, "LineNo": n, "Sku": f"SKU-{o}-{n}"} for o in range(1, 21) for n in (1, 2, 3)])
-    sync = SyncConfig(workers=4, poll_interval=0.001, snapshot_partitions=4, min_rows_per_partition=10)
+    sync = sync_settings(workers=4, poll_interval=0.001, snapshot_partitions=4, min_rows_per_partition=10)
     return src, supervise(spark, src, tmp_path, sync)
 
 
 def supervise(spark, src, tmp_path, sync):
-    return Supervisor(spark, src, f"file://{tmp_path}/target", sync, [TableConfig("dbo.Orders"), TableConfig("sales.Lines", target="lines")])
+    return Supervisor(spark, src, f"file://{tmp_path}/target", sync, [table_settings("dbo.Orders"), table_settings("sales.Lines", target="lines")])
 
 
 def same(src, sup, key):
@@ -195,7 +195,119 @@ def test_command_line(spark, tmp_path, capsys):
     cfg.write_text(f"source: {{server: s, database: d}}\ntarget: {{root: 'file://{tmp_path}/cli'}}\nsync: {{poll_interval: 0.01, min_rows_per_partition: 1000000}}\ntables: [{{source: dbo.Orders}}]\n")
     args = ["-c", str(cfg)]
     assert main([*args, "check", "--ddl"], src) == 0 and "key (OrderId)" in capsys.readouterr().out
-    assert main([*args, "run", "--seconds", "0.5"], src) == 0
+    assert main([*args, "run", "--seconds", "8"], src) == 0
     assert main([*args, "status"], src) == 0 and "cdc" in capsys.readouterr().out
     assert main([*args, "resync", "dbo.Orders"], src) == 0
     assert main(["-c", str(tmp_path / "missing.yaml"), "status"]) == 2
+
+
+def pumped(sup, until, most=60):
+    import time
+
+    end = time.monotonic() + most
+    while not until():
+        assert time.monotonic() < end
+        sup.pump(0.05)
+
+
+def test_changes_go_on_during_a_snapshot(spark, tmp_path):
+    """A snapshot takes its share of the slots at most; another table's changes are followed meanwhile."""
+    import threading
+
+    src, _ = make(spark, tmp_path, 40)
+    sync = sync_settings(workers=2, poll_interval=0.0, snapshot_partitions=4, min_rows_per_partition=10)
+    sup = Supervisor(spark, src, f"file://{tmp_path}/side", sync, [table_settings("sales.Lines", target="lines")])
+    pumped(sup, lambda: sup.states["sales.lines"].phase == CDC)
+    gate, base = threading.Event(), src.base
+    src.base = lambda key: base(key) if key != "dbo.Orders" or threading.current_thread() is threading.main_thread() or gate.wait(60) else None
+    sup.explicit["dbo.orders"] = table_settings("dbo.Orders")
+    sup.refresh()
+    pumped(sup, lambda: sup.busy("dbo.orders", SNAPSHOT))
+    src.upsert("sales.Lines", OrderId=1, LineNo=1, Sku="CHANGED")
+    pumped(sup, lambda: sup.states["sales.lines"].last_version == src.version)
+    assert len(sup.busy("dbo.orders", SNAPSHOT)) == 1 and sup.states["dbo.orders"].phase == SNAPSHOT and sup.heartbeat()["running"] >= 1
+    same(src, sup, "sales.Lines")
+    gate.set()
+    pumped(sup, lambda: sup.states["dbo.orders"].phase == CDC)
+    same(src, sup, "dbo.Orders")
+    del sup.explicit["dbo.orders"]
+    pumped(sup, lambda: not sup.busy("dbo.orders"))
+    sup.refresh()
+    assert set(sup.states) == {"sales.lines"}
+    sup.shutdown()
+
+
+@pytest.mark.parametrize("key", ["dbo.Orders", "sales.Lines"])
+def test_resume_inside_a_range(spark, tmp_path, key):
+    """A supervisor that stops between two pages leaves its place; the next one goes on there, by key range or by last key."""
+    src, _ = make(spark, tmp_path, 60)
+    sync = sync_settings(workers=1, poll_interval=0.0, snapshot_partitions=1, batch_size=7)
+    run = lambda: Supervisor(spark, src, f"file://{tmp_path}/paged", sync, [table_settings(key, target="t")])
+    first = run()
+    s = first.states[key.lower()]
+    while not s.progress or s.progress["0"]["page"] < 3:
+        first.schedule()
+        first.collect(0.02)
+    first.shutdown()
+    page = s.progress["0"]["page"]
+    assert not s.progress["0"]["done"] and (s.progress["0"]["cursor"] is None) == (key == "dbo.Orders")
+    second = run()
+    assert second.states[key.lower()].progress["0"]["page"] == page
+    second.step()
+    same(src, second, key)
+    store = second.store(key)
+    assert len(store.manifest(store.live())["batches"]) == 9
+    second.shutdown()
+
+
+def test_layout_views_grace_and_compaction(spark, tmp_path):
+    from types import SimpleNamespace
+
+    src, _ = make(spark, tmp_path, 30)
+    target = SimpleNamespace(create_views=True, view_suffix="_now", compact_batches=3, grace_seconds=0.0)
+    sup = Supervisor(spark, src, f"file://{tmp_path}/lay", sync_settings(poll_interval=0.0), [table_settings("dbo.Orders", partition_by="CustomerId % 3", order_by=["CustomerId", "OrderId"])], target=target)
+    sup.step()
+    store = sup.store("dbo.Orders")
+    batch = next(iter(store.manifest(store.live())["batches"]))
+    assert [n for n in store.files.names(f"{store.path}/{store.live()}/{batch}") if "=" in n] == [f"_partition={i}" for i in range(3)]
+    for n in range(5):
+        src.upsert("dbo.Orders", OrderId=1, CustomerId=n, Status=f"s{n}")
+        sup.step()
+    assert spark.table("Orders_now").where("OrderId = 1").select("Status").first()[0] == "s4" and "_synced_at" in spark.table("Orders_now").columns
+    assert len(store.manifest(store.live())["batches"]) < 4  # compacted on the way
+    old = store.live()
+    sup.request_resync("dbo.orders")
+    sup.step()
+    assert store.live() != old and old in store.files.names(store.path)  # readers may hold it
+    store.purge(3600)
+    assert old in store.files.names(store.path)
+    store.purge(0)
+    assert old not in store.files.names(store.path)
+    same(src, sup, "dbo.Orders")
+    sup.shutdown()
+
+
+def test_two_processes_write_requests(spark, tmp_path):
+    from keelson.sources.store import MetaStore
+
+    a, b = (MetaStore(spark, f"file://{tmp_path}/meta") for _ in range(2))
+    for i in range(3):
+        a.append("sync_requests", {"n": i}, 1e9 + i)
+        b.append("sync_requests", {"n": 10 + i}, 1e9 + i)
+    a.save("table_state", "dbo.A", {"x": "y" * 9000})
+    b.save("table_state", "dbo.B", {"x": 2})
+    assert sorted(r["n"] for r in a.rows("sync_requests")) == [0, 1, 2, 10, 11, 12]
+    assert set(b.latest("table_state")) == {"dbo.A", "dbo.B"} and len(b.latest("table_state")["dbo.A"]["x"]) == 9000
+    a.append("sync_requests", {"n": 99}, 1e9 + 31 * 86_400)
+    assert [r["n"] for r in a.rows("sync_requests")] == [99]
+
+
+def test_stream_offsets_come_from_footers(spark, tmp_path):
+    from keelson.streaming.change_stream import _Reader
+
+    spark.range(1000).selectExpr("id as k", "id + 5 as version").repartition(3).write.parquet(f"{tmp_path}/feed")
+    r = _Reader({"path": f"file://{tmp_path}/feed", "columns": "k", "start": "7", "parts": "3"})
+    assert r.latestOffset() == {"v": 1004} and len(r.greatest) == 3
+    parts = r.partitions({"v": 7}, {"v": 1004})
+    assert len(parts) == 3 and sum(b.num_rows for p in parts for b in r.read(p)) == 997
+    assert _Reader({"path": f"{tmp_path}/feed", "columns": "k"}).latestOffset() == {"v": 1004}

@@ -8,8 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from keelson.functions import typemap
-from keelson.functions.keys import decode_key, encode_key, keyset_after, quote, shard_owner
-from keelson.plans.config import ConfigError, SourceConfig, build_config, load_dotenv
+from keelson.functions.keys import cursor_values, keyset_after, last_key, shard_owner
+from keelson.plans.settings import ConfigError, block, build_settings, jdbc_options, load_dotenv, sync_settings
 from keelson.plans.model import ColumnSpec, SchemaError, TableSpec, target_name
 from keelson.plans.partitions import jdbc_predicates, plan_ranges
 
@@ -54,17 +54,18 @@ def test_ranges_cover_every_key_once(low, span, rows, most, per, key):
     assert sum((a is None or key >= a) and (z is None or key < z) for a, z in r) == 1 and len(r) <= span + 1
 
 
-KEY = st.one_of(st.none(), st.booleans(), st.integers(), st.text(), st.binary(), st.decimals(allow_nan=False), st.datetimes(), st.dates(), st.times(), st.floats(allow_nan=False))
-
-
-@given(st.lists(KEY, min_size=1))
-def test_key_codec(values):
-    back = decode_key(encode_key(values))
-    assert back == values and list(map(type, back)) == list(map(type, values))
-
-
-def test_key_codec_empty():
-    assert decode_key("") is None and decode_key(encode_key([Decimal("1.50")])) == [Decimal("1.50")]
+def test_cursors(spark):
+    """The greatest key of a page, as text, resumes behind it exactly, whatever the types."""
+    rows = [(d, dt.datetime(2024, 1, 1, 0, 0, 0, m), Decimal(n) / 100, bytes([n, 255]), f"k'{n}", n / 3) for d in (True, False) for m in (1, 2) for n in (1, 2)]
+    df = spark.createDataFrame(rows, "a boolean, b timestamp_ntz, c decimal(10,2), d binary, e string, f double")
+    names, seen, cursor = df.columns, [], None
+    while True:
+        page = df.where(keyset_after(names, cursor_values(df, names, cursor))) if cursor else df
+        page = page.orderBy(*names).limit(3)
+        seen += [tuple(r) for r in page.collect()]
+        if (cursor := last_key(page, names)) is None:
+            break
+    assert seen == sorted(rows) and last_key(df.limit(0), names) is None
 
 
 def test_keyset(spark):
@@ -75,7 +76,6 @@ def test_keyset(spark):
 
 def test_names_and_shards():
     assert target_name("Orders") == "Orders" and target_name("[sales].[Lines]") == "sales_Lines" and target_name("x.y", "z") == "z"
-    assert quote("a`b") == "`a``b`"
     owners = [[k for k in range(200) if shard_owner(f"dbo.T{k}", 3) == i] for i in range(3)]
     assert sorted(sum(owners, [])) == list(range(200)) and shard_owner("DBO.t", 7) == shard_owner("dbo.T", 7)
 
@@ -93,11 +93,15 @@ def test_table_spec():
 
 def test_config(monkeypatch, tmp_path):
     raw = {"source": {"server": "${HOST:-localhost}", "database": "d"}, "target": {"root": "/x"}, "tables": [{"source": "Orders"}]}
-    c = build_config(raw)
+    c = build_settings(raw)
     assert c.source.server == "localhost" and c.sync.batch_size == 50_000 and c.sync.max_snapshot_workers == 2
-    for bad in ({**raw, "extra": 1}, {**raw, "sync": {"nope": 1}}, {**raw, "tables": []}, {**raw, "tables": [{"source": "A"}, {"source": "dbo.a"}]}, {**raw, "sync": {"shard_index": 2, "shard_count": 2}}, {**raw, "target": {"root": "${MISSING_VARIABLE}"}}):
+    for bad in ({**raw, "extra": 1}, {**raw, "sync": {"nope": 1}}, {**raw, "sync": {"workers": 0}}, {**raw, "sync": {"batch_size": "many"}}, {**raw, "source": {"server": "s", "database": "d", "port": 70000}}, {**raw, "tables": []}, {**raw, "tables": [{"source": "A"}, {"source": "dbo.a"}]}, {**raw, "sync": {"shard_index": 2, "shard_count": 2}}, {**raw, "target": {"root": "${MISSING_VARIABLE}"}}):
         with pytest.raises(ConfigError):
-            build_config(bad)
+            build_settings(bad)
+    assert sync_settings(workers=3, max_snapshot_workers=9).max_snapshot_workers == 3
+    with pytest.raises(ConfigError) as e:
+        build_settings({"sync": {"workers": -1, "x": 1}})
+    assert len(str(e.value).splitlines()) == 6  # all at once: two in sync, three missing, no tables
     env = tmp_path / ".env"
     env.write_text("# c\nKEELSON_A='x y'\nKEELSON_B=1\n")
     monkeypatch.setenv("KEELSON_B", "kept")
@@ -106,5 +110,18 @@ def test_config(monkeypatch, tmp_path):
     import os
 
     assert os.environ.pop("KEELSON_A") == "x y" and os.environ["KEELSON_B"] == "kept"
-    o = SourceConfig("h", "d", "u", "p;}").jdbc_options()
+    o = jdbc_options(block("source", {"server": "h", "database": "d", "username": "u", "password": "p;}"}))
     assert o["user"] == "u" and "encrypt=true" in o["url"] and "SNAPSHOT" in o["sessionInitStatement"]
+
+
+def test_jdbc_statements():
+    """Names are quoted, and types that JDBC can't read come as text."""
+    from keelson.sources.change_source import JdbcSource, bracketed, read_sql, table_sql
+
+    j = JdbcSource(None, {})
+    spec = TableSpec("sa'les", "Li]nes", (ColumnSpec("Id", "int", False, 1), ColumnSpec("No", "int", False, 2), ColumnSpec("Path", "hierarchyid"), ColumnSpec("At", "datetimeoffset")))
+    assert bracketed("a]b") == "[a]]b]" and table_sql("sa'les.Li]nes") == "[sa'les].[Li]]nes]"
+    assert "OBJECT_ID(N'[sa''les].[Li]]nes]')" in j.columns_sql(spec.key)
+    assert j.base_sql(spec) == "(SELECT [Id], [No], [Path].ToString() AS [Path], CONVERT(varchar(34), [At], 121) AS [At] FROM [sa'les].[Li]]nes]) AS base"
+    assert j.changes_sql(spec, 5, 9).startswith("SELECT CT.[Id], CT.[No], CT.SYS_CHANGE_VERSION AS version FROM CHANGETABLE(CHANGES [sa'les].[Li]]nes], 5) CT")
+    assert read_sql("g", "geography") == "[g].STAsText() AS [g]" and read_sql("n", "int") == "[n]"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -17,13 +19,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; where the cluster names none (tests), one of our own."""
+    """The folder that driver and executors share, which the cluster names in spark.checkpoint.dir. On a local master that
+    names none (tests) it is a temporary one, deleted when the process ends; elsewhere its absence is an error."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
         base = current.get() if current.isDefined() else None
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="keelson-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+        folder = tempfile.mkdtemp(prefix="keelson-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        base = "file://" + folder
         spark.sparkContext.setCheckpointDir(base)
     return base.rstrip("/")
 

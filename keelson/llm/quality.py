@@ -17,7 +17,8 @@ from pyspark.sql import functions as F
 from keelson.llm.common import BLANKS, table, words
 
 BUCKETS = 1 << 14
-#: A document stays if its mean weight, in nats per n-gram, is at least this.
+#: A document stays if its mean weight, in nats per n-gram, is at least this. Of the labelled documents of sf0.1 every value
+#: from -0.7 to -0.1 keeps the same ones: all 571 bad ones go, and no good one goes by its score.
 THRESHOLD = -0.3
 #: At most so many labelled documents make up the target; of more, those with the smallest hash of the id.
 TARGET_ROWS = 20_000

@@ -6,6 +6,11 @@ key divides by 11, else an update (status X, price doubled) where it divides by
 
 from __future__ import annotations
 
+import atexit
+import shutil
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -302,14 +307,13 @@ def table_statistics(spark, d):
 
 def _scratch(spark, name: str) -> str:
     """A new folder in the shared folder that the cluster names; on a local master, where none is named, in a temporary one."""
-    import tempfile
-    import uuid
-
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        base = f"file://{tempfile.mkdtemp(prefix='keelson-')}"
+        folder = tempfile.mkdtemp(prefix="keelson-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
+        base = f"file://{folder}"
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:8]}"
 
 

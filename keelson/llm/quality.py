@@ -94,6 +94,10 @@ def base_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
     ).drop("w", "lines")
 
 
+def base_failed() -> Column:
+    return (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
+
+
 def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD, target_rows: int = TARGET_ROWS, whole: bool = False) -> DataFrame:
     """doc_id, the base counts, base_failed, score and kept for every row.
 
@@ -109,11 +113,10 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
     rows = with_grams(base_counts(rows), F.col("text")).drop("text")
     total = F.aggregate("grams", F.lit(0).cast("long"), lambda a, b: a + F.get(table_, b.cast("int")))
     score = F.coalesce(total / F.nullif(F.size("grams"), F.lit(0)) / F.lit(float(SCALE)), F.lit(0.0))
-    failed = (F.col("n_words") < LEAST_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
     # a row number is never negative, but as it isn't deterministic it keeps a filter on `kept` above these columns: pushed
     # below, the filter would hold each of them many times over
     verdict = ~F.col("base_failed") & (F.col("score") >= threshold) & (F.monotonically_increasing_id() >= 0)
-    return rows.withColumn("base_failed", failed).withColumn("score", score).withColumn("kept", verdict).drop("grams")
+    return rows.withColumn("base_failed", base_failed()).withColumn("score", score).withColumn("kept", verdict).drop("grams")
 
 
 def op3_quality(spark, sf_dir: str) -> DataFrame:
@@ -123,3 +126,24 @@ def op3_quality(spark, sf_dir: str) -> DataFrame:
 def keep_quality(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
     """The rows of docs that the rules keep, unchanged; the corpus statistics are those of docs."""
     return quality(docs, labels, whole=True, **options).where("kept").select("row.*")
+
+
+def quality_base_counts(spark, sf_dir: str) -> DataFrame:
+    """The part of the rules that SQL can state: base counts and base_failed of every document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = base_counts(docs).withColumn("base_failed", base_failed())
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
+BASE_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, doc_id, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS w,
+      list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM d),
+g AS (SELECT r, i, hash(w[i], w[i + 1], w[i + 2]) AS g FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+c AS (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM g),
+p AS (SELECT r, count(DISTINCT i + k)::BIGINT AS n_repeat_words FROM c CROSS JOIN (VALUES (0), (1), (2)) o(k) WHERE n > 1 GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(list_sum(list_transform(w, lambda x: length(x))), 0)::BIGINT AS word_chars,
+       length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols, (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+       coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words, len(w) < 50 OR 100 * coalesce(n_repeat_words, 0) > 50 * len(w) AS base_failed
+FROM w LEFT JOIN p USING (r)
+"""

@@ -17,11 +17,13 @@ def queries() -> dict:
         "op8_warc": warc.op8_warc,
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_simhash": simhash.op10_simhash,
+        "quality_base_counts": quality.quality_base_counts,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "quality_base_counts": quality.BASE_SQL,
         "op5_mixing": mixing.SQL,
         "op8_warc": warc.SQL,
         "op9_exact_dedup": exact_dedup.SQL,

@@ -402,3 +402,18 @@ def test_short_lines_that_repeat(spark, tmp_path):
     assert sorted(map(tuple, got)) == [(i, *c, sha(t)) for i, (c, t) in enumerate(zip(counts, want, strict=True))]
     piped = corpus_pipeline.drop_repeated_lines(spark, docs, str(tmp_path)).collect()
     assert [r["text"] for r in sorted(piped, key=lambda r: r["doc_id"])] == want
+
+
+def test_very_long_text(spark):
+    """A text of a million characters, in many lines and in one word, beside short ones."""
+    rnd = random.Random(2)
+    lines = [" ".join(f"w{rnd.randrange(5000)}" for _ in range(12)) for _ in range(15_000)]
+    long = "\n".join(lines)
+    docs = spark.createDataFrame([(1, long, "xx", "a", len(long)), (2, "x" * 500_000, "xx", "a", 500_000), (3, lines[7] + "\nother words here", "xx", "a", 9)], SCHEMA)
+    assert {r["doc_id"]: r["n_words"] for r in quality.quality(docs, spark.createDataFrame([(1, 1)], "doc_id long, quality int")).collect()} == {1: 180_000, 2: 1, 3: 15}
+    assert line_dedup.line_dedup(docs.where("doc_id <> 2")).where("doc_id = 3").first()["text"] == "other words here"
+    lib = IdEncoder(default_path()).lib
+    want = {d: len(lib.encode(t, add_special_tokens=False).ids) for d, t in ((1, long), (3, lines[7] + "\nother words here"))}
+    assert {r["doc_id"]: r["n_tokens"] for r in token_counts.token_counts(docs.where("doc_id <> 2")).collect()} == want
+    assert simhash.simhash_groups(docs).count() == simhash.near_dedup(docs).count() == exact_dedup.exact_dedup(docs).where("kept").count() == 3
+    assert {r["doc_id"]: r["taken"] > 0 for r in mixing.plan_mix(docs).collect()}[1]

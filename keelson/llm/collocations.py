@@ -300,8 +300,8 @@ c AS (SELECT lang, phrase, f AS a, k, array_to_string(p[1:k], ' ') AS x, array_t
 s AS (SELECT c.lang, c.phrase, a, k, x.f AS l, y.f AS r, n, ((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f))::BIGINT AS score
     FROM c JOIN t USING (lang) JOIN f x ON x.lang = c.lang AND x.phrase = c.x JOIN f y ON y.lang = c.lang AND y.phrase = c.y),
 b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
-i AS (SELECT lang, f, p, z, unnest(range(1, m - z + 2)) AS at FROM (SELECT *, unnest(range(2, m)) AS z FROM f WHERE m > 2)),
-h AS (SELECT lang, array_to_string(p[at:at + z - 1], ' ') AS phrase, max(f) AS longer FROM i GROUP BY ALL),
+i AS (SELECT lang, f, p, z, unnest(range(1, m - z + 2)) AS o FROM (SELECT *, unnest(range(2, m)) AS z FROM f WHERE m > 2)),
+h AS (SELECT lang, array_to_string(p[o:o + z - 1], ' ') AS phrase, max(f) AS longer FROM i GROUP BY ALL),
 r AS (SELECT b.lang, b.phrase, a, l, r, n, score, row_number() OVER (PARTITION BY b.lang ORDER BY score DESC, a DESC, b.phrase) AS rank
     FROM b LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase WHERE longer IS NULL OR 100 * longer < 100 * a)
 SELECT lang, rank, phrase, a, l, r, n, score FROM r WHERE rank <= 2000

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from keelson.llm import collocations, exact_dedup, filter_audit, html_extract, line_dedup, mixing, quality, sentence_pieces, simhash, token_counts, token_files, warc
+from keelson.llm import chat, collocations, exact_dedup, filter_audit, html_extract, line_dedup, mixing, quality, sentence_pieces, simhash, token_counts, token_files, warc
 
 
 def queries() -> dict:
@@ -18,6 +18,7 @@ def queries() -> dict:
         "op9_exact_dedup": exact_dedup.op9_exact_dedup,
         "op10_simhash": simhash.op10_simhash,
         "op11_collocations": collocations.op11_collocations,
+        "op12_chat": chat.op12_chat,
         "op13_filter_audit": filter_audit.op13_filter_audit,
         "quality_base_counts": quality.quality_base_counts,
     }
@@ -30,5 +31,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_warc": warc.SQL,
         "op9_exact_dedup": exact_dedup.SQL,
         "op11_collocations": collocations.SQL,
+        "op12_chat": chat.SQL,
         "op13_filter_audit": filter_audit.SQL,
     }

@@ -11,7 +11,7 @@ The second pass counts the survivors exactly, by their words: in a task by integ
 combined before the shuffle. Where the sketch lets rare runs through, they cost time and fall to the exact count. Scores
 need only frequent runs, as every part of a frequent run is frequent; all that follows works on the table of frequent runs.
 
-Both passes hold FLUSH words at a time, whatever the length of a text. Null texts are empty, a null lang is `und`, rows that
+Both passes hold FLUSH words at a time, whatever the length of a text, and the second one the counts of KEPT runs. Null texts are empty, a null lang is `und`, rows that
 repeat count as often as they stand there, rows without an id too; an empty table gives no rows; further columns are left alone.
 """
 
@@ -33,13 +33,13 @@ from keelson.llm.components import hot_join
 LEAST, LONGEST, FIRST = 100, 5, 2000
 SEED, DEPTH = 42, 2
 #: Words that a task holds before it writes their cells or counts, and bytes of a text that are cut to words together.
-FLUSH, SLICE = 1 << 21, 1 << 20
+FLUSH, SLICE = 1 << 20, 1 << 20
 #: Runs of words for each cell of a row, on average; with LEAST hits needed, that many strays don't make a rare run survive.
-LOAD = 16
+LOAD = 32
 #: Cells of a slice of a row, and bits of a row that are broadcast at most (64 MB), both as powers of two.
 SLICE_BITS, CELL_BITS = 20, 29
-#: Known words a task keeps before it starts to learn anew.
-MEMO = 1 << 21
+#: Known words a task keeps before it starts to learn anew, and runs whose counts it adds up before it writes them.
+MEMO, KEPT = 1 << 21, 1 << 20
 
 _FOLD = bytes.maketrans(b".,;:!?\x0a\x0b\x0c\x0d\x09", b"\n\n\n\n\n\n\n\n\n\n ")
 _CUT = re.compile(rb"[\x20\x09.,;:!?\x0A-\x0D]")
@@ -206,9 +206,9 @@ def _exact(bits: int, cells):
         return ok
 
     def count(codes: np.ndarray, words: _Words, hashes: np.ndarray, lang: str):
-        """(n, phrase, count) of the surviving runs, and what is left open."""
+        """(phrase, count) of the surviving runs - the empty phrase counts all words - and what is left open."""
         run_of, starts, left, by_length = _runs(codes, hashes, lang)
-        out, there, code = [(0, b"", starts)] if starts else [], None, None
+        out, there, code = [(b"", starts)] if starts else [], None, None
         for n, (x, whole) in enumerate(by_length, 1):
             may = whole if there is None else whole & there[:-1] & there[1:]
             at = np.flatnonzero(may)
@@ -224,20 +224,33 @@ def _exact(bits: int, cells):
             example[codes_[::-1]] = at[::-1]
             times = np.bincount(codes_[at < starts], minlength=len(unique))
             texts = words.texts
-            out += [(n, b" ".join([texts[c] for c in run_of[i : i + n]]), k) for i, k in zip(example.tolist(), times.tolist(), strict=True) if k]
+            out += [(b" ".join([texts[c] for c in run_of[i : i + n]]), k) for i, k in zip(example.tolist(), times.tolist(), strict=True) if k]
         return out, left
 
+    def written(lang: str, sums: dict[bytes, int]) -> Iterator[pa.RecordBatch]:
+        phrases = list(sums)
+        for i in range(0, len(phrases), 50_000):
+            some = phrases[i : i + 50_000]
+            n = [p.count(b" ") + 1 if p else 0 for p in some]
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(n, pa.int32()), pa.array(some, pa.binary()), pa.array([sums[p] for p in some], pa.int64())], ["lang", "n_words", "phrase", "f"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        buffer = _Buffer()
+        buffer, sums = _Buffer(), {}
         for held in buffer.feed(batches):
             hashes = np.array(buffer.words.hashes, np.uint64)
             for lang, codes in held.items():
                 out, left = count(codes, buffer.words, hashes, lang)
                 buffer.keep(lang, left)
-                for i in range(0, len(out), 50_000):
-                    some = out[i : i + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array([x[0] for x in some], pa.int32()), pa.array([x[1] for x in some], pa.binary()), pa.array([x[2] for x in some], pa.int64())], ["lang", "n_words", "phrase", "f"])
+                mine = sums.setdefault(lang, {})
+                for phrase, k in out:
+                    mine[phrase] = mine.get(phrase, 0) + k
             buffer.settle()
+            if sum(map(len, sums.values())) > KEPT:
+                for lang, mine in sums.items():
+                    yield from written(lang, mine)
+                sums = {}
+        for lang, mine in sums.items():
+            yield from written(lang, mine)
 
     return run
 

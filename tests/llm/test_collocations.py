@@ -83,7 +83,7 @@ def test_buffers_lose_nothing(monkeypatch, flush, cut):
     """Whatever the size of buffers and cuts of texts, runs are counted once; words are learnt anew now and then."""
     import pyarrow as pa
 
-    for name, value in (("FLUSH", flush), ("SLICE", cut), ("MEMO", 40), ("LEAST", 1)):
+    for name, value in (("FLUSH", flush), ("SLICE", cut), ("MEMO", 40), ("KEPT", 500 if flush > 100 else 30), ("LEAST", 1)):
         monkeypatch.setattr(collocations, name, value)
     docs = [(t, lang if lang else "und") for _, t, lang, *_ in make(5, 40)]
     batch = pa.RecordBatch.from_arrays([pa.array([t for t, _ in docs]), pa.array([x for _, x in docs])], ["text", "lang"])

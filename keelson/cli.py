@@ -10,6 +10,7 @@ import time
 from types import SimpleNamespace
 
 from keelson.plans.settings import ConfigError, block, jdbc_options, load_dotenv, load_settings
+from keelson.sources.change_source import IsolationOff
 from keelson.streaming.lifecycle import SNAPSHOT, Supervisor
 
 
@@ -72,7 +73,11 @@ def main(argv: list[str] | None = None, source=None) -> int:
     except (ConfigError, OSError) as e:
         print(f"configuration: {e}", file=sys.stderr)
         return 2
-    s = make_supervisor(config, source)
+    try:
+        s = make_supervisor(config, source)
+    except IsolationOff as e:
+        print(f"source: {e}", file=sys.stderr)
+        return 2
     if a.command == "check":
         lines, good = check_lines(s, a.ddl)
         print("\n".join(lines))

@@ -97,3 +97,21 @@ def mapping(sql_type: str, precision: int | None = None, scale: int | None = Non
     if t not in ("char", "varchar", "nchar", "nvarchar", "sysname", "text", "ntext", "xml", "sql_variant", "hierarchyid", "geography", "geometry"):
         log.warning("no mapping for type %s, it is read as text", sql_type)
     return Mapping(T.StringType(), lambda c: c.cast("string"), "")
+
+
+#: Digits of whole numbers, from narrow to wide.
+_DIGITS = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 20}
+
+
+def widens(old: T.DataType, new: T.DataType) -> bool:
+    """Whether Parquet files with a column of the old type can be read as the new one without loss."""
+    whole = list(_DIGITS)
+    if type(old) in _DIGITS:
+        if type(new) in _DIGITS:
+            return whole.index(type(old)) <= whole.index(type(new))
+        if isinstance(new, T.DecimalType):
+            return not isinstance(old, T.LongType) and new.precision - new.scale >= _DIGITS[type(old)]
+        return isinstance(new, T.DoubleType) and not isinstance(old, T.LongType)
+    if isinstance(old, T.DecimalType) and isinstance(new, T.DecimalType):
+        return new.scale >= old.scale and new.precision - new.scale >= old.precision - old.scale
+    return isinstance(old, T.FloatType) and isinstance(new, T.DoubleType) or isinstance(old, T.DateType) and isinstance(new, T.TimestampNTZType)

@@ -6,7 +6,12 @@ import threading
 import time
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from keelson.operators import metrics
 from keelson.operators.seed import plan_rows, seed
 
 
@@ -80,8 +85,42 @@ def start_seed(manager: JobManager, spark, root: str, total: int | None = None,
     return manager.start("seed", {"rows": plan, "batch": batch}, work)
 
 
-def start_sync(manager: JobManager, supervisor, timeout: float = 3600) -> dict:
-    """Runs the supervisor until every table follows changes; the report has rows and seconds by table."""
+#: Bounds of a timed run's parameters: kind, least, most.
+SYNC_BOUNDS = {"workers": (1, 64), "snapshot_partitions": (1, 256), "min_rows_per_partition": (1, 1_000_000_000), "batch_size": (1, 10_000_000), "timeout": (1, 86_400)}
+
+
+class BadParameters(ValueError):
+    """All that is wrong with a request's parameters, a line for each."""
+
+
+def check_parameters(params: dict, bounds: dict[str, tuple[int, int]]) -> None:
+    problems = [f"{k} is no parameter" for k in params if k not in bounds]
+    for k, v in params.items():
+        if k in bounds and (isinstance(v, bool) or not isinstance(v, (int, float)) or not bounds[k][0] <= v <= bounds[k][1]):
+            problems.append(f"{k} must be a number from {bounds[k][0]} to {bounds[k][1]}: {v!r}")
+    if problems:
+        raise BadParameters("\n".join(problems))
+
+
+def run_report(supervisor) -> list[dict]:
+    """A row a table: rows of source and target, whether they match, seconds, rows a second and parts of the snapshot from the log, files, bytes and ratio from the footers."""
+    spark, states = supervisor.spark, list(supervisor.states.values())
+    plan, storage = [], []
+    for s in states:
+        store = supervisor.store(s.table_key)
+        plan.append((s.table_key, supervisor.source.approx_rows(s.table_key), store.current().count() if store.live() else 0))
+        storage += [store.storage().groupBy().agg(F.count(F.lit(1)).alias("files"), F.sum("packed").alias("bytes"), F.sum("raw").alias("raw_bytes")).select(F.lit(s.table_key).alias("table_key"), "files", "bytes", "raw_bytes")] if store.live() else []
+    log = spark.createDataFrame([(r["table_key"], r["task"], r["status"], r["rows"], r["duration_ms"], r["ts"]) for r in supervisor.meta.rows("sync_log")], "table_key string, task string, status string, rows long, duration_ms long, ts double")
+    timing = metrics.snapshot_metrics(log.withColumn("ts", F.timestamp_micros((F.col("ts") * 1_000_000).cast("long")).cast("timestamp_ntz")))
+    empty = spark.createDataFrame([], "table_key string, files long, bytes long, raw_bytes long")
+    return [r.asDict() for r in metrics.run_report(spark.createDataFrame(plan, "table_key string, source_rows long, target_rows long"), timing, reduce(DataFrame.unionByName, storage, empty)).orderBy("table_key").collect()]
+
+
+def start_sync(manager: JobManager, supervisor, timeout: float = 3600, **params) -> dict:
+    """Runs the supervisor until every table follows changes; params are settings of the run. The report is that of run_report()."""
+    check_parameters({"timeout": timeout, **params}, SYNC_BOUNDS)
+    for k, v in params.items():
+        setattr(supervisor.sync, k, v)
 
     def work(job: Job):
         began = time.time()
@@ -91,11 +130,11 @@ def start_sync(manager: JobManager, supervisor, timeout: float = 3600) -> dict:
             supervisor.step()
             job.progress.update(supervisor.heartbeat())
         seconds = max(time.time() - began, 0.001)
-        tables = {k: supervisor.store(k).statistics() for k in supervisor.states}
-        rows = sum(t["rows"] for t in tables.values())
-        return {"seconds": seconds, "rows": rows, "rowsPerSecond": rows / seconds, "tables": tables}
+        tables = {} if job.cancel.is_set() else {r["table_key"]: r for r in run_report(supervisor)}
+        rows = sum(r["target_rows"] for r in tables.values())
+        return {"seconds": seconds, "rows": rows, "rowsPerSecond": rows / seconds, "allMatch": all(r["match"] for r in tables.values()), "tables": tables, "settings": {"timeout": timeout, **params}}
 
-    return manager.start("sync", {"timeout": timeout}, work)
+    return manager.start("sync", {"timeout": timeout, **params}, work)
 
 
 def health(spark, root: str) -> dict:

@@ -51,7 +51,18 @@ def run_report(plan: DataFrame, timing: DataFrame, storage: DataFrame) -> DataFr
     return out.withColumns({"match": F.col("source_rows").eqNullSafe(F.col("target_rows")), "rows_per_second": F.try_divide(F.col("target_rows"), F.col("seconds")), "compression": F.try_divide(F.col("raw_bytes"), F.col("bytes"))})
 
 
-def progress(done: int, total: int, elapsed: float) -> dict:
-    """Percent, rate and seconds left; nothing is divided by zero."""
-    rate = done / max(elapsed, 0.001)
-    return {"percent": min(100.0, 100.0 * done / total) if total else 100.0, "rows_per_second": rate, "eta_seconds": max(0, total - done) / rate if rate else None}
+def lag(states: DataFrame, commits: DataFrame, now: Column) -> DataFrame:
+    """How far each table is behind: states (table_key, last_version), commits (table_key, version, committed_at).
+
+    table_key, last_version, newest_version, versions_behind, applied_at (commit time of the newest version that is applied),
+    waiting_since (that of the oldest that is not) and lag_seconds: since when a committed change waits, 0 if none does. The look-up
+    of the commit at or before a version is an aggregate over the index of commits, combined before the shuffle; states
+    are a row a table.
+    """
+    both = commits.join(states.select("table_key", "last_version"), "table_key")
+    done = F.col("version") <= F.col("last_version")
+    out = both.groupBy("table_key").agg(
+        F.first("last_version").alias("last_version"), F.max("version").alias("newest_version"), F.count_if(~done).alias("versions_behind"),
+        F.max_by(F.when(done, F.col("committed_at")), F.when(done, F.col("version"))).alias("applied_at"), F.min(F.when(~done, F.col("committed_at"))).alias("waiting_since"),
+    )
+    return out.withColumn("lag_seconds", F.coalesce(F.timestamp_diff("SECOND", F.col("waiting_since"), now), F.lit(0)))

@@ -44,7 +44,7 @@ SETTINGS: dict[str, dict[str, Key]] = {
         "database": Key(str, "analytics"),
         "create_views": Key(bool, True),
         "view_suffix": Key(str, "_current"),
-        "compact_batches": Key(int, 200, 2),
+        "merge_fan": Key(int, 8, 2),
         "grace_seconds": Key(float, 3600, 0),
     },
     "sync": {

@@ -335,21 +335,21 @@ def stream_apply(spark, d):
     return store.current(keep_meta=False)
 
 
-def _replica(spark, root: str, base: DataFrame, feed: DataFrame, name: str, floor: int = 0):
-    """A Parquet source with one table of orders."""
+def _replica(spark, root: str, base: DataFrame, feed: DataFrame, name: str, floor: int = 0, table: str = "dbo.orders", pk: tuple[str, ...] = ("o_orderkey",)):
+    """A Parquet source with one table."""
     from keelson.sources.change_source import ParquetSource
 
-    base.write.parquet(f"{root}/{name}/dbo.orders/base")
-    feed.write.parquet(f"{root}/{name}/dbo.orders/changes")
-    return ParquetSource(spark, f"{root}/{name}", {"dbo.orders": ["o_orderkey"]}, {"dbo.orders": floor})
+    base.write.parquet(f"{root}/{name}/{table}/base")
+    feed.write.parquet(f"{root}/{name}/{table}/changes")
+    return ParquetSource(spark, f"{root}/{name}", {table: list(pk)}, {table: floor})
 
 
-def _supervisor(spark, root: str, source, **sync):
+def _supervisor(spark, root: str, source, table: str = "dbo.orders", **sync):
     from keelson.plans.settings import sync_settings, table_settings
     from keelson.streaming.lifecycle import Supervisor
 
     settings = sync_settings(**{"workers": 2, "poll_interval": 0.0, "min_rows_per_partition": 1000, "snapshot_partitions": 4, "batch_size": 1_000_000, **sync})
-    return Supervisor(spark, source, f"{root}/target", settings, [table_settings("dbo.orders", order_by=["o_orderkey"])])
+    return Supervisor(spark, source, f"{root}/target", settings, [table_settings(table)])
 
 
 def _feed_before(o: DataFrame) -> DataFrame:
@@ -401,13 +401,170 @@ def add_columns_store(spark, d):
     return s.store("dbo.orders").current(keep_meta=False)
 
 
+def _stored(spark, root: str, pages: int, fan: int):
+    """orders in a store, as base batches of equal key ranges."""
+    from keelson.sources.store import TableStore
+
+    o = _t(spark, root[0], "orders")
+    spec = _orders_spec(o)
+    low, high = key_bounds(o, "o_orderkey")
+    store = TableStore(spark, root[1], "orders", fan)
+    store.create("g0", spec)
+    for i, bounds in enumerate(plan_ranges(low, high, pages, pages, 1)):
+        store.write_batch("g0", f"snap-{i}", ch.snapshot_scan(o, spec, V0, bounds), base=True)
+    store.cut_over("g0")
+    return o, spec, store, low, high
+
+
+def tiered_compaction(spark, d):
+    """The feed in eight ticks with merges in between: levels fill up and go into those base batches that they meet."""
+    o, spec, store, low, high = _stored(spark, (d, _scratch(spark, "tiers")), 4, 3)
+    for i in range(8):
+        a, z = (V0 + low + (high - low + 1) * k // 8 for k in (i, i + 1))
+        store.write_batch("g0", f"cdc-{i}", ch.change_scan(_feed(o), _after(o), spec, a, z, seq=i + 1))
+        store.merge()
+    return store.current(keep_meta=False)
+
+
+def current_pruned(spark, d):
+    """Changes of the first quarter of the keys: base files behind it are read as they are."""
+    o, spec, store, low, high = _stored(spark, (d, _scratch(spark, "zones")), 8, 8)
+    z = V0 + low + (high - low + 1) // 4
+    store.write_batch("g0", "cdc-0", ch.change_scan(_feed(o), _after(o), spec, V0, z))
+    return store.current(keep_meta=False)
+
+
+def read_by_format(spark, d):
+    """The current relation by name, as any session reads it."""
+    from keelson.sources.current_source import read_current
+
+    root = _scratch(spark, "format")
+    o, spec, store, low, high = _stored(spark, (d, root), 4, 8)
+    store.write_batch("g0", "cdc-0", ch.change_scan(_feed(o), _after(o), spec, V0, V0 + high // 2))
+    store.write_batch("g0", "cdc-1", ch.change_scan(_feed(o), _after(o), spec, V0 + high // 2, 1 << 60, seq=2))
+    return read_current(spark, root, "orders").where(F.col("o_orderkey") >= 10).drop("_version", "_synced_at")
+
+
+def composite_ranges(spark, d):
+    """A snapshot of a table with a key of two columns, in ten ranges of about equal size."""
+    c = _t(spark, d, "conversations")
+    root = _scratch(spark, "ranges")
+    feed = c.limit(1).select("conv_id", "turn", F.lit(V0).cast("bigint").alias("version"))
+    source = _replica(spark, root, c, feed, "source", table="dbo.conversations", pk=("conv_id", "turn"))
+    s = _supervisor(spark, root, source, "dbo.conversations", min_rows_per_partition=100, batch_size=-(-c.count() // 10))
+    s.step()
+    s.shutdown()
+    return s.store("dbo.conversations").current(keep_meta=False)
+
+
+def pinned_tick(spark, d):
+    """Rows and changes that arrive while a tick reads are left to the next one: all its reads see one state."""
+    from keelson.sources.change_source import ParquetSource
+
+    o = _t(spark, d, "orders")
+    root = _scratch(spark, "pinned")
+    source = _replica(spark, root, o, _feed_before(o), "source")
+    s = _supervisor(spark, root, source)
+    s.step()
+    feed = _feed(o).where("o_orderkey % 11 <> 0")
+    feed.write.mode("append").parquet(f"{root}/source/dbo.orders/changes")
+    check, late = ParquetSource.min_valid_version, o.withColumn("o_orderkey", F.col("o_orderkey") + 10_000_000)
+
+    def meanwhile(self, key):
+        if self.frozen and not s.__dict__.setdefault("late", False):  # inside the session, before changes and rows are read
+            s.late = True
+            late.write.mode("append").parquet(f"{root}/source/dbo.orders/base")
+            late.select("o_orderkey", (F.col("o_orderkey") + V0).alias("version")).write.mode("append").parquet(f"{root}/source/dbo.orders/changes")
+        return check(self, key)
+
+    ParquetSource.min_valid_version = meanwhile
+    try:
+        s.step()
+    finally:
+        ParquetSource.min_valid_version = check
+        s.shutdown()
+    return s.store("dbo.orders").current(keep_meta=True).select("o_orderkey", "o_orderstatus", "_version")
+
+
+def stream_bounded(spark, d):
+    """The feed as a stream that takes a fifth of it in a batch at most."""
+    from keelson.sources.store import TableStore
+    from keelson.streaming.change_stream import apply_bounded, read_changes
+
+    root = _scratch(spark, "bounded")
+    o = _t(spark, d, "orders")
+    spec = _orders_spec(o)
+    _feed(o).write.parquet(f"{root}/feed")
+    store = TableStore(spark, f"{root}/store", "orders")
+    store.create("g0", spec)
+    store.write_batch("g0", "snap-0", ch.snapshot_scan(o, spec, V0), base=True)
+    store.cut_over("g0")
+    limit = -(-_feed(o).count() // 5)
+    feed = read_changes(spark, f"{root}/feed", "o_orderkey long", start=V0, max_rows=limit, checkpoint=f"{root}/checkpoint")
+    batches = apply_bounded(feed, lambda: _after(o), store, spec, f"{root}/checkpoint")
+    if max(batches) > limit:
+        raise AssertionError(f"a batch of {max(batches)} changes, the limit is {limit}")
+    return store.current(keep_meta=False)
+
+
+def _retyped(spark, d, old, new, name: str, steps: int):
+    """orders with a column whose type changes between snapshot and tick, with a change of every seventh row."""
+    o = _t(spark, d, "orders")
+    root = _scratch(spark, name)
+    seventh = F.col("o_orderkey") % 7 == 0
+    s = _supervisor(spark, root, _replica(spark, root, o.withColumn("amount", old), _feed_before(o), "before"))
+    s.step()
+    feed = o.where(seventh).select("o_orderkey", (F.col("o_orderkey") + V0 + 1).alias("version"))
+    s.source = _replica(spark, root, o.withColumn("amount", new), feed, "after")
+    for _ in range(steps):
+        s.step()
+    s.shutdown()
+    return s.store("dbo.orders").current(keep_meta=False)
+
+
+def type_widening(spark, d):
+    """int to bigint: files written before are read as the wider type, changed rows have values that need it."""
+    new = F.col("o_custkey") + F.when(F.col("o_orderkey") % 7 == 0, F.lit(1 << 40)).otherwise(F.lit(0))
+    return _retyped(spark, d, F.col("o_custkey").cast("int"), new.cast("bigint"), "wider", 1)
+
+
+def type_resync(spark, d):
+    """Text to a number: the tick finds that out and asks for a resync, which reads a new generation."""
+    return _retyped(spark, d, F.concat(F.lit("c"), F.col("o_custkey")), F.col("o_custkey").cast("bigint") * 2, "retyped", 2)
+
+
+def storage_from_footers(spark, d):
+    """Rows by snapshot range as the footers of its files have them, read by a job."""
+    o = _t(spark, d, "orders")
+    root = _scratch(spark, "footers")
+    s = _supervisor(spark, root, _replica(spark, root, o, _feed_before(o), "source"))
+    s.step()
+    s.shutdown()
+    part = F.regexp_extract("path", r"snap-(\d+)", 1).cast("bigint").alias("part")
+    return s.store("dbo.orders").storage().groupBy(part).agg(F.sum("rows").alias("rows"), F.bool_and((F.col("packed") > 0) & (F.col("raw") > 0)).alias("measured"))
+
+
+def replication_lag(spark, d):
+    """events as an index of commits; every table has applied all but its last fifty versions."""
+    e = _t(spark, d, "events")
+    commits = e.select(F.concat(F.lit("t"), F.col("user_id") % 20).alias("table_key"), F.col("event_id").alias("version"), F.col("ts").alias("committed_at"))
+    states = commits.groupBy("table_key").agg((F.max("version") - 50).alias("last_version"))
+    return metrics.lag(states, commits, F.lit("2024-03-01 00:00:00").cast("timestamp_ntz"))
+
+
+def diff_by_tree(spark, d):
+    o = _t(spark, d, "orders")
+    return validate.diff_by_tree(o, _drifted(o), "o_orderkey", ["o_orderkey", "o_custkey"], leaf_rows=500)
+
+
 def queries() -> dict:
     own = (
         current_state, current_merge_on_read, current_rollup, current_point_lookup, changes_since, net_changes, composite_key_current, delete_then_reinsert, pk_update, snapshot_stamp,
         snapshot_ranges, keyset_resume, idempotent_replay, schema_drift_union, dropped_column_fill, resync_drops_lost_delete, type_clamp_utc, tombstone_defaults, exclude_columns,
         latest_request, snapshot_log_metrics, hourly_error_metrics, row_count_check, pk_bounds_check, aggregate_check, hash_bucket_check, diff_sample, phase_heartbeat, values_cross_join,
         anti_join_report, shard_assignment, compaction, table_statistics, stream_apply, snapshot_resume, resync_through_store, add_columns_store, retention_30_days,
-        table_state_latest, storage_report,
+        table_state_latest, storage_report, tiered_compaction, current_pruned, read_by_format, composite_ranges, pinned_tick, stream_bounded, type_widening, type_resync,
+        storage_from_footers, replication_lag, diff_by_tree,
     )
     seeds = {
         "seed_customers": _seed("Customers"), "seed_products": _seed("Products"), "seed_orders": _seed("Orders", ("ExternalRef",)),  # a random value
@@ -466,6 +623,23 @@ def oracle_sql() -> dict[str, str]:
         "snapshot_ranges": """WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) - min(o_orderkey) + 1 AS span FROM orders), e AS (SELECT i, lo + span * i // 8 AS edge FROM b, range(1, 8) r(i))
             SELECT (SELECT count(*) FROM e WHERE edge <= o_orderkey) AS part, count(*) AS rows, min(o_orderkey) AS low, max(o_orderkey) AS high FROM orders GROUP BY 1""",
         "keyset_resume": "SELECT conv_id, turn, role FROM conversations WHERE (conv_id, turn) > (10, 1)",
+        "tiered_compaction": _CURRENT,
+        "stream_bounded": _CURRENT,
+        "read_by_format": f"SELECT * FROM ({_CURRENT}) WHERE o_orderkey >= 10",
+        "current_pruned": """WITH b AS (SELECT min(o_orderkey) + (max(o_orderkey) - min(o_orderkey) + 1) // 4 AS z FROM orders)
+            SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 7 = 0 AND o_orderkey < z THEN 'X' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN o_orderkey % 7 = 0 AND o_orderkey < z THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+            o_orderdate, o_orderpriority FROM orders, b WHERE NOT (o_orderkey % 11 = 0 AND o_orderkey < z)""",
+        "composite_ranges": "SELECT * FROM conversations",
+        "pinned_tick": """SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 AND o_orderkey % 11 <> 0 THEN o_orderkey + 1001 ELSE 1000 END AS _version FROM orders""",
+        "type_widening": "SELECT *, o_custkey + CASE WHEN o_orderkey % 7 = 0 THEN 1099511627776 ELSE 0 END AS amount FROM orders",
+        "type_resync": "SELECT *, o_custkey * 2 AS amount FROM orders",
+        "storage_from_footers": """WITH b AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) - min(o_orderkey) + 1 AS span, greatest(1, least(4, count(*) // 1000)) AS n FROM orders)
+            SELECT (SELECT count(*) FROM range(1, 4) r(i) WHERE i < n AND lo + span * i // n <= o_orderkey) AS part, count(*) AS rows, true AS measured FROM orders, b GROUP BY 1""",
+        "replication_lag": """WITH c AS (SELECT 't' || (user_id % 20) AS table_key, event_id AS version, ts, max(event_id) OVER (PARTITION BY user_id % 20) AS newest FROM events)
+            SELECT table_key, max(newest) - 50 AS last_version, max(newest) AS newest_version, count(*) FILTER (version > newest - 50) AS versions_behind, arg_max(ts, version) FILTER (version <= newest - 50) AS applied_at,
+            min(ts) FILTER (version > newest - 50) AS waiting_since, coalesce(date_diff('microsecond', min(ts) FILTER (version > newest - 50), TIMESTAMP '2024-03-01') // 1000000, 0) AS lag_seconds FROM c GROUP BY 1""",
+        "diff_by_tree": f"""SELECT coalesce(a.o_orderkey, b.o_orderkey) AS key, CASE WHEN b.o_orderkey IS NULL THEN 'missing' WHEN a.o_orderkey IS NULL THEN 'extra' ELSE 'different' END AS problem
+            FROM orders a FULL JOIN {_DRIFTED} b ON a.o_orderkey = b.o_orderkey WHERE a.o_orderkey IS NULL OR b.o_orderkey IS NULL OR a.o_custkey <> b.o_custkey""",
         "idempotent_replay": f"SELECT o_orderkey, o_orderstatus FROM ({_CURRENT})",
         "schema_drift_union": "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 7 = 0 THEN 'n' || o_orderkey END AS note FROM orders",
         "dropped_column_fill": "SELECT o_orderkey, o_orderstatus, CASE WHEN o_orderkey % 7 <> 0 THEN o_orderpriority END AS o_orderpriority FROM orders",

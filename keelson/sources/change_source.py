@@ -1,24 +1,35 @@
-"""Change sources: what a replicated database has to offer, and three of them.
+"""Change sources: what a replicated database has to offer, and two of them.
 
 A source gives base rows, a table-wide version counter, the lowest version from which its changes are complete
-(None: tracking is off), and changes (key, version) in a version range.
+(None: tracking is off), and changes (key, version) in a version range. A session gives the source as it stands at one moment.
 """
 
 from __future__ import annotations
 
-from contextlib import AbstractContextManager, nullcontext
+from collections.abc import Iterator
+from contextlib import AbstractContextManager, contextmanager, nullcontext
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keelson.plans.model import ColumnSpec, TableSpec, spec_of, split_name
+from keelson.sources.files import Files
+from keelson.sources.footers import facts
 
 
 class ResyncRequired(RuntimeError):
     """Changes since the last version are no longer complete."""
 
 
+class TypeChanged(ResyncRequired):
+    """A column has a type that the rows written before can't be read as."""
+
+
+class IsolationOff(RuntimeError):
+    """Reads are to be isolated by snapshot and the database does not allow it."""
+
+
 class TrackingDisabled(RuntimeError):
     """The table has no change tracking."""
 
@@ -31,7 +42,8 @@ class ChangeSource(Protocol):
     def base(self, key: str) -> DataFrame: ...
     def changes(self, key: str, last: int, current: int) -> DataFrame: ...
     def approx_rows(self, key: str) -> int: ...
-    def session(self, key: str) -> AbstractContextManager: ...
+    def session(self, key: str) -> AbstractContextManager[ChangeSource]: ...
+    def probe(self) -> None: ...
 
 
 def check_retention(source: ChangeSource, key: str, last: int) -> None:
@@ -47,73 +59,32 @@ def key_bounds(base: DataFrame, column: str) -> tuple[int | None, int | None]:
     return r["a"], r["z"]
 
 
-class MemorySource:
-    """Change tracking emulated in Python, for tests and demonstrations: rows by key, the last change of each key, one counter."""
-
-    def __init__(self, spark: SparkSession, version: int = 0):
-        self.spark, self.version = spark, version
-        self.specs: dict[str, TableSpec] = {}
-        self.rows: dict[str, dict[tuple, dict]] = {}
-        self.log: dict[str, dict[tuple, int]] = {}
-        self.floor: dict[str, int | None] = {}
-        self.schemas: dict[str, str] = {}
-        self.on_read = None
-
-    def create(self, spec: TableSpec, schema: str, rows: list[dict] = ()) -> None:
-        k = spec.key
-        self.specs[k], self.schemas[k], self.log[k], self.floor[k] = spec, schema, {}, self.version
-        self.rows[k] = {tuple(r[c] for c in spec.pk): dict(r) for r in rows}
-
-    def upsert(self, key: str, **row) -> None:
-        self.version += 1
-        at = tuple(row[c] for c in self.specs[key].pk)
-        self.rows[key][at] = {**self.rows[key].get(at, {}), **row}
-        self.log[key][at] = self.version
-
-    def delete(self, key: str, *at) -> None:
-        self.version += 1
-        self.rows[key].pop(at, None)
-        self.log[key][at] = self.version
-
-    def tables(self) -> list[str]:
-        return sorted(self.specs)
-
-    def spec(self, key: str, exclude: tuple[str, ...] = ()) -> TableSpec:
-        s = self.specs[key]
-        return TableSpec(s.schema, s.name, s.columns, exclude) if exclude else s
-
-    def current_version(self) -> int:
-        return self.version
-
-    def min_valid_version(self, key: str) -> int | None:
-        return self.floor[key]
-
-    def base(self, key: str) -> DataFrame:
-        names = [x.strip().split()[0] for x in self.schemas[key].split(",")]
-        out = self.spark.createDataFrame([tuple(r.get(c) for c in names) for r in self.rows[key].values()], self.schemas[key])
-        if self.on_read:
-            hook, self.on_read = self.on_read, None
-            hook()
-        return out
-
-    def changes(self, key: str, last: int, current: int) -> DataFrame:
-        pk = self.specs[key].pk
-        kinds = dict(x.strip().split(None, 1) for x in self.schemas[key].split(","))
-        rows = [(*k, v) for k, v in self.log[key].items() if last < v <= current]
-        return self.spark.createDataFrame(rows, ", ".join([f"{c} {kinds[c]}" for c in pk] + ["version long"]))
-
-    def approx_rows(self, key: str) -> int:
-        return len(self.rows[key])
-
-    def session(self, key: str) -> AbstractContextManager:
-        return nullcontext()
-
-
 class ParquetSource:
-    """Tables as Parquet folders below root: <table>/base and <table>/changes (key columns, version)."""
+    """Tables as Parquet folders below root: <table>/base and <table>/changes (key columns, version).
+
+    Versions come from the footers of change files, each read once. A session freezes the lists of files, of the changes
+    first: its base rows are then as new as its version or newer, and a newer row comes again with its own change.
+    """
 
     def __init__(self, spark: SparkSession, root: str, keys: dict[str, list[str]], floors: dict[str, int] | None = None):
         self.spark, self.root, self.keys, self.floors = spark, root, keys, floors or {}
+        self.versions: dict[str, int] = {}  # by change file
+        self.frozen: dict[str, list[str]] = {}  # files by folder, in a session
+
+    def _files(self, key: str, part: str) -> list[str]:
+        folder = f"{self.root}/{key}/{part}"
+        return self.frozen[folder] if folder in self.frozen else Files(self.spark).walk(folder, ".parquet")
+
+    def _read(self, key: str, part: str) -> DataFrame:
+        folder = f"{self.root}/{key}/{part}"
+        if folder not in self.frozen:
+            return self.spark.read.parquet(folder)
+        if self.frozen[folder]:
+            return self.spark.read.option("basePath", folder).parquet(*self.frozen[folder])
+        if part == "base":
+            raise FileNotFoundError(f"{folder} has no files")
+        base = self._read(key, "base")
+        return base.select(*self.keys[key], F.lit(0).cast("long").alias("version")).where("false")
 
     def tables(self) -> list[str]:
         return sorted(self.keys)
@@ -122,25 +93,38 @@ class ParquetSource:
         schema, _, name = key.rpartition(".")
         return spec_of(self.base(key), name, self.keys[key], schema or "dbo", exclude=exclude)
 
+    def _version(self, key: str) -> int:
+        files = self._files(key, "changes")
+        new = [f for f in files if f not in self.versions]
+        self.versions |= {f.path: f.high or 0 for f in facts(self.spark, new, "version")}
+        return max((self.versions[f] for f in files), default=0)
+
     def current_version(self) -> int:
-        versions = [self.spark.read.parquet(f"{self.root}/{k}/changes").agg(F.max("version")).first()[0] or 0 for k in self.keys]
-        return max(versions, default=0)
+        return max(map(self._version, self.keys), default=0)
 
     def min_valid_version(self, key: str) -> int | None:
         return self.floors.get(key, 0)
 
     def base(self, key: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/{key}/base")
+        return self._read(key, "base")
 
     def changes(self, key: str, last: int, current: int) -> DataFrame:
-        log = self.spark.read.parquet(f"{self.root}/{key}/changes")
-        return log.where((F.col("version") > last) & (F.col("version") <= current))  # reaches the scan as a pushed filter
+        return self._read(key, "changes").where((F.col("version") > last) & (F.col("version") <= current))  # reaches the scan as a pushed filter
 
     def approx_rows(self, key: str) -> int:
         return self.base(key).count()  # answered from the footers
 
-    def session(self, key: str) -> AbstractContextManager:
-        return nullcontext()
+    @contextmanager
+    def session(self, key: str) -> Iterator[ParquetSource]:
+        """The source with one table, whose files are those of this moment."""
+        pinned = ParquetSource(self.spark, self.root, {key: self.keys[key]}, self.floors)
+        pinned.versions = self.versions
+        for part in ("changes", "base"):
+            pinned.frozen[f"{self.root}/{key}/{part}"] = self._files(key, part)
+        yield pinned
+
+    def probe(self) -> None:
+        """Files are read as they were listed; there is nothing to allow."""
 
 
 def bracketed(name: str) -> str:
@@ -181,12 +165,13 @@ class JdbcSource:
     def query(self, sql: str) -> DataFrame:
         return self.spark.read.format("jdbc").options(**self.options).option("query", sql).load()
 
-    def session(self, key: str) -> AbstractContextManager:
-        return nullcontext()
+    def session(self, key: str) -> AbstractContextManager[JdbcSource]:
+        return nullcontext(self)
 
-    def allows_snapshots(self) -> bool:
-        """Whether the database lets a transaction be isolated by snapshot; where not, `sessionInitStatement` must go."""
-        return self.query("SELECT snapshot_isolation_state AS s FROM sys.databases WHERE database_id = DB_ID()").first()["s"] == 1
+    def probe(self) -> None:
+        """If reads are to be isolated by snapshot, the database must allow it."""
+        if "SNAPSHOT" in self.options.get("sessionInitStatement", "") and self.query("SELECT snapshot_isolation_state AS s FROM sys.databases WHERE database_id = DB_ID()").first()["s"] != 1:
+            raise IsolationOff("the database does not allow snapshot isolation; allow it or set source.use_snapshot_isolation to false")
 
     def tables(self) -> list[str]:
         sql = "SELECT s.name AS s, t.name AS t FROM sys.change_tracking_tables c JOIN sys.tables t ON t.object_id = c.object_id JOIN sys.schemas s ON s.schema_id = t.schema_id"

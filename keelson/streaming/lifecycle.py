@@ -1,11 +1,12 @@
 """The life of a replicated table: new -> snapshot -> cdc -> resync -> snapshot -> ...
 
-The supervisor alone changes table state and cuts over; tasks in a pool of threads read, write and commit, and report back.
-Snapshot ranges take part of the pool's slots at most, so that changes of other tables are followed while a snapshot runs;
-Spark shares executors between them by FAIR pools. A snapshot fixes its version before the first read and goes through each
-range page by page; a page is committed before the range's place moves behind it. Change ticks write before they move the
-version. So a crash at any point repeats one page or tick, which overwrites itself. Readers see the old generation until
-the cut-over.
+The supervisor alone changes table state and cuts over; tasks in a pool of threads plan, read, write, merge and commit, and
+report back. Snapshot ranges take part of the pool's slots at most, so that changes of other tables are followed while a
+snapshot runs; Spark shares executors between them by FAIR pools. A snapshot fixes its version before the first read and goes
+through each range page by page; a page is committed before the range's place moves behind it. Pages are key ranges - of an integer
+key by arithmetic, of any other key between splitters - so each is one scan that the bounds prune. Change ticks read the source
+as it stands at one moment and write before they move the version. So a crash at any point repeats one page or tick, which
+overwrites itself. Readers see the old generation until the cut-over. Merges run beside the ticks of their table.
 """
 
 from __future__ import annotations
@@ -19,17 +20,16 @@ from concurrent.futures import FIRST_COMPLETED, Future, ThreadPoolExecutor, wait
 from dataclasses import dataclass, field
 from types import SimpleNamespace
 
-from pyspark.sql import functions as F
-
-from keelson.functions.keys import cursor_values, last_key, shard_owner
+from keelson.functions.keys import shard_owner
 from keelson.operators.changes import change_scan, snapshot_scan
-from keelson.plans.partitions import plan_ranges
+from keelson.plans.partitions import in_key_range, plan_ranges, splitters
 from keelson.plans.settings import sync_settings, table_settings
 from keelson.sources.change_source import ChangeSource, ResyncRequired, TrackingDisabled, check_retention, key_bounds
-from keelson.sources.store import MetaStore, TableStore
+from keelson.sources.store import FAN, MetaStore, TableStore
 
 log = logging.getLogger(__name__)
 NEW, SNAPSHOT, CDC, RESYNC = "new", "snapshot", "cdc", "resync"
+PLAN, MERGE = "plan", "merge"  # kinds of tasks besides SNAPSHOT and CDC
 #: Seconds between two heartbeats.
 HEARTBEAT = 30.0
 
@@ -44,7 +44,8 @@ class TableState:
     ranges: list = field(default_factory=list)
     bounds: list = field(default_factory=list)  # least and greatest key when the snapshot was planned
     pages: int = 1  # equal pages that a range of an integer key is cut into
-    progress: dict = field(default_factory=dict)  # range number: {"page": committed pages, "cursor": last key, "rows", "done"}
+    cuts: list = field(default_factory=list)  # of other keys: the keys between pages, as text; a range is then [first page, page behind the last]
+    progress: dict = field(default_factory=dict)  # range number: {"page": committed pages, "rows", "done"}
     rows_synced: int = 0  # rows written, over snapshots and ticks; not a row count
     last_success: float = 0.0
     last_error: str = ""
@@ -73,7 +74,7 @@ class Supervisor:
     def __init__(self, spark, source: ChangeSource, root: str, sync: SimpleNamespace | None = None, tables: list[SimpleNamespace] = (), clock=time.time, target: SimpleNamespace | None = None):
         self.spark, self.source, self.sync, self.clock = spark, source, sync or sync_settings(), clock
         self.root = root.rstrip("/")
-        self.target = target or SimpleNamespace(create_views=False, view_suffix="_current", compact_batches=200, grace_seconds=3600.0)
+        self.target = target or SimpleNamespace(create_views=False, view_suffix="_current", merge_fan=FAN, grace_seconds=3600.0)
         self.meta = MetaStore(spark, f"{self.root}/_meta")
         self.configs: dict[str, SimpleNamespace] = {}
         self.states: dict[str, TableState] = {}
@@ -83,6 +84,9 @@ class Supervisor:
         self.running: dict[Future, tuple[str, str, int]] = {}  # table, kind of task, range
         self.reports: queue.Queue = queue.Queue()
         self.dirty: set[str] = set()
+        self.asked: dict[str, dict] = {}  # the last request of each table that has not been looked at
+        self.logged: list[dict] = []  # rows of the log that flush() writes
+        source.probe()
         self.next_refresh = self.next_flush = self.next_beat = 0.0
         self.refresh()
 
@@ -98,7 +102,8 @@ class Supervisor:
         for low, t in wanted.items():
             self.configs[low] = t
             if low not in self.states:
-                self.states[low] = TableState(**{**saved[low], "failures": 0, "next_run": 0.0}) if low in saved else TableState(t.key)
+                old = {k: v for k, v in saved.get(low, {}).items() if k in TableState.__dataclass_fields__}
+                self.states[low] = TableState(**{**old, "failures": 0, "next_run": 0.0}) if old else TableState(t.key)
         for low in [k for k in self.states if k not in wanted and not self.busy(k)]:
             del self.states[low], self.configs[low]
         self.next_refresh = self.clock() + self.sync.schema_refresh_seconds
@@ -107,7 +112,7 @@ class Supervisor:
         return [part for k, what, part in self.running.values() if k == low and kind in (None, what)]
 
     def store(self, key: str) -> TableStore:
-        return TableStore(self.spark, self.root, self.configs[key.lower()].target_table)
+        return TableStore(self.spark, self.root, self.configs[key.lower()].target_table, self.target.merge_fan)
 
     def spec(self, key: str):
         t = self.configs[key.lower()]
@@ -118,7 +123,7 @@ class Supervisor:
         self.dirty.discard(s.table_key.lower())
 
     def log(self, s: TableState, task: str, status: str, rows: int, began: float, message: str = "") -> None:
-        self.meta.append("sync_log", {"table_key": s.table_key, "task": task, "status": status, "rows": rows, "duration_ms": int(1000 * (self.clock() - began)), "message": message}, self.clock())
+        self.logged.append({"ts": self.clock(), "table_key": s.table_key, "task": task, "status": status, "rows": rows, "duration_ms": int(1000 * (self.clock() - began)), "message": message})
 
     # requests
 
@@ -128,31 +133,43 @@ class Supervisor:
 
     def apply_requests(self) -> None:
         """A request newer than the last one handled sends its table to resync and ends its backoff."""
-        for r in self.meta.rows("sync_requests"):
-            s = self.states.get(r["table_key"].lower())
+        for r in self.meta.news("sync_requests"):
+            self.asked[r["table_key"].lower()] = r
+        for low, r in list(self.asked.items()):  # also those of tables that were not known when they came
+            s = self.states.get(low)
+            if s:
+                del self.asked[low]
             if s and r["action"] == "resync" and r["requested_at"] > s.resync_handled_at:
                 s.phase, s.resync_handled_at, s.failures, s.next_run = RESYNC, r["requested_at"], 0, 0.0
                 self.save(s)
 
     # snapshot
 
-    def plan_snapshot(self, s: TableState) -> None:
+    def plan_snapshot(self, s: TableState) -> dict:
+        """Version, generation and ranges of a new snapshot, as fields of the state. Runs as a task: it counts rows and may sample keys."""
         floor = self.source.min_valid_version(s.table_key)
         if floor is None:
             raise TrackingDisabled(f"{s.table_key}: change tracking is off")
         version = max(self.source.current_version(), floor)  # before any read: rows read later can only be newer
         spec, t = self.spec(s.table_key), self.configs[s.table_key.lower()]
-        column, low, high = spec.single_integer_pk(), None, None
+        base, rows = self.source.base(s.table_key), self.source.approx_rows(s.table_key)
+        most, column, bounds, cuts, pages = t.snapshot_partitions or self.sync.snapshot_partitions, spec.single_integer_pk(), [], [], 1
         if column:
-            low, high = key_bounds(self.source.base(s.table_key), column)
-        rows = self.source.approx_rows(s.table_key)
-        ranges = plan_ranges(low, high, rows, t.snapshot_partitions or self.sync.snapshot_partitions, self.sync.min_rows_per_partition)
-        s.snapshot_id = uuid.uuid4().hex[:12]
-        self.store(s.table_key).create(s.snapshot_id, spec, t.order_by, t.partition_by)
-        s.bounds = [low, high] if low is not None else []
-        s.pages = max(1, -(-rows // (len(ranges) * self.sync.batch_size))) if s.bounds else 1
-        s.snapshot_version, s.ranges, s.phase = version, [list(r) for r in ranges], SNAPSHOT
-        s.progress = {str(i): {"page": 0, "cursor": None, "rows": 0, "done": False} for i in range(len(ranges))}
+            low, high = key_bounds(base, column)
+            bounds = [low, high] if low is not None else []
+            ranges = plan_ranges(low, high, rows, most, self.sync.min_rows_per_partition)
+            pages = max(1, -(-rows // (len(ranges) * self.sync.batch_size))) if bounds else 1
+        else:
+            cuts = splitters(base, spec.pk, max(1, -(-rows // self.sync.batch_size)), rows)
+            n = max(1, min(most, rows // self.sync.min_rows_per_partition, len(cuts) + 1))
+            ranges = [((len(cuts) + 1) * i // n, (len(cuts) + 1) * (i + 1) // n) for i in range(n)]
+        snapshot = uuid.uuid4().hex[:12]
+        self.store(s.table_key).create(snapshot, spec, t.order_by, t.partition_by)
+        progress = {str(i): {"page": 0, "rows": 0, "done": False} for i in range(len(ranges))}
+        return {"snapshot_id": snapshot, "snapshot_version": version, "ranges": [list(r) for r in ranges], "bounds": bounds, "cuts": cuts, "pages": pages, "progress": progress, "phase": SNAPSHOT}
+
+    def _planned(self, s: TableState, plan: dict) -> None:
+        s.__dict__.update(plan)
         self.save(s)
 
     def _snapshot_range(self, low: str, s: TableState, part: int, at: dict) -> None:
@@ -160,24 +177,20 @@ class Supervisor:
         store, spec, base = self.store(low), self.spec(low), self.source.base(s.table_key)
         while not (at["done"] or self.stopping.is_set()):
             began = self.clock()
-            if s.bounds:  # an integer key: pages are key ranges, which the scan prunes
-                rows = snapshot_scan(base, spec, s.snapshot_version, page_bounds(tuple(s.ranges[part]), tuple(s.bounds), s.pages, at["page"]))
+            if s.cuts or not s.bounds:
+                first, end = s.ranges[part] if s.cuts else (0, 1)
+                edges, page = [None, *s.cuts, None], first + at["page"]
+                rows, pages = snapshot_scan(base.where(in_key_range(base, spec.pk, edges[page], edges[page + 1])), spec, s.snapshot_version), end - first
             else:
-                after = cursor_values(base, spec.pk, at["cursor"]) if at["cursor"] else None
-                rows = snapshot_scan(base, spec, s.snapshot_version, after=after).orderBy(*[F.col(f"`{c}`") for c in spec.pk]).limit(self.sync.batch_size)
-            batch = f"snap-{part:05d}-{at['page']:06d}"
-            n = store.write_batch(s.snapshot_id, batch, rows)
-            cursor, done = at["cursor"], at["page"] + 1 >= s.pages
-            if not s.bounds:
-                done = n < self.sync.batch_size
-                cursor = last_key(self.spark.read.parquet(f"{store.path}/{s.snapshot_id}/{batch}"), spec.pk) if n else cursor
-            at = {"page": at["page"] + 1, "cursor": cursor, "rows": at["rows"] + n, "done": done}
+                rows, pages = snapshot_scan(base, spec, s.snapshot_version, page_bounds(tuple(s.ranges[part]), tuple(s.bounds), s.pages, at["page"])), s.pages
+            n = store.write_batch(s.snapshot_id, f"snap-{part:05d}-{at['page']:06d}", rows, base=True)
+            at = {"page": at["page"] + 1, "rows": at["rows"] + n, "done": at["page"] + 1 >= pages}
             self.reports.put((low, s.snapshot_id, part, at, n, began))
 
     def finalize(self, s: TableState) -> None:
         """The cut-over; repeated after a crash it finds the generation live and only saves the state."""
         self.store(s.table_key).cut_over(s.snapshot_id)
-        s.phase, s.last_version, s.ranges, s.progress, s.last_success = CDC, s.snapshot_version, [], {}, self.clock()
+        s.phase, s.last_version, s.ranges, s.cuts, s.progress, s.last_success = CDC, s.snapshot_version, [], [], {}, self.clock()
         self.save(s)
         self.view(s)
 
@@ -194,29 +207,31 @@ class Supervisor:
     # changes
 
     def tick(self, s: TableState) -> tuple[int, int]:
-        """One round of changes: the version reached and the rows written."""
+        """One round of changes: the version reached and the rows written. Floor, version, changes and base rows are those of one moment, where the source can."""
         last = s.last_version
-        store, spec = self.store(s.table_key), self.spec(s.table_key)
-        store.add_columns(store.live(), spec)
+        store = self.store(s.table_key)
         n = 0
-        with self.source.session(s.table_key):  # floor, version, changes and base rows of one moment, where the source can
-            check_retention(self.source, s.table_key, last)
-            version = max(self.source.current_version(), last)
+        with self.source.session(s.table_key) as at:
+            spec = at.spec(s.table_key, tuple(self.configs[s.table_key.lower()].exclude_columns))
+            store.evolve(store.live(), spec)
+            check_retention(at, s.table_key, last)
+            version = max(at.current_version(), last)
             if version > last:
-                changes = self.source.changes(s.table_key, last, version).cache()
+                changes = at.changes(s.table_key, last, version).cache()
                 try:
                     keys = changes.count()
                     if keys:
-                        rows = change_scan(changes, self.source.base(s.table_key), spec, last, version, seq=version, few_keys=keys)
+                        rows = change_scan(changes, at.base(s.table_key), spec, last, version, seq=version, few_keys=keys)
                         n = store.write_batch(store.live(), f"cdc-{version:020d}", rows)
-                    check_retention(self.source, s.table_key, last)  # history lost while reading
+                    check_retention(self.source, s.table_key, last)  # history lost while reading, where a session can't hold it
                 finally:
                     changes.unpersist()
-        if len(store.manifest(store.live())["batches"]) >= self.target.compact_batches:
-            store.compact()
         store.purge(self.target.grace_seconds)
         return version, n
 
+    def merge(self, s: TableState) -> list[dict]:
+        return self.store(s.table_key).merge()
+
     # scheduling
 
     def _submit(self, low: str, kind: str, part: int, work, *args) -> None:
@@ -232,14 +247,15 @@ class Supervisor:
     def _schedule_table(self, low: str, s: TableState) -> None:
         """Submits what the table can do now, within the slots that are free."""
         if s.phase in (NEW, RESYNC):
-            if self.busy(low):
-                return  # work of the generation before ends first
-            self.plan_snapshot(s)
+            if not self.busy(low):  # work of the generation before ends first
+                self._submit(low, PLAN, 0, self.plan_snapshot, s)
+            return
         if s.phase == SNAPSHOT:
             if not self.busy(low):
                 self.resume(s)
                 if s.phase == NEW:
-                    self.plan_snapshot(s)
+                    self._submit(low, PLAN, 0, self.plan_snapshot, s)
+                    return
                 if all(p["done"] for p in s.progress.values()) or self.store(low).live() == s.snapshot_id:
                     self.finalize(s)
                     s.next_run = self.clock() + self._poll(low)
@@ -251,8 +267,11 @@ class Supervisor:
                     return
                 if not at["done"] and part not in taken:
                     self._submit(low, SNAPSHOT, part, self._snapshot_range, low, s, part, dict(at))
-        elif s.phase == CDC and not self.busy(low) and len(self.running) < self.sync.workers:
+        elif s.phase == CDC and not self.busy(low, CDC) and len(self.running) < self.sync.workers:
             self._submit(low, CDC, 0, self.tick, s)
+            store = self.store(low)
+            if not self.busy(low, MERGE) and len(self.running) < self.sync.workers and store.due(store.live()):
+                self._submit(low, MERGE, 0, self.merge, s)
 
     def _poll(self, low: str) -> float:
         t = self.configs[low]
@@ -287,7 +306,12 @@ class Supervisor:
                 self._fail(s, kind, e, self.clock())
                 continue
             s.failures, s.last_error = 0, ""
-            if kind == CDC and s.phase == CDC:  # a request may have come in between
+            if kind == PLAN and s.phase != CDC:
+                self._planned(s, result)
+            elif kind == MERGE and result:
+                self.log(s, MERGE, "ok", sum(x["written"] for x in result), began)
+                self.view(s)
+            elif kind == CDC and s.phase == CDC:  # a request may have come in between
                 self._moved(s, *result, began)
                 s.next_run = self.clock() + self._poll(low)
         return out
@@ -327,6 +351,8 @@ class Supervisor:
             if low in self.states:
                 self.save(self.states[low])
         self.dirty.clear()
+        logged, self.logged = self.logged, []
+        self.meta.extend("sync_log", logged, self.clock())
 
     def step(self) -> None:
         """One round to its end: requests, then every due table one move further, a snapshot as a whole."""
@@ -334,14 +360,14 @@ class Supervisor:
         now = self.clock()
         due = {low for low, s in self.states.items() if s.next_run <= now}
         while due and not self.stopping.is_set():
-            loading = {low for low in due if self.states[low].phase != CDC}
+            loading = {low for low in due if self.states[low].phase == SNAPSHOT}
             self.schedule(due)
             due -= {low for low in loading if self.states[low].phase == CDC}  # cut over: that was the move
             if not self.running:
                 break
             for low in self.collect(1.0):
                 s = self.states[low]
-                if s.phase != SNAPSHOT or s.next_run > self.clock():
+                if s.phase != SNAPSHOT and not self.busy(low, CDC) or s.next_run > self.clock():
                     due.discard(low)
             due -= {low for low in due if self.states[low].next_run > self.clock()}
         while self.running:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from keelson.plans.model import ColumnSpec, TableSpec, spec_of, split_name
 from keelson.sources.files import Files
-from keelson.sources.footers import facts
+from keelson.sources.footers import facts, footer_frame
 
 
 class ResyncRequired(RuntimeError):
@@ -71,12 +71,15 @@ class ParquetSource:
         self.versions: dict[str, int] = {}  # by change file
         self.frozen: dict[str, list[str]] = {}  # files by folder, in a session
 
+    def folder(self, key: str, part: str) -> str:
+        return f"{self.root}/{key}/{part}"
+
     def _files(self, key: str, part: str) -> list[str]:
-        folder = f"{self.root}/{key}/{part}"
+        folder = self.folder(key, part)
         return self.frozen[folder] if folder in self.frozen else Files(self.spark).walk(folder, ".parquet")
 
     def _read(self, key: str, part: str) -> DataFrame:
-        folder = f"{self.root}/{key}/{part}"
+        folder = self.folder(key, part)
         if folder not in self.frozen:
             return self.spark.read.parquet(folder)
         if self.frozen[folder]:
@@ -117,12 +120,21 @@ class ParquetSource:
     @contextmanager
     def session(self, key: str) -> Iterator[ParquetSource]:
         """The source with one table, whose files are those of this moment."""
-        pinned = ParquetSource(self.spark, self.root, {key: self.keys[key]}, self.floors)
+        pinned = type(self)(self.spark, self.root, {key: self.keys[key]}, self.floors)
         pinned.versions = self.versions
         for part in ("changes", "base"):
-            pinned.frozen[f"{self.root}/{key}/{part}"] = self._files(key, part)
+            pinned.frozen[self.folder(key, part)] = self._files(key, part)
         yield pinned
 
+    def stats(self) -> DataFrame:
+        """table_key, rows, files, bytes and raw_bytes of every table, from all footers in one job, and whether its changes are tracked."""
+        files = [(k, f) for k in self.keys for f in self._files(k, "base")]
+        tables = self.spark.createDataFrame([(k, self.min_valid_version(k) is not None) for k in self.keys], "table_key string, tracked boolean")
+        parts = self.spark.createDataFrame(files, "table_key string, path string").join(footer_frame(self.spark, [f for _, f in files]), "path")
+        sums = parts.groupBy("table_key").agg(F.sum("rows").alias("rows"), F.count(F.lit(1)).alias("files"), F.sum("packed").alias("bytes"), F.sum("raw").alias("raw_bytes"))
+        none = {c: F.coalesce(c, F.lit(0)).alias(c) for c in ("rows", "files", "bytes", "raw_bytes")}
+        return tables.join(sums, "table_key", "left").select("table_key", *none.values(), "tracked")
+
     def probe(self) -> None:
         """Files are read as they were listed; there is nothing to allow."""
 

@@ -38,6 +38,8 @@ FLUSH, SLICE = 1 << 20, 1 << 20
 LOAD = 32
 #: Cells of a slice of a row, and bits of a row that are broadcast at most (64 MB), both as powers of two.
 SLICE_BITS, CELL_BITS = 20, 29
+#: Bytes of text that a task of the second pass takes at least, unless cores would stand idle: larger tasks add up more before the shuffle.
+TASK_BYTES = 1 << 28
 #: Known words a task keeps before it starts to learn anew, and runs whose counts it adds up before it writes them.
 MEMO, KEPT = 1 << 21, 1 << 20
 
@@ -180,9 +182,12 @@ def _merge(bits: int):
     return run
 
 
-def sketch_bits(docs: DataFrame, text_col: str = "text") -> int:
-    """The width of a row, as a power of two, that the bytes of the texts call for."""
-    size = docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
+    return docs.agg(F.sum(F.octet_length(F.col(text_col)))).first()[0] or 0
+
+
+def sketch_bits(size: int) -> int:
+    """The width of a row, as a power of two, that so many bytes of text call for."""
     return min(SLICE_BITS + 28, max(SLICE_BITS, int(size * LONGEST // 6 // LOAD).bit_length()))
 
 
@@ -258,9 +263,10 @@ def _exact(bits: int, cells):
 def frequent_runs(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """lang, n_words, phrase, f: all runs of 1 to LONGEST words that occur LEAST times or more, and, as n_words 0, the number of words of each lang."""
     texts = docs.select(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"), F.coalesce(F.col(f"`{lang_col}`").cast("string"), F.lit("und")).alias("lang"))
-    bits = sketch_bits(texts)
-    cells = docs.sparkSession.sparkContext.broadcast(frequent_cells(texts, bits))
-    counts = texts.mapInArrow(_exact(bits, cells), "lang string, n_words int, phrase binary, f long")
+    sc, size = docs.sparkSession.sparkContext, text_bytes(texts)
+    bits = sketch_bits(size)
+    cells = sc.broadcast(frequent_cells(texts, bits))
+    counts = texts.coalesce(max(2 * sc.defaultParallelism, size // TASK_BYTES)).mapInArrow(_exact(bits, cells), "lang string, n_words int, phrase binary, f long")
     exact = counts.groupBy("lang", "n_words", "phrase").agg(F.sum("f").alias("f")).where((F.col("n_words") == 0) | (F.col("f") >= LEAST))
     return cut(exact.select("lang", "n_words", F.col("phrase").cast("string").alias("phrase"), "f"))
 

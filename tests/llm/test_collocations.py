@@ -103,7 +103,7 @@ def test_buffers_lose_nothing(monkeypatch, flush, cut):
 def test_sketch_loses_nothing_frequent(spark, monkeypatch, most):
     """A sketch far too small for the table still has the bits of everything frequent; several cells may share a bit."""
     monkeypatch.setattr(collocations, "CELL_BITS", most)
-    monkeypatch.setattr(collocations, "sketch_bits", lambda docs, text_col="text": 23)
+    monkeypatch.setattr(collocations, "sketch_bits", lambda size: 23)
     docs = make(2)
     f, n = plain_runs([(t, lang) for _, t, lang, *_ in docs])
     runs = {(r["lang"], r["phrase"]): r["f"] for r in collocations.frequent_runs(spark.createDataFrame(docs, SCHEMA)).where("n_words > 0").collect()}

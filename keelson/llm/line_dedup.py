@@ -14,7 +14,10 @@ A segment that more than FREQUENT lines have in the index is not joined. What it
 THRESHOLD edits apart if the lines are, so it is cut anew, into 3 x THRESHOLD segments of which all but THRESHOLD must be
 equal: the key is all of these together, and what remains for a next round, where a key is frequent again, is a
 third of the text. So every joined key has few lines in the index and the join grows with the lines, whatever
-passage they share; at the end of the rounds all that is left of two lines are THRESHOLD characters, that is, they are near.
+passage they share. At the end of the rounds all that is left of lines of one length are THRESHOLD characters: all of them are
+near each other, as lines with a counter are. What counts is whether an earlier line is near, so they are paired with the earliest of
+them only. Lines of other lengths that look for them there are paired when it is known which lines are decided: a pair is
+needed only if one of its lines is not, and of the lines with one key at most one is not.
 """
 
 from __future__ import annotations
@@ -109,7 +112,7 @@ def rest_plan(threshold: int) -> list[tuple[bool, int, int, list[int], list[int]
 
 
 def rest_keys(rows: DataFrame, threshold: int) -> DataFrame:
-    """rows (id, more, parts, own, group, s) by all choices of skipped segments: id, more, parts (longer by the skipped ones), own, key, small (nothing but edits is left), and
+    """rows (id, place, more, parts, own, group, s) by all choices of skipped segments: id, place, more, parts (longer by the skipped ones), own, key, small (nothing but edits is left), and
     rest, what the key leaves out. A row whose text is not its own, but probes for another's, is no index."""
     kind = "array<struct<own:boolean,shorter:int,number:int,skipped:array<int>,offsets:array<int>>>"
     plan = F.array(*[F.struct(F.lit(o), F.lit(d), F.lit(k), F.array(*map(F.lit, p)), F.array(*map(F.lit, s))) for o, d, k, p, s in rest_plan(threshold)]).cast(kind)
@@ -129,7 +132,7 @@ def rest_keys(rows: DataFrame, threshold: int) -> DataFrame:
     # a skipped segment without edits is the choice of one pair only if those behind it are skipped as well: of all choices
     # that fit a pair one remains
     parts = F.array(*[F.when(F.col("v.skipped")[j] < 2 * threshold + j, F.xxhash64(x)) for j, x in enumerate(left)])
-    return rows.where(fits).select("id", "more", F.concat("parts", parts).alias("parts"), (F.col("own") & F.col("v.own")).alias("own"), key.alias("key"), (F.col("length") <= threshold).alias("small"), F.concat(*left).alias("rest"))
+    return rows.where(fits).select("id", "place", "more", F.concat("parts", parts).alias("parts"), (F.col("own") & F.col("v.own")).alias("own"), key.alias("key"), (F.col("length") <= threshold).alias("small"), F.concat(*left).alias("rest"))
 
 
 def letter_counts(line: Column, letters: str) -> Column:
@@ -242,6 +245,8 @@ def meet(probes: DataFrame, index: DataFrame, threshold: int) -> DataFrame:
     fits = once & counts_within(counts, threshold)
     if more:
         fits = fits & ~F.exists(F.zip_with("p.parts", "i.parts", lambda x, y: F.coalesce(x == y, F.lit(False))), lambda x: x)
+    if more:  # rows are many times those that they come from, which sizes known before do not tell: neither side may be broadcast
+        i = i.hint("merge")
     met = p.join(i, (F.col("p.key") == F.col("i.key")) & fits)
     return met.select(F.least("p.id", "i.id").alias("a_id"), F.greatest("p.id", "i.id").alias("b_id"))
 
@@ -267,27 +272,37 @@ def texts_of(rows: DataFrame, wanted: DataFrame, key: str, value: Column | None
     return picked.select("h1", "h2", *[c for c in ("line", "place") if c in picked.columns])
 
 
-def candidates(lines: DataFrame, rows: DataFrame, threshold: int, least_chars: int) -> DataFrame:
-    """Pairs (a_id, b_id) of all lines within threshold edits, and some more. Keys have FREQUENT lines in the index at most
-    when they are joined, but for those that leave no more than threshold characters out."""
-    probes = lines.select("h1", "h2", "id", F.posexplode("keys").alias("n", "key")).where("key is not null").withColumn("own", F.col("n") <= threshold)
+def candidates(lines: DataFrame, rows: DataFrame, threshold: int, least_chars: int) -> tuple[DataFrame, tuple[DataFrame, DataFrame] | None]:
+    """Pairs (a_id, b_id) of lines within threshold edits, and some more: every line that is near an earlier one of its length has such
+    a pair with one. What is left to look at for other lines comes as probes and index, whose keys may have very many rows."""
+    probes = lines.select("h1", "h2", "id", "place", F.posexplode("keys").alias("n", "key")).where("key is not null").withColumn("own", F.col("n") <= threshold)
     own = lines.select("id", F.explode(F.slice("keys", 1, threshold + 1)).alias("key"))
     frequent, some = frequent_keys(own)
     if not some:
-        return meet(probes, own, threshold)
+        return meet(probes, own, threshold), None
     pairs = meet(probes.join(frequent, "key", "left_anti"), own.join(frequent, "key", "left_anti"), threshold)
     hot = cut(probes.join(frequent, "key", "left_semi"))
     texts = texts_of(rows, hot.select("h1").distinct(), "h1")
-    level = hot.join(texts, ["h1", "h2"]).select("id", "own", letter_counts(F.col("line"), MORE_LETTERS).alias("more"), F.array().cast("array<bigint>").alias("parts"), F.col("key").alias("group"), without_segment(F.col("line"), F.col("n"), threshold, least_chars).alias("s"))
+    level = hot.join(texts, ["h1", "h2"]).select("id", "place", "own", letter_counts(F.col("line"), MORE_LETTERS).alias("more"), F.array().cast("array<bigint>").alias("parts"), F.col("key").alias("group"), without_segment(F.col("line"), F.col("n"), threshold, least_chars).alias("s"))
+    left = None
     while True:
         level = cut(level)
+        # own texts of a group have one length; where it is threshold at most, they are near each other
+        short = level.where(F.col("own") & (F.char_length("s") <= threshold))
+        centres = short.groupBy("group").agg(F.min_by("id", "place").alias("centre"))
+        star = short.select("group", "id").join(centres, "group").where("id <> centre")
+        pairs = pairs.unionByName(star.select(F.least("id", "centre").alias("a_id"), F.greatest("id", "centre").alias("b_id")))
         keyed = rest_keys(level, threshold)
         frequent, some = frequent_keys(keyed.where("own and not small"))
-        joined = keyed.join(frequent, "key", "left_anti") if some else keyed
+        joined = keyed.where("not small")
+        joined = joined.join(frequent, "key", "left_anti") if some else joined
         pairs = pairs.unionByName(meet(joined, joined.where("own"), threshold))
+        small = keyed.where("small")
+        ends = small.where("not own"), small.where("own")
+        left = ends if left is None else (left[0].unionByName(ends[0]), left[1].unionByName(ends[1]))
         if not some:
-            return pairs
-        level = keyed.join(frequent, "key", "left_semi").select("id", "more", "parts", "own", F.col("key").alias("group"), F.col("rest").alias("s")).distinct()
+            return pairs, left
+        level = keyed.where("not small").join(frequent, "key", "left_semi").select("id", "place", "more", "parts", "own", F.col("key").alias("group"), F.col("rest").alias("s")).distinct()
 
 
 def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, least_chars: int, short_lines: bool = False) -> tuple[DataFrame, DataFrame]:
@@ -300,21 +315,36 @@ def first_lines(docs: DataFrame, id_col: str, text_col: str, threshold: int, lea
     keyed = rows.select("h1", "h2", place.alias("place"), long.alias("long"), line_id(F.col("line"), F.col("h1")).alias("id"), segment_keys(F.col("line"), threshold, least_chars).alias("keys"))
     lines = cut(keyed.groupBy("h1", "h2").agg(F.min("place").alias("place"), F.first("long").alias("long"), F.first("id").alias("id"), F.first("keys").alias("keys")))
     firsts, rows, lines = lines.select("h1", "h2", "place"), rows.where(long), lines.where("long")
-    pairs = cut(candidates(lines, rows, threshold, least_chars).distinct())
+    pairs, left = candidates(lines, rows, threshold, least_chars)
+    rows = rows.select("h1", "h2", "line", place.alias("place"))
+    near = later_lines(pairs, rows, threshold)
+    if left is None:
+        return firsts, near
+    # lines that are near an earlier one need no further pair, unless another line may be near them
+    probes, index = left
+    there = probes.select("id").union(index.select("id")).distinct()
+    open_ = cut(lines.join(there, "id", "left_semi").join(near, ["h1", "h2"], "left_anti").select("id").distinct())
+    open_ = F.broadcast(open_) if open_.count() <= BROADCAST_IDS else open_
+    pairs = meet(probes.join(open_, "id", "left_semi"), index, threshold).unionByName(meet(probes.join(open_, "id", "left_anti"), index.join(open_, "id", "left_semi"), threshold))
+    return firsts, cut(near.unionByName(later_lines(pairs, rows, threshold)).distinct())
+
+
+def later_lines(pairs: DataFrame, rows: DataFrame, threshold: int) -> DataFrame:
+    """h1, h2 of the later line of every pair (a_id, b_id) that is within threshold edits. rows: h1, h2, line, place."""
+    pairs = cut(pairs.distinct())
     if pairs.isEmpty():
-        return firsts, lines.select("h1", "h2").limit(0)
+        return rows.select("h1", "h2").limit(0)
     # lines are chosen by the hash bits of their ids; letters are counted only for those
     bits = 4 * len(LETTERS)
     ids = pairs.select(F.col("a_id").alias("id")).union(pairs.select("b_id")).select(F.shiftright("id", bits).alias("hash")).distinct()
-    texts = texts_of(rows.select("h1", "h2", "line", place.alias("place")), ids, "hash", F.shiftright("h1", bits))
+    texts = texts_of(rows, ids, "hash", F.shiftright("h1", bits))
     texts = texts.withColumn("id", line_id(F.col("line"), F.col("h1")))
     a = texts.select(F.col("id").alias("a_id"), F.col("h1").alias("a1"), F.col("h2").alias("a2"), F.col("line").alias("a"), F.col("place").alias("a_place"))
     b = texts.select(F.col("id").alias("b_id"), F.col("h1").alias("b1"), F.col("h2").alias("b2"), F.col("line").alias("b"), F.col("place").alias("b_place"))
     verified = within_edits(pairs.join(a, "a_id").join(b, "b_id"), "a", "b", threshold)
     later = F.when(F.col("a_place") > F.col("b_place"), F.struct(F.col("a1").alias("h1"), F.col("a2").alias("h2"))).otherwise(F.struct(F.col("b1").alias("h1"), F.col("b2").alias("h2")))
     # cut first: a filter pushed below these columns would hold each of them many times over
-    near = cut(verified.select("near", later.alias("later"))).where("near").select("later.*").distinct()
-    return firsts, near
+    return cut(verified.select("near", later.alias("later"))).where("near").select("later.*").distinct()
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = THRESHOLD, least_chars: int = LEAST_CHARS, report: bool = False, short_lines: bool = False) -> DataFrame:

@@ -158,8 +158,8 @@ def test_line_dedup(docs, threshold, frequent, monkeypatch):
 
 
 @pytest.mark.parametrize(("threshold", "frequent"), [(1, 1), (2, 1), (2, 5)])
-def test_candidates_of_shared_passages(spark, threshold, frequent, monkeypatch):
-    """Lines that share most of their text are cut anew round by round; no near pair is lost."""
+def test_lines_that_share_passages(spark, threshold, frequent, monkeypatch):
+    """Lines that share most of their text are cut anew round by round; every line near an earlier one is found, in any order of lines."""
     monkeypatch.setattr(line_dedup, "FREQUENT", frequent)
     rnd = random.Random(threshold + frequent)
     texts = set()
@@ -171,13 +171,27 @@ def test_candidates_of_shared_passages(spark, threshold, frequent, monkeypatch):
             x[i : i + rnd.randrange(2)] = rnd.choice(["", "é", "b"])
         texts.add("".join(x))
     texts = sorted(t for t in texts if len(t) >= 20)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
-    rows = docs.select(F.xxhash64("text").alias("h1"), F.xxhash64(F.lit(1), "text").alias("h2"), F.col("text").alias("line"))
-    lines = rows.select("h1", "h2", line_dedup.line_id(F.col("line"), F.col("h1")).alias("id"), line_dedup.segment_keys(F.col("line"), threshold, 20).alias("keys"), "line").cache()
-    name = {r["id"]: r["line"] for r in lines.collect()}
-    got = {tuple(sorted((name[r["a_id"]], name[r["b_id"]]))) for r in line_dedup.candidates(lines, rows, threshold, 20).collect()}
-    want = {(a, b) for i, a in enumerate(texts) for b in texts[i + 1 :] if plain.edits(a, b) <= threshold}
-    assert len(want) > 20 and want <= got
+    rnd.shuffle(texts)
+    docs = list(enumerate(texts))
+    got = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string"), threshold=threshold).collect()}
+    want = plain.dedup_lines(docs, threshold)
+    assert [got[d] for d, _ in docs] == want and 20 < sum(t == "" for t in want) < len(want) - 5
+
+
+@pytest.mark.parametrize("frequent", [4, 64])
+def test_lines_with_a_counter(spark, monkeypatch, frequent):
+    """Lines that differ in a number: pairs grow with the lines, not with their square, and the result is that of all pairs."""
+    monkeypatch.setattr(line_dedup, "FREQUENT", frequent)
+    made, later = [], line_dedup.later_lines
+    monkeypatch.setattr(line_dedup, "later_lines", lambda pairs, rows, threshold: made.append(pairs.distinct().count()) or later(pairs, rows, threshold))
+    rnd = random.Random(frequent)
+    numbers = [*range(150), *range(1000, 1150)]
+    rnd.shuffle(numbers)
+    docs = [(i, f"Comment number {n} was posted by a reader of the page") for i, n in enumerate(numbers)]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert [got[d] for d, _ in docs] == plain.dedup_lines(docs, 2)
+    if frequent == 4:  # 18,850 pairs are near
+        assert sum(made) < 6000
 
 
 def test_edit_distance(spark):

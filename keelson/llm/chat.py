@@ -128,7 +128,7 @@ def write_trees(conversations: DataFrame, path: str, conv_col: str = "conv_id",
         F.concat(F.coalesce("spans", none), F.coalesce(own, none)).alias("attends"), "node", "k", F.coalesce("branches", F.lit(False)).alias("branches"), F.coalesce("ends", F.lit(False)).alias("ends"),
         part_of("rank").alias("shard"), "rank", F.when(F.col("k") == F.col("first_k"), F.col("context")).alias("context"),
     )
-    out.repartitionByRange("rank", "k").sortWithinPartitions("rank", "k").write.parquet(f"{path}/segments")
+    out.repartition("shard").sortWithinPartitions("shard", "rank", "k").write.parquet(f"{path}/segments")  # a shard is a range of ranks
     convs.select(F.when(F.col("conv") != "", F.col("conv")).cast("long").alias("conv_id"), "tree", "node", "n_turns").write.parquet(f"{path}/conversations")
 
 

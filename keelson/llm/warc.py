@@ -36,6 +36,8 @@ START = re.compile(re.escape(MAGIC) + rb"|WARC/1\.[01]\r?\n")
 HEADER_END = re.compile(rb"\r?\n\r?\n")
 #: Bytes read at a time; the longest header; the longest record, beyond which it is quarantined as a gap.
 PIECE, HEADER_BYTES, RECORD_BYTES = 1 << 18, 1 << 20, 1 << 28
+#: No row holds more.
+LARGEST = 1 << 32
 #: Gaps up to this size come with their bytes.
 GAP_BYTES = 1 << 20
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -203,7 +205,7 @@ def parse_record(feed: Feed, offset: int, most: int) -> tuple[Record, int]:
     end, looked = None, m.end() - 1
     while not (end := HEADER_END.search(feed.buf, looked)):
         looked = max(m.end() - 1, len(feed.buf) - 4)
-        if len(feed.buf) > HEADER_BYTES or not feed.ensure(len(feed.buf) + 1):
+        if len(feed.buf) > (HEADER_BYTES if most <= RECORD_BYTES else most) or not feed.ensure(len(feed.buf) + 1):
             raise Damage("header without end")
     fields: dict[str, str] = {}
     for line in bytes(feed.buf[m.end() : end.start()]).splitlines():
@@ -411,7 +413,8 @@ def read_warc(spark: SparkSession, *paths: str, with_payload: bool = True, most:
     inner_end of its inflated bytes. Records have gap null. payload is null in revisits, whose payload_bytes is the length
     that the HTTP header gives; small gaps have their bytes in it. payload_digest is the record's own sha1 (base32 or hex, in
     hex) or, where it gives none that can be read, that of the payload. Spark lists the archives, tasks stream them: each is
-    read by one task, a record at a time, and may be of any size. A record of more than `most` bytes is a gap.
+    read by one task, a record at a time, and may be of any size. A record of more than `most` bytes is a gap, and so is a header
+    of more than HEADER_BYTES, unless `most` is above RECORD_BYTES: then it bounds headers too.
     """
     files = spark.read.format("binaryFile").load(list(paths)).select("path")
     return files.mapInArrow(_read(with_payload, most), RECORDS)
@@ -428,7 +431,7 @@ def op8_warc(spark, sf_dir: str) -> DataFrame:
     written = write_warc(table(spark, sf_dir, "pages"), root).agg(F.sum("records")).first()[0] or 0
     if not written:
         return spark.createDataFrame([], "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long")
-    records = cut(read_warc(spark, f"{root}/part-*/*.warc.gz", with_payload=False))
+    records = cut(read_warc(spark, f"{root}/part-*/*.warc.gz", with_payload=False, most=LARGEST))  # what was written is no damage, however long it is
     read = records.agg(F.count_if(F.col("gap").isNull()).alias("records"), F.count("gap").alias("gaps")).first()
     if read["gaps"] or read["records"] != written:
         raise ValueError(f"{written} records written, {read['records']} read, {read['gaps']} gaps below {root}")

@@ -327,6 +327,15 @@ def test_warc_quarantine(spark, tmp_path):
     assert len(got) == 3 and (gap[0]["offset"], gap[0]["end"]) == (len(good[0]), len(good[0]) + len(bad)) and bytes(gap[0]["payload"]) == bytes(bad)
 
 
+def test_warc_takes_long_records(spark, tmp_path, monkeypatch):
+    """A url or page beyond what the salvage reader takes for a record is written and read back all the same."""
+    monkeypatch.setattr(warc, "RECORD_BYTES", 1 << 16)
+    pages = [(1, "http://a/" + "b" * 1_500_000, "short"), (2, "http://a/", "x" * 3_000_000), (3, "http://a/", "x" * 3_000_000), (4, None, None)]
+    spark.createDataFrame(pages, PAGE_SCHEMA).write.parquet(f"{tmp_path}/pages.parquet")
+    got = sorted((r["page_id"], r["payload_bytes"], r["record_type"], r["refers_to"]) for r in warc.op8_warc(spark, str(tmp_path)).collect())
+    assert got == [(1, 5, "response", None), (2, 3_000_000, "revisit", 3), (3, 3_000_000, "response", None), (4, 0, "response", None)]
+
+
 def test_warc_fails_on_lost_records(spark, tmp_path, monkeypatch):
     spark.createDataFrame(PAGES, PAGE_SCHEMA).write.parquet(f"{tmp_path}/pages.parquet")
     assert warc.op8_warc(spark, str(tmp_path)).count() == len(PAGES)
@@ -402,6 +411,20 @@ def test_near_dedup_of_changed_words(spark):
     assert sorted(r["doc_id"] for r in simhash.near_dedup(docs).collect()) == [i for i in range(120) if i % 4 in (0, 3)]
 
 
+@pytest.mark.parametrize("table", ["empty", "rough"])
+def test_stages_on_odd_tables(spark, tmp_path, table):
+    """Every stage takes an empty table and one of nulls and repeats, both with clashing names; all but the last keep the columns."""
+    import corpus_pipeline
+
+    spark.createDataFrame([(7, 1)], "doc_id long, quality int").write.parquet(f"{tmp_path}/labels.parquet")
+    docs = clash(spark.createDataFrame(ROUGH if table == "rough" else [], SCHEMA), *CLASHES, "node", "root", "shingles", "tile", "keys")
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, str(tmp_path))
+        n = len(out.collect())
+        assert name == "sentencepiece" or out.columns == docs.columns
+        assert n == {"quality_rules": 0, "near_dedup": 4 if table == "rough" else 0}.get(name, n) and (table == "rough" or n == 0)
+
+
 def test_short_lines_that_repeat(spark, tmp_path):
     """op4 and the pipeline take out equal lines of any length; blank lines stay and short ones are not compared by edits."""
     import corpus_pipeline

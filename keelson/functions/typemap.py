@@ -58,45 +58,64 @@ def offset_to_utc(c: Column) -> Column:
     return local - F.make_dt_interval(mins=minutes)
 
 
+def _plain(kind: T.DataType, placeholder: object) -> Callable[..., Mapping]:
+    """Builds the mapping to a type that a cast alone reaches."""
+    return lambda p, s: Mapping(kind, lambda c: c.cast(kind), placeholder)
+
+
+def _number(p: int | None, s: int | None) -> Mapping:
+    return _plain(T.DecimalType(p or 18, s or 0), 0)(p, s)
+
+
+def _floating(p: int | None, s: int | None) -> Mapping:
+    return _plain(T.FloatType() if (p or 53) <= 24 else T.DoubleType(), 0)(p, s)
+
+
+def _instant(p: int | None, s: int | None) -> Mapping:
+    return Mapping(T.TimestampNTZType(), _timestamp(min(max(7 if s is None else s, 0), 7)), EPOCH)
+
+
+def _instant_with_offset(p: int | None, s: int | None) -> Mapping:
+    local = _instant(p, s)
+    return Mapping(local.spark_type, lambda c: local.convert(offset_to_utc(c)), EPOCH)
+
+
+_TEXT, _BYTES, _MILLIS = _plain(T.StringType(), ""), _plain(T.BinaryType(), b""), lambda p, s: _instant(p, 3)
+#: Source types by name (a fixed list) and how the mapping of each is built from precision and scale.
+TYPES: dict[str, Callable[[int | None, int | None], Mapping]] = {
+    "bigint": _plain(T.LongType(), 0),
+    "binary": _BYTES,
+    "bit": _plain(T.BooleanType(), False),
+    "date": lambda p, s: Mapping(T.DateType(), lambda c: clamp(c.cast("date"), "date"), EPOCH),
+    "datetime": _MILLIS,
+    "datetime2": _instant,
+    "datetimeoffset": _instant_with_offset,
+    "decimal": _number,
+    "float": _floating,
+    "image": _BYTES,
+    "int": _plain(T.IntegerType(), 0),
+    "money": lambda p, s: _number(19, 4),
+    "numeric": _number,
+    "real": _plain(T.FloatType(), 0),
+    "rowversion": lambda p, s: Mapping(T.LongType(), lambda c: F.conv(F.hex(c), 16, 10).cast("bigint"), 0),
+    "smalldatetime": _MILLIS,
+    "smallint": _plain(T.ShortType(), 0),
+    "smallmoney": lambda p, s: _number(10, 4),
+    "time": lambda p, s: Mapping(T.StringType(), lambda c: F.substring(c.cast("string"), 1, 16), ""),
+    "tinyint": _plain(T.ShortType(), 0),  # unsigned there, Spark's is not
+    "uniqueidentifier": lambda p, s: Mapping(T.StringType(), lambda c: F.lower(c.cast("string")), NIL_UUID),
+    "varbinary": _BYTES,
+}
+TYPES["timestamp"] = TYPES["rowversion"]
+TYPES |= dict.fromkeys(("char", "varchar", "nchar", "nvarchar", "sysname", "text", "ntext", "xml", "sql_variant", "hierarchyid", "geography", "geometry"), _TEXT)
+
+
 def mapping(sql_type: str, precision: int | None = None, scale: int | None = None) -> Mapping:
     """The mapping of a source type, given by name with its precision and scale; unknown types become text with a warning."""
-    t = sql_type.lower()
-    p, s = precision, scale
-    if t == "bit":
-        return Mapping(T.BooleanType(), lambda c: c.cast("boolean"), False)
-    if t in ("tinyint", "smallint"):  # a source tinyint is unsigned, Spark's is not
-        return Mapping(T.ShortType(), lambda c: c.cast("smallint"), 0)
-    if t == "int":
-        return Mapping(T.IntegerType(), lambda c: c.cast("int"), 0)
-    if t == "bigint":
-        return Mapping(T.LongType(), lambda c: c.cast("bigint"), 0)
-    if t in ("decimal", "numeric", "money", "smallmoney"):
-        kind = T.DecimalType(*{"money": (19, 4), "smallmoney": (10, 4)}.get(t, (p or 18, s or 0)))
-        return Mapping(kind, lambda c: c.cast(kind), 0)
-    if t == "real" or t == "float" and (p or 53) <= 24:
-        return Mapping(T.FloatType(), lambda c: c.cast("float"), 0)
-    if t == "float":
-        return Mapping(T.DoubleType(), lambda c: c.cast("double"), 0)
-    if t == "date":
-        return Mapping(T.DateType(), lambda c: clamp(c.cast("date"), "date"), EPOCH)
-    if t in ("datetime", "smalldatetime"):
-        return Mapping(T.TimestampNTZType(), _timestamp(3), EPOCH)
-    if t == "datetime2":
-        return Mapping(T.TimestampNTZType(), _timestamp(min(max(7 if s is None else s, 0), 7)), EPOCH)
-    if t == "datetimeoffset":
-        cut = _timestamp(min(max(7 if s is None else s, 0), 7))
-        return Mapping(T.TimestampNTZType(), lambda c: cut(offset_to_utc(c)), EPOCH)
-    if t in ("binary", "varbinary", "image"):
-        return Mapping(T.BinaryType(), lambda c: c.cast("binary"), b"")
-    if t == "uniqueidentifier":
-        return Mapping(T.StringType(), lambda c: F.lower(c.cast("string")), NIL_UUID)
-    if t in ("timestamp", "rowversion"):
-        return Mapping(T.LongType(), lambda c: F.conv(F.hex(c), 16, 10).cast("bigint"), 0)
-    if t == "time":
-        return Mapping(T.StringType(), lambda c: F.substring(c.cast("string"), 1, 16), "")
-    if t not in ("char", "varchar", "nchar", "nvarchar", "sysname", "text", "ntext", "xml", "sql_variant", "hierarchyid", "geography", "geometry"):
+    build = TYPES.get(sql_type.lower())
+    if build is None:
         log.warning("no mapping for type %s, it is read as text", sql_type)
-    return Mapping(T.StringType(), lambda c: c.cast("string"), "")
+    return (build or _TEXT)(precision, scale)
 
 
 #: Digits of whole numbers, from narrow to wide.

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keelson.functions.keys import keyset_after
-from keelson.plans.model import DELETED, SEQ, SYNCED_AT, VERSION, TableSpec
+from keelson.plans.model import CHANGE, DELETED, ROW, SEQ, SYNCED_AT, VERSION, TableSpec, projection
 from keelson.plans.partitions import Range, in_range
 
 #: Changed keys up to which the base is first reduced by a broadcast semi join.
@@ -21,7 +21,7 @@ def snapshot_scan(base: DataFrame, spec: TableSpec, version: int, bounds: Range
     rows = base.where(in_range(spec.pk[0], bounds)) if bounds != (None, None) else base
     if after:
         rows = rows.where(keyset_after(spec.pk, after))
-    return rows.select(*[c.project() for c in spec.columns], F.lit(version).cast("bigint").alias(VERSION), F.lit(0).cast("tinyint").alias(DELETED), F.lit(seq).cast("bigint").alias(SEQ))
+    return rows.select(*[projection(c, ROW) for c in spec.columns], F.lit(version).cast("bigint").alias(VERSION), F.lit(0).cast("tinyint").alias(DELETED), F.lit(seq).cast("bigint").alias(SEQ))
 
 
 def net_changes(log: DataFrame, pk: list[str], last: int, current: int, version: str = "version") -> DataFrame:
@@ -48,7 +48,7 @@ def change_scan(changes: DataFrame, base: DataFrame, spec: TableSpec, last: int,
         if c.pk_ordinal:
             columns.append(c.mapping.convert(F.col(f"__k{spec.pk.index(c.name)}")).alias(c.name))
         else:
-            columns.append(c.project("t", tombstone_safe=True))
+            columns.append(projection(c, CHANGE, "t"))
     gone = F.when(F.col("__there").isNull(), 1).otherwise(0).cast("tinyint")
     return joined.select(*columns, F.col("__v").cast("bigint").alias(VERSION), gone.alias(DELETED), F.lit(seq).cast("bigint").alias(SEQ))
 

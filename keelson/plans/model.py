@@ -34,12 +34,17 @@ class ColumnSpec:
     def target_nullable(self) -> bool:
         return self.nullable and not self.pk_ordinal
 
-    def project(self, source: str | None = None, tombstone_safe: bool = False) -> Column:
-        """The converted column; in a change feed a missing NOT NULL value becomes the type's placeholder."""
-        value = self.mapping.convert(F.col(f"{source}.`{self.name}`" if source else f"`{self.name}`"))
-        if tombstone_safe and not self.target_nullable:
-            value = F.coalesce(value, self.mapping.tombstone_column())
-        return value.alias(self.name)
+
+#: Roles of a row: as it stands in the table, or as what a change found of it.
+ROW, CHANGE = "row", "change"
+
+
+def projection(column: ColumnSpec, role: str, source: str | None = None) -> Column:
+    """The converted column of a row in a role. A change may find no row; columns that can't be null then hold their type's placeholder."""
+    place = f"{source}.`{column.name}`" if source else f"`{column.name}`"
+    value = column.mapping.convert(F.col(place))
+    filled = role == CHANGE and not column.target_nullable
+    return (F.coalesce(value, column.mapping.tombstone_column()) if filled else value).alias(column.name)
 
 
 @dataclass(frozen=True)

@@ -7,7 +7,8 @@ copy its training position in [0, 1). Documents range-sorted by position are the
 
 Cumulative sizes are computed in three levels: coarse ranges of the random key, ranges in a coarse one, rows in a range.
 Their number grows with the table, so no task holds a whole source. The random key is made of id and text, so neither rows
-without an id nor rows that share one are one range.
+without an id nor rows that share one are one range. Rows that are equal in all columns are counted, laid as blocks of
+ROWS_PER_BLOCK, and told apart again only when the blocks have been dealt out.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keelson.llm.common import BLANKS, cut, free_name, row_key, table
+from keelson.llm.common import cut, free_name, row_key, table
 
 #: Weights of the sources in code-point order, repeating.
 WEIGHTS = (3, 1, 2)
@@ -24,6 +25,8 @@ SHARE, EPOCHS = 1.5, 2
 #: Relative weight in equal phases of training, by the source's rank modulo 3: constant, rising, falling.
 SCHEDULES = ((1.0, 1.0, 1.0, 1.0), (0.4, 0.8, 1.2, 1.6), (1.6, 1.2, 0.8, 0.4))
 ROWS_PER_RANGE = 2_000
+#: Rows equal in all columns that are laid as one.
+ROWS_PER_BLOCK = 10_000
 SEED = "mix"
 
 
@@ -72,25 +75,28 @@ def position_of(demand: Column, schedule) -> Column:
     return F.least(out, F.lit(1.0 - 2.0**-53))
 
 
-def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, schedules=SCHEDULES, rows_per_range: int = ROWS_PER_RANGE) -> DataFrame:
-    """doc_id, row_key, size, source_size, target, taken and copies (array of copy, take_words, position), one row per document row.
+def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights=WEIGHTS, share: float = SHARE, epochs: int = EPOCHS, schedules=SCHEDULES, rows_per_range: int = ROWS_PER_RANGE, rows_per_block: int = ROWS_PER_BLOCK) -> DataFrame:
+    """doc_id, row_key, nth, size, source_size, target, taken and copies (array of copy, take_words, position), one row per document row.
 
     A document's size is its number of words (null text: 0). The last document that a source gives may be taken in
     part, so that every source gives its target, rounded, exactly; nothing is taken more than `epochs` times. Rows
-    that are equal in all columns are told apart by nothing but may get different shares; the multiset of results is
-    the same on every run. Null ids and null sources are values like any other. An empty table gives an empty plan.
+    that are equal in all columns are told apart by nothing but may get different shares; nth
+    numbers them from 0, and the multiset of results is the same on every run. Null ids and null sources are values like any other. An empty table gives an empty plan.
     """
     size = F.expr(f"regexp_count(coalesce(`{text_col}`, ''), '[^\\\\x20\\\\x09-\\\\x0D]+')").cast("long")
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     order = F.md5(F.concat(F.lit(f"{SEED}:"), F.coalesce(F.col(id_col).cast("string"), F.lit("null")), F.lit(":"), F.md5(text)))
-    rows = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), row_key(docs).alias("row_key"), size.alias("size"), order.alias("order")))
+    sized = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).alias("source"), row_key(docs).alias("row_key"), size.alias("size"), order.alias("order"))
+    equal = sized.groupBy(*sized.columns).agg(F.count(F.lit(1)).alias("equal"))
+    rows = equal.withColumn("block", F.explode(F.sequence(F.lit(0), F.expr(f"(equal - 1) div {rows_per_block}"))))
+    rows = cut(rows.withColumn("rows", F.least(F.lit(rows_per_block), F.col("equal") - F.col("block") * rows_per_block)).drop("equal"))
     n = rows.count()
     digits = 1
     while digits < 7 and n > rows_per_range * 16**digits:
         digits += 1
     rows = rows.withColumn("range", F.substring("order", 1, digits))
-    targets = source_targets(rows, weights, share, epochs)
-    ranges = rows.groupBy("source", "range").agg(F.sum("size").alias("range_size"))
+    targets = source_targets(rows.select("source", (F.col("size") * F.col("rows")).alias("size")), weights, share, epochs)
+    ranges = rows.groupBy("source", "range").agg(F.sum(F.col("size") * F.col("rows")).alias("range_size"))
     # coarse ranges of a source are 4096 at most, ranges of a coarse one 65,536
     ranges = ranges.withColumn("coarse", F.substring("range", 1, digits // 2))
     before = lambda *keys: Window.partitionBy("source", *keys[:-1]).orderBy(keys[-1]).rowsBetween(Window.unboundedPreceding, -1)
@@ -101,10 +107,12 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
     ranges = ranges.select("source", "range", (F.col("coarse_start") + F.col("fine_start")).alias("range_start"))
     t = targets.withColumnRenamed("source", "t_source")
     ranges = ranges.join(t, F.col("source").eqNullSafe(F.col("t_source"))).select(F.col("source").alias("r_source"), F.col("range").alias("r_range"), "range_start", "source_size", "target", "rank")
-    inside = Window.partitionBy("source", "range").orderBy("order", "doc_id", "size", "row_key").rowsBetween(Window.unboundedPreceding, -1)
-    laid = rows.withColumn("inner", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+    inside = Window.partitionBy("source", "range").orderBy("order", "doc_id", "size", "row_key", "block").rowsBetween(Window.unboundedPreceding, -1)
+    laid = rows.withColumn("inner", F.coalesce(F.sum(F.col("size") * F.col("rows")).over(inside), F.lit(0)))
     laid = laid.join(ranges, F.col("source").eqNullSafe(F.col("r_source")) & (F.col("range") == F.col("r_range")))
-    laid = laid.withColumn("start", F.col("range_start") + F.col("inner")).withColumn("quota", F.round("target").cast("long"))
+    laid = laid.repartition("row_key", "block").withColumn("in_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("rows") - 1)))
+    laid = laid.withColumn("nth", F.col("block") * rows_per_block + F.col("in_block"))
+    laid = laid.withColumn("start", F.col("range_start") + F.col("inner") + F.col("in_block") * F.col("size")).withColumn("quota", F.round("target").cast("long"))
     copies = []
     for c in range(epochs):
         at = F.col("start") + F.lit(c) * F.col("source_size")
@@ -116,7 +124,7 @@ def plan_mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", so
         copies.append(F.struct(F.lit(c).alias("copy"), take.alias("take_words"), spot.alias("position")))
     laid = laid.withColumn("copies", F.filter(F.array(*copies), lambda x: x["take_words"] > 0))
     taken = F.aggregate("copies", F.lit(0).cast("long"), lambda a, x: a + x["take_words"])
-    return laid.select("doc_id", "row_key", "size", "source_size", "target", taken.alias("taken"), "copies")
+    return laid.select("doc_id", "row_key", "nth", "size", "source_size", "target", taken.alias("taken"), "copies")
 
 
 def position_at(copy: int) -> Column:
@@ -131,11 +139,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", with_position: bool = False, **
     the position as a double column `position` (with underscores where docs has one): files alone don't keep an order.
     """
     key, spot, plans = (free_name(docs, x) for x in ("row_key", "position", "copies"))
-    plan = plan_mix(docs, id_col, **options).where(F.size("copies") > 0)
-    # rows that are equal in all columns share a key: their copies come together at one of them
-    plan = plan.groupBy("row_key").agg(F.flatten(F.collect_list("copies")).alias(plans)).withColumnRenamed("row_key", key)
+    # rows that are equal in all columns share a key: their copies all meet one of them, in a join that AQE splits
+    plan = plan_mix(docs, id_col, **options).select(F.col("row_key").alias(key), F.explode("copies").alias(plans))
     keyed = docs.withColumn(key, row_key(docs)).dropDuplicates([key])
-    out = keyed.join(plan, key).withColumn(plans, F.explode(plans)).withColumn(spot, F.col(plans)["position"])
+    out = keyed.join(plan, key).withColumn(spot, F.col(plans)["position"])
     out = out.repartitionByRange(F.col(spot), F.col(key)).sortWithinPartitions(spot, key, F.col(plans)["copy"])
     return out.select(*[F.col(f"`{c}`") for c in docs.columns], *([spot] if with_position else []))
 
@@ -144,7 +151,7 @@ def op5_mixing(spark, sf_dir: str) -> DataFrame:
     """position and position_again: where in training, from 0 to 1, the document's first and second copy stand."""
     plan = plan_mix(table(spark, sf_dir, "documents"))
     spot = F.coalesce(position_at(0), F.lit(1.0))  # those not drawn come last
-    out = plan.withColumn("spot", spot).repartitionByRange("spot", "row_key").sortWithinPartitions("spot", "row_key")
+    out = plan.withColumn("spot", spot).repartitionByRange("spot", "row_key", "nth").sortWithinPartitions("spot", "row_key", "nth")
     return out.select("doc_id", "size", "source_size", "target", "taken", position_at(0).alias("position"), position_at(1).alias("position_again"))
 
 

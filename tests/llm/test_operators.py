@@ -130,6 +130,19 @@ def test_mixing_of_rows_without_ids(spark):
     assert sum(r["taken"] for r in plan) == 1.5 * 1600 and len({x["position"] for r in plan for x in r["copies"]}) > 300
 
 
+def test_mixing_of_equal_rows(spark):
+    """Rows equal in all columns are laid block by block; each is taken as it would be one by one."""
+    docs = spark.createDataFrame([(None, "the same three", "xx", "a", 1)] * 100 + [(None, "", "xx", "a", 1)] * 100 + [(1, "one", "xx", "b", 1)], SCHEMA)
+    want = sorted((r["size"], r["taken"]) for r in mixing.plan_mix(docs).collect())
+    for block in (1, 7, 100):
+        got = mixing.plan_mix(docs, rows_per_block=block).collect()
+        assert sorted((r["size"], r["taken"]) for r in got) == want and len(want) == 201
+        assert sorted(r["nth"] for r in got if r["size"] == 3) == list(range(100))
+        assert len({x["position"] for r in got if r["size"] == 3 for x in r["copies"]}) >= 100
+    # a document that the quota cuts stays whole
+    assert sum(w for _, w in want) == 452 and 150 <= mixing.mix(docs).where("source = 'a'").count() <= 151
+
+
 def test_positions_invert_the_schedule(spark):
     q = spark.range(0, 1000).select((F.col("id") / 1000).alias("q"))
     for s in mixing.SCHEDULES:

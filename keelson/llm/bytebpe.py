@@ -112,7 +112,7 @@ class IdEncoder:
         return np.array(self.lib.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(self, pieces: list[str]) -> list[bytes] | None:
-        """Encodes pieces by the library, many in one text; None if one of them isn't plain."""
+        """Encodes pieces by the library, many in one text; None if one of them isn't plain or doesn't begin with one opening token."""
         if not all_plain(pieces, self.specials):
             return None
         out = []
@@ -121,7 +121,7 @@ class IdEncoder:
             ids = np.array(self.lib.encode_batch_fast(["".join(map(as_written, part))], add_special_tokens=False)[0].ids, "<u4")
             cuts = (4 * np.flatnonzero(self.opens[ids])).tolist()
             if len(cuts) != len(part):
-                raise AssertionError("pieces and their first tokens don't match")
+                return None
             raw = ids.tobytes()
             out += [raw[a:z] for a, z in zip(cuts, [*cuts[1:], len(raw)], strict=True)]
         return out

@@ -60,6 +60,14 @@ def test_other_vocabularies_are_refused():
             use(public_tokenizers.path("word_bpe_49k.json"))
 
 
+def test_pieces_without_opening_tokens_fall_back():
+    """A vocabulary in which pieces can't be told by their first tokens costs speed, not results."""
+    encoder = bytebpe.IdEncoder(bytebpe.default_path())
+    encoder.opens[:] = False
+    for text in ("two words", "one\ntwo three", "", "word"):
+        assert encoder.encode([text]) == [encoder.plain(text)]
+
+
 def test_every_kind_of_character(byte_models):
     """White space, letters and numbers are told apart as the library does, over all of the first plane."""
     encoder, counter = byte_models

@@ -19,7 +19,7 @@ from keelson.functions.keys import keyset_after, shard_owner_column
 from keelson.operators import changes as ch
 from keelson.operators import metrics, validate
 from keelson.operators.seed import make
-from keelson.plans.model import spec_of
+from keelson.plans.model import ColumnSpec, TableSpec, spec_of
 from keelson.plans.partitions import plan_ranges, range_number
 from keelson.sources.change_source import key_bounds
 
@@ -175,9 +175,19 @@ def type_clamp_utc(spark, d):
 
 
 def tombstone_defaults(spark, d):
-    kinds = [("bit",), ("tinyint",), ("int",), ("bigint",), ("decimal", 10, 2), ("float", 53), ("real",), ("date",), ("datetime2", None, 3), ("nvarchar",), ("varbinary",), ("uniqueidentifier",), ("rowversion",)]
-    rows = [F.struct(F.lit(k[0]).alias("sql_type"), F.coalesce(F.when(typemap.mapping(*k).tombstone_column().isNotNull(), F.hex(typemap.mapping(*k).tombstone_column()) if k[0] == "varbinary" else typemap.mapping(*k).tombstone_column().cast("string")), F.lit("none")).alias("placeholder")) for k in kinds]
-    return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+    """What the tombstones of every fifth customer hold in columns that can't be null, by the source's type."""
+    c = _t(spark, d, "customer").select("c_custkey", "c_name")
+    k, day = F.col("c_custkey"), F.lit("2024-01-01").cast("timestamp_ntz")
+    values = {
+        ("bit",): k % 2 == 1, ("tinyint",): (k % 200).cast("smallint"), ("int",): k.cast("int"), ("bigint",): k * 3, ("decimal", 10, 2): k.cast("decimal(10,2)"), ("float", 53): k / 2, ("real",): k.cast("float"),
+        ("date",): day.cast("date"), ("datetime2", None, 3): day, ("nvarchar",): F.col("c_name"), ("varbinary",): F.col("c_name").cast("binary"), ("uniqueidentifier",): F.upper(F.md5("c_name")), ("rowversion",): F.unhex(F.lpad(F.hex(k), 16, "0")),
+    }
+    spec = TableSpec("dbo", "customer", (ColumnSpec("c_custkey", "bigint", False, 1), *[ColumnSpec(f"c_{kind}", kind, False, 0, *size) for kind, *size in values]))
+    base = c.where(k % 5 != 0).select("c_custkey", *[v.alias(f"c_{kind[0]}") for kind, v in values.items()])
+    gone = ch.change_scan(c.select("c_custkey", (k + V0 + 1).alias("version")), base, spec, V0, 1 << 60).where("_is_deleted = 1")
+    text = lambda kind: F.hex(f"c_{kind}") if kind == "varbinary" else F.col(f"c_{kind}").cast("string")
+    rows = [F.struct(F.lit(kind).alias("sql_type"), text(kind).alias("placeholder")) for kind, *_ in values]
+    return gone.select(F.explode(F.array(*rows)).alias("r")).groupBy("r.sql_type", "r.placeholder").agg(F.count(F.lit(1)).alias("tombstones"))
 
 
 def exclude_columns(spark, d):
@@ -648,7 +658,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT o_orderkey, least(greatest(x::DATE, DATE '1900-01-01'), DATE '2299-12-31')::VARCHAR AS d,
             CASE WHEN o_orderkey % 7 <> 0 THEN strftime(least(greatest(x, TIMESTAMP '1900-01-01'), TIMESTAMP '2299-12-31 23:59:59.999'), '%Y-%m-%d %H:%M:%S.%g') END AS ts,
             strftime(o_orderdate::DATE + INTERVAL '3 hours 15 minutes 123 milliseconds' - INTERVAL 330 MINUTE, '%Y-%m-%d %H:%M:%S.%g') AS utc, o_orderkey::DECIMAL(18,2)::DOUBLE AS amount, o_orderkey % 2 = 1 AS flag FROM s""",
-        "tombstone_defaults": """SELECT * FROM (VALUES ('bit', 'false'), ('tinyint', '0'), ('int', '0'), ('bigint', '0'), ('decimal', '0.00'), ('float', '0.0'), ('real', '0.0'), ('date', '1970-01-01'),
+        "tombstone_defaults": """SELECT t.*, (SELECT count(*) FROM customer WHERE c_custkey % 5 = 0) AS tombstones FROM (VALUES ('bit', 'false'), ('tinyint', '0'), ('int', '0'), ('bigint', '0'), ('decimal', '0.00'), ('float', '0.0'), ('real', '0.0'), ('date', '1970-01-01'),
             ('datetime2', '1970-01-01 00:00:00'), ('nvarchar', ''), ('varbinary', ''), ('uniqueidentifier', '00000000-0000-0000-0000-000000000000'), ('rowversion', '0')) t(sql_type, placeholder)""",
         "exclude_columns": "SELECT c_custkey, c_name, c_nationkey, 1000::BIGINT AS _version, 0::TINYINT AS _is_deleted FROM customer",
         "latest_request": "SELECT 't' || (user_id % 20) AS table_key, max(ts) AS requested_at FROM events WHERE event_type = 'click' GROUP BY 1",

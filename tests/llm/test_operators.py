@@ -383,6 +383,24 @@ def test_html_without_classes(spark):
         assert got == want and "Menu" not in "".join(t for i, t in got.items() if i < 200)
 
 
+def test_html_with_many_template_texts(spark):
+    """Furniture that rotates among 1,100 texts, and furniture whose 300 class names rotate: neither is forgotten."""
+    rnd = random.Random(3)
+    words = lambda i: " ".join(f"{rnd.choice('abcdefgh')}{i}x{k}" for k in range(12))
+    name = lambda k: "q" + chr(97 + k % 26) + chr(97 + k // 26)
+    data, want = [], {}
+    for i in range(5500):
+        t = words(i)
+        page = f"<body><section><h1>{t}</h1><p>Text {i}</p></section><div>Advert {i % 1100}</div></body>"
+        data.append((i, f"https://many.example/{i}", page))
+        want[i] = f"{t}\nText {i}"
+        if i < 1500:
+            data.append((10_000 + i, f"https://names.example/{i}", page.replace(f"<div>Advert {i % 1100}", f"<div class={name(i % 300)}>Notice {i % 300}")))
+            want[10_000 + i] = want[i]
+    pages = spark.createDataFrame(data, PAGE_SCHEMA).repartition(5)
+    assert {r["page_id"]: r["text"] for r in html_extract.extract_pages(pages, names=False).collect()} == want
+
+
 def test_pipeline(spark, tmp_path):
     import sentencepiece
 

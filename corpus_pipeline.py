@@ -30,7 +30,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar texts (five-word shingles, similarity of 0.8 or more) stays: that with the smallest id."""
+    """One document of each group of similar texts (five-word shingles, similarity of 0.8 or more) stays: that with the smallest id. SimHash's trie join and MinHash give the candidates."""
     return simhash.near_dedup(docs)
 
 

@@ -1,11 +1,12 @@
 """Near copies by similarity: texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more.
 
-Candidates are texts that share one of BANDS keys made of ROWS MinHash values each: a pair at 0.8 shares none with
-probability (1 - 0.8 ** 5) ** 25 = 5e-5, a more similar one less. What shares keys, directly or over others, is a cluster. A
-cluster's shingle sets meet in one tile, each sent once, and a kernel counts the common shingles of all its pairs: rare
-shingles by listing who has them, common ones by products of 0/1 matrices. Only links leave the tile, a spanning forest of
-them, so neither pairs nor texts travel, however alike or unlike the members of a dense cluster are. No pair that shares a key
-goes untested.
+Candidates come from two sides. SimHash (simhash.py) links the fingerprints of the shingle sets; the texts of one component of
+links share a key. At a similarity of 0.8 fingerprints mostly lie further apart than its bits, so texts also share BANDS keys
+made of ROWS MinHash values each: a pair at 0.8 shares none of these with probability (1 - 0.8 ** 5) ** 25 = 5e-5, a more similar one
+less. What shares keys, directly or over others, is a cluster. A cluster's shingle sets meet in one tile, each sent once, and a
+kernel counts the common shingles of all its pairs: rare shingles by listing who has them, common ones by products of 0/1
+matrices. Only links leave the tile, a spanning forest of them, so neither pairs nor texts travel, however alike or unlike the
+members of a dense cluster are. No pair that shares a key goes untested.
 
 A cluster that is too large for a tile (MEMBERS, SHINGLES) is taken by its keys: the texts of a key are dealt into blocks. First
 every block meets itself and the first block, which links most copies of one text; then the texts outside the key's largest
@@ -15,7 +16,7 @@ k x m, in tiles of one size.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -52,19 +53,28 @@ def min_hashes(shingles: np.ndarray) -> np.ndarray:
     return out >> np.uint64(24)  # the low bits of a product are weak
 
 
+def fingerprint(shingles: np.ndarray) -> np.uint64:
+    """The SimHash of a set: a bit is 1 if set in over half of the hashes."""
+    ones = np.zeros(64, np.int64)
+    for at in range(0, len(shingles), 50_000):
+        ones += np.unpackbits(np.ascontiguousarray(shingles[at : at + 50_000], "<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return np.packbits(2 * ones > len(shingles), bitorder="little").view("<u8")[0]
+
+
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts in column 0 to node (hash of the folded text), band keys and number of shingles."""
+    """Texts in column 0 to node (hash of the folded text), fingerprint, band keys and number of shingles."""
     for b in batches:
-        nodes, keys, sizes = [], [], []
+        nodes, fps, keys, sizes = [], [], [], []
         for t in b.column(0).cast(pa.binary()):
             text = t.as_py() or b""
             shingles = shingle_set(text)
             sizes.append(len(shingles))
             nodes.append(text_hash(text, SEED + 1))
+            fps.append(fingerprint(shingles))
             keys.append([xxhash.xxh64_intdigest(x.tobytes(), k) for k, x in enumerate(min_hashes(shingles).reshape(BANDS, ROWS))])
         signed = lambda x: np.array(x, np.uint64).view(np.int64)
-        columns = [pa.array(signed(nodes)), pa.array(signed(keys).tolist(), pa.list_(pa.int64())), pa.array(sizes, pa.int64())]
-        yield pa.RecordBatch.from_arrays([*b.columns[1:], *columns], [*b.schema.names[1:], "node", "keys", "size"])
+        columns = [pa.array(signed(nodes)), pa.array(signed(fps)), pa.array(signed(keys).tolist(), pa.list_(pa.int64())), pa.array(sizes, pa.int64())]
+        yield pa.RecordBatch.from_arrays([*b.columns[1:], *columns], [*b.schema.names[1:], "node", "fp", "keys", "size"])
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,16 +197,25 @@ def _by_keys(keyed: DataFrame, sets: DataFrame) -> DataFrame:
     return edges.unionByName(_linked(tiles.join(sets, "node")))
 
 
-def similar_groups(docs: DataFrame, text_col: str, carry: tuple[str, str]) -> DataFrame:
-    """The columns of carry (row key, id) and node, root: rows with one root are linked by similar texts. Rows that share a row key are equal."""
+def similar_groups(docs: DataFrame, text_col: str, carry: tuple[str, str], fingerprint_groups: Callable[[DataFrame], DataFrame], bands_too: bool = True) -> DataFrame:
+    """The columns of carry (row key, id) and node, root: rows with one root are linked by similar texts. Rows that share a row key are equal.
+
+    fingerprint_groups makes of distinct fingerprints (fp) those with links, each with its component (fp, component). Without
+    bands_too only texts whose fingerprints are linked are candidates.
+    """
     key, _ = carry
     fields = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
     texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"), *carry)
-    rows = cut(texts.mapInArrow(_keyed, f"{fields}, node long, keys array<long>, size long"))
-    distinct = cut(rows.groupBy("node").agg(F.first("keys").alias("keys"), F.first("size").alias("size"), F.min(key).alias("row")))
-    bands = distinct.select("node", F.explode("keys").alias("key"))
+    rows = cut(texts.mapInArrow(_keyed, f"{fields}, node long, fp long, keys array<long>, size long"))
+    distinct = cut(rows.groupBy("node").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("size").alias("size"), F.min(key).alias("row")))
+    fps = cut(distinct.groupBy("fp").agg(F.count(F.lit(1)).alias("n")))
+    linked = fps.join(fingerprint_groups(fps.select("fp")), "fp", "left").where("n > 1 OR component IS NOT NULL")
+    linked = cut(linked.select("fp", F.xxhash64(F.lit("simhash"), F.coalesce("component", "fp")).alias("key")))
+    bands = hot_join(distinct.select("node", "fp"), "fp", linked, distinct.count(), linked.count()).select("node", "key")
+    if bands_too:
+        bands = bands.unionByName(distinct.select("node", F.explode("keys").alias("key")))
     heads = cut(bands.groupBy("key").agg(F.min("node").alias("head"), F.count(F.lit(1)).alias("n")).where("n > 1").select("key", "head"))
-    shared = cut(hot_join(bands, "key", heads, distinct.count() * BANDS, heads.count()))
+    shared = cut(hot_join(bands, "key", heads, distinct.count() * (BANDS + 1), heads.count()))
     clusters = connected_components(shared.where("node <> head").select(F.col("head").alias("u"), F.col("node").alias("v")))
     members = cut(clusters.join(distinct.select("node", "size", "row"), "node"))
     large = cut(members.groupBy("root").agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("shingles")).where(f"n > {MEMBERS} OR shingles > {SHINGLES}").select("root"))  # few

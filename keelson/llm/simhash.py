@@ -214,11 +214,21 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     return hot_join(rows, "fp", cut(of), rows.count(), n)
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs without near-duplicates: of each component of similar texts (minhash: five-word shingles, Jaccard 0.8) the row with the smallest id stays, of those that share it the one with the smallest row hash."""
+def fingerprint_groups(distinct: DataFrame) -> DataFrame:
+    """fp, component (the smallest fingerprint in reach) of the distinct fingerprints that are linked to others."""
+    return connected_components(fingerprint_links(distinct)).select(F.col("node").alias("fp"), F.col("root").alias("component"))
+
+
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bands_too: bool = True) -> DataFrame:
+    """The rows of docs without near-duplicates: of each component of similar texts the row with the smallest id stays, of those that share it the one with the smallest row hash.
+
+    Similar are texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, which is tested exactly. Candidates
+    are the components of the trie join of the sets' fingerprints; with bands_too also texts that MinHash brings together,
+    as most pairs near 0.8 differ in more than BUDGET bits.
+    """
     key, doc_id = free_name(docs, "row_key"), free_name(docs, "id_")
     keyed = docs.withColumn(key, row_key(docs))
-    groups = minhash.similar_groups(keyed.withColumn(doc_id, F.col(id_col).cast("long")), text_col, (key, doc_id))
+    groups = minhash.similar_groups(keyed.withColumn(doc_id, F.col(id_col).cast("long")), text_col, (key, doc_id), fingerprint_groups, bands_too)
     first = groups.groupBy("root").agg(F.min(F.struct(F.col(doc_id).isNull(), F.col(doc_id), F.col(key))).alias("first"))
     stay = first.select(F.col("first")[key].alias(key)).distinct()
     return keyed.join(stay, key, "left_semi").dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns])

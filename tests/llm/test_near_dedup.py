@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from keelson.llm import minhash, simhash
@@ -123,3 +124,49 @@ def test_recall_on_the_documents(spark):
     roots = plain_roots([(r["doc_id"], r["text"]) for r in docs.select("doc_id", "text").collect()])
     assert kept(simhash.near_dedup(docs)) == sorted(set(roots.values()))
     assert docs.where(F.col("text").isNotNull()).count() > len(set(roots.values()))
+
+
+def near_in_bits(rnd):
+    """Two texts at 0.8 or more whose fingerprints differ in 3 bits at most, though they share no MinHash key."""
+    word = lambda: "".join(rnd.choice("abcdefghij") for _ in range(6))
+    mins = lambda words: minhash.min_hashes(minhash.shingle_set(" ".join(words).encode())).reshape(minhash.BANDS, minhash.ROWS)
+    while True:
+        base = [word() for _ in range(120)]
+        own = mins(base)
+        at = []
+        for _ in range(2):  # the words whose change spoils the most keys; 10 of 116 shingles are others then
+            free = [i for i in range(4, 116) if all(abs(i - j) > 4 for j in at)]
+            spoilt = {i: (mins([w if k not in (*at, i) else "x" for k, w in enumerate(base)]) != own).any(axis=1).sum() for i in free}
+            at.append(max(free, key=spoilt.get))
+        if spoilt[at[-1]] < minhash.BANDS - 3:
+            continue
+        for _ in range(1500):
+            other = [word() if i in at else w for i, w in enumerate(base)]
+            a, b = (minhash.fingerprint(minhash.shingle_set(" ".join(x).encode())) for x in (base, other))
+            if int(a ^ b).bit_count() <= simhash.BUDGET and (mins(other) != own).any(axis=1).all():
+                return " ".join(base), " ".join(other)
+
+
+def plain_fingerprint(t):
+    hashes = [xxhash.xxh64_intdigest(" ".join(s), 42) for s in {tuple(x.decode() for x in s) for s in shingles(t)}]
+    return sum(1 << k for k in range(64) if 2 * sum(h >> k & 1 for h in hashes) > len(hashes))
+
+
+def test_candidates_of_fingerprints(spark):
+    """What SimHash links is a candidate by itself, tested exactly: a pair that no MinHash key brings together is found."""
+    rnd = random.Random(4)
+    docs = list(enumerate([*near_in_bits(rnd), *family(rnd, 60, most=0.03), "one two", "One  two", "", None]))
+    df = spark.createDataFrame([(d, t, "l", "s", 1) for d, t in docs], SCHEMA)
+    assert kept(simhash.near_dedup(df)) == sorted(set(plain_roots(docs).values()))
+    fps = [plain_fingerprint(t) for _, t in docs]
+    assert [int(minhash.fingerprint(minhash.shingle_set((t or "").encode()))) for _, t in docs] == fps
+    groups = list(range(len(docs)))  # components by bits, then links at 0.8 inside them
+    for _ in groups:
+        for i, j in itertools.combinations(range(len(docs)), 2):
+            if (fps[i] ^ fps[j]).bit_count() <= simhash.BUDGET:
+                groups[i] = groups[j] = min(groups[i], groups[j])
+    by = collections.defaultdict(list)
+    for g, d in zip(groups, docs, strict=True):
+        by[g].append(d)
+    want = sorted(root for part in by.values() for root in set(plain_roots(part).values()))
+    assert kept(simhash.near_dedup(df, bands_too=False)) == want and 1 not in want

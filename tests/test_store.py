@@ -347,3 +347,28 @@ def test_reading_by_format(spark, tmp_path):
     wide = spark.createDataFrame([(1, "a", 0, "note")], SCHEMA + ", note string")
     s.evolve("g", spec_of(wide, "t", ["k"]))
     assert read_current(spark, root, "t").where("k = 7").select("note").first()[0] is None
+
+
+def test_reading_by_format_in_slices(spark, tmp_path, monkeypatch):
+    """A range with changes is read in slices: none is as large as the range, each row is in one of them."""
+    import pyarrow as pa
+    import pyarrow.dataset as ds
+
+    from keelson.sources import current_source as cs
+
+    s, spec, rows = stored(spark, tmp_path, 600, 2)
+    change(spark, s, spec, rows, 5, [3, 299, 700], [4, 150])
+    change(spark, s, spec, rows, 6, [3, 151], [299])
+    monkeypatch.setattr(cs, "SLICE_ROWS", 30)
+    monkeypatch.setattr(cs, "SAMPLED", 10)
+    reader = cs._Reader(s.path, "g", s.manifest("g"), cs.read_current(spark, f"file://{tmp_path}/store", "t").schema)
+    got = [b for p in reader.partitions() for b in reader.read(p)]
+    assert sorted((r["k"], r["v"], r["n"]) for b in got for r in b.to_pylist()) == sorted(rows.values())
+    assert max(b.num_rows for b in got) < 100
+    rnd = random.Random(2)
+    keys = [(rnd.choice([None, 1, 2, 3]), rnd.choice([None, math.nan, *range(40)]), i) for i in range(1000)]
+    table = pa.table({"a": pa.array([x for x, *_ in keys], pa.int32()), "b": pa.array([x for _, x, _ in keys], pa.float64()), "i": [i for *_, i in keys]})
+    for pk in (["a", "b"], ["b", "a"], ["b"]):
+        slices = cs._slices(cs._cuts(table.select(pk).to_batches(max_chunksize=77), pk, 1000, 12), pk, table.schema)
+        found = [ds.dataset(table).to_table(filter=c)["i"].to_pylist() for c in slices]
+        assert len(slices) > 5 and sorted(i for f in found for i in f) == list(range(1000))
